@@ -127,13 +127,13 @@ def _list_glob(t):
     return C.list_files(t.files, SPEC_GLOB)
 
 
-SPEC_SEGMENT = ListSpec(catalog="RD", state="", year=1997, month=None, segment=" b ", policy_match="", status="",
+SPEC_SEGMENT = ListSpec(catalog="SP", state="", year=1997, month=None, segment=" c ", policy_match="", status="",
                         sort_by="overall_status", sort_dir="asc", limit=500)
 
 
 @register("list_files_segment", "FLT-4,FLT-8,SORT-3", f"""
 SELECT {FILE_COLS_SQL} FROM files
-WHERE catalog = 'RD' AND year = 1997 AND segment = 'B'
+WHERE catalog = 'SP' AND year = 1997 AND segment = 'C'
 ORDER BY CASE overall_status {' '.join(f"WHEN '{s}' THEN {i + 1}" for i, s in enumerate(S.OVERALL_STATUSES))} END ASC, id ASC
 LIMIT 500""")
 def _list_segment(t):

@@ -65,6 +65,6 @@ def used_views(sql: str) -> tuple[str, ...]:
 
 
 def load_all() -> dict[str, Query]:
-    from . import queries  # noqa: F401  (registers on import)
+    from . import queries, queries_policy, queries_scan  # noqa: F401  (register on import)
 
     return REGISTRY
