@@ -65,6 +65,6 @@ def used_views(sql: str) -> tuple[str, ...]:
 
 
 def load_all() -> dict[str, Query]:
-    from . import queries, queries_convert, queries_ops, queries_policy, queries_scan  # noqa: F401  (register on import)
+    from . import queries, queries_convert, queries_ops, queries_policy, queries_scan, queries_stream  # noqa: F401
 
     return REGISTRY
