@@ -137,13 +137,42 @@ def with_views(tail_sql: str, views) -> str:
     return f"WITH {ctes}\n{tail}"
 
 
+# Views big enough to store: they stand for the catalog's stored tables.
+STORED_VIEWS = ("listing", "files", "file_stages", "job_queue", "stage_events", "status_history", "artifacts")
+
+
 class Tables:
-    """Lazily loaded base tables and derived views of one scale-factor directory."""
+    """Lazily loaded base tables and derived views of one scale-factor directory.
+
+    With ``materialize`` the derived catalog views are written once per session as Parquet under
+    the cluster's checkpoint folder and read back, so every query scans stored tables (with
+    column pruning and filter pushdown) the way it would scan the live catalog, instead of
+    re-deriving them from ``orders``/``events``.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None):
+        import os
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
+        if materialize is None:
+            materialize = os.environ.get("FEEDLEDGER_MATERIALIZE_VIEWS", "1") != "0"
+        self.materialize = materialize
+        self._store: str | None = None
+
+    def store_root(self) -> str:
+        if self._store is None:
+            import uuid
+
+            from .session import ensure_checkpoint_dir
+
+            self._store = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/feedledger-views-{uuid.uuid4().hex[:12]}"
+        return self._store
+
+    def materialize_all(self) -> None:
+        for v in STORED_VIEWS:
+            self.get(v)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -157,6 +186,10 @@ class Tables:
             elif name in VIEWS:
                 inputs = {d: self.get(d) for d in deps(name)}
                 df = self.spark.sql(VIEWS[name], **inputs)
+                if self.materialize and name in STORED_VIEWS:
+                    path = f"{self.store_root()}/{name}"
+                    df.write.mode("overwrite").parquet(path)
+                    df = self.spark.read.parquet(path)
             else:
                 raise KeyError(name)
             self._cache[name] = df
