@@ -78,6 +78,39 @@ def parse_filename(name: str | Column, as_of_year: int) -> Column:
     )
 
 
+def with_parsed_name(df, name: str, as_of_year: int, out: str = "p"):
+    """PRJ-1 as staged projections: the upper-cased base name and the first error are computed
+    once as their own columns (regex work is not repeated per field), then packed into the same
+    struct as ``parse_filename``."""
+    n = F.col(name)
+    staged = df.withColumn("_pn_ext", extension(n)).withColumn(
+        "_pn_base", F.upper(F.left(n, F.length(n) - F.length(F.col("_pn_ext")))))
+    base = F.col("_pn_base")
+    blen = F.octet_length(base)
+    last = F.substring(base, 9, 1)
+    cat, st, yy, mm = (F.substring(base, 1, 2), F.substring(base, 3, 2), F.substring(base, 5, 2), F.substring(base, 7, 2))
+    staged = staged.withColumn("_pn_mm", mm.try_cast("int")).withColumn("_pn_err", (
+        F.when(F.lower(F.col("_pn_ext")) != DATA_EXT, F.lit("extension"))
+        .when(~blen.isin(8, 9), F.lit("length"))
+        .when((blen == 9) & ~last.rlike("^[A-Za-z]$"), F.lit("segment"))
+        .when(~cat.rlike("^[A-Z]{2}$"), F.lit("catalog"))
+        .when(~st.rlike("^[A-Z]{2}$"), F.lit("state"))
+        .when(~yy.rlike("^[0-9]{2}$"), F.lit("year"))
+        .when(~mm.rlike("^[0-9]{2}$"), F.lit("month"))
+        .when(~F.col("_pn_mm").between(1, 12), F.lit("month_range"))
+    ))
+    ok = F.col("_pn_err").isNull()
+    packed = F.struct(
+        F.when(ok, cat).alias("catalog"),
+        F.when(ok, st).alias("state"),
+        F.when(ok, expand_year(yy.try_cast("int"), as_of_year)).cast("int").alias("year"),
+        F.when(ok, F.col("_pn_mm")).cast("int").alias("month"),
+        F.when(ok & (blen == 9), last).alias("segment"),
+        F.col("_pn_err").alias("error"),
+    )
+    return staged.withColumn(out, packed).drop("_pn_ext", "_pn_base", "_pn_mm", "_pn_err")
+
+
 def segment_backfill(filename: str | Column, segment: str | Column) -> Column:
     """SNK-8: an empty segment is taken from the 9th character of the name when it is a letter."""
     fn = F.upper(col_of(filename))

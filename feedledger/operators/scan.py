@@ -72,7 +72,7 @@ def classify_listing(listing: DataFrame, files: DataFrame, policy: P.Policy | No
     existing_id, prev_status and allowed (NULL unless parsed).
     """
     l = listing.withColumn("filename", F.upper("name")).withColumn("is_data", N.has_data_extension("name"))
-    l = l.withColumn("p", N.parse_filename("name", as_of_year))
+    l = N.with_parsed_name(l, "name", as_of_year, "p")
     snap = snapshot(files).select(
         F.col("id").alias("existing_id"), F.col("filename").alias("_s_filename"),
         F.col("size_bytes").alias("_s_size"), F.col("remote_timestamp").alias("_s_ts"),
@@ -380,7 +380,7 @@ def local_sync(files: DataFrame, stages: DataFrame, local: DataFrame, as_of, as_
     Returns (files, stages, counters).
     """
     l = local.withColumn("is_data", N.has_data_extension("name")).where("is_data")
-    l = l.withColumn("p", N.parse_filename("name", as_of_year)).withColumn("filename", F.upper("name"))
+    l = N.with_parsed_name(l, "name", as_of_year, "p").withColumn("filename", F.upper("name"))
     ok = l.where(F.col("p.error").isNull())
     rows = ok.select(
         "filename", F.col("p.catalog").alias("catalog"), F.col("p.state").alias("state"),

@@ -42,8 +42,8 @@ WITH {PARSE_SQL}
 SELECT seq, name, p_catalog AS catalog, p_state AS state, p_year AS year, p_month AS month, p_segment AS segment,
        error, lower(ext) = '.dbc' AS is_data FROM p""", ("listing",))
 def _parse(t):
-    l = t.listing
-    p = N.parse_filename("name", AS_OF_YEAR)
+    l = N.with_parsed_name(t.listing, "name", AS_OF_YEAR, "_p")
+    p = F.col("_p")
     return l.select("seq", "name", p.getField("catalog").alias("catalog"), p.getField("state").alias("state"),
                     p.getField("year").alias("year"), p.getField("month").alias("month"),
                     p.getField("segment").alias("segment"), p.getField("error").alias("error"),
