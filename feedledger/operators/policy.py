@@ -309,3 +309,28 @@ def reset_stage(stages: DataFrame, targets: DataFrame, as_of) -> DataFrame:
         F.when(h, F.lit(None).cast("string")).otherwise(F.col("error_message")).alias("error_message"),
         F.when(h, ts).otherwise(F.col("updated_at")).alias("updated_at"),
     )
+
+
+def policy_overview(files: DataFrame, policy: Policy) -> DataFrame:
+    """SET-11: the whole policy as (section, value) rows: available and selected catalogs and
+    states, available and selected periods, toggles and directories."""
+    spark = files.sparkSession
+    periods = files.where((F.col("year") >= 0) & F.col("month").between(1, 12)).select("year", "month").distinct()
+    parts = [
+        available_catalogs(files, policy).select(F.lit("available_catalog").alias("section"), "value"),
+        available_states(files, policy).select(F.lit("available_state").alias("section"), "value"),
+        periods.select(F.lit("available_period").alias("section"), F.format_string("%04d-%02d", "year", "month").alias("value")),
+        policy.catalog_set().select(F.lit("selected_catalog").alias("section"), F.col("_p_catalog").alias("value")),
+        policy.state_set().select(F.lit("selected_state").alias("section"), F.col("_p_state").alias("value")),
+        policy.year_set().select(F.lit("selected_year").alias("section"), F.col("_p_year").cast("string").alias("value")),
+        policy.month_set().select(F.lit("selected_month").alias("section"),
+                                  F.format_string("%04d-%02d", "_p_myear", "_p_month").alias("value")),
+    ]
+    if policy.config is not None:
+        cfg = processing(policy)
+        parts.append(cfg.select(F.lit("processing").alias("section"), F.to_json(F.struct(
+            "enable_download", "enable_csv", "enable_parquet", "download_dir", "csv_dir", "parquet_dir")).alias("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

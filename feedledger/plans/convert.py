@@ -236,7 +236,8 @@ def land_inventory(spark: SparkSession, landing: str | list[str], files: DataFra
         N.content_digest("content").alias("local_hash"),
         F.col("length").alias("local_size"),
     ).where(N.has_data_extension("filename"))
-    return files.join(found, "filename", "inner").select(
+    keyed = files.select("id", "filename", "catalog", "state", "year", "month")
+    return keyed.join(found, "filename", "inner").select(
         "id", "filename", "local_path", "local_hash", "local_size",
         N.canonical_path(root, "catalog", "state", "year", "month", "filename", ".dbc").alias("expected_path"),
     )

@@ -215,3 +215,12 @@ def has_catalog_or_period_filters(m: Mapping[str, Any] | None) -> bool:
 def require_catalog_or_period(m: Mapping[str, Any] | None) -> None:
     if not has_catalog_or_period_filters(m):
         raise ValueError("filters must include catalog and/or period criteria")
+
+
+def normalize_list_col(c, upper: bool = True):
+    """FLT-17 on columns: comma split, trim, upper (or lower) case, blanks dropped."""
+    from pyspark.sql import functions as F
+
+    col = F.col(c) if isinstance(c, str) else c
+    case = F.upper if upper else F.lower
+    return F.filter(F.transform(F.split(col, ","), lambda x: case(F.trim(x))), lambda x: x != "")
