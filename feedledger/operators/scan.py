@@ -64,13 +64,33 @@ def should_move_to_ignored(status: str | Column = "overall_status") -> Column:
     return S.col_of(status).isin(S.RECONCILE_TO_IGNORED)
 
 
+def collapse_copies(listing: DataFrame, order_col: str | None = None) -> DataFrame:
+    """Pre-aggregate exact copies of a listing entry (same directory, name, size, time and path)
+    into one row with a ``copies`` count (and the last ``order_col``), before any shuffle join.
+
+    The partial aggregate runs map-side, so a name listed millions of times costs one row per task,
+    not a hot join key. Every classification depends only on these columns, so counters weighted
+    by ``copies`` equal the per-entry counts.
+    """
+    keys = ["ftp_dir", "name", "size", "mod_time", "remote_path"]
+    aggs = [F.count(F.lit(1)).alias("copies")]
+    if order_col:
+        aggs.append(F.max(order_col).alias(order_col))
+    return listing.groupBy(*keys).agg(*aggs)
+
+
 def classify_listing(listing: DataFrame, files: DataFrame, policy: P.Policy | None, as_of_year: int,
-                     order_col: str | None = None) -> DataFrame:
-    """JOIN-8 + PRJ-1 + JOIN-3: one row per listing entry with
+                     order_col: str | None = None, collapse: bool = True) -> DataFrame:
+    """JOIN-8 + PRJ-1 + JOIN-3: one row per listing entry (or per group of exact copies, with a
+    ``copies`` count, when ``collapse``) with
 
     filename (upper), p.* (parsed name), kind (new / changed / unchanged / unparsed / other),
     existing_id, prev_status and allowed (NULL unless parsed).
     """
+    if collapse:
+        listing = collapse_copies(listing, order_col)
+    elif "copies" not in listing.columns:
+        listing = listing.withColumn("copies", F.lit(1).cast("long"))
     l = listing.withColumn("filename", F.upper("name")).withColumn("is_data", N.has_data_extension("name"))
     l = N.with_parsed_name(l, "name", as_of_year, "p")
     snap = snapshot(files).select(
@@ -97,10 +117,15 @@ def classify_listing(listing: DataFrame, files: DataFrame, policy: P.Policy | No
     return out.withColumn("allowed", F.when(parsed, F.col("allowed"))).drop("_pc", "_ps", "_py", "_pm")
 
 
+def _weighted(cond: Column) -> Column:
+    """Entries (copies included) satisfying ``cond``."""
+    return F.coalesce(F.sum(F.when(cond, F.col("copies"))), F.lit(0)).cast("long")
+
+
 def diff_counts(classified: DataFrame) -> DataFrame:
     """Counts of each kind over all entries (one row)."""
     k = F.col("kind")
-    return classified.agg(*[F.count_if(k == x).alias(x) for x in KINDS])
+    return classified.agg(*[_weighted(k == x).alias(x) for x in KINDS])
 
 
 # ----------------------------------------------------------------------------- upsert (JOIN-9)
@@ -120,23 +145,21 @@ def conform_files(files: DataFrame) -> DataFrame:
 def upsert_rows(classified: DataFrame, root_path: str | Column, order_col: str | None = None) -> DataFrame:
     """PRJ-3: upsert rows for new and changed entries; duplicate names keep the last listed one."""
     src = classified.where(F.col("kind").isin("new", "changed"))
-    if order_col:
-        w = Window.partitionBy("filename").orderBy(F.col(order_col).desc())
-        src = src.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    else:
-        src = src.dropDuplicates(["filename"])
     root = root_path if isinstance(root_path, Column) else F.lit(root_path)
-    return src.select(
-        "filename",
+    row = F.struct(
         F.col("p.catalog").alias("catalog"), F.col("p.state").alias("state"),
         F.col("p.year").alias("year"), F.col("p.month").alias("month"),
         F.col("p.segment").alias("segment"),
-        "ftp_dir", F.col("remote_path").alias("ftp_path"),
+        F.col("ftp_dir").alias("ftp_dir"), F.col("remote_path").alias("ftp_path"),
         F.col("size").cast("long").alias("size_bytes"),
         F.lit(None).cast("string").alias("remote_checksum"),
         F.col("mod_time").cast("timestamp").alias("remote_timestamp"),
         root.alias("root_path"),
     )
+    # last listed wins: max_by is a partial aggregate, so a name listed many times is reduced
+    # in every map task before the shuffle (a per-name window would put all copies in one task)
+    order = F.struct(F.col(order_col), F.col("remote_path")) if order_col else F.struct(F.col("remote_path"), F.col("size"))
+    return src.groupBy("filename").agg(F.max_by(row, order).alias("_r")).select("filename", "_r.*")
 
 
 def upsert_files(files: DataFrame, rows: DataFrame, as_of) -> DataFrame:
@@ -298,11 +321,11 @@ def scan_summary(classified: DataFrame, planned: DataFrame | None = None, count_
     parsed = k.isin("new", "changed", "unchanged")
     found = parsed if count_mode == "batch" else k != "other"
     aggs = [
-        F.count_if(found).alias("found"),
-        F.count_if(k == "new").alias("new"),
-        F.count_if(k == "changed").alias("changed"),
-        F.count_if(k.isin("unparsed", "unchanged")).alias("skipped"),
-        F.count_if(parsed & ~F.col("allowed")).alias("skipped_by_policy"),
+        _weighted(found).alias("found"),
+        _weighted(k == "new").alias("new"),
+        _weighted(k == "changed").alias("changed"),
+        _weighted(k.isin("unparsed", "unchanged")).alias("skipped"),
+        _weighted(parsed & ~F.col("allowed")).alias("skipped_by_policy"),
     ]
     out = classified.groupBy("ftp_dir").agg(*aggs)
     if planned is not None:
@@ -322,7 +345,7 @@ def policy_skips(classified: DataFrame, source: str = "scanner_batch") -> DataFr
     parsed = F.col("kind").isin("new", "changed", "unchanged")
     return classified.where(parsed & ~F.col("allowed")).groupBy(
         F.col("p.state").alias("state"), F.lit(source).alias("source")
-    ).agg(F.count(F.lit(1)).alias("skips"))
+    ).agg(F.sum("copies").cast("long").alias("skips"))
 
 
 # ------------------------------------------------------------------------ full merge (UPD-14)

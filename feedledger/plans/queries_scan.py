@@ -85,7 +85,8 @@ SELECT seq, filename, kind, existing_id, CASE WHEN kind = 'new' THEN 'pending' E
          AND (CASE WHEN kind = 'new' THEN 'pending' ELSE s_status END) IN ('pending','downloaded','csv_ready') AS to_ignore
 FROM k""", SCAN_VIEWS)
 def _classified_q(t):
-    c = _classified(t)
+    # an entry-level report: keep one row per listed entry (no collapsing of exact copies)
+    c = SC.classify_listing(t.listing, t.files, P.Policy.from_tables(t), AS_OF_YEAR, order_col="seq", collapse=False)
     parsed = F.col("kind").isin("new", "changed", "unchanged")
     return c.select("seq", "filename", "kind", "existing_id", "prev_status", "allowed",
                     (parsed & ~F.col("allowed") & SC.should_move_to_ignored("prev_status")).alias("to_ignore"))

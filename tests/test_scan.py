@@ -84,10 +84,15 @@ def test_upsert_is_new_and_update(spark):
 
 def test_duplicate_names_last_wins(spark):
     files, _, _ = _empty(spark)
-    l = _listing(spark, [("RDSP2401.dbc", 10, T0), ("rdsp2401.DBC", 20, T0)])
-    c = SC.classify_listing(l, files, None, 2026)
+    l = _listing(spark, [("RDSP2401.dbc", 10, T0), ("rdsp2401.DBC", 20, T0), ("RDSP2401.dbc", 10, T0)])
+    c = SC.classify_listing(l, files, None, 2026, order_col="seq")
     up = SC.upsert_files(files, SC.upsert_rows(c, "/data", "seq"), AS_OF)
-    assert [r["size_bytes"] for r in up.collect()] == [20]
+    assert [r["size_bytes"] for r in up.collect()] == [10]  # the third (last) entry wins
+    # exact copies are collapsed before the diff but still counted
+    assert SC.diff_counts(c).first()["new"] == 3
+    l2 = _listing(spark, [("RDSP2401.dbc", 10, T0), ("rdsp2401.DBC", 20, T0)])
+    c2 = SC.classify_listing(l2, files, None, 2026, order_col="seq")
+    assert [r["size_bytes"] for r in SC.upsert_files(files, SC.upsert_rows(c2, "/data", "seq"), AS_OF).collect()] == [20]
 
 
 def test_segments_filters(spark):
