@@ -43,44 +43,66 @@ RECORD_BATCH = 65536
 
 
 
-def _decode_iter(batches, encoding: str):
+def _decode_iter(batches, encoding: str, record_batch: int = RECORD_BATCH, chunk: int = 1 << 20):
     import pandas as pd
 
     cols = ["path", "kind", "sig", "meta", "rec_index", "rec", "error", "decode_ms", "n_records"]
     for pdf in batches:
         for path in pdf["path"]:
             t0 = time.perf_counter()
+            sig = None
+            done = 0
             try:
                 data = _read_bytes(path)
                 h = dbc.parse_header(data, encoding)
-                body = dbc.explode(data, h.header_len + 4)
-                n = min(h.n_records, len(body) // h.record_len) if h.n_records else len(body) // h.record_len
                 sig = h.signature()
-                for start in range(0, n, RECORD_BATCH):
-                    stop = min(n, start + RECORD_BATCH)
-                    recs = [body[i * h.record_len:(i + 1) * h.record_len] for i in range(start, stop)]
-                    yield pd.DataFrame({
+                size = h.record_len
+                limit = h.n_records if h.n_records else None
+                pending = bytearray()
+                batch: list[bytes] = []
+
+                def flush(recs, first):
+                    return pd.DataFrame({
                         "path": path, "kind": "record", "sig": sig, "meta": None,
-                        "rec_index": range(start, stop), "rec": recs, "error": None,
+                        "rec_index": range(first, first + len(recs)), "rec": recs, "error": None,
                         "decode_ms": None, "n_records": None,
                     }, columns=cols)
+
+                # decompress incrementally and cut records from a bounded buffer
+                for piece in dbc.explode_chunks(data, h.header_len + 4, chunk):
+                    pending += piece
+                    whole = len(pending) // size
+                    if limit is not None:
+                        whole = min(whole, limit - done - len(batch))
+                    if whole > 0:
+                        batch.extend(bytes(pending[i * size:(i + 1) * size]) for i in range(whole))
+                        del pending[:whole * size]
+                    if len(batch) >= record_batch:
+                        yield flush(batch, done)
+                        done += len(batch)
+                        batch = []
+                    if limit is not None and done + len(batch) >= limit:
+                        break
+                if batch:
+                    yield flush(batch, done)
+                    done += len(batch)
                 ms = (time.perf_counter() - t0) * 1000.0
-                yield pd.DataFrame([[path, "file", sig, h.fields_json(), None, None, None, ms, n]], columns=cols)
+                yield pd.DataFrame([[path, "file", sig, h.fields_json(), None, None, None, ms, done]], columns=cols)
             except Exception as e:  # noqa: BLE001 -- one bad file must not fail the others
                 ms = (time.perf_counter() - t0) * 1000.0
-                yield pd.DataFrame([[path, "file", None, None, None, None, f"{type(e).__name__}: {e}", ms, 0]],
+                yield pd.DataFrame([[path, "file", sig, None, None, None, f"{type(e).__name__}: {e}", ms, 0]],
                                    columns=cols)
 
 
 def decode_files(paths: DataFrame, encoding: str = "iso-8859-1", tasks: int | None = None,
-                 path_col: str = "path") -> DataFrame:
+                 path_col: str = "path", record_batch: int = RECORD_BATCH, chunk: int = 1 << 20) -> DataFrame:
     """SRC-4 steps 2-4: decoded records + one status row per file, checkpointed."""
     spark = paths.sparkSession
     ensure_checkpoint_dir(spark)
     p = paths.select(F.col(path_col).alias("path")).distinct()
     n = tasks or max(1, spark.sparkContext.defaultParallelism * 2)
     spread = p.repartition(n)
-    decoded = spread.mapInPandas(lambda it: _decode_iter(it, encoding), DECODED_SCHEMA)
+    decoded = spread.mapInPandas(lambda it: _decode_iter(it, encoding, record_batch, chunk), DECODED_SCHEMA)
     return decoded.checkpoint(eager=True)
 
 
@@ -164,18 +186,21 @@ class ConversionResult:
 
 def convert(paths: DataFrame, tsv_root: str | None = None, parquet_root: str | None = None,
             encoding: str = "iso-8859-1", keep_deleted: bool = False, as_of_year: int = 2026,
-            tasks: int | None = None, path_col: str = "path") -> ConversionResult:
+            tasks: int | None = None, path_col: str = "path", decode_opts: dict | None = None) -> ConversionResult:
     """JOB-1 / JOB-2: convert every listed file; write TSV and/or Parquet when roots are given.
 
     Outcome rows carry path, file, layout signature, records, error, decode time and rows/s.
     """
-    decoded = decode_files(paths, encoding, tasks, path_col)
+    decoded = decode_files(paths, encoding, tasks, path_col, **(decode_opts or {}))
     status = decoded.where(F.col("kind") == "file")
     layouts = [(r["sig"], json.loads(r["meta"])) for r in
                status.where(F.col("error").isNull()).select("sig", "meta").distinct().collect()]
     tables = {}
     for sig, fields in layouts:
-        recs = decoded.where((F.col("kind") == "record") & (F.col("sig") == sig))
+        # records of a file that failed part-way are dropped with the file (semi join on the
+        # status rows of the files that decoded cleanly: one small row per file)
+        ok_files = status.where(F.col("error").isNull() & (F.col("sig") == sig)).select("path")
+        recs = decoded.where((F.col("kind") == "record") & (F.col("sig") == sig)).join(ok_files, "path", "left_semi")
         if not keep_deleted:
             recs = recs.where(F.substring("rec", 1, 1) != F.unhex(F.lit("2A")))
         raw_names = [f[0] for f in fields]

@@ -138,8 +138,17 @@ def _tables():
     return _LIT, _LEN, _DIST
 
 
+WINDOW = 4096  # the largest back-reference distance of the format
+
+
 def explode(data: bytes, start: int = 0) -> bytes:
     """Decompress a DCL-imploded stream starting at ``data[start]``."""
+    return b"".join(explode_chunks(data, start))
+
+
+def explode_chunks(data: bytes, start: int = 0, chunk: int = 1 << 20):
+    """Decompress incrementally: yield output in pieces of about ``chunk`` bytes, keeping only the
+    last ``WINDOW`` bytes for back-references, so memory does not grow with the output."""
     lit_t, len_t, dist_t = _tables()
     if len(data) - start < 2:
         raise ValueError("compressed body too short")
@@ -154,6 +163,7 @@ def explode(data: bytes, start: int = 0) -> bytes:
     buf = 0
     cnt = 0
     out = bytearray()
+    emitted = 0  # bytes already yielded (their last WINDOW bytes stay in ``out``)
 
     def need(n):
         nonlocal buf, cnt, pos
@@ -170,6 +180,11 @@ def explode(data: bytes, start: int = 0) -> bytes:
     len_sym, len_len = len_t.sym, len_t.len
     dist_sym, dist_len = dist_t.sym, dist_t.len
     while True:
+        if len(out) >= chunk + WINDOW:
+            cut = len(out) - WINDOW
+            yield bytes(out[:cut])
+            emitted += cut
+            del out[:cut]
         need(1)
         flag = buf & 1
         buf >>= 1
@@ -221,7 +236,8 @@ def explode(data: bytes, start: int = 0) -> bytes:
                 out.append(buf & 0xFF)
                 buf >>= 8
                 cnt -= 8
-    return bytes(out)
+    if out:
+        yield bytes(out)
 
 
 # --------------------------------------------------------------- DCL implode (fixtures only)

@@ -90,3 +90,22 @@ def test_deleted_records_and_types(spark, tmp_dir):
 def test_column_normalisation():
     assert CV.normalize_columns(["a", "a", "a_1", "", "b-c", "ç"]) == ["a", "a_1", "a_1_1", "column", "b_c", "_"]
     assert len(set(CV.normalize_columns(["x", "x", "x_1", "x_1"]))) == 4
+
+
+def test_truncated_file_drops_its_records(spark, tmp_dir, monkeypatch):
+    os.makedirs(f"{tmp_dir}/in")
+    good = f"{tmp_dir}/in/SPAC2401.dbc"
+    cut = f"{tmp_dir}/in/SPAC2402.dbc"
+    fields = [("NAME", "C", 8)]
+    _write(good, dbc.build_dbc(fields, [[f"{i:08d}"] for i in range(3000)]))
+    raw = dbc.build_dbc(fields, [[f"{i:08d}"] for i in range(3000)])
+    _write(cut, raw[: len(raw) - 40])
+    # small batches and chunks: records of the cut file are emitted before it fails
+    res = CV.convert(spark.createDataFrame([(good,), (cut,)], "path string"), tasks=2,
+                     decode_opts={"record_batch": 500, "chunk": 2000})
+    decoded_cut = CV.decode_files(spark.createDataFrame([(cut,)], "path string"), tasks=1, record_batch=500, chunk=2000)
+    assert decoded_cut.where("kind = 'record'").count() > 0  # partial output existed
+    oc = {r["file"]: r for r in res.outcomes.collect()}
+    assert oc["SPAC2401"]["ok"] and not oc["SPAC2402"]["ok"]
+    t = list(res.tables.values())[0]
+    assert t.count() == 3000 and t.select("file").distinct().count() == 1
