@@ -77,7 +77,7 @@ def due_jobs(queue: DataFrame, as_of, per_stage: int = 1) -> DataFrame:
     """
     due = queue.where((F.col("status") == "pending") & (F.col("available_at") <= S.ts_lit(as_of)))
     w = Window.partitionBy("stage").orderBy(F.col("available_at").asc(), F.col("id").asc())
-    return due.withColumn("claim_rank", F.row_number().over(w)).where(F.col("claim_rank") <= per_stage)
+    return due.withColumn("claim_rank", F.row_number().over(w).cast("long")).where(F.col("claim_rank") <= per_stage)
 
 
 def is_stuck(as_of, timeout_seconds: int = S.STUCK_TIMEOUT_SECONDS) -> Column:

@@ -93,7 +93,7 @@ def _convert_admitted(t):
 
 
 @register("local_sync_counters", "UPD-13,AGG-31,JOIN-14,SNK-3", f"""
-SELECT count(DISTINCT {LANDING_NAME_SQL}) AS found, count(DISTINCT {LANDING_NAME_SQL}) AS mapped, 0 AS ignored,
+SELECT count(DISTINCT {LANDING_NAME_SQL}) AS found, count(DISTINCT {LANDING_NAME_SQL}) AS mapped, CAST(0 AS BIGINT) AS ignored,
        count(DISTINCT {LANDING_NAME_SQL}) AS completed FROM orders""", ("orders",))
 def _local_sync(t):
     base = _landing(t, "sync")
@@ -118,7 +118,7 @@ def _local_sync_status(t):
 
 @register("compare_tsv_parquet", "AGG-30", """
 WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS k, o_orderstatus AS s, trim(o_orderpriority) AS p FROM orders)
-SELECT 'O_ORDERKEY' AS "column", count(*) AS rows_a, count(*) AS rows_b, 0 AS only_in_a, 0 AS only_in_b,
+SELECT 'O_ORDERKEY' AS "column", count(*) AS rows_a, count(*) AS rows_b, CAST(0 AS BIGINT) AS only_in_a, CAST(0 AS BIGINT) AS only_in_b,
        count(DISTINCT k) AS distinct_a, count(DISTINCT k) AS distinct_b FROM o
 UNION ALL SELECT 'O_STATUS', count(*), count(*), 0, 0, count(DISTINCT s), count(DISTINCT s) FROM o
 UNION ALL SELECT 'O_PRIORITY', count(*), count(*), 0, 0, count(DISTINCT p), count(DISTINCT p) FROM o""", ("orders",))

@@ -90,7 +90,7 @@ def _compact(t):
 WITH ys AS (SELECT year FROM policy_years),
 ms AS (SELECT year, month FROM policy_months),
 other AS (SELECT 1997 AS year, m AS month FROM range(1, 13) t(m) WHERE m <> 5 AND 1997 IN (SELECT year FROM ys))
-SELECT 'year' AS kind, year, CAST(NULL AS BIGINT) AS month FROM ys WHERE year <> 1997
+SELECT 'year' AS kind, CAST(year AS BIGINT) AS year, CAST(NULL AS BIGINT) AS month FROM ys WHERE year <> 1997
 UNION ALL SELECT DISTINCT 'month', year, month FROM (SELECT * FROM ms WHERE NOT (year = 1997 AND month = 5) UNION ALL SELECT * FROM other)""")
 def _remove_month(t):
     years, months = SEL.remove_month(t.policy_years, t.policy_months, 1997, 5)

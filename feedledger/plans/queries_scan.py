@@ -244,7 +244,7 @@ WITH b AS (SELECT upper(trim(catalog)) AS key, CAST(coalesce(sum(size_bytes), 0)
 i AS (SELECT greatest(t, 0) AS s, row_number() OVER (ORDER BY greatest(t, 0)) - 1 AS i, count(*) OVER () AS n FROM b),
 bins AS (SELECT DISTINCT n, unnest(range(0, 6)) AS bin FROM i),
 bb AS (SELECT bin, CAST(floor(bin * n / 6) AS INTEGER) AS lo_i, CAST(least(n - 1, ceil((bin + 1) * n / 6) - 1) AS INTEGER) AS hi_i FROM bins)
-SELECT bb.bin, lo.s AS lo, hi.s AS hi FROM bb JOIN i lo ON lo.i = bb.lo_i JOIN i hi ON hi.i = bb.hi_i""")
+SELECT CAST(bb.bin AS INTEGER) AS bin, lo.s AS lo, hi.s AS hi FROM bb JOIN i lo ON lo.i = bb.lo_i JOIN i hi ON hi.i = bb.hi_i""")
 def _bins(t):
     return I.sextile_bins(C.size_by_catalog(t.files))
 
