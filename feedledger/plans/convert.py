@@ -35,9 +35,10 @@ from ..sources import dbc
 from ..sources.fsio import read_bytes as _read_bytes
 
 DECODED_SCHEMA = (
-    "path string, kind string, sig string, meta string, rec_index long, rec binary, "
-    "error string, decode_ms double, n_records long"
+    "path string, catalog string, state string, year string, month string, file string, "
+    "kind string, sig string, meta string, rec_index long, rec binary, error string, decode_ms double, n_records long"
 )
+PART_COLS = ["catalog", "state", "year", "month", "file"]
 RECORD_BATCH = 65536
 
 
@@ -46,9 +47,11 @@ RECORD_BATCH = 65536
 def _decode_iter(batches, encoding: str, record_batch: int = RECORD_BATCH, chunk: int = 1 << 20):
     import pandas as pd
 
-    cols = ["path", "kind", "sig", "meta", "rec_index", "rec", "error", "decode_ms", "n_records"]
+    cols = ["path", *PART_COLS, "kind", "sig", "meta", "rec_index", "rec", "error", "decode_ms", "n_records"]
     for pdf in batches:
-        for path in pdf["path"]:
+        for row in pdf.itertuples(index=False):
+            path = row.path
+            parts = {c: getattr(row, c) for c in PART_COLS}  # parsed once per file, in Catalyst
             t0 = time.perf_counter()
             sig = None
             done = 0
@@ -63,7 +66,7 @@ def _decode_iter(batches, encoding: str, record_batch: int = RECORD_BATCH, chunk
 
                 def flush(recs, first):
                     return pd.DataFrame({
-                        "path": path, "kind": "record", "sig": sig, "meta": None,
+                        "path": path, **parts, "kind": "record", "sig": sig, "meta": None,
                         "rec_index": range(first, first + len(recs)), "rec": recs, "error": None,
                         "decode_ms": None, "n_records": None,
                     }, columns=cols)
@@ -87,19 +90,22 @@ def _decode_iter(batches, encoding: str, record_batch: int = RECORD_BATCH, chunk
                     yield flush(batch, done)
                     done += len(batch)
                 ms = (time.perf_counter() - t0) * 1000.0
-                yield pd.DataFrame([[path, "file", sig, h.fields_json(), None, None, None, ms, done]], columns=cols)
+                yield pd.DataFrame([[path, *parts.values(), "file", sig, h.fields_json(), None, None, None, ms, done]],
+                                   columns=cols)
             except Exception as e:  # noqa: BLE001 -- one bad file must not fail the others
                 ms = (time.perf_counter() - t0) * 1000.0
-                yield pd.DataFrame([[path, "file", sig, None, None, None, f"{type(e).__name__}: {e}", ms, 0]],
+                yield pd.DataFrame([[path, *parts.values(), "file", sig, None, None, None, f"{type(e).__name__}: {e}", ms, 0]],
                                    columns=cols)
 
 
 def decode_files(paths: DataFrame, encoding: str = "iso-8859-1", tasks: int | None = None,
-                 path_col: str = "path", record_batch: int = RECORD_BATCH, chunk: int = 1 << 20) -> DataFrame:
+                 path_col: str = "path", record_batch: int = RECORD_BATCH, chunk: int = 1 << 20,
+                 as_of_year: int = 2026) -> DataFrame:
     """SRC-4 steps 2-4: decoded records + one status row per file, checkpointed."""
     spark = paths.sparkSession
     ensure_checkpoint_dir(spark)
     p = paths.select(F.col(path_col).alias("path")).distinct()
+    p = p.select("path", *file_parts("path", as_of_year))  # one row per file: name parsing runs once per file
     n = tasks or max(1, spark.sparkContext.defaultParallelism * 2)
     spread = p.repartition(n)
     decoded = spread.mapInPandas(lambda it: _decode_iter(it, encoding, record_batch, chunk), DECODED_SCHEMA)
@@ -191,7 +197,7 @@ def convert(paths: DataFrame, tsv_root: str | None = None, parquet_root: str | N
 
     Outcome rows carry path, file, layout signature, records, error, decode time and rows/s.
     """
-    decoded = decode_files(paths, encoding, tasks, path_col, **(decode_opts or {}))
+    decoded = decode_files(paths, encoding, tasks, path_col, as_of_year=as_of_year, **(decode_opts or {}))
     status = decoded.where(F.col("kind") == "file")
     layouts = [(r["sig"], json.loads(r["meta"])) for r in
                status.where(F.col("error").isNull()).select("sig", "meta").distinct().collect()]
@@ -206,7 +212,7 @@ def convert(paths: DataFrame, tsv_root: str | None = None, parquet_root: str | N
         raw_names = [f[0] for f in fields]
         pq_names = normalize_columns(raw_names)
         tsv_names = raw_names if len(set(raw_names)) == len(raw_names) and all(raw_names) else pq_names
-        parts = file_parts("path", as_of_year)
+        parts = PART_COLS
         if parquet_root:
             out = recs.select(*parts, "rec_index", *layout_columns(fields, encoding, pq_names))
             (out.sortWithinPartitions("file", "rec_index").drop("rec_index").write.mode("overwrite")

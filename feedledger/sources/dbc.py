@@ -148,7 +148,10 @@ def explode(data: bytes, start: int = 0) -> bytes:
 
 def explode_chunks(data: bytes, start: int = 0, chunk: int = 1 << 20):
     """Decompress incrementally: yield output in pieces of about ``chunk`` bytes, keeping only the
-    last ``WINDOW`` bytes for back-references, so memory does not grow with the output."""
+    last ``WINDOW`` bytes for back-references, so memory does not grow with the output.
+
+    The bit buffer is refilled in bulk once per symbol (a symbol needs at most 30 bits), so the
+    per-symbol work is a few table lookups and shifts."""
     lit_t, len_t, dist_t = _tables()
     if len(data) - start < 2:
         raise ValueError("compressed body too short")
@@ -162,80 +165,73 @@ def explode_chunks(data: bytes, start: int = 0, chunk: int = 1 << 20):
     end = len(data)
     buf = 0
     cnt = 0
+    pad = 0  # zero bits appended past the end of the input
     out = bytearray()
-    emitted = 0  # bytes already yielded (their last WINDOW bytes stay in ``out``)
-
-    def need(n):
-        nonlocal buf, cnt, pos
-        while cnt < n:
-            if pos < end:
-                buf |= data[pos] << cnt
-                pos += 1
-            elif cnt == 0 or n > cnt + 16:
-                raise ValueError("compressed body ends early")
-            cnt += 8  # zero padding past the end; only valid if the end code follows
-
-    lit_bits, len_bits, dist_bits = lit_t.bits, len_t.bits, dist_t.bits
+    len_mask, dist_mask, lit_mask = (1 << len_t.bits) - 1, (1 << dist_t.bits) - 1, (1 << lit_t.bits) - 1
     lit_sym, lit_len = lit_t.sym, lit_t.len
     len_sym, len_len = len_t.sym, len_t.len
     dist_sym, dist_len = dist_t.sym, dist_t.len
+    low_mask = (1 << dict_bits) - 1
+    from_bytes = int.from_bytes
     while True:
+        if cnt < 32:
+            take = (64 - cnt) >> 3
+            piece = data[pos:pos + take]
+            pos += len(piece)
+            buf |= from_bytes(piece, "little") << cnt
+            cnt += 8 * take
+            pad += 8 * (take - len(piece))
+        if cnt <= pad:
+            raise ValueError("compressed body ends early")
         if len(out) >= chunk + WINDOW:
             cut = len(out) - WINDOW
             yield bytes(out[:cut])
-            emitted += cut
             del out[:cut]
-        need(1)
-        flag = buf & 1
-        buf >>= 1
-        cnt -= 1
-        if flag:
-            need(len_bits)
-            idx = buf & ((1 << len_bits) - 1)
-            s, l = len_sym[idx], len_len[idx]
-            buf >>= l
-            cnt -= l
-            e = LENGTH_EXTRA[s]
-            length = LENGTH_BASE[s]
-            if e:
-                need(e)
-                length += buf & ((1 << e) - 1)
-                buf >>= e
-                cnt -= e
-            if length == END_LENGTH:
-                break
-            need(dist_bits)
-            idx = buf & ((1 << dist_bits) - 1)
-            ds, dl = dist_sym[idx], dist_len[idx]
-            buf >>= dl
-            cnt -= dl
-            low = 2 if length == 2 else dict_bits
-            need(low)
-            dist = ((ds << low) | (buf & ((1 << low) - 1))) + 1
-            buf >>= low
-            cnt -= low
-            n = len(out)
-            if dist > n:
-                raise ValueError("distance too far back")
-            src = n - dist
-            if dist >= length:
-                out += out[src:src + length]
-            else:
-                for i in range(length):
-                    out.append(out[src + i])
-        else:
+        if not buf & 1:
             if coded:
-                need(lit_bits)
-                idx = buf & ((1 << lit_bits) - 1)
+                idx = (buf >> 1) & lit_mask
                 out.append(lit_sym[idx])
-                l = lit_len[idx]
-                buf >>= l
-                cnt -= l
+                used = 1 + lit_len[idx]
             else:
-                need(8)
-                out.append(buf & 0xFF)
-                buf >>= 8
-                cnt -= 8
+                out.append((buf >> 1) & 0xFF)
+                used = 9
+            buf >>= used
+            cnt -= used
+            continue
+        buf >>= 1
+        idx = buf & len_mask
+        sym = len_sym[idx]
+        used = len_len[idx]
+        buf >>= used
+        e = LENGTH_EXTRA[sym]
+        length = LENGTH_BASE[sym] + (buf & ((1 << e) - 1))
+        buf >>= e
+        cnt -= 1 + used + e
+        if length == END_LENGTH:
+            if cnt < pad:
+                raise ValueError("compressed body ends early")
+            break
+        idx = buf & dist_mask
+        ds = dist_sym[idx]
+        used = dist_len[idx]
+        buf >>= used
+        if length == 2:
+            dist = ((ds << 2) | (buf & 3)) + 1
+            buf >>= 2
+            cnt -= used + 2
+        else:
+            dist = ((ds << dict_bits) | (buf & low_mask)) + 1
+            buf >>= dict_bits
+            cnt -= used + dict_bits
+        n = len(out)
+        if dist > n:
+            raise ValueError("distance too far back")
+        src = n - dist
+        if dist >= length:
+            out += out[src:src + length]
+        else:
+            for i in range(length):
+                out.append(out[src + i])
     if out:
         yield bytes(out)
 
@@ -267,11 +263,29 @@ class _BitWriter:
         return bytes(self.out)
 
 
-def implode(data: bytes, dict_bits: int = 6, matches: bool = True) -> bytes:
-    """Minimal DCL encoder (uncoded literals, greedy matches) used to build test fixtures."""
-    _, len_t, dist_t = _tables()
+def _implode_literals(data: bytes, dict_bits: int) -> bytes:
+    """Literal-only stream, built with numpy: each byte becomes a 0 flag bit plus its 8 bits."""
+    import numpy as np
+
+    _, len_t, _ = _tables()
+    arr = np.frombuffer(data, dtype=np.uint8)
+    bits = np.zeros((len(arr), 9), dtype=np.uint8)
+    bits[:, 1:] = np.unpackbits(arr[:, None], axis=1, bitorder="little")
     w = _BitWriter()
-    out = bytearray([0, dict_bits])
+    code, length = len_t.codes[15]
+    tail = [1] + [((code >> (length - 1 - i)) & 1) ^ 1 for i in range(length)] + [1] * 8  # end code: 264 + 255
+    stream = np.concatenate([bits.reshape(-1), np.array(tail, dtype=np.uint8)])
+    return bytes([0, dict_bits]) + np.packbits(stream, bitorder="little").tobytes()
+
+
+def implode(data: bytes, dict_bits: int = 6, matches: bool = True, coded: bool = False) -> bytes:
+    """Minimal DCL encoder used to build fixtures: greedy matches, literals uncoded or coded with
+    the format's literal table; ``matches=False, coded=False`` takes a vectorised fast path."""
+    if not matches and not coded:
+        return _implode_literals(data, dict_bits)
+    lit_t, len_t, dist_t = _tables()
+    w = _BitWriter()
+    out = bytearray([1 if coded else 0, dict_bits])
     window = 1 << (dict_bits + 6)
     last: dict[bytes, int] = {}
     i = 0
@@ -311,7 +325,10 @@ def implode(data: bytes, dict_bits: int = 6, matches: bool = True) -> bytes:
             if i + 3 <= n:
                 last[data[i:i + 3]] = i
             w.bits(0, 1)
-            w.bits(data[i], 8)
+            if coded:
+                w.code(*lit_t.codes[data[i]])
+            else:
+                w.bits(data[i], 8)
             i += 1
     put_length(END_LENGTH)
     return bytes(out) + w.done()
@@ -343,8 +360,8 @@ def build_dbf(fields: list[tuple[str, str, int]], records: list[list[str]], enco
 
 
 def build_dbc(fields: list[tuple[str, str, int]], records: list[list[str]], encoding: str = "iso-8859-1",
-              deleted: set[int] | None = None, dict_bits: int = 6) -> bytes:
+              deleted: set[int] | None = None, dict_bits: int = 6, matches: bool = True, coded: bool = False) -> bytes:
     """Compressed file bytes: header, 4 filler bytes, imploded records (fixtures)."""
     dbf = build_dbf(fields, records, encoding, deleted)
     header_len = struct.unpack_from("<H", dbf, 8)[0]
-    return dbf[:header_len] + b"\x00\x00\x00\x00" + implode(dbf[header_len:], dict_bits)
+    return dbf[:header_len] + b"\x00\x00\x00\x00" + implode(dbf[header_len:], dict_bits, matches, coded)

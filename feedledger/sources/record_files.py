@@ -27,9 +27,11 @@ def field_source(c: Column, ftype: str, decimals: int = 0) -> Column:
 
 
 def write_record_files(df: DataFrame, out_dir: str, name: Column, order: Column,
-                       fields: list[tuple[str, Column, str, int, int]], encoding: str = "iso-8859-1") -> DataFrame:
+                       fields: list[tuple[str, Column, str, int, int]], encoding: str = "iso-8859-1",
+                       matches: bool = False) -> DataFrame:
     """Write one compressed file per distinct ``name``; ``fields`` are (field name, column, type,
-    length, decimals). Returns (path, records, bytes) per file."""
+    length, decimals). Returns (path, records, bytes) per file. ``matches=False`` writes literal-only
+    streams with a vectorised encoder (fast fixtures); ``True`` searches back-references."""
     layout = [(f[0], f[2], f[3]) for f in fields]
     text = df.select(name.alias("_name"), order.alias("_order"),
                      *[F.coalesce(field_source(c, t, d), F.lit("")).alias(f"_f{i}") for i, (_, c, t, _l, d) in enumerate(fields)])
@@ -46,7 +48,7 @@ def write_record_files(df: DataFrame, out_dir: str, name: Column, order: Column,
             for (fn, ft, ln), v in zip(layout, vals):
                 row.append(v.rjust(ln) if ft == "N" else v)
             rows.append(row)
-        data = dbc.build_dbc(layout, rows, encoding)
+        data = dbc.build_dbc(layout, rows, encoding, matches=matches)
         path = f"{root}/{fname}"
         _write_bytes(path, data)
         return pd.DataFrame({"path": [path], "records": [len(rows)], "bytes": [len(data)]})

@@ -109,3 +109,14 @@ def test_truncated_file_drops_its_records(spark, tmp_dir, monkeypatch):
     assert oc["SPAC2401"]["ok"] and not oc["SPAC2402"]["ok"]
     t = list(res.tables.values())[0]
     assert t.count() == 3000 and t.select("file").distinct().count() == 1
+
+
+def test_dcl_modes():
+    data = b"".join(f"{i:08d}ABC  {i % 7}".encode() for i in range(2000))
+    for matches in (True, False):
+        for coded in (True, False):
+            z = dbc.implode(data, 5, matches=matches, coded=coded)
+            assert z[0] == (1 if coded else 0)
+            assert dbc.explode(z) == data
+    with pytest.raises(ValueError):
+        dbc.explode(dbc.implode(data, 6)[:-20])
