@@ -89,12 +89,15 @@ def invalid_selections(keys: DataFrame, as_of_year: int) -> DataFrame:
 def build_download_jobs(keys: DataFrame, as_of_year: int) -> DataFrame:
     """SET-5: expand valid keys into (catalog, year, month, key) jobs, unique on key."""
     c = classify_keys(keys, as_of_year).where(F.col("reason").isNull())
-    whole = c.where(F.col("level") == "catalog").select(
-        "catalog", F.explode(year_range(as_of_year)).alias("year")).select(
-        "catalog", "year", F.explode(months()).alias("month"))
-    years = c.where(F.col("level") == "year").select("catalog", "year", F.explode(months()).alias("month"))
-    single = c.where(F.col("level") == "month").select("catalog", "year", "month")
-    jobs = whole.unionByName(years).unionByName(single)
+    # one generator per key row (no union of three passes): the (year, month) pairs it selects
+    ym = lambda y, m: F.struct(y.cast("int").alias("year"), m.cast("int").alias("month"))
+    periods = (
+        F.when(F.col("level") == "catalog",
+               F.flatten(F.transform(year_range(as_of_year), lambda y: F.transform(months(), lambda m: ym(y, m)))))
+        .when(F.col("level") == "year", F.transform(months(), lambda m: ym(F.col("year"), m)))
+        .otherwise(F.array(ym(F.col("year"), F.col("month"))))
+    )
+    jobs = c.select("catalog", F.explode(periods).alias("p")).select("catalog", "p.year", "p.month")
     return jobs.withColumn("key", month_key("catalog", "year", "month")).dropDuplicates(["key"])
 
 
