@@ -95,8 +95,12 @@ def period_label(year: str | Column, month: str | Column) -> Column:
 
 
 def rfc3339(ts: str | Column) -> Column:
-    """DATE-5: RFC 3339 text of a UTC timestamp."""
-    return F.date_format(S.as_ts(col_of(ts)), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    """DATE-5: RFC 3339 text of a UTC timestamp as JSON encoders write it: seconds, then a
+    fraction only when it is non-zero (trailing zeros dropped), then 'Z'."""
+    t = S.as_ts(col_of(ts))
+    frac = F.regexp_replace(F.date_format(t, "SSSSSS"), "0+$", "")
+    return F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"),
+                    F.when(frac != "", F.concat(F.lit("."), frac)).otherwise(F.lit("")), F.lit("Z"))
 
 
 def level_label(level: str | Column) -> Column:

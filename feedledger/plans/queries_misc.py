@@ -201,7 +201,9 @@ def _json_filters(t):
 
 
 @register("rfc3339_times", "DATE-5", """
-SELECT id, strftime(created_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS created FROM stage_events""")
+SELECT id, strftime(created_at, '%Y-%m-%dT%H:%M:%S')
+       || CASE WHEN rtrim(strftime(created_at, '%f'), '0') <> '' THEN '.' || rtrim(strftime(created_at, '%f'), '0') ELSE '' END
+       || 'Z' AS created FROM stage_events""")
 def _rfc3339(t):
     return t.stage_events.select("id", TX.rfc3339("created_at").alias("created"))
 

@@ -100,3 +100,9 @@ def test_number_to_text(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     got = [r[0] for r in df.select(TX.number_to_text("v")).collect()]
     assert got == ["10000000", "12345678.5", "0.0001", "-3", "0.1", "1000000000000000", "10000000000000000000", "", "31"]
+
+
+def test_rfc3339(spark):
+    df = spark.createDataFrame([("2026-04-28 13:14:15",), ("2026-04-28 13:14:15.5",), ("2026-04-28 13:14:15.000123",)], "s string")
+    got = [r[0] for r in df.select(TX.rfc3339(F.col("s").cast("timestamp"))).collect()]
+    assert got == ["2026-04-28T13:14:15Z", "2026-04-28T13:14:15.5Z", "2026-04-28T13:14:15.000123Z"]
