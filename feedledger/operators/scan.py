@@ -240,22 +240,30 @@ def config_values(policy: P.Policy | None) -> dict:
     return row.asDict() if row is not None else config_values(None)
 
 
-def with_artifact_flags(files: DataFrame, artifacts: DataFrame | None, path_col: str = "path") -> DataFrame:
+def with_artifact_flags(files: DataFrame, artifacts: DataFrame | None, path_col: str = "path",
+                        key: str = "id") -> DataFrame:
     """JOIN-14: flag which recorded paths exist in an artifact listing (no per-row stat).
 
-    The listing is joined three times on the exact path; each join is an equi-join that the
-    planner may broadcast when the listing is small or shuffle otherwise.
+    The three path columns are unpivoted into (key, kind, path) rows, semi-joined once with the
+    de-duplicated listing, folded back to one row of flags per key, and joined to ``files`` by key:
+    the listing is shuffled once, not once per path column.
     """
-    out = files
-    for c in ("dbc_path", "csv_path", "parquet_path"):
-        flag = c.replace("_path", "_exists")
-        blank = F.col(c).isNull() | (F.trim(F.col(c)) == "")
-        if artifacts is None:
-            out = out.withColumn(flag, ~blank)
-            continue
-        a = artifacts.select(F.col(path_col).alias(f"_a_{c}")).distinct().withColumn(f"_h_{c}", F.lit(True))
-        out = out.join(a, out[c] == a[f"_a_{c}"], "left")
-        out = out.withColumn(flag, ~blank & F.coalesce(F.col(f"_h_{c}"), F.lit(False))).drop(f"_a_{c}", f"_h_{c}")
+    kinds = ("dbc", "csv", "parquet")
+    if artifacts is None:
+        out = files
+        for k in kinds:
+            c = F.col(f"{k}_path")
+            out = out.withColumn(f"{k}_exists", c.isNotNull() & (F.trim(c) != ""))
+        return out
+    paths = files.select(key, F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col(f"{k}_path").alias("p")) for k in kinds])).alias("_x")) \
+        .select(key, "_x.kind", "_x.p").where(F.col("p").isNotNull() & (F.trim("p") != ""))
+    listing = artifacts.select(F.col(path_col).alias("p")).distinct()
+    hits = paths.join(listing, "p", "left_semi")
+    flags = hits.groupBy(key).agg(*[F.max(F.col("kind") == k).alias(f"_h_{k}") for k in kinds])
+    out = files.join(flags, key, "left")
+    for k in kinds:
+        out = out.withColumn(f"{k}_exists", F.coalesce(F.col(f"_h_{k}"), F.lit(False))).drop(f"_h_{k}")
     return out
 
 
@@ -420,7 +428,7 @@ def local_sync(files: DataFrame, stages: DataFrame, local: DataFrame, as_of, as_
     ).dropDuplicates(["filename"])
     flags = with_artifact_flags(
         paths.select("filename", F.col("_dbc").alias("dbc_path"), F.col("_csv").alias("csv_path"),
-                     F.col("_pq").alias("parquet_path")), artifacts)
+                     F.col("_pq").alias("parquet_path")), artifacts, key="filename")
     j = up.drop("is_new").join(flags.select(
         "filename", F.col("dbc_path").alias("_dbc"), F.col("csv_path").alias("_csv"), F.col("parquet_path").alias("_pq"),
         "csv_exists", "parquet_exists", F.lit(True).alias("_local")), "filename", "left")
