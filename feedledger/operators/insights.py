@@ -83,10 +83,11 @@ def kpis(files: DataFrame) -> DataFrame:
 
 def bucket_mismatch(files: DataFrame) -> DataFrame:
     """AGG-21: sum of bucket counts minus the status total, for catalog and state buckets."""
-    total = C.status_counts(files).agg(F.sum("count").alias("total"))
-    cat = C.size_by_catalog(files).agg(F.sum("count").alias("cat"))
-    st = C.size_by_state(files).agg(F.sum("count").alias("st"))
-    row = total.crossJoin(cat).crossJoin(st)  # three one-row aggregates
+    buckets = (C.status_counts(files).select(F.lit("t").alias("_k"), "count")
+               .unionByName(C.size_by_catalog(files).select(F.lit("c").alias("_k"), "count"))
+               .unionByName(C.size_by_state(files).select(F.lit("s").alias("_k"), "count")))
+    row = buckets.agg(*[F.sum(F.when(F.col("_k") == k, F.col("count"))).alias(n)
+                        for k, n in (("t", "total"), ("c", "cat"), ("s", "st"))])
     return row.select(
         F.col("total").cast("long").alias("total_files"),
         (F.col("cat") - F.col("total")).cast("long").alias("by_catalog_total_mismatch"),
@@ -121,7 +122,6 @@ def failure_series(stages: DataFrame, bucket: str = "1 hour") -> DataFrame:
     so the unpartitioned window runs on the aggregated series only)."""
     per_hour = stages.where(F.col("status") == "failed").groupBy(
         F.window(S.as_ts("updated_at"), bucket).alias("w")).agg(F.count(F.lit(1)).alias("failures"))
-    w = Window.orderBy("w.start")
     return per_hour.select(F.col("w.start").alias("hour"), "failures").withColumn(
         "previous", F.lag("failures").over(Window.orderBy("hour"))).withColumn(
         "spike", (F.col("failures") > 2 * F.coalesce("previous", F.lit(0))) & (F.col("failures") > 10))

@@ -115,14 +115,16 @@ def denied(files: DataFrame, policy: Policy) -> DataFrame:
 
 def selection_summary(policy: Policy) -> DataFrame:
     """AGG-20: selected catalog, state and period row counts plus the completeness flag."""
-    c = policy.catalogs.agg(F.count(F.lit(1)).alias("catalog_count"))
-    s = policy.states.agg(F.count(F.lit(1)).alias("state_count"))
-    y = policy.years.agg(F.count(F.lit(1)).alias("_y"))
-    m = policy.months.agg(F.count(F.lit(1)).alias("_m"))
-    out = c.crossJoin(s).crossJoin(y).crossJoin(m)  # four one-row aggregates
-    return out.select(
-        "catalog_count", "state_count", (F.col("_y") + F.col("_m")).alias("period_count"),
-    ).withColumn(
+    tagged = (policy.catalogs.select(F.lit("c").alias("_k"))
+              .unionByName(policy.states.select(F.lit("s").alias("_k")))
+              .unionByName(policy.years.select(F.lit("p").alias("_k")))
+              .unionByName(policy.months.select(F.lit("p").alias("_k"))))
+    out = tagged.agg(  # one aggregate over the four sets, no join
+        F.count_if(F.col("_k") == "c").alias("catalog_count"),
+        F.count_if(F.col("_k") == "s").alias("state_count"),
+        F.count_if(F.col("_k") == "p").alias("period_count"),
+    )
+    return out.withColumn(
         "complete", (F.col("catalog_count") > 0) & (F.col("state_count") > 0) & (F.col("period_count") > 0)
     )
 
@@ -140,8 +142,18 @@ def processing(policy: Policy) -> DataFrame:
 
 
 def with_config(df: DataFrame, policy: Policy) -> DataFrame:
-    """JOIN-13: attach the one-row config to every row (a broadcast of exactly one row)."""
-    return df.crossJoin(F.broadcast(processing(policy)))
+    """JOIN-13: attach the one-row config to every row. The single row is read once on the
+    driver and added as literals, so the optimizer can fold the toggles into every predicate."""
+    row = processing(policy).first()
+    cfg = row.asDict() if row is not None else {
+        "enable_download": True, "enable_csv": True, "enable_parquet": True,
+        "download_dir": None, "csv_dir": None, "parquet_dir": None}
+    out = df
+    for k in ("enable_download", "enable_csv", "enable_parquet"):
+        out = out.withColumn(k, F.lit(bool(cfg[k])))
+    for k in ("download_dir", "csv_dir", "parquet_dir"):
+        out = out.withColumn(k, F.lit(cfg[k]).cast("string"))
+    return out
 
 
 def resolve_directory(configured: str | Column, fallback: str | Column) -> Column:
