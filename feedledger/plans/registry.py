@@ -45,6 +45,9 @@ def register(name: str, ops: tuple[str, ...] | str, sql: str | None = None, view
 
     def deco(fn: Callable[[FX.Tables], DataFrame]):
         def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from ..session import ship_package
+
+            ship_package(spark)
             return ntz(fn(FX.tables(spark, sf_dir)))
 
         oracle = FX.with_views(sql, views or used_views(sql)) if sql is not None else None

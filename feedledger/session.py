@@ -34,6 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -52,3 +53,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="feedledger-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``feedledger`` importable in Python workers (pandas UDF stages) on any cluster:
+    zip the package once per application and add it with ``SparkContext.addPyFile``, which
+    distributes it to every executor."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import feedledger
+
+    pkg_dir = os.path.dirname(os.path.abspath(feedledger.__file__))
+    root = os.path.dirname(pkg_dir)
+    out_dir = tempfile.mkdtemp(prefix="feedledger-pkg-")
+    zpath = os.path.join(out_dir, "feedledger.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, dirnames, filenames in os.walk(pkg_dir):
+            dirnames[:] = [d for d in dirnames if d != "__pycache__"]
+            for fn in filenames:
+                if fn.endswith(".py"):
+                    full = os.path.join(dirpath, fn)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
