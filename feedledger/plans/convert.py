@@ -272,3 +272,18 @@ def land_inventory(spark: SparkSession, landing: str | list[str], files: DataFra
         "id", "filename", "local_path", "local_hash", "local_size",
         N.canonical_path(root, "catalog", "state", "year", "month", "filename", ".dbc").alias("expected_path"),
     )
+
+
+def outcome_log_rows(outcomes: DataFrame, files: DataFrame, stage: str, as_of) -> DataFrame:
+    """JOB-1/JOB-2 logging (SNK-4): one 'completed' or 'failed' log row per converted file with
+    duration and record count in the JSON payload; files are matched to the catalog by data path."""
+    from ..operators import actions as A
+
+    keyed = outcomes.join(files.select(F.col("id").alias("file_id"), F.col("dbc_path").alias("path")), "path", "inner")
+    rows = []
+    for ok, event, message in ((True, "completed", "conversion completed"), (False, "failed", None)):
+        part = keyed.where(F.col("ok") == ok)
+        msg = F.lit(message) if message else F.col("error")
+        rows.append(A.log_rows(part, stage, event, msg, as_of,
+                               F.struct(F.col("decode_ms").alias("duration_ms"), "records", "rows_per_sec")))
+    return rows[0].unionByName(rows[1])

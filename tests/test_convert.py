@@ -120,3 +120,18 @@ def test_dcl_modes():
             assert dbc.explode(z) == data
     with pytest.raises(ValueError):
         dbc.explode(dbc.implode(data, 6)[:-20])
+
+
+def test_outcome_log_rows(spark, tmp_dir):
+    import datetime as dt
+
+    os.makedirs(f"{tmp_dir}/in")
+    good = f"{tmp_dir}/in/SPAC2401.dbc"
+    bad = f"{tmp_dir}/in/SPAC2402.dbc"
+    _write(good, dbc.build_dbc([("A", "C", 3)], [["x"], ["y"]]))
+    _write(bad, b"junk")
+    res = CV.convert(spark.createDataFrame([(good,), (bad,)], "path string"), tasks=2)
+    files = spark.createDataFrame([("f1", good), ("f2", bad)], "id string, dbc_path string")
+    logs = {r["file_id"]: r for r in CV.outcome_log_rows(res.outcomes, files, "parquet_conversion", dt.datetime(2026, 1, 1)).collect()}
+    assert logs["f1"]["event_type"] == "completed" and '"records":2' in logs["f1"]["payload_json"]
+    assert logs["f2"]["event_type"] == "failed" and logs["f2"]["message"]
