@@ -252,25 +252,41 @@ def latest_stage_state(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("event_type"),
         F.col("message").alias("message"),
         S.as_ts("created_at").alias("created_at"),
+        F.col("id").alias("id"),
     )
-    return (
-        changing.groupBy("file_id", "stage")
-        .agg(
+    return _summary_columns(
+        changing.groupBy("file_id", "stage").agg(
             F.max_by(payload, order_key).alias("last"),
             F.count_if(F.col("event_type") == "started").alias("starts"),
             F.max(F.when(F.col("event_type") == "started", S.as_ts("created_at"))).alias("last_started"),
-        )
-        .select(
-            "file_id", "stage",
-            event_status(F.col("last.event_type")).alias("status"),
-            F.col("last.event_type").alias("last_event"),
-            F.col("last.message").alias("last_message"),
-            F.col("last.created_at").alias("last_event_at"),
-            "starts", "last_started",
-        )
+        ))
+
+
+def _summary_columns(agg: DataFrame) -> DataFrame:
+    return agg.select(
+        "file_id", "stage",
+        event_status(F.col("last.event_type")).alias("status"),
+        F.col("last.event_type").alias("last_event"),
+        F.col("last.message").alias("last_message"),
+        F.col("last.created_at").alias("last_event_at"),
+        F.col("last.id").alias("last_event_id"),
+        F.col("starts").cast("long").alias("starts"), "last_started",
     )
 
 
+def merge_stage_summaries(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Combine two summaries of disjoint event sets (e.g. the running state and one micro-batch):
+    the summary is associative, so folding batch by batch equals folding all events at once."""
+    last = F.struct(F.col("last_event").alias("event_type"), F.col("last_message").alias("message"),
+                    F.col("last_event_at").alias("created_at"), F.col("last_event_id").alias("id"))
+    order = F.struct(F.col("last_event_at").alias("t"), F.col("last_event_id").alias("i"))
+    cols = ["file_id", "stage", "last_event", "last_message", "last_event_at", "last_event_id", "starts", "last_started"]
+    return _summary_columns(
+        a.select(*cols).unionByName(b.select(*cols)).groupBy("file_id", "stage").agg(
+            F.max_by(last, order).alias("last"), F.sum("starts").alias("starts"),
+            F.max("last_started").alias("last_started")))
+
+
 def apply_stage_events(stages: DataFrame, events: DataFrame) -> DataFrame:
     """UPD-6 / UPD-9: fold a batch of stage events into the stage table (pure function).
 
@@ -279,8 +295,13 @@ def apply_stage_events(stages: DataFrame, events: DataFrame) -> DataFrame:
     enqueued/retrying -> pending (times and error cleared); purged -> purged. Pairs without
     stage rows are created.
     """
+    return apply_stage_summary(stages, latest_stage_state(events))
+
+
+def apply_stage_summary(stages: DataFrame, summary: DataFrame) -> DataFrame:
+    """The write side of UPD-6: apply a per-(file, stage) event summary to the stage table."""
     cur = conform_stages(stages).alias("s")
-    ev = latest_stage_state(events).alias("e")
+    ev = summary.alias("e")
     j = cur.join(ev, (F.col("s.file_id") == F.col("e.file_id")) & (F.col("s.stage") == F.col("e.stage")), "full_outer")
     has_ev = F.col("e.status").isNotNull()
     new_status = F.coalesce(F.col("e.status"), F.col("s.status"))

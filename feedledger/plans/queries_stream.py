@@ -102,3 +102,30 @@ def _stream_landing(t):
     q.awaitTermination()
     files, _, _ = SJ._latest_tables(spark, f"{d}/state")
     return files.select("id", "filename", "overall_status", "last_seen_at")
+
+
+@register("stream_stage_fold", "STM-2,UPD-6", """
+WITH last AS (SELECT file_id, stage, event_type, message, created_at FROM (
+   SELECT *, row_number() OVER (PARTITION BY file_id, stage ORDER BY created_at DESC, id DESC) AS rn FROM stage_events
+   WHERE event_type IN ('enqueued','retrying','started','completed','failed','purged')) x WHERE rn = 1),
+starts AS (SELECT file_id, stage, count(*) AS n FROM stage_events WHERE event_type = 'started' GROUP BY 1, 2),
+ev AS (SELECT l.*, coalesce(s.n, 0) AS n FROM last l LEFT JOIN starts s USING (file_id, stage))
+SELECT coalesce(fs.file_id, ev.file_id) AS file_id, coalesce(fs.stage, ev.stage) AS stage,
+       coalesce(CASE ev.event_type WHEN 'enqueued' THEN 'pending' WHEN 'retrying' THEN 'pending' WHEN 'started' THEN 'running'
+                WHEN 'completed' THEN 'done' WHEN 'failed' THEN 'failed' WHEN 'purged' THEN 'purged' END, fs.status) AS status,
+       CAST(coalesce(fs.attempts, 0) + coalesce(ev.n, 0) AS INTEGER) AS attempts,
+       CASE WHEN ev.event_type = 'failed' THEN ev.message WHEN ev.event_type IS NOT NULL AND ev.event_type <> 'purged' THEN NULL
+            ELSE fs.error_message END AS error_message
+FROM file_stages fs FULL OUTER JOIN ev ON fs.file_id = ev.file_id AND fs.stage = ev.stage""")
+def _stream_fold(t):
+    spark = t.spark
+    d = _scratch(spark, "fold")
+    ev = t.stage_events.withColumn("created_at", S.as_ts("created_at"))
+    ev.repartition(6, "file_id").write.parquet(f"{d}/events")
+    base = ST.conform_stages(t.file_stages)
+    base.write.parquet(f"{d}/base")
+    q = SJ.start_stage_fold(spark, f"{d}/events", f"{d}/state", lambda s: s.read.parquet(f"{d}/base"),
+                            max_files=FILES_PER_BATCH)
+    q.awaitTermination()
+    latest = SJ._latest_version(spark, f"{d}/state/stages")
+    return spark.read.parquet(latest).select("file_id", "stage", "status", "attempts", "error_message")

@@ -111,11 +111,9 @@ def stage_state_with_state(events: DataFrame) -> DataFrame:
 
 
 def fold_into_stages(stages: DataFrame, summary: DataFrame) -> DataFrame:
-    """Apply a final per-(file, stage) summary to the stage table (same rules as UPD-6)."""
-    fake_events = summary.select(
-        F.lit(0).cast("long").alias("id"), "file_id", "stage", F.col("last_event").alias("event_type"),
-        F.lit(None).cast("string").alias("message"), F.col("last_event_at").alias("created_at"))
-    return ST.apply_stage_events(stages, fake_events)
+    """Apply a final per-(file, stage) summary (``stages.latest_stage_state`` shape) to the stage
+    table, with the same rules as the batch fold (UPD-6)."""
+    return ST.apply_stage_summary(stages, summary)
 
 
 # ----------------------------------------------------------------------------- STM-3 alerts
@@ -199,3 +197,49 @@ def start_landing(spark: SparkSession, listing_dir: str, state_root: str, policy
          .option("checkpointLocation", checkpoint_location(spark, "landing")))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
     return w.start()
+
+
+# --------------------------------------------------------------- STM-2 foreachBatch fold
+
+
+def stage_fold_batch(state_root: str, base_stages_fn: Callable[[SparkSession], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """STM-2: ``foreachBatch`` body folding each event micro-batch into a running summary and the
+    stage table, both written as fresh versions ``{state_root}/{summary,stages}/v={batch_id + 1}``.
+    A re-delivered batch whose version exists is skipped (idempotent)."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        version = batch_id + 1
+        hp = spark._jvm.org.apache.hadoop.fs.Path
+        fs = hp(state_root).getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(hp(f"{state_root}/stages/v={version}/_SUCCESS")):
+            return
+        summary = ST.latest_stage_state(batch)
+        prev = _latest_version(spark, f"{state_root}/summary")
+        if prev is not None:
+            summary = ST.merge_stage_summaries(spark.read.parquet(prev), summary)
+        summary.write.mode("overwrite").parquet(f"{state_root}/summary/v={version}")
+        merged = spark.read.parquet(f"{state_root}/summary/v={version}")
+        ST.apply_stage_summary(base_stages_fn(spark), merged).write.mode("overwrite").parquet(
+            f"{state_root}/stages/v={version}")
+
+    return run
+
+
+def _latest_version(spark: SparkSession, root: str) -> str | None:
+    hp = spark._jvm.org.apache.hadoop.fs.Path
+    p = hp(root)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    done = [int(st.getPath().getName().split("=")[1]) for st in fs.listStatus(p)
+            if st.getPath().getName().startswith("v=") and fs.exists(hp(st.getPath(), "_SUCCESS"))]
+    return f"{root}/v={max(done)}" if done else None
+
+
+def start_stage_fold(spark: SparkSession, events_dir: str, state_root: str, base_stages_fn, max_files: int | None = None):
+    """STM-2: run the fold over an event file stream (available-now)."""
+    events = read_events(spark, events_dir, max_files=max_files)
+    return (events.writeStream.foreachBatch(stage_fold_batch(state_root, base_stages_fn))
+            .option("checkpointLocation", checkpoint_location(spark, "stage-fold"))
+            .trigger(availableNow=True).start())
