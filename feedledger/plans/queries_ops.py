@@ -13,7 +13,7 @@ from ..operators import policy as P
 from ..operators import selection as SEL
 from ..operators import stages as ST
 from .listspec import ListSpec
-from .queries import AS_OF, AS_OF_SQL, EV_AS_OF, EV_AS_OF_SQL, FILE_COLS_SQL
+from .queries import AS_OF, AS_OF_SQL, EV_AS_OF
 from .queries_policy import ALLOWED_SQL, VIEWS_POLICY
 from .registry import register
 

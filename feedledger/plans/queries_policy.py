@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators import jobs as J
 from ..operators import policy as P
-from .queries import AS_OF, AS_OF_SQL, EV_AS_OF, EV_AS_OF_SQL
+from .queries import AS_OF, AS_OF_SQL
 from .registry import register
 
 # SQL form of the admission predicate over a table aliased f.

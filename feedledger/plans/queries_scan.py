@@ -12,7 +12,7 @@ from ..operators import insights as I
 from ..operators import policy as P
 from ..operators import scan as SC
 from ..operators import stages as ST
-from .queries import AS_OF, AS_OF_SQL, AS_OF_YEAR, EV_AS_OF, EV_AS_OF_SQL
+from .queries import AS_OF, AS_OF_SQL, AS_OF_YEAR
 from .queries_policy import ALLOWED_SQL
 from .registry import register
 
