@@ -337,7 +337,8 @@ def scan_summary(classified: DataFrame, planned: DataFrame | None = None, count_
     ]
     out = classified.groupBy("ftp_dir").agg(*aggs)
     if planned is not None:
-        enq = planned.groupBy("ftp_dir").agg(F.count(F.lit(1)).alias("enqueued"))
+        weight = F.sum("n") if "n" in planned.columns else F.count(F.lit(1))
+        enq = planned.groupBy("ftp_dir").agg(weight.alias("enqueued"))
         out = out.join(enq, "ftp_dir", "left").withColumn("enqueued", F.coalesce("enqueued", F.lit(0)).cast("long"))
     return out
 
@@ -388,12 +389,15 @@ def merge_scan(files: DataFrame, stages: DataFrame, queue: DataFrame, listing: D
     deny_ids = deny.select(F.coalesce("existing_id", N.file_id_for("filename")).alias("id"))
     new_files, _ = bulk_ignore(touched, deny_ids, as_of)
     admitted_entries = c.where(parsed & F.col("allowed")).select(
-        F.coalesce("existing_id", N.file_id_for("filename")).alias("id"), "ftp_dir", "kind").distinct()
+        F.coalesce("existing_id", N.file_id_for("filename")).alias("id"), "ftp_dir", "kind", "copies")
     targets = new_files.join(admitted_entries.select("id").distinct(), "id", "left_semi")
     refetch = admitted_entries.where(F.col("kind") == "changed").select("id") if refetch_changed else None
     plan = plan_stages(targets, stages, None, artifacts, refetch)
     new_stages, new_queue, _ = apply_stage_plan(stages, queue, plan, targets, as_of)
-    planned_by_dir = plan.join(admitted_entries.select(F.col("id").alias("file_id"), "ftp_dir"), "file_id")
+    # every admitted entry reconciles its file, so it counts that file's planned stages
+    per_file = plan.groupBy("file_id").agg(F.count(F.lit(1)).alias("_n"))
+    planned_by_dir = admitted_entries.join(per_file, admitted_entries["id"] == per_file["file_id"]).select(
+        "ftp_dir", (F.col("copies") * F.col("_n")).alias("n"))
     summary = scan_summary(c, planned_by_dir, count_mode)
     return ScanResult(c, new_files, new_stages, new_queue, plan, summary)
 

@@ -150,7 +150,7 @@ def _upsert(t):
                      "overall_status", "is_new")
 
 
-@register("scan_merge_files", "UPD-14,UPD-3,UPD-4,JOIN-9", UPSERT_SQL + f""",
+MERGE_FILES_SQL = UPSERT_SQL + f""",
 up AS (SELECT coalesce(f_id, substr(sha256(filename), 1, 32)) AS id, coalesce(f_filename, filename) AS filename,
               coalesce(f_status, 'pending') AS overall_status,
               CASE WHEN filename IS NOT NULL THEN {AS_OF_SQL} ELSE f_seen END AS last_seen_at FROM m),
@@ -162,14 +162,33 @@ SELECT id, filename,
        CASE WHEN id IN (SELECT id FROM deny) AND overall_status IN ('pending','downloaded','csv_ready') THEN 'ignored'
             ELSE overall_status END AS overall_status,
        CASE WHEN id IN (SELECT id FROM touched) THEN {AS_OF_SQL} ELSE last_seen_at END AS last_seen_at
-FROM up""", SCAN_VIEWS)
+FROM up"""
+
+
+@register("scan_merge_files", "UPD-14,UPD-3,UPD-4,JOIN-9", MERGE_FILES_SQL, SCAN_VIEWS)
 def _merge_files(t):
     res = SC.merge_scan(t.files, t.file_stages, t.job_queue, t.listing, P.Policy.from_tables(t), AS_OF, AS_OF_YEAR,
                         order_col="seq")
     return res.files.select("id", "filename", "overall_status", "last_seen_at")
 
 
-@register("scan_merge_plan", "UPD-14,UPD-8,JOIN-14", None)
+@register("scan_merge_plan", "UPD-14,UPD-8,JOIN-14", SUMMARY_SQL + """,
+ent AS (SELECT ftp_dir, coalesce(existing_id, substr(sha256(filename), 1, 32)) AS id FROM k
+        WHERE kind IN ('new','changed','unchanged') AND allowed),
+tf AS (SELECT DISTINCT id FROM ent),
+fd AS (SELECT tf.id, f.dbc_path FROM tf LEFT JOIN files f ON f.id = tf.id),
+piv AS (SELECT file_id, max(CASE WHEN stage = 'download' THEN status END) AS d,
+               max(CASE WHEN stage = 'csv_conversion' THEN status END) AS c,
+               max(CASE WHEN stage = 'parquet_conversion' THEN status END) AS p FROM file_stages GROUP BY file_id),
+jp AS (SELECT fd.id, coalesce(fd.dbc_path IS NOT NULL AND trim(fd.dbc_path) <> '' AND fd.dbc_path IN (SELECT path FROM artifacts), false) AS has,
+             coalesce(piv.d, 'pending') AS d, coalesce(piv.c, 'pending') AS c, coalesce(piv.p, 'pending') AS p
+      FROM fd LEFT JOIN piv ON piv.file_id = fd.id),
+pl AS (SELECT id, (CASE WHEN NOT has AND d NOT IN ('running','done','purged') THEN 1 ELSE 0 END)
+                + (CASE WHEN has AND c NOT IN ('running','done','purged') THEN 1 ELSE 0 END)
+                + (CASE WHEN has AND p NOT IN ('running','done','purged') THEN 1 ELSE 0 END) AS n FROM jp),
+enq AS (SELECT ent.ftp_dir, sum(pl.n) AS enqueued FROM ent JOIN pl USING (id) GROUP BY 1)
+SELECT s.*, CAST(coalesce(enq.enqueued, 0) AS BIGINT) AS enqueued FROM s LEFT JOIN enq USING (ftp_dir)""",
+          SCAN_VIEWS + ("file_stages", "artifacts"))
 def _merge_plan(t):
     res = SC.merge_scan(t.files, t.file_stages, t.job_queue, t.listing, P.Policy.from_tables(t), AS_OF, AS_OF_YEAR,
                         artifacts=t.artifacts, order_col="seq")

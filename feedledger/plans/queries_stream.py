@@ -15,6 +15,7 @@ from ..operators import stages as ST
 from ..session import ensure_checkpoint_dir
 from ..streaming import jobs as SJ
 from .queries import AS_OF, AS_OF_YEAR
+from .queries_scan import MERGE_FILES_SQL, SCAN_VIEWS
 from .registry import register
 
 FILES_PER_BATCH = 2
@@ -88,7 +89,7 @@ def _stream_dedupe(t):
     return out.select("id", "file_id", "event_type")
 
 
-@register("stream_landing_merge", "STM-1,UPD-14", None)
+@register("stream_landing_merge", "STM-1,UPD-14", MERGE_FILES_SQL, SCAN_VIEWS)
 def _stream_landing(t):
     spark = t.spark
     d = _scratch(spark, "landing")
