@@ -171,8 +171,18 @@ class Tables:
         return self._store
 
     def materialize_all(self) -> None:
-        for v in STORED_VIEWS:
-            self.get(v)
+        """Store every derived view, running independent views of each dependency wave as
+        concurrent Spark jobs (they share the cluster instead of queueing one after another)."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        done: set[str] = set(self._cache)
+        todo = [v for v in STORED_VIEWS if v not in done]
+        while todo:
+            ready = [v for v in todo if all(d in done or d in BASE_TABLES or d not in STORED_VIEWS for d in deps(v))]
+            with ThreadPoolExecutor(max_workers=max(1, len(ready))) as pool:
+                list(pool.map(self.get, ready))
+            done.update(ready)
+            todo = [v for v in todo if v not in done]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
