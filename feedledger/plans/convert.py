@@ -8,8 +8,9 @@ Plan:
    the file;
 3. ``mapInPandas`` reads each file, parses its header, decompresses the body and emits one row
    per record (raw bytes) in bounded batches, plus one status row per file;
-4. the decoded rows are checkpointed to the cluster's checkpoint folder (lineage cut, decoded
-   once, survives executor loss);
+4. the decoded rows are written once as a Parquet table partitioned by (kind, layout signature)
+   under the cluster's checkpoint folder (lineage cut, decoded once, survives executor loss; each
+   layout is later read with partition pruning);
 5. per distinct field layout (a handful; collected as a tiny list) the fields are cut out of the
    record bytes with ``substring`` + ``decode`` in Catalyst, rendered as text (STR-12), and
    written with ``partitionBy(catalog, state, year, month, file)`` -- the Spark form of the
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,7 +111,11 @@ def decode_files(paths: DataFrame, encoding: str = "iso-8859-1", tasks: int | No
     n = tasks or max(1, spark.sparkContext.defaultParallelism * 2)
     spread = p.repartition(n)
     decoded = spread.mapInPandas(lambda it: _decode_iter(it, encoding, record_batch, chunk), DECODED_SCHEMA)
-    return decoded.checkpoint(eager=True)
+    # written once as a table partitioned by (kind, layout) in the shared checkpoint folder: the
+    # lineage is cut, and each layout's writer later reads only its own partition
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/feedledger-decoded-{uuid.uuid4().hex[:12]}"
+    decoded.write.partitionBy("kind", "sig").parquet(path)
+    return spark.read.parquet(path)
 
 
 # ------------------------------------------------------------------------- fields and names
