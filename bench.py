@@ -23,7 +23,7 @@ HEADLINE = [
     "list_files_period", "list_files_glob", "list_files_completed", "count_files_filtered", "find_files_by_filters",
     "failed_since",
     # stages and insights
-    "pipeline_consistency", "top_failure_reasons", "stage_bottlenecks", "alerts", "newest_logs_per_file",
+    "completion_consistency", "top_failure_reasons", "stage_bottlenecks", "alerts", "newest_logs_per_file",
     # policy and jobs
     "policy_admission", "reconcile_statuses", "enqueue_by_policy_queue", "validate_policy_rejects",
     "due_jobs", "retry_plan", "job_duration_histogram",

@@ -34,7 +34,7 @@ def test_top_n_per_key_is_partially_limited(spark, name):
     assert p.count("WindowGroupLimit") >= 2
 
 
-@pytest.mark.parametrize("name", ["policy_admission", "reconcile_statuses", "scan_summary_by_dir", "pipeline_consistency",
+@pytest.mark.parametrize("name", ["policy_admission", "reconcile_statuses", "scan_summary_by_dir", "completion_consistency",
                                   "size_by_state", "upsert_listing", "batch_preview", "failed_since"])
 def test_no_cartesian_products(spark, name):
     p = plan(spark, name)
