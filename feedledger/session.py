@@ -84,3 +84,29 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(zpath)
     _SHIPPED.add(app)
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster run, sized from the input volume.
+
+    Shuffle partitions start at the larger of ~3 tasks per core and input / target size, so a
+    shuffle partition stays around the target (256 MB) and fits executor memory without spilling;
+    AQE then coalesces small partitions and splits skewed ones (a key with a third of the rows is
+    split across tasks for joins), and file splits match the same target.
+    """
+    cores = max(1, executors * cores_per_executor)
+    partitions = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # the conversion job's pandas stages: bounded Arrow batches of raw records
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "65536",
+    }

@@ -60,3 +60,17 @@ def test_retry_plan(spark):
     assert not p["j1"]["final"] and 54 <= p["j1"]["delay_seconds"] <= 66  # 30 * 2^1 +/- 10 %
     again = {r["id"]: r["delay_seconds"] for r in J.plan_retries(f, dt.datetime(2026, 1, 1)).collect()}
     assert again["j1"] == p["j1"]["delay_seconds"]  # repeatable jitter
+
+
+def test_ordered_previous_with_empty_partitions(spark):
+    df = spark.createDataFrame([("a", i, str(i)) for i in range(5)] + [("b", i, str(i)) for i in range(3)], "k string, t long, v string")
+    got = {(r["k"], r["t"]): r["prev_v"] for r in AU.ordered_previous(df, ["k"], ["t"], ["v"], partitions=40).collect()}
+    assert got[("a", 0)] is None and got[("a", 4)] == "3" and got[("b", 0)] is None and got[("b", 2)] == "1"
+
+
+def test_cluster_conf_sizes_partitions():
+    from feedledger.session import cluster_conf
+
+    c = cluster_conf(100 * (1 << 40), executors=1000, cores_per_executor=8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600  # 100 TB / 256 MB
+    assert int(cluster_conf(1 << 30, 10, 4)["spark.sql.shuffle.partitions"]) == 120  # 3 tasks per core
