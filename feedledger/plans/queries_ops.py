@@ -87,13 +87,15 @@ def _compact(t):
 
 
 @register("remove_month_from_year", "SET-9", """
-WITH ys AS (SELECT year FROM policy_years),
+WITH ys AS (SELECT DISTINCT year FROM files WHERE month BETWEEN 1 AND 12),
 ms AS (SELECT year, month FROM policy_months),
 other AS (SELECT 1997 AS year, m AS month FROM range(1, 13) t(m) WHERE m <> 5 AND 1997 IN (SELECT year FROM ys))
 SELECT 'year' AS kind, CAST(year AS BIGINT) AS year, CAST(NULL AS BIGINT) AS month FROM ys WHERE year <> 1997
 UNION ALL SELECT DISTINCT 'month', year, month FROM (SELECT * FROM ms WHERE NOT (year = 1997 AND month = 5) UNION ALL SELECT * FROM other)""")
 def _remove_month(t):
-    years, months = SEL.remove_month(t.policy_years, t.policy_months, 1997, 5)
+    # a selection of every year the catalog has, then month 5 of 1997 is unselected
+    file_years = t.files.where(F.col("month").between(1, 12)).select("year").distinct()
+    years, months = SEL.remove_month(file_years, t.policy_months, 1997, 5)
     return years.select(F.lit("year").alias("kind"), F.col("year").cast("long").alias("year"),
                         F.lit(None).cast("long").alias("month")).unionByName(
         months.select(F.lit("month").alias("kind"), F.col("year").cast("long").alias("year"),

@@ -106,15 +106,6 @@ def _known_not_seen(t):
     return P.known_codes_not_seen(t.files, "catalog", S.KNOWN_CATALOGS)
 
 
-@register("policy_selection_summary", "AGG-20", """
-SELECT (SELECT count(*) FROM policy_catalogs) AS catalog_count, (SELECT count(*) FROM policy_states) AS state_count,
-       (SELECT count(*) FROM policy_years) + (SELECT count(*) FROM policy_months) AS period_count,
-       (SELECT count(*) FROM policy_catalogs) > 0 AND (SELECT count(*) FROM policy_states) > 0
-         AND (SELECT count(*) FROM policy_years) + (SELECT count(*) FROM policy_months) > 0 AS complete""")
-def _selection_summary(t):
-    return P.selection_summary(P.Policy.from_tables(t))
-
-
 def _proposed(t):
     """The fixture policy plus a year and a month-year that no file has (rejected) and a
     month absent from files in a year that is present (accepted)."""
@@ -265,3 +256,19 @@ SELECT stage, CASE WHEN event_type = 'completed' THEN 'success' ELSE 'failure' E
 FROM stage_events WHERE event_type IN ('completed','failed') GROUP BY 1, 2""")
 def _outcomes(t):
     return J.job_outcomes(t.stage_events)
+
+
+@register("policy_selection_summary", "AGG-20", PROPOSED_SQL + f""",
+ac AS (SELECT DISTINCT upper(trim(catalog)) AS v FROM pc WHERE length(upper(trim(catalog))) = 2),
+ast AS (SELECT DISTINCT upper(trim(state)) AS v FROM ps
+        WHERE length(upper(trim(state))) = 2 AND upper(trim(state)) IN (SELECT * FROM (VALUES {KNOWN_STATES_SQL}) k(v))),
+ay AS (SELECT DISTINCT year FROM py WHERE year BETWEEN 0 AND 9999 AND year IN (SELECT year FROM yrs)),
+am AS (SELECT DISTINCT year, month FROM pm WHERE year BETWEEN 0 AND 9999 AND month BETWEEN 1 AND 12 AND year IN (SELECT year FROM yrs)),
+n AS (SELECT (SELECT count(*) FROM ac) AS catalog_count, (SELECT count(*) FROM ast) AS state_count,
+             (SELECT count(*) FROM ay) + (SELECT count(*) FROM am) AS period_count)
+SELECT catalog_count, state_count, period_count, catalog_count > 0 AND state_count > 0 AND period_count > 0 AS complete FROM n""",
+          VIEWS_POLICY)
+def _selection_summary(t):
+    """AGG-20 over the policy accepted after validation against the files' periods."""
+    _, accepted = P.validate_policy(t.files, _proposed(t))
+    return P.selection_summary(accepted)
