@@ -372,15 +372,23 @@ class ScanResult:
 
 def merge_scan(files: DataFrame, stages: DataFrame, queue: DataFrame, listing: DataFrame, policy: P.Policy | None,
                as_of, as_of_year: int, root_path: str = "/data", artifacts: DataFrame | None = None,
-               order_col: str | None = None, count_mode: str = "batch", refetch_changed: bool = False) -> ScanResult:
+               order_col: str | None = None, count_mode: str = "batch", refetch_changed: bool = False,
+               checkpoint: bool = False) -> ScanResult:
     """UPD-14: parse -> diff -> policy -> upsert -> touch -> ignore -> stage plan -> counters.
 
-    Lazily composed; the classified listing is the one shared input. Callers that write all
-    outputs should persist/checkpoint ``classified`` (and write the new tables to fresh paths).
+    Lazily composed; the classified listing is the one shared input of every output. With
+    ``checkpoint`` it is materialised once in the cluster's checkpoint folder (lineage cut), so
+    writing the files, stages, queue and summary does not re-read and re-join the listing, and a
+    lost executor does not send the merge back to the listing. Write the outputs to fresh paths.
     """
     cfg = config_values(policy)
     root = P.resolve_directory(F.lit(cfg.get("download_dir")), F.lit(root_path)) if policy is not None else F.lit(root_path)
     c = classify_listing(listing, files, policy, as_of_year, order_col)
+    if checkpoint:
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(c.sparkSession)
+        c = c.checkpoint(eager=True)
     upserted = upsert_files(files, upsert_rows(c, root, order_col), as_of)
     unchanged_ids = c.where(F.col("kind") == "unchanged").select(F.col("existing_id").alias("id"))
     touched = touch_last_seen(upserted, unchanged_ids, as_of)

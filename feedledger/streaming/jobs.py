@@ -163,12 +163,10 @@ def landing_merge_batch(state_root: str, policy_fn: Callable[[SparkSession], P.P
         if fs.exists(jvm_path):
             return
         files, stages, queue = _latest_tables(spark, state_root)
-        res = SC.merge_scan(files, stages, queue, batch, policy_fn(spark), as_of_fn(), as_of_year)
-        res.classified.persist()
+        res = SC.merge_scan(files, stages, queue, batch, policy_fn(spark), as_of_fn(), as_of_year, checkpoint=True)
         for name, df in (("stages", res.stages), ("queue", res.queue), ("summary", res.summary)):
             df.write.mode("overwrite").parquet(f"{state_root}/{name}/v={version}")
         res.files.drop("is_new").write.mode("overwrite").parquet(f"{state_root}/files/v={version}")
-        res.classified.unpersist()
 
     return run
 
@@ -215,7 +213,7 @@ def stage_fold_batch(state_root: str, base_stages_fn: Callable[[SparkSession], D
         if fs.exists(hp(f"{state_root}/stages/v={version}/_SUCCESS")):
             return
         summary = ST.latest_stage_state(batch)
-        prev = _latest_version(spark, f"{state_root}/summary")
+        prev = _latest_version(spark, f"{state_root}/summary", below=version)  # never this batch's own output
         if prev is not None:
             summary = ST.merge_stage_summaries(spark.read.parquet(prev), summary)
         summary.write.mode("overwrite").parquet(f"{state_root}/summary/v={version}")
@@ -226,7 +224,7 @@ def stage_fold_batch(state_root: str, base_stages_fn: Callable[[SparkSession], D
     return run
 
 
-def _latest_version(spark: SparkSession, root: str) -> str | None:
+def _latest_version(spark: SparkSession, root: str, below: int | None = None) -> str | None:
     hp = spark._jvm.org.apache.hadoop.fs.Path
     p = hp(root)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -234,6 +232,8 @@ def _latest_version(spark: SparkSession, root: str) -> str | None:
         return None
     done = [int(st.getPath().getName().split("=")[1]) for st in fs.listStatus(p)
             if st.getPath().getName().startswith("v=") and fs.exists(hp(st.getPath(), "_SUCCESS"))]
+    if below is not None:
+        done = [v for v in done if v < below]
     return f"{root}/v={max(done)}" if done else None
 
 

@@ -49,3 +49,24 @@ def test_dedupe(spark, tmp_dir):
     out = SJ.run_available_now(SJ.dedupe_events(SJ.read_events(spark, f"{tmp_dir}/ev", max_files=1)),
                                "dd_" + uuid.uuid4().hex[:6], "append")
     assert out.count() == 2
+
+
+def test_stage_fold_batch_is_idempotent(spark, tmp_dir):
+    from feedledger import schemas as S
+
+    base = spark.createDataFrame([], S.FILE_STAGES)
+    ev = _events(spark, [("f", "download", "started", 1), ("f", "download", "completed", 2)])
+    run = SJ.stage_fold_batch(f"{tmp_dir}/state", lambda s: base)
+    run(ev, 0)
+    run(ev, 0)  # re-delivered batch: skipped
+    out = spark.read.parquet(SJ._latest_version(spark, f"{tmp_dir}/state/stages")).collect()
+    assert [(r["status"], r["attempts"]) for r in out] == [("done", 1)]
+    # a batch that stopped after writing its summary (but not its stage table) is redone without
+    # merging itself twice
+    crashed = f"{tmp_dir}/crashed"
+    ST.latest_stage_state(ev).write.parquet(f"{crashed}/summary/v=1")
+    SJ.stage_fold_batch(crashed, lambda s: base)(ev, 0)
+    summ = spark.read.parquet(SJ._latest_version(spark, f"{crashed}/summary")).first()
+    assert summ["starts"] == 1
+    out2 = spark.read.parquet(SJ._latest_version(spark, f"{crashed}/stages")).collect()
+    assert [(r["status"], r["attempts"]) for r in out2] == [("done", 1)]
