@@ -162,7 +162,7 @@ def landing_merge_batch(state_root: str, policy_fn: Callable[[SparkSession], P.P
         fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
         if fs.exists(jvm_path):
             return
-        files, stages, queue = _latest_tables(spark, state_root)
+        files, stages, queue = _latest_tables(spark, state_root, below=version)  # never this batch's own output
         res = SC.merge_scan(files, stages, queue, batch, policy_fn(spark), as_of_fn(), as_of_year, checkpoint=True)
         for name, df in (("stages", res.stages), ("queue", res.queue), ("summary", res.summary)):
             df.write.mode("overwrite").parquet(f"{state_root}/{name}/v={version}")
@@ -171,7 +171,7 @@ def landing_merge_batch(state_root: str, policy_fn: Callable[[SparkSession], P.P
     return run
 
 
-def _latest_tables(spark: SparkSession, root: str):
+def _latest_tables(spark: SparkSession, root: str, below: int | None = None):
     def latest(name: str, schema):
         p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
         fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -180,6 +180,8 @@ def _latest_tables(spark: SparkSession, root: str):
         versions = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(p)
                     if s.getPath().getName().startswith("v=")
                     and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+        if below is not None:
+            versions = [v for v in versions if v < below]
         if not versions:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(f"{root}/{name}/v={max(versions)}")
