@@ -72,26 +72,43 @@ def stage_state_summary(events: DataFrame) -> DataFrame:
              F.col("last.event_type").alias("last_event"), F.col("last.created_at").alias("last_event_at"), "starts")
 
 
+PARTIAL_SCHEMA = "file_id string, stage string, event_type string, t long, id long, starts long"
+
+
+def _partial_latest(batches):
+    """Stateless map-side reduction: per (file, stage) in each Arrow batch, the newest
+    status-changing event and the number of starts. A hot key leaves one row per batch."""
+    import pandas as pd
+
+    for pdf in batches:
+        pdf = pdf[pdf["event_type"].isin(list(ST.EVENT_STATUS))]
+        if pdf.empty:
+            continue
+        pdf = pdf.assign(t=pd.to_datetime(pdf["created_at"]).astype("int64") // 1000,
+                         started=(pdf["event_type"] == "started").astype("int64"))
+        starts = pdf.groupby(["file_id", "stage"], sort=False)["started"].sum().rename("starts")
+        last = pdf.sort_values(["t", "id"]).groupby(["file_id", "stage"], sort=False).tail(1)
+        out = last.set_index(["file_id", "stage"])[["event_type", "t", "id"]].join(starts).reset_index()
+        yield out[["file_id", "stage", "event_type", "t", "id", "starts"]]
+
+
 def _latest_state_fn(key, pdfs: Iterator, state: GroupState):
-    """applyInPandasWithState body: keep the newest (time, id) status event per key."""
+    """applyInPandasWithState body: keep the newest (time, id) status event per key and add up
+    the starts, over partial rows from ``_partial_latest``."""
     import pandas as pd
 
     best = state.get if state.exists else None  # (event_type, t_micros, id, starts)
     for pdf in pdfs:
-        pdf = pdf[pdf["event_type"].isin(list(ST.EVENT_STATUS))]
         if pdf.empty:
             continue
-        starts = int((pdf["event_type"] == "started").sum())
-        t = pd.to_datetime(pdf["created_at"]).astype("int64") // 1000
-        order = pd.DataFrame({"t": t, "i": pdf["id"], "e": pdf["event_type"]}).sort_values(["t", "i"])
-        last = order.iloc[-1]
-        cand = (str(last["e"]), int(last["t"]), int(last["i"]), starts)
+        last = pdf.sort_values(["t", "id"]).iloc[-1]
+        cand = (str(last["event_type"]), int(last["t"]), int(last["id"]), int(pdf["starts"].sum()))
         if best is None:
             best = cand
+        elif (cand[1], cand[2]) > (best[1], best[2]):
+            best = (cand[0], cand[1], cand[2], best[3] + cand[3])
         else:
-            newer = (cand[1], cand[2]) > (best[1], best[2])
-            best = (cand[0] if newer else best[0], max(cand[1], best[1]) if newer else best[1],
-                    cand[2] if newer else best[2], best[3] + starts)
+            best = (best[0], best[1], best[2], best[3] + cand[3])
     if best is None:
         return
     state.update(best)
@@ -100,8 +117,12 @@ def _latest_state_fn(key, pdfs: Iterator, state: GroupState):
 
 
 def stage_state_with_state(events: DataFrame) -> DataFrame:
-    """STM-2 stateful variant: ``applyInPandasWithState`` keyed by (file, stage), update mode."""
-    return events.groupBy("file_id", "stage").applyInPandasWithState(
+    """STM-2 stateful variant: a stateless map-side reduction per key (``mapInPandas``), then
+    ``applyInPandasWithState`` keyed by (file, stage) in update mode. The reduction bounds what a
+    hot key sends through the shuffle to one row per input batch."""
+    partial = events.select("id", "file_id", "stage", "event_type", "created_at").mapInPandas(
+        _partial_latest, PARTIAL_SCHEMA)
+    return partial.groupBy("file_id", "stage").applyInPandasWithState(
         _latest_state_fn,
         outputStructType="file_id string, stage string, last_event string, last_event_micros long, last_event_id long, starts long",
         stateStructType="e string, t long, i long, n long",
