@@ -139,6 +139,7 @@ def _tables():
 
 
 WINDOW = 4096  # the largest back-reference distance of the format
+REFILL_BITS = 64  # bits loaded per refill (a symbol needs at most 30)
 
 
 def explode(data: bytes, start: int = 0) -> bytes:
@@ -175,7 +176,7 @@ def explode_chunks(data: bytes, start: int = 0, chunk: int = 1 << 20):
     from_bytes = int.from_bytes
     while True:
         if cnt < 32:
-            take = (64 - cnt) >> 3
+            take = (REFILL_BITS - cnt) >> 3
             piece = data[pos:pos + take]
             pos += len(piece)
             buf |= from_bytes(piece, "little") << cnt
@@ -193,8 +194,13 @@ def explode_chunks(data: bytes, start: int = 0, chunk: int = 1 << 20):
                 out.append(lit_sym[idx])
                 used = 1 + lit_len[idx]
             else:
-                out.append((buf >> 1) & 0xFF)
-                used = 9
+                # a run of uncoded literals: 9 bits each, consumed without re-checking the buffer
+                limit = pad + 9
+                while cnt >= limit and not buf & 1:
+                    out.append((buf >> 1) & 0xFF)
+                    buf >>= 9
+                    cnt -= 9
+                continue
             buf >>= used
             cnt -= used
             continue
