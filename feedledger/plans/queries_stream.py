@@ -130,3 +130,20 @@ def _stream_fold(t):
     q.awaitTermination()
     latest = SJ._latest_version(spark, f"{d}/state/stages")
     return spark.read.parquet(latest).select("file_id", "stage", "status", "attempts", "error_message")
+
+
+@register("stream_failure_alerts", "STM-3,WIN-6", """
+WITH h AS (SELECT time_bucket(INTERVAL 1 HOUR, created_at) AS hour, count(*) AS failures FROM stage_events
+           WHERE event_type = 'failed' GROUP BY 1),
+l AS (SELECT hour, failures, lag(failures) OVER (ORDER BY hour) AS previous FROM h)
+SELECT hour, failures, previous, failures > 2 * coalesce(previous, 0) AND failures > 10 AS spike FROM l""")
+def _stream_alerts(t):
+    spark = t.spark
+    d = _scratch(spark, "alerts")
+    ev = t.stage_events.withColumn("created_at", S.as_ts("created_at"))
+    ev.repartition(6, "file_id").write.parquet(f"{d}/events")
+    # the event files each span the whole month, so the watermark delay covers it: no event is late
+    q = SJ.start_failure_alerts(spark, f"{d}/events", f"{d}/state", delay="40 days", max_files=FILES_PER_BATCH)
+    q.awaitTermination()
+    hours = spark.read.parquet(SJ._latest_version(spark, f"{d}/state/hours"))
+    return SJ.with_spike_flag(hours).select("hour", "failures", "previous", "spike")

@@ -148,13 +148,20 @@ def failure_windows(events: DataFrame, delay: str = "2 hours", width: str = "1 h
             .select(F.col("w.start").alias("hour"), "failures"))
 
 
-def spike_alerts(windows: DataFrame, min_failures: int = 10) -> DataFrame:
-    """STM-3 alert rule on a (batch) table of hourly counts: hour > 2x the previous hour and > 10."""
+def with_spike_flag(windows: DataFrame, min_failures: int = 10) -> DataFrame:
+    """STM-3 alert rule on a table of hourly counts: each hour with the previous hour's count and
+    whether it is a spike (> 2x the previous hour and > 10). The ordered window runs on the hour
+    table, one row per hour."""
     from pyspark.sql import Window
 
     w = Window.orderBy("hour")
     return (windows.withColumn("previous", F.lag("failures").over(w))
-            .where((F.col("failures") > 2 * F.coalesce("previous", F.lit(0))) & (F.col("failures") > min_failures)))
+            .withColumn("spike", (F.col("failures") > 2 * F.coalesce("previous", F.lit(0))) & (F.col("failures") > min_failures)))
+
+
+def spike_alerts(windows: DataFrame, min_failures: int = 10) -> DataFrame:
+    """The hours that fire the spike alert."""
+    return with_spike_flag(windows, min_failures).where("spike").drop("spike")
 
 
 # ------------------------------------------------------------------------ STM-4 queue depth
@@ -266,3 +273,41 @@ def start_stage_fold(spark: SparkSession, events_dir: str, state_root: str, base
     return (events.writeStream.foreachBatch(stage_fold_batch(state_root, base_stages_fn))
             .option("checkpointLocation", checkpoint_location(spark, "stage-fold"))
             .trigger(availableNow=True).start())
+
+
+# ------------------------------------------------------------ STM-3 alerts via foreachBatch
+
+
+def failure_alert_batch(state_root: str, min_failures: int = 10) -> Callable[[DataFrame, int], None]:
+    """STM-3: ``foreachBatch`` body over the updated hourly failure counts of each micro-batch:
+    merge them into the hour table (a later count for an hour replaces the earlier one), then
+    compare every hour with the previous one and write the spikes. Both are fresh versions
+    ``v={batch_id + 1}``; a batch whose alert version exists is skipped."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        version = batch_id + 1
+        hp = spark._jvm.org.apache.hadoop.fs.Path
+        fs = hp(state_root).getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(hp(f"{state_root}/alerts/v={version}/_SUCCESS")):
+            return
+        hours = batch.select("hour", "failures")
+        prev = _latest_version(spark, f"{state_root}/hours", below=version)
+        if prev is not None:
+            old = spark.read.parquet(prev)
+            hours = old.join(hours.select("hour"), "hour", "left_anti").unionByName(hours)
+        hours.write.mode("overwrite").parquet(f"{state_root}/hours/v={version}")
+        table = spark.read.parquet(f"{state_root}/hours/v={version}")
+        spike_alerts(table, min_failures).write.mode("overwrite").parquet(f"{state_root}/alerts/v={version}")
+
+    return run
+
+
+def start_failure_alerts(spark: SparkSession, events_dir: str, state_root: str, delay: str = "2 hours",
+                         max_files: int | None = None, available_now: bool = True):
+    """STM-3: hourly failure windows (watermarked, update mode) feeding the alert batch job."""
+    windows = failure_windows(read_events(spark, events_dir, max_files=max_files), delay=delay)
+    w = (windows.writeStream.outputMode("update").foreachBatch(failure_alert_batch(state_root))
+         .option("checkpointLocation", checkpoint_location(spark, "failure-alerts")))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
