@@ -142,11 +142,8 @@ def conform_files(files: DataFrame) -> DataFrame:
     return files.select(*cols)
 
 
-def upsert_rows(classified: DataFrame, root_path: str | Column, order_col: str | None = None) -> DataFrame:
-    """PRJ-3: upsert rows for new and changed entries; duplicate names keep the last listed one."""
-    src = classified.where(F.col("kind").isin("new", "changed"))
-    root = root_path if isinstance(root_path, Column) else F.lit(root_path)
-    row = F.struct(
+def _upsert_struct(root: Column) -> Column:
+    return F.struct(
         F.col("p.catalog").alias("catalog"), F.col("p.state").alias("state"),
         F.col("p.year").alias("year"), F.col("p.month").alias("month"),
         F.col("p.segment").alias("segment"),
@@ -156,10 +153,20 @@ def upsert_rows(classified: DataFrame, root_path: str | Column, order_col: str |
         F.col("mod_time").cast("timestamp").alias("remote_timestamp"),
         root.alias("root_path"),
     )
+
+
+def _listing_order(order_col: str | None) -> Column:
+    return F.struct(F.col(order_col), F.col("remote_path")) if order_col else F.struct(F.col("remote_path"), F.col("size"))
+
+
+def upsert_rows(classified: DataFrame, root_path: str | Column, order_col: str | None = None) -> DataFrame:
+    """PRJ-3: upsert rows for new and changed entries; duplicate names keep the last listed one."""
+    src = classified.where(F.col("kind").isin("new", "changed"))
+    root = root_path if isinstance(root_path, Column) else F.lit(root_path)
     # last listed wins: max_by is a partial aggregate, so a name listed many times is reduced
     # in every map task before the shuffle (a per-name window would put all copies in one task)
-    order = F.struct(F.col(order_col), F.col("remote_path")) if order_col else F.struct(F.col("remote_path"), F.col("size"))
-    return src.groupBy("filename").agg(F.max_by(row, order).alias("_r")).select("filename", "_r.*")
+    return src.groupBy("filename").agg(F.max_by(_upsert_struct(root), _listing_order(order_col)).alias("_r")) \
+        .select("filename", "_r.*")
 
 
 def upsert_files(files: DataFrame, rows: DataFrame, as_of) -> DataFrame:
@@ -170,8 +177,11 @@ def upsert_files(files: DataFrame, rows: DataFrame, as_of) -> DataFrame:
     cur = conform_files(files).alias("f")
     r = rows.alias("r")
     j = cur.join(r, F.col("f.filename") == F.col("r.filename"), "full_outer")
-    has_r = F.col("r.filename").isNotNull()
+    # rows may also carry per-name flags only (``_upsert`` false): they change nothing here
+    has_r = F.coalesce(F.col("r._upsert"), F.lit(False)) if "_upsert" in rows.columns else F.col("r.filename").isNotNull()
     is_new = F.col("f.id").isNull()
+    j = j.where(F.col("f.id").isNotNull() | has_r)
+    extra = [F.col(f"r.{c}").alias(c) for c in rows.columns if c.startswith("_") and c != "_upsert"]
     seg = F.when(F.trim(F.col("r.segment")) != "", F.col("r.segment"))
 
     def upd(name: str, new: Column) -> Column:
@@ -203,6 +213,7 @@ def upsert_files(files: DataFrame, rows: DataFrame, as_of) -> DataFrame:
         upd("updated_at", ts),
         upd("last_seen_at", ts),
         F.when(has_r, is_new).alias("is_new"),
+        *extra,
     )
 
 
@@ -389,22 +400,39 @@ def merge_scan(files: DataFrame, stages: DataFrame, queue: DataFrame, listing: D
 
         ensure_checkpoint_dir(c.sparkSession)
         c = c.checkpoint(eager=True)
-    upserted = upsert_files(files, upsert_rows(c, root, order_col), as_of)
-    unchanged_ids = c.where(F.col("kind") == "unchanged").select(F.col("existing_id").alias("id"))
-    touched = touch_last_seen(upserted, unchanged_ids, as_of)
+    # every per-name decision in one aggregate over the classified listing (partial, map-side):
+    # the upsert row (last listed new/changed entry), touch (listed unchanged), ignore (denied
+    # while pending/downloaded/csv_ready) and admit -- then one full outer join with the catalog
     parsed = F.col("kind").isin("new", "changed", "unchanged")
-    deny = c.where(parsed & ~F.col("allowed") & should_move_to_ignored("prev_status"))
-    deny_ids = deny.select(F.coalesce("existing_id", N.file_id_for("filename")).alias("id"))
-    new_files, _ = bulk_ignore(touched, deny_ids, as_of)
-    admitted_entries = c.where(parsed & F.col("allowed")).select(
-        F.coalesce("existing_id", N.file_id_for("filename")).alias("id"), "ftp_dir", "kind", "copies")
-    targets = new_files.join(admitted_entries.select("id").distinct(), "id", "left_semi")
-    refetch = admitted_entries.where(F.col("kind") == "changed").select("id") if refetch_changed else None
+    upsert_entry = F.col("kind").isin("new", "changed")
+    per_name = c.groupBy("filename").agg(
+        F.max_by(_upsert_struct(root), F.when(upsert_entry, _listing_order(order_col))).alias("_r"),
+        F.bool_or(F.col("kind") == "unchanged").alias("_touch"),
+        F.bool_or(parsed & ~F.col("allowed") & should_move_to_ignored("prev_status")).alias("_deny"),
+        F.bool_or(parsed & F.col("allowed")).alias("_admit"),
+    )
+    rows = per_name.select("filename", "_r.*", F.col("_r").isNotNull().alias("_upsert"), "_touch", "_deny", "_admit")
+    up = upsert_files(files, rows, as_of)
+    ts = S.ts_lit(as_of)
+    touch = F.coalesce(F.col("_touch"), F.lit(False))
+    moved = F.coalesce(F.col("_deny"), F.lit(False)) & should_move_to_ignored("overall_status")  # UPD-4 guard
+    merged = (up.withColumn("last_seen_at", F.when(touch, ts).otherwise(F.col("last_seen_at")))  # UPD-3
+              .withColumn("_moved", moved)
+              .withColumn("overall_status", F.when(F.col("_moved"), F.lit("ignored")).otherwise(F.col("overall_status")))
+              .withColumn("updated_at", F.when(F.col("_moved"), ts).otherwise(F.col("updated_at"))))
+    if checkpoint:
+        merged = merged.checkpoint(eager=True)
+    new_files = merged.drop("_touch", "_deny", "_admit", "_moved")
+    targets = merged.where(F.coalesce(F.col("_admit"), F.lit(False))).drop("_touch", "_deny", "_admit", "_moved")
+    admitted_entries = c.where(parsed & F.col("allowed")).select("filename", "ftp_dir", "kind", "copies")
+    refetch = (targets.join(admitted_entries.where(F.col("kind") == "changed").select("filename").distinct(), "filename",
+                            "left_semi").select("id") if refetch_changed else None)
     plan = plan_stages(targets, stages, None, artifacts, refetch)
     new_stages, new_queue, _ = apply_stage_plan(stages, queue, plan, targets, as_of)
     # every admitted entry reconciles its file, so it counts that file's planned stages
-    per_file = plan.groupBy("file_id").agg(F.count(F.lit(1)).alias("_n"))
-    planned_by_dir = admitted_entries.join(per_file, admitted_entries["id"] == per_file["file_id"]).select(
+    per_file = plan.groupBy("file_id").agg(F.count(F.lit(1)).alias("_n")).join(
+        targets.select(F.col("id").alias("file_id"), "filename"), "file_id")
+    planned_by_dir = admitted_entries.join(per_file, "filename").select(
         "ftp_dir", (F.col("copies") * F.col("_n")).alias("n"))
     summary = scan_summary(c, planned_by_dir, count_mode)
     return ScanResult(c, new_files, new_stages, new_queue, plan, summary)
