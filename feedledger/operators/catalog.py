@@ -241,11 +241,19 @@ def available_years(files: DataFrame) -> DataFrame:
 
 
 def facets(files: DataFrame) -> DataFrame:
-    """AGG-17: all facets as (facet, value) rows from one scan of the needed columns."""
-    c = distinct_codes(files, "catalog").select(F.lit("catalog").alias("facet"), "value")
-    s = distinct_codes(files, "state").select(F.lit("state").alias("facet"), "value")
-    st = distinct_codes(files, "overall_status", lower=True).select(F.lit("status").alias("facet"), "value")
-    p = available_periods(files).select(
-        F.lit("period").alias("facet"), F.format_string("%04d-%02d", "year", "month").alias("value")
+    """AGG-17: all facets as (facet, value) rows from one scan: each row is unpivoted into its four
+    facet values (invalid or blank ones as NULL), then one distinct (partial aggregate) over them."""
+
+    def nonblank(c: str) -> Column:
+        return F.col(c).isNotNull() & (F.trim(F.col(c)) != "")
+
+    pairs = F.array(
+        F.struct(F.lit("catalog").alias("facet"), F.when(nonblank("catalog"), S.norm_code("catalog")).alias("value")),
+        F.struct(F.lit("state").alias("facet"), F.when(nonblank("state"), S.norm_code("state")).alias("value")),
+        F.struct(F.lit("status").alias("facet"),
+                 F.when(nonblank("overall_status"), F.lower(F.trim("overall_status"))).alias("value")),
+        F.struct(F.lit("period").alias("facet"),
+                 F.when(F.col("month").between(1, 12), F.format_string("%04d-%02d", "year", "month")).alias("value")),
     )
-    return c.unionByName(s).unionByName(st).unionByName(p)
+    return (files.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
+            .orderBy("facet", "value"))
