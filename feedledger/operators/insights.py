@@ -149,3 +149,23 @@ def dashboard(files: DataFrame, stages: DataFrame, policy: P.Policy | None = Non
     if policy is not None:
         out["selection"] = P.selection_summary(policy)
     return out
+
+
+def dashboard_buckets(files: DataFrame) -> DataFrame:
+    """AGG-22 in one pass: the status, catalog and state bucket reports (count, total and rounded
+    mean size) as one ``GROUPING SETS`` aggregate -- one scan and one shuffle instead of three.
+    Rows carry ``dim`` in {status, catalog, state} and the bucket ``key``."""
+    keyed = files.select(
+        F.col("overall_status").alias("_status"), S.norm_code("catalog").alias("_catalog"),
+        S.norm_code("state").alias("_state"), F.col("size_bytes"))
+    total = F.sum("size_bytes")
+    agg = keyed.groupingSets([["_status"], ["_catalog"], ["_state"]], "_status", "_catalog", "_state").agg(
+        F.count(F.lit(1)).alias("count"),
+        F.coalesce(total, F.lit(0)).cast("long").alias("total_size_bytes"),
+        S.pg_bigint(F.coalesce(F.try_divide(total.cast("double"), F.count("size_bytes")), F.lit(0.0))).alias("avg_size_bytes"),
+        F.grouping_id().alias("_gid"),
+    )
+    # grouping_id bits follow the column order (_status, _catalog, _state): 3 = status, 5 = catalog, 6 = state
+    dim = F.when(F.col("_gid") == 3, F.lit("status")).when(F.col("_gid") == 5, F.lit("catalog")).otherwise(F.lit("state"))
+    key = F.when(F.col("_gid") == 3, F.col("_status")).when(F.col("_gid") == 5, F.col("_catalog")).otherwise(F.col("_state"))
+    return agg.select(dim.alias("dim"), key.alias("key"), "count", "total_size_bytes", "avg_size_bytes")

@@ -383,3 +383,14 @@ def _number_text(t):
     e = t.events
     v = F.when(F.col("event_id") % 5 == 0, F.lit(None)).otherwise(F.col("value"))
     return e.select(F.col("event_id").alias("id"), TX.number_to_text(v).alias("text"))
+
+
+@register("dashboard_buckets", "AGG-22,AGG-1,AGG-2,AGG-3", """
+SELECT 'status' AS dim, overall_status AS key, count(*) AS count, CAST(coalesce(sum(size_bytes), 0) AS BIGINT) AS total_size_bytes,
+       CAST(round(coalesce(avg(size_bytes), 0)) AS BIGINT) AS avg_size_bytes FROM files GROUP BY 2
+UNION ALL SELECT 'catalog', upper(trim(catalog)), count(*), CAST(coalesce(sum(size_bytes), 0) AS BIGINT),
+       CAST(round(coalesce(avg(size_bytes), 0)) AS BIGINT) FROM files GROUP BY 2
+UNION ALL SELECT 'state', upper(trim(state)), count(*), CAST(coalesce(sum(size_bytes), 0) AS BIGINT),
+       CAST(round(coalesce(avg(size_bytes), 0)) AS BIGINT) FROM files GROUP BY 2""")
+def _dashboard_buckets(t):
+    return I.dashboard_buckets(t.files)
