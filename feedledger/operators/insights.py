@@ -135,6 +135,7 @@ def dashboard(files: DataFrame, stages: DataFrame, policy: P.Policy | None = Non
         row = P.processing(policy).first()
         toggles = (bool(row["enable_download"]), bool(row["enable_csv"]), bool(row["enable_parquet"]))
     out = {
+        "buckets": dashboard_buckets(files),  # status / catalog / state buckets in one pass
         "status_counts": C.status_counts(files),
         "by_catalog": with_bar_share(with_size_level(C.size_by_catalog(files))),
         "by_state": with_bar_share(with_size_level(C.size_by_state(files))),

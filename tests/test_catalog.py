@@ -106,3 +106,15 @@ def test_rfc3339(spark):
     df = spark.createDataFrame([("2026-04-28 13:14:15",), ("2026-04-28 13:14:15.5",), ("2026-04-28 13:14:15.000123",)], "s string")
     got = [r[0] for r in df.select(TX.rfc3339(F.col("s").cast("timestamp"))).collect()]
     assert got == ["2026-04-28T13:14:15Z", "2026-04-28T13:14:15.5Z", "2026-04-28T13:14:15.000123Z"]
+
+
+def test_dashboard_buckets_match_separate_reports(spark):
+    from feedledger import fixtures as FX
+
+    files = FX.tables(spark, "/root/testdata/sf0.001").files
+    one = {(r["dim"], r["key"]): (r["count"], r["total_size_bytes"], r["avg_size_bytes"])
+           for r in I.dashboard_buckets(files).collect()}
+    sep = {("catalog", r["key"]): (r["count"], r["total_size_bytes"], r["avg_size_bytes"]) for r in C.size_by_catalog(files).collect()}
+    sep.update({("state", r["key"]): (r["count"], r["total_size_bytes"], r["avg_size_bytes"]) for r in C.size_by_state(files).collect()})
+    assert {k: v for k, v in one.items() if k[0] != "status"} == sep
+    assert {k[1]: v[0] for k, v in one.items() if k[0] == "status"} == {r["overall_status"]: r["count"] for r in C.status_counts(files).collect()}
