@@ -44,3 +44,16 @@ def test_no_cartesian_products(spark, name):
 def test_policy_sets_are_broadcast_after_dedupe(spark):
     p = plan(spark, "policy_admission")
     assert p.count("BroadcastHashJoin") >= 4
+
+
+@pytest.mark.parametrize("name,scans", [("facets", 1), ("dashboard_buckets", 1)])
+def test_single_scan_reports(spark, name, scans):
+    p = plan(spark, name)
+    assert p.count("FileScan parquet") == scans
+
+
+def test_scan_merge_reads_listing_once(spark):
+    p = plan(spark, "scan_merge_files")
+    # the listing is the only input with a remote_path column (the catalog has ftp_path)
+    listing_scans = [line for line in p.splitlines() if "FileScan parquet" in line and "remote_path#" in line]
+    assert len(listing_scans) == 1
