@@ -87,3 +87,21 @@ def test_available_sets(spark):
     cats = [r[0] for r in P.available_catalogs(files, pol).collect()]
     assert "ZZ" in cats and "QQ" in cats and "AD" in cats and len(cats) == 14
     assert cats == sorted(cats)
+
+
+def test_parity_completed_total_and_admission_forms(spark):
+    from feedledger import fixtures as FX
+    from feedledger.operators import catalog as C
+    from feedledger.plans.listspec import ListSpec
+
+    t = FX.tables(spark, "/root/testdata/sf0.001")
+    total = C.count_files(t.files, ListSpec(pipeline_completed=True), t.file_stages).first()["total"]
+    consistency = ST.pipeline_consistency(t.files, t.file_stages).first()["pipeline_completed_count"]
+    assert total == consistency == 57  # FIXTURES check value at sf0.001
+    pol = P.Policy.from_tables(t)
+    set_form = {r["id"]: r["allowed"] for r in P.policy_allows(t.files, pol).collect()}
+    assert sum(set_form.values()) == 41  # FIXTURES: files admitted by policy at sf0.001
+    for row in t.files.orderBy("id").limit(25).collect():  # single-row form on a few files
+        one = spark.createDataFrame([(row["id"], row["catalog"], row["state"], row["year"], row["month"])],
+                                    "id string, catalog string, state string, year int, month int")
+        assert P.policy_allows(one, pol).first()["allowed"] == set_form[row["id"]]
