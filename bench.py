@@ -19,7 +19,7 @@ from feedledger.session import local_session  # noqa: E402
 
 HEADLINE = [
     # catalog
-    "size_by_state_levels", "size_by_catalog", "status_counts", "facets", "list_files_default",
+    "size_by_state_levels", "size_by_catalog", "status_counts", "facets", "dashboard_buckets", "list_files_default",
     "list_files_period", "list_files_glob", "list_files_completed", "count_files_filtered", "find_files_by_filters",
     "failed_since",
     # stages and insights
