@@ -8,7 +8,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import host_rules, line_dedup
+from . import bpe_sql, host_rules, lang_id, line_dedup, piece_counts
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file; it is the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_counts.count_tokens(C.documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
+def op4_bpe_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe_sql.round_trip(C.documents(spark, sf_dir), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op10_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.documents(spark, sf_dir)
+    held_out = lang_id.held_out(F.col("doc_id"))
+    model = lang_id.sample(docs.filter(~held_out))
+    out = lang_id.predict(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +105,9 @@ FROM j LEFT JOIN bad ON j.source = bad.source
 
 #: name -> (query, DuckDB SQL or None)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op2_piece_counts": (op2_piece_counts, None),
+    "op4_bpe_sql": (op4_bpe_sql, None),
+    "op10_lang_id": (op10_lang_id, None),
     "op3_line_dedup": (op3_line_dedup, OP3_SQL),
     "op8_host_rules": (op8_host_rules, OP8_SQL),
 }
