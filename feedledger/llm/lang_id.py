@@ -95,9 +95,6 @@ class Model:
         return self.langs[best], min(1.0, 0.5 + 5 * margin), margin, margin < MIN_MARGIN
 
 
-_MODELS: dict[int, Model] = {}
-
-
 def predict(docs: DataFrame, dictionaries: list[tuple[str, int, bytes]], text_col: str = "text",
             names: tuple[str, str, str, str] = ("lang_pred", "score", "margin", "rejected")) -> DataFrame:
     """``docs`` with four more columns named ``names`` (they replace columns of that name)."""
@@ -108,7 +105,7 @@ def predict(docs: DataFrame, dictionaries: list[tuple[str, int, bytes]], text_co
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _MODELS.get(shared.id) or _MODELS.setdefault(shared.id, Model(shared.value))
+        model = Model(shared.value)
         for b in batches:
             found = [model.classify(t) for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
             more = [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.string(), pa.float64(), pa.float64(), pa.bool_()))]
