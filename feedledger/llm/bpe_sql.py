@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK_BYTES = 200_000
 CHUNK_IDS = 1_000_000
@@ -186,7 +187,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in own.encode([t or "" for t in b.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return slim.mapInArrow(run, slim.drop("x").schema.add("ids", "array<int>"))
+    return slim.mapInArrow(run, slim.drop("x").schema.add("ids", T.ArrayType(T.IntegerType())))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

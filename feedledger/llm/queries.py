@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import bpe_sql, host_rules, huffman, lang_id, line_dedup, piece_counts
+from . import bpe_sql, host_rules, huffman, lang_id, line_dedup, piece_counts, shingle_join
 
 
 def vocabulary(name: str) -> str:
@@ -28,6 +28,10 @@ def op4_bpe_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_sql.round_trip(C.documents(spark, sf_dir), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.join_components(C.documents(spark, sf_dir))
+
+
 def op7_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = C.new_path(spark, "huffman")
     huffman.write_corpus(C.documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), 2, folder)
@@ -113,6 +117,7 @@ FROM j LEFT JOIN bad ON j.source = bad.source
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_piece_counts": (op2_piece_counts, None),
     "op4_bpe_sql": (op4_bpe_sql, None),
+    "op6_shingle_join": (op6_shingle_join, None),
     "op7_huffman": (op7_huffman, None),
     "op10_lang_id": (op10_lang_id, None),
     "op3_line_dedup": (op3_line_dedup, OP3_SQL),
