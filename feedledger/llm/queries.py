@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import bpe_sql, host_rules, huffman, lang_id, line_dedup, piece_counts, shingle_join
+from . import bpe_sql, gru_lm, host_rules, huffman, lang_id, line_dedup, piece_counts, shingle_join
 
 
 def vocabulary(name: str) -> str:
@@ -18,6 +18,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.documents(spark, sf_dir)
+    held_out = C.remainder(F.col("doc_id"), 7) == 2
+    out = gru_lm.fit_and_score(docs, ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_counts.count_tokens(C.documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
 
@@ -115,6 +122,7 @@ FROM j LEFT JOIN bad ON j.source = bad.source
 
 #: name -> (query, DuckDB SQL or None)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_gru_lm": (op1_gru_lm, None),
     "op2_piece_counts": (op2_piece_counts, None),
     "op4_bpe_sql": (op4_bpe_sql, None),
     "op6_shingle_join": (op6_shingle_join, None),
