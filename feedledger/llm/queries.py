@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from . import common as C
-from . import bpe_sql, gru_lm, host_rules, huffman, lang_id, line_dedup, piece_counts, shingle_join
+from . import bpe_sql, gru_lm, host_rules, huffman, impact_index, lang_id, line_dedup, pfair_mix, piece_counts, shingle_join
 
 
 def vocabulary(name: str) -> str:
@@ -35,6 +36,30 @@ def op4_bpe_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_sql.round_trip(C.documents(spark, sf_dir), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_impact_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    vectors = impact_index.integer_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return impact_index.top_k(C.stored(vectors, "vectors"), F.col("id") % impact_index.EVERY == 0)
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, sum(a.x * b.x)::BIGINT AS score
+  FROM (SELECT vec_id, unnest(q) AS x, generate_subscripts(q, 1) AS d FROM v WHERE vec_id % 50 = 0) a
+  JOIN (SELECT vec_id, unnest(q) AS x, generate_subscripts(q, 1) AS d FROM v) b ON a.d = b.d AND a.vec_id <> b.vec_id
+  GROUP BY a.vec_id, b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def op9_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfair_mix.mix(C.documents(spark, sf_dir).select("doc_id", "source"))
+
+
 def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.join_components(C.documents(spark, sf_dir))
 
@@ -126,6 +151,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op2_piece_counts": (op2_piece_counts, None),
     "op4_bpe_sql": (op4_bpe_sql, None),
     "op6_shingle_join": (op6_shingle_join, None),
+    "op5_impact_index": (op5_impact_index, OP5_SQL),
+    "op9_pfair_mix": (op9_pfair_mix, None),
     "op7_huffman": (op7_huffman, None),
     "op10_lang_id": (op10_lang_id, None),
     "op3_line_dedup": (op3_line_dedup, OP3_SQL),
