@@ -205,24 +205,30 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     return slim.mapInArrow(run, slim.drop("x").schema.add("raw", "binary"))
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every text, decode the ids, and digest both: doc_id, n_tokens, ids_sha256,
-    decoded_sha256. One pass in one worker, so ids and bytes do not travel."""
-    slim = _slim(docs, id_col, text_col)
-    schema = slim.drop("x").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), with_ids: bool = False) -> DataFrame:
+    """Encode every text, decode the ids, and digest both: doc_id, the columns ``carry``, n_tokens,
+    ids (array<int>, ``with_ids`` only), ids_sha256, decoded_sha256. One pass in one worker, so the
+    decoder's ids and bytes do not travel."""
+    slim = docs.select(F.col(text_col).alias("x"), F.col(id_col).alias("doc_id"), *carry)
+    schema = T.StructType(slim.schema.fields[1:]).add("n_tokens", "long")
+    if with_ids:
+        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
+    schema = schema.add("ids_sha256", "string").add("decoded_sha256", "string")
+    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for b in batches:
             for at in range(0, b.num_rows, 256):
-                texts = [t or "" for t in b.column(1).slice(at, 256).to_pylist()]
-                ids = list(own.encode(texts))
+                part = b.slice(at, 256)
+                ids = list(own.encode([t or "" for t in part.column(0).to_pylist()]))
                 back = [hashlib.sha256() for _ in ids]
                 for i, raw in own.decode(ids):
                     back[i].update(raw)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, 256), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                     pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()), pa.array([h.hexdigest() for h in back], pa.string())],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                cols = [*part.columns[1:], pa.array([len(x) // 4 for x in ids], pa.int64())]
+                if with_ids:
+                    cols.append(pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32())))
+                cols += [pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()), pa.array([h.hexdigest() for h in back], pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, names)
 
     return slim.mapInArrow(run, schema)

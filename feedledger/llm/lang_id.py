@@ -3,8 +3,9 @@
 Each language has a raw-content zstandard dictionary made from a bounded sample of its labelled
 texts. A text is lower-cased, its runs of non-letters become single spaces, and it is cut into
 pieces of ``PIECE`` bytes (all of it, so evidence adds up over a long text); every piece is
-compressed with each dictionary and the language with the fewest bytes wins. The margin is the share of bytes saved against the runner-up; a text with a narrow
-margin is marked ``rejected``.
+compressed with each dictionary and the language with the fewest bytes wins. The margin is the share of bytes saved against the runner-up. A text with a narrow margin is judged
+again at ``SECOND_LEVEL``, which finds shorter matches (a short text's sizes differ by few bytes); if
+the margin stays narrow the text is marked ``rejected``.
 
 Sample bound (documented parameters): ``SAMPLE_DOCS`` labelled texts a language, in the order of a
 hash of their id, ``SAMPLE_CHARS`` code points of each. Every text is classified whole.
@@ -17,6 +18,7 @@ extra columns are ignored by ``predict``.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -32,6 +34,7 @@ SAMPLE_DOCS = 256
 SAMPLE_CHARS = 1024
 PIECE = 4096
 LEVEL = 3
+SECOND_LEVEL = 19
 #: A text whose best dictionary saves less than this share of bytes against the next is rejected.
 MIN_MARGIN = 0.005
 
@@ -71,27 +74,37 @@ class Model:
 
         order = sorted(dictionaries, key=lambda d: (-d[1], d[0]))  # a tie takes the first
         self.langs = [d[0] for d in order]
-        self.compress = []
-        for _, _, content in order:
-            own = zstandard.ZstdCompressionDict(content or b" ", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            own.precompute_compress(level=LEVEL)
-            self.compress.append(zstandard.ZstdCompressor(dict_data=own, write_content_size=False, write_dict_id=False).compress)
 
-    def sizes(self, text: str) -> list[int]:
+        def compressors(level: int) -> list:
+            out = []
+            for _, _, content in order:
+                own = zstandard.ZstdCompressionDict(content or b" ", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                own.precompute_compress(level=level)
+                out.append(zstandard.ZstdCompressor(level=level, dict_data=own, write_content_size=False, write_dict_id=False).compress)
+            return out
+
+        self.compressors = functools.cache(compressors)
+
+    def sizes(self, text: str, level: int = LEVEL) -> list[int]:
         raw = letters(text)
         pieces = [raw[i: i + PIECE] for i in range(0, len(raw), PIECE)]
-        return [sum(len(f(p)) for p in pieces) for f in self.compress]
+        return [sum(len(f(p)) for p in pieces) for f in self.compressors(level)]
+
+    @staticmethod
+    def best(sizes: list[int]) -> tuple[int, float]:
+        best = min(range(len(sizes)), key=sizes.__getitem__)
+        rest = min(s for i, s in enumerate(sizes) if i != best)
+        return best, (rest - sizes[best]) / rest
 
     def classify(self, text: str | None) -> tuple[str, float, float, bool]:
         """(language, score, margin, rejected)."""
         if not self.langs or not text or not _LETTER.search(text):
             return UNDETERMINED, 0.0, 0.0, True
-        sizes = self.sizes(text)
-        best = min(range(len(sizes)), key=sizes.__getitem__)
-        if len(sizes) == 1:
+        if len(self.langs) == 1:
             return self.langs[0], 1.0, 1.0, False
-        rest = min(s for i, s in enumerate(sizes) if i != best)
-        margin = (rest - sizes[best]) / rest
+        best, margin = self.best(self.sizes(text))
+        if margin < MIN_MARGIN:
+            best, margin = self.best(self.sizes(text, SECOND_LEVEL))
         return self.langs[best], min(1.0, 0.5 + 5 * margin), margin, margin < MIN_MARGIN
 
 
