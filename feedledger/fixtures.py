@@ -10,33 +10,43 @@ engines give equal rows.
 from __future__ import annotations
 
 import re
+
 from pyspark.sql import DataFrame, SparkSession
 
+from . import schemas as S
+
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+#: Orders whose file names share a span of years: the next ones name the files of the next seven years,
+#: so the catalog grows with the orders up to the hundred years that a name can hold.
+KEYS_PER_SPAN = 12_000
+
+
+def pick(key: str, codes) -> str:
+    """SQL for the code that a key falls on."""
+    return f"CASE cast({key} % {len(codes)} as int) " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(codes)) + " END"
+
+
 # The derived views, in dependency order.
 VIEWS: dict[str, str] = {
-    "listing": """
-SELECT '/pub/' || substr('ADRDSPAQAMBIRJPAARERPSAN', 1 + cast(2*(o_orderkey % 12) as int), 2) AS ftp_dir, name,
+    "listing": f"""
+SELECT '/pub/' || catalog AS ftp_dir, name,
        cast(round(o_totalprice) as bigint) AS size, o_orderdate AS mod_time,
-       '/pub/' || substr('ADRDSPAQAMBIRJPAARERPSAN', 1 + cast(2*(o_orderkey % 12) as int), 2) || '/' || name AS remote_path, o_orderkey AS seq
+       '/pub/' || catalog || '/' || name AS remote_path, o_orderkey AS seq
 FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN lower(base) ELSE base END ||
         CASE WHEN o_orderkey % 41 = 0 THEN '.txt' WHEN o_orderkey % 3 = 0 THEN '.dbc' ELSE '.DBC' END AS name
-      FROM (SELECT *, substr('ADRDSPAQAMBIRJPAARERPSAN', 1 + cast(2*(o_orderkey % 12) as int), 2) ||
-                      substr('ACALAPAMBACEDFESGOMAMTMSMGPAPBPRPEPIRJRNRSRORRSCSPSETO', 1 + cast(2*(o_custkey % 27) as int), 2) ||
-                      lpad(cast(year(o_orderdate) % 100 as string), 2, '0') ||
+      FROM (SELECT *, catalog || state || lpad(cast(yy as string), 2, '0') ||
                       CASE WHEN o_orderkey % 37 = 0 THEN '13' ELSE lpad(cast(month(o_orderdate) as string), 2, '0') END ||
-                      CASE WHEN o_orderkey % 29 = 0 THEN '7'
-                           WHEN o_orderkey % 2 = 0 THEN substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ', 1 + cast(o_orderkey % 26 as int), 1)
-                           ELSE '' END AS base
-            FROM {orders}) a) b
+                      CASE WHEN o_orderkey % 29 = 0 THEN '7' WHEN o_orderkey % 2 = 0 THEN chr(65 + cast(o_orderkey % 26 as int)) ELSE '' END AS base
+            FROM (SELECT *, {pick("o_orderkey", S.KNOWN_CATALOGS)} AS catalog, {pick("o_custkey", S.KNOWN_STATES)} AS state,
+                         cast(year(o_orderdate) + 7 * floor(o_orderkey / {KEYS_PER_SPAN}) as int) % 100 AS yy FROM {{orders}}) c) a) b
 """,
     "files": """
 SELECT 'f' || cast(seq as string) AS id, upper(name) AS filename, substr(upper(name),1,2) AS catalog, substr(upper(name),3,2) AS state,
-       cast(year(mod_time) as int) AS year, cast(month(mod_time) as int) AS month,
+       CASE WHEN cast(substr(name,5,2) as int) <= 26 THEN 2000 ELSE 1900 END + cast(substr(name,5,2) as int) AS year, cast(month(mod_time) as int) AS month,
        CASE WHEN length(name) = 13 THEN substr(upper(name),9,1) END AS segment, ftp_dir, remote_path AS ftp_path,
        CASE WHEN seq % 11 = 0 THEN NULL WHEN seq % 7 = 0 THEN size + 1 ELSE size END AS size_bytes,
        CASE WHEN seq % 13 = 0 THEN NULL ELSE mod_time END AS remote_timestamp,
@@ -72,6 +82,12 @@ SELECT event_id AS id, 'f' || cast(user_id as string) AS file_id,
        CASE event_type WHEN 'view' THEN 'enqueued' WHEN 'click' THEN 'started' WHEN 'signup' THEN 'progress' WHEN 'purchase' THEN 'completed' ELSE 'failed' END AS event_type,
        event_type AS message, props AS payload_json, cast(round(value * 10) as bigint) AS duration_ms, ts AS created_at
 FROM {events}
+""",
+    # how many of a file's stages are done, and how many of those before the last one
+    "progress": """
+SELECT file_id, count(DISTINCT CASE WHEN status = 'done' THEN stage END) AS done_stages,
+       count(DISTINCT CASE WHEN status = 'done' AND stage <> 'parquet_conversion' THEN stage END) AS done_before_last
+FROM {file_stages} GROUP BY file_id
 """,
     "policy_catalogs": "SELECT * FROM (VALUES ('RD'),('SP'),('AD'),('AQ'),('PA')) AS t(catalog)",
     "policy_states": "SELECT * FROM (VALUES ('SP'),('RJ'),('MG'),('AC'),('BA'),('TO'),('PE'),('DF')) AS t(state)",
@@ -206,11 +222,11 @@ class Tables:
         return self._cache[name]
 
 
-_TABLES: dict[tuple[int, str], Tables] = {}
+_TABLES: dict[tuple[str, str], Tables] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _TABLES:
         _TABLES[key] = Tables(spark, sf_dir)
     return _TABLES[key]

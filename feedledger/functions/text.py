@@ -20,16 +20,27 @@ FILES_WORD = "arquivos"
 def number_to_text(x: str | Column) -> Column:
     """STR-12: a double as the shortest plain decimal text (no exponent); NULL -> ''.
 
-    Integral values below 9e18 go through ``long``; others through decimal(38,18) with the
-    trailing zeros removed; values beyond that range fall back to Spark's text.
+    The engine's text of a double has its shortest digits, with an exponent when it is very large or
+    small; the digits are then moved by the exponent. Integral values below 9e18 go through ``long``.
     """
     v = col_of(x).cast("double")
     integral = (v == F.floor(v)) & (F.abs(v) < F.lit(9e18))
-    dec = F.regexp_replace(v.try_cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    text = F.abs(v).cast("string")
+    sign = F.when(v < 0, F.lit("-")).otherwise(F.lit(""))
+    plain = F.regexp_replace(text, r"\.0$", "")
+    digits = F.regexp_replace(F.regexp_extract(text, r"^([0-9.]+)E", 1), r"\.0$", "")
+    exponent = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int")
+    whole, after = F.replace(digits, F.lit("."), F.lit("")), F.length(digits) - F.when(F.contains(digits, F.lit(".")), 2).otherwise(1)
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), whole)
+    # one digit stands before the point, so a large exponent moves it past all the others
+    large = F.when(exponent >= after, F.concat(whole, F.repeat(F.lit("0"), exponent - after))).otherwise(
+        F.concat(F.substring(whole, F.lit(1), exponent + 1), F.lit("."), F.substring(whole, exponent + 2, F.length(whole))))
+    moved = F.when(exponent < 0, small).otherwise(large)
     return (
         F.when(v.isNull(), F.lit(""))
         .when(integral, v.cast("long").cast("string"))
-        .otherwise(F.coalesce(dec, v.cast("string")))
+        .when(F.contains(text, F.lit("E")), F.concat(sign, moved))
+        .otherwise(F.when(text.rlike("^[0-9.]+$"), F.concat(sign, plain)).otherwise(v.cast("string")))
     )
 
 

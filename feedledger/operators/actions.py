@@ -24,8 +24,9 @@ from . import stages as ST
 
 def resolve_targets(files: DataFrame, ids: DataFrame | list[str] | None = None, pattern: str | None = None,
                     spec: ListSpec | None = None, stages: DataFrame | None = None,
-                    max_rows: int = S.BULK_ACTION_CAP) -> DataFrame:
-    """JOIN-18 + SORT-7: ids, else a non-blank pattern, else filters (capped); sorted by filename."""
+                    max_rows: int | None = None) -> DataFrame:
+    """JOIN-18 + SORT-7: ids, else a non-blank pattern, else filters (which must name a catalog or a
+    period). All matches, in no order; with ``max_rows``, a display list sorted by filename."""
     if ids is not None and (not isinstance(ids, list) or ids):
         out = C.find_by_ids(files, ids)
     elif pattern is not None and pattern.strip():
@@ -34,7 +35,7 @@ def resolve_targets(files: DataFrame, ids: DataFrame | list[str] | None = None,
         if spec is None or not spec.has_catalog_or_period():
             raise ValueError("filters must include catalog and/or period criteria")
         out = C.find_by_filters(files, spec, stages, max_rows)
-    return out.orderBy("filename")
+    return out if max_rows is None else out.limit(max_rows).orderBy("filename")
 
 
 # ------------------------------------------------------------------------ decisions (AGG-23/24)
@@ -84,8 +85,7 @@ def enqueue_batch(targets: DataFrame, stages: DataFrame, queue: DataFrame, polic
 
 def reprocess_failures(files: DataFrame, stages: DataFrame, queue: DataFrame, policy: P.Policy | None,
                        stage: str, since, as_of):
-    """AGG-25: files whose ``stage`` failed since ``since`` (JOIN-1, capped at 1000) that the
-    policy admits are reset and re-enqueued. Returns (stages, queue, outcome: matched, enqueued)."""
+    """AGG-25: files whose ``stage`` failed since ``since`` (JOIN-1) that the policy admits are reset and re-enqueued. Returns (stages, queue, outcome: matched, enqueued)."""
     matched = C.failed_since(files, stages, since, stage)
     d = decide(matched, policy)
     ok = d.where(F.col("allowed") if policy is not None else F.lit(True))

@@ -43,16 +43,16 @@ def ordered_previous(df: DataFrame, keys: list[str], order: list[str], values: l
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("_pid", "_m0", "_off")
     pos = tagged.join(F.broadcast(offsets), "_pid").withColumn("_pos", F.col("_mid") - F.col("_m0") + F.col("_off"))
     prev = pos.select((F.col("_pos") + 1).alias("_pos"), *[F.col(k).alias(f"_pk_{k}") for k in keys],
-                      *[F.col(v).alias(f"{prefix}{v}") for v in values])
+                      *[F.col(v).alias(f"{prefix}{v}") for v in values], F.lit(True).alias("_found"))
     j = pos.join(prev, "_pos", "left")
-    same = F.lit(True)
+    same = F.col("_found")  # the first row of all has no row before it
     for k in keys:
-        same = same & (F.col(k) == F.col(f"_pk_{k}"))
+        same = same & F.col(k).eqNullSafe(F.col(f"_pk_{k}"))
     same = F.coalesce(same, F.lit(False))
     out = j
     for v in values:
         out = out.withColumn(f"{prefix}{v}", F.when(same, F.col(f"{prefix}{v}")))
-    return out.drop("_pid", "_mid", "_m0", "_off", "_pos", *[f"_pk_{k}" for k in keys])
+    return out.drop("_pid", "_mid", "_m0", "_off", "_pos", "_found", *[f"_pk_{k}" for k in keys])
 
 
 def transition_table(spark) -> DataFrame:
@@ -82,14 +82,20 @@ def compare_datasets(a: DataFrame, b: DataFrame) -> DataFrame:
     """AGG-30 (re-aimed): row counts, rows only in a / only in b (multiset difference) and
     per-column distinct counts of both, as one summary row per column.
 
-    ``exceptAll`` is a shuffle on all columns, so equal datasets of any size are compared without
-    collecting either side.
+    Both sides are tagged and united; one group by the whole row gives its count on either side, and
+    one aggregate over the groups gives every figure. No row reaches the driver and nothing is read
+    twice.
     """
-    only_a = a.exceptAll(b).count()
-    only_b = b.exceptAll(a).count()
-    na, nb = a.count(), b.count()
-    da = a.agg(*[F.count_distinct(F.col(c)).alias(c) for c in a.columns]).first().asDict()
-    db = b.agg(*[F.count_distinct(F.col(c)).alias(c) for c in b.columns]).first().asDict()
-    rows = [(c, na, nb, only_a, only_b, int(da.get(c, 0)), int(db.get(c, 0)) if c in db else None) for c in a.columns]
-    return a.sparkSession.createDataFrame(
-        rows, "column string, rows_a long, rows_b long, only_in_a long, only_in_b long, distinct_a long, distinct_b long")
+    cols = a.columns
+    united = a.select(*cols, F.lit(1).cast("long").alias("_a"), F.lit(0).cast("long").alias("_b")).unionByName(
+        b.select(*cols, F.lit(0).cast("long").alias("_a"), F.lit(1).cast("long").alias("_b")))
+    rows = united.groupBy(*cols).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    zero = F.lit(0).cast("long")
+    figures = rows.agg(
+        F.coalesce(F.sum("_a"), zero).alias("rows_a"), F.coalesce(F.sum("_b"), zero).alias("rows_b"),
+        F.coalesce(F.sum(F.greatest(F.col("_a") - F.col("_b"), zero)), zero).alias("only_in_a"),
+        F.coalesce(F.sum(F.greatest(F.col("_b") - F.col("_a"), zero)), zero).alias("only_in_b"),
+        *(F.count_distinct(F.when(F.col(side) > 0, F.col(c))).alias(f"{side}{i}") for i, c in enumerate(cols) for side in ("_a", "_b")))
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"_a{i}").alias("distinct_a"), F.col(f"_b{i}").alias("distinct_b")) for i, c in enumerate(cols))))
+    return figures.select(each.alias("e"), "rows_a", "rows_b", "only_in_a", "only_in_b").select(
+        "e.column", "rows_a", "rows_b", "only_in_a", "only_in_b", "e.distinct_a", "e.distinct_b")

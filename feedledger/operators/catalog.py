@@ -144,23 +144,22 @@ def find_by_pattern(files: DataFrame, glob: str) -> DataFrame:
 
 
 def find_by_filters(files: DataFrame, spec: ListSpec, stages: DataFrame | None = None,
-                    max_rows: int = S.BULK_ACTION_CAP) -> DataFrame:
-    """FLT-16: the filtered list in list order, capped at ``max_rows`` (one top-k, no paging loop)."""
-    cap = max_rows if max_rows > 0 else S.BULK_ACTION_CAP
-    return filter_files(files, spec, stages).orderBy(*sort_columns(spec)).limit(cap)
+                    max_rows: int | None = None) -> DataFrame:
+    """FLT-16: all files that match. ``max_rows`` is for display lists: the first rows in list order
+    (one top-k, no paging loop)."""
+    out = filter_files(files, spec, stages)
+    return out if max_rows is None else out.orderBy(*sort_columns(spec)).limit(max_rows)
 
 
 def failed_since(files: DataFrame, stages: DataFrame, since, stage: str,
-                 cap: int = S.FAILED_SINCE_CAP) -> DataFrame:
-    """JOIN-1: files whose ``stage`` failed at or after ``since``, newest failure first, capped.
-
-    Ties on the stage time are broken by file id so the capped result is stable.
-    """
+                 max_rows: int | None = None) -> DataFrame:
+    """JOIN-1: all files whose ``stage`` failed at or after ``since``. ``max_rows`` is for display
+    lists: the newest failures, ties broken by file id."""
     failed = stages.where(
         (F.col("status") == "failed") & (F.col("stage") == stage) & (F.col("updated_at") >= S.ts_lit(since))
     ).select("file_id", F.col("updated_at").alias("failed_at"))
-    joined = files.join(failed, files["id"] == failed["file_id"], "inner")
-    return joined.orderBy(S.pg_desc("failed_at"), F.col("id").asc()).limit(cap).drop("file_id")
+    joined = files.join(failed, files["id"] == failed["file_id"], "inner").drop("file_id")
+    return joined if max_rows is None else joined.orderBy(S.pg_desc("failed_at"), F.col("id").asc()).limit(max_rows)
 
 
 # ------------------------------------------------------------------------------ aggregations

@@ -50,32 +50,25 @@ class Policy:
             ),
         )
 
-    # Bounded, normalised selection sets (safe to broadcast).
+    # The stored rows as they are, normalised like the files' codes and de-duplicated.
     def catalog_set(self) -> DataFrame:
-        c = S.norm_code("catalog")
-        return self.catalogs.select(c.alias("_p_catalog")).where(F.length("_p_catalog") == 2).distinct()
+        return self.catalogs.select(S.norm_code("catalog").alias("_p_catalog")).distinct()
 
     def state_set(self) -> DataFrame:
-        s = S.norm_code("state")
-        return (self.states.select(s.alias("_p_state"))
-                .where(F.col("_p_state").isin(S.KNOWN_STATES)).distinct())
+        return self.states.select(S.norm_code("state").alias("_p_state")).distinct()
 
     def year_set(self) -> DataFrame:
-        return (self.years.select(F.col("year").cast("int").alias("_p_year"))
-                .where(F.col("_p_year").between(0, MAX_YEAR)).distinct())
+        return self.years.select(F.col("year").cast("int").alias("_p_year")).distinct()
 
     def month_set(self) -> DataFrame:
-        return (
-            self.months.select(F.col("year").cast("int").alias("_p_myear"), F.col("month").cast("int").alias("_p_month"))
-            .where(F.col("_p_myear").between(0, MAX_YEAR) & F.col("_p_month").between(1, 12))
-            .distinct()
-        )
+        return self.months.select(F.col("year").cast("int").alias("_p_myear"), F.col("month").cast("int").alias("_p_month")).distinct()
 
 
 def _flag(df: DataFrame, dim: DataFrame, cond, flag: str) -> DataFrame:
-    """Left join to a bounded, distinct dimension and keep only a hit flag (an existence join)."""
+    """Left join to a distinct dimension and keep only a hit flag (an existence join). The optimizer
+    broadcasts the set while its size is below the threshold and shuffles beyond it."""
     hit = dim.withColumn(flag, F.lit(True))
-    out = df.join(F.broadcast(hit), cond(df, hit), "left")
+    out = df.join(hit, cond(df, hit), "left")
     return out.drop(*[c for c in dim.columns])
 
 
@@ -245,7 +238,7 @@ def available_years(files: DataFrame) -> DataFrame:
 def validate_policy(files: DataFrame, proposed: Policy) -> tuple[DataFrame, Policy]:
     """SET-10: (rejects, accepted). Rejects carry level, value and reason; accepted sets are
     normalised and de-duplicated. Years and month-years must occur among the files' periods."""
-    years_seen = F.broadcast(available_years(files).withColumn("_seen", F.lit(True)))
+    years_seen = available_years(files).withColumn("_seen", F.lit(True))
 
     cat = proposed.catalogs.select(F.col("catalog").alias("raw"), S.norm_code("catalog").alias("v"))
     cat_bad = cat.where(F.length("v") != 2).select(

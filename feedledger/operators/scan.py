@@ -452,20 +452,22 @@ def local_sync(files: DataFrame, stages: DataFrame, local: DataFrame, as_of, as_
     """
     l = local.withColumn("is_data", N.has_data_extension("name")).where("is_data")
     l = N.with_parsed_name(l, "name", as_of_year, "p").withColumn("filename", F.upper("name"))
-    ok = l.where(F.col("p.error").isNull())
+    # copies of a name: one is chosen for the row and its paths alike (newest, then path)
+    ok = l.where(F.col("p.error").isNull()).groupBy("filename").agg(
+        F.max_by(F.struct("p", "size", "mod_time", "remote_path"), F.struct("mod_time", "remote_path")).alias("x")).select("filename", "x.*")
     rows = ok.select(
         "filename", F.col("p.catalog").alias("catalog"), F.col("p.state").alias("state"),
         F.col("p.year").alias("year"), F.col("p.month").alias("month"), F.col("p.segment").alias("segment"),
         F.lit("local_policy").alias("ftp_dir"), F.col("remote_path").alias("ftp_path"),
         F.col("size").cast("long").alias("size_bytes"), F.lit(None).cast("string").alias("remote_checksum"),
         F.col("mod_time").cast("timestamp").alias("remote_timestamp"), F.lit(download_root).alias("root_path"),
-    ).dropDuplicates(["filename"])
+    )
     up = upsert_files(files, rows, as_of)
     paths = ok.select(
         "filename", F.col("remote_path").alias("_dbc"),
         N.canonical_path(csv_root, "p.catalog", "p.state", "p.year", "p.month", "filename", ".csv").alias("_csv"),
         N.canonical_path(parquet_root, "p.catalog", "p.state", "p.year", "p.month", "filename", ".parquet").alias("_pq"),
-    ).dropDuplicates(["filename"])
+    )
     flags = with_artifact_flags(
         paths.select("filename", F.col("_dbc").alias("dbc_path"), F.col("_csv").alias("csv_path"),
                      F.col("_pq").alias("parquet_path")), artifacts, key="filename")

@@ -62,7 +62,7 @@ def _decode_iter(batches, encoding: str, record_batch: int = RECORD_BATCH, chunk
                 h = dbc.parse_header(data, encoding)
                 sig = h.signature()
                 size = h.record_len
-                limit = h.n_records if h.n_records else None
+                limit = h.n_records
                 pending = bytearray()
                 batch: list[bytes] = []
 
@@ -77,8 +77,7 @@ def _decode_iter(batches, encoding: str, record_batch: int = RECORD_BATCH, chunk
                 for piece in dbc.explode_chunks(data, h.header_len + 4, chunk):
                     pending += piece
                     whole = len(pending) // size
-                    if limit is not None:
-                        whole = min(whole, limit - done - len(batch))
+                    whole = min(whole, limit - done - len(batch))
                     if whole > 0:
                         batch.extend(bytes(pending[i * size:(i + 1) * size]) for i in range(whole))
                         del pending[:whole * size]
@@ -86,11 +85,13 @@ def _decode_iter(batches, encoding: str, record_batch: int = RECORD_BATCH, chunk
                         yield flush(batch, done)
                         done += len(batch)
                         batch = []
-                    if limit is not None and done + len(batch) >= limit:
-                        break
                 if batch:
                     yield flush(batch, done)
                     done += len(batch)
+                if done < limit:
+                    raise ValueError(f"body holds {done} of {limit} records")
+                if bytes(pending) not in (b"", b"\x1a"):
+                    raise ValueError(f"{len(pending)} bytes follow the last of {limit} records")
                 ms = (time.perf_counter() - t0) * 1000.0
                 yield pd.DataFrame([[path, *parts.values(), "file", sig, h.fields_json(), None, None, None, ms, done]],
                                    columns=cols)

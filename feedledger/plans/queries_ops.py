@@ -104,11 +104,10 @@ def _remove_month(t):
 
 # =================================================================================== actions
 
-BATCH_SPEC = ListSpec(catalogs=("SP", "AD", "RJ"), period_from=(1997, 1), period_to=(1999, 12), limit=S.BULK_ACTION_CAP)
+BATCH_SPEC = ListSpec(catalogs=("SP", "AD", "RJ"), period_from=(1997, 1), period_to=(1999, 12))
 BATCH_TARGETS_SQL = f"""
 targets AS (SELECT * FROM files WHERE catalog IN ('SP','AD','RJ') AND (year > 1997 OR (year = 1997 AND month >= 1))
-            AND (year < 1999 OR (year = 1999 AND month <= 12))
-            ORDER BY coalesce(remote_timestamp, last_seen_at) DESC NULLS FIRST, id ASC LIMIT 5000),
+            AND (year < 1999 OR (year = 1999 AND month <= 12))),
 dec AS (SELECT f.*, CASE WHEN overall_status = 'purged' THEN 'blocked_purged' WHEN NOT {ALLOWED_SQL} THEN 'blocked_policy'
                ELSE 'eligible' END AS decision FROM targets f)"""
 
@@ -153,8 +152,7 @@ def _batch_queue(t):
 
 @register("reprocess_failures_outcome", "AGG-25,JOIN-1", f"""
 WITH m AS (SELECT f.* FROM files f JOIN file_stages s ON s.file_id = f.id
-           WHERE s.status = 'failed' AND s.stage = 'download' AND s.updated_at >= TIMESTAMP '1998-01-01 00:00:00'
-           ORDER BY s.updated_at DESC NULLS FIRST, f.id ASC LIMIT 1000)
+           WHERE s.status = 'failed' AND s.stage = 'download' AND s.updated_at >= TIMESTAMP '1998-01-01 00:00:00')
 SELECT count(*) AS matched, count(*) FILTER (WHERE {ALLOWED_SQL}) AS enqueued FROM m f""", VIEWS_POLICY + ("file_stages",))
 def _reprocess(t):
     _, _, out = A.reprocess_failures(t.files, t.file_stages, t.job_queue, P.Policy.from_tables(t), "download",

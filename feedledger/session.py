@@ -6,7 +6,9 @@ tests, the bench and the examples only.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -28,7 +30,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(key, value)
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="feedledger-ckpt-", dir="/tmp"))
         .config("spark.driver.memory", os.environ.get("FEEDLEDGER_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
@@ -41,8 +42,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is. Only when it is
-    unset (local tests) is a scratch folder created and set.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is. Only with a local
+    master (tests) is a scratch folder created and set when it is unset; it goes with the process.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -50,7 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="feedledger-ckpt-", dir="/tmp")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     sc.setCheckpointDir(path)
     return path
 

@@ -360,7 +360,9 @@ def build_dbf(fields: list[tuple[str, str, int]], records: list[list[str]], enco
     for i, rec in enumerate(records):
         body.append(ord("*") if deleted and i in deleted else ord(" "))
         for (name, typ, length), value in zip(fields, rec):
-            v = value.encode(encoding)[:length]
+            v = value.encode(encoding)
+            if len(v) > length:
+                raise ValueError(f"field {name}: {len(v)} bytes do not fit a width of {length}")
             body += v + b" " * (length - len(v))
     return bytes(head + desc + b"\x0d" + body + b"\x1a")
 

@@ -6,42 +6,47 @@ from pyspark.sql import functions as F
 from feedledger.functions import glob as G
 from feedledger.functions import names as N
 
-PARSE_OK = [
-    ("SPTO2602.dbc", ("SP", "TO", 2026, 2, None)),
-    ("RJRJ2401.dbc", ("RJ", "RJ", 2024, 1, None)),
-    ("ACAO0012.dbc", ("AC", "AO", 2000, 12, None)),
-    ("MGMG9901.dbc", ("MG", "MG", 1999, 1, None)),
-    ("RDSP2401A.dbc", ("RD", "SP", 2024, 1, "A")),
-    ("rdsp2401b.dbc", ("RD", "SP", 2024, 1, "B")),
-    ("SPSP2501Z.dbc", ("SP", "SP", 2025, 1, "Z")),
-]
-PARSE_BAD = ["SPTO260.dbc", "SPTO26020.dbc", "RDSP2401AB.dbc", "SPTO2602.csv", "SPTO2602", "12TO2602.dbc",
-             "SPXY26A2.dbc", "SPXY2699.dbc", "SPXY2600.dbc"]
-
-
-def test_parse_filename_golden(spark):
-    names = [n for n, _ in PARSE_OK] + PARSE_BAD
-    df = spark.createDataFrame([(n,) for n in names], "name string")
-    rows = {r["name"]: r["p"] for r in df.select("name", N.parse_filename("name", 2026).alias("p")).collect()}
-    for name, (cat, st, yr, mo, seg) in PARSE_OK:
+AS_OF_YEAR = 2031
+LETTERS = "QWKZ"
+
+
+def _valid():
+    """Names built from their parts: every month, both sides of the pivot, with and without a segment."""
+    for month in range(1, 13):
+        for yy in (0, 31, 32, 99):
+            for segment in (None, LETTERS[month % 4]):
+                name = f"KX{LETTERS[yy % 4]}Y{yy:02d}{month:02d}{segment or ''}.DBC"
+                yield (name.lower() if (yy + month) % 2 else name), ("KX", f"{LETTERS[yy % 4]}Y", (2000 if yy <= 31 else 1900) + yy, month, segment)
+
+
+# one fault each, in the order in which they are looked for: a name with several has the first
+FAULTS = {
+    "extension": ["KXQY0501.DB", "KXQY0501.DBCX", "KXQY0501", ".", "KX"],
+    "length": [f"{'KXQY0501'[:n]}.DBC" for n in range(1, 8)] + ["KXQY0501AB.DBC", "KXQY0501ABCD.DBC"],
+    "segment": [f"KXQY0501{c}.DBC" for c in "09-_"],
+    "catalog": ["1XQY0501.DBC", "K9QY0501.DBC", "K-QY05X1.DBC"],
+    "state": ["KX1Y0501.DBC", "KXQ00501.DBC", "KXQ-A501.DBC"],
+    "year": ["KXQYA501.DBC", "KXQY0Z01.DBC", "KXQY-5XX.DBC"],
+    "month": ["KXQY05A1.DBC", "KXQY050B.DBC"],
+    "month_range": ["KXQY0500.DBC", "KXQY0513.DBC", "KXQY0599.DBC"],
+}
+
+
+def test_parse_filename_of_built_names(spark):
+    cases = dict(_valid())
+    df = spark.createDataFrame([(n,) for n in cases], "name string")
+    rows = {r["name"]: r["p"] for r in df.select("name", N.parse_filename("name", AS_OF_YEAR).alias("p")).collect()}
+    for name, want in cases.items():
         p = rows[name]
-        assert (p["catalog"], p["state"], p["year"], p["month"], p["segment"], p["error"]) == (cat, st, yr, mo, seg, None), name
-    for name in PARSE_BAD:
-        assert rows[name]["error"] is not None, name
-        assert rows[name]["catalog"] is None
+        assert (p["catalog"], p["state"], p["year"], p["month"], p["segment"], p["error"]) == (*want, None), name
 
 
-def test_parse_error_order(spark):
-    df = spark.createDataFrame([("SPTO2602.csv",), ("SPTO260.dbc",), ("RDSP24017.dbc",), ("12TO2602.dbc",),
-                                ("SP12XX02.dbc",), ("SPTOAB02.dbc",), ("SPTO26AB.dbc",), ("SPTO2613.dbc",)], "name string")
-    got = [r[0] for r in df.select(N.parse_filename("name", 2026).getField("error")).collect()]
-    assert got == ["extension", "length", "segment", "catalog", "state", "year", "month", "month_range"]
-
-
-def test_year_pivot(spark):
-    df = spark.createDataFrame([("SPTO2602.dbc",), ("SPTO2702.dbc",)], "name string")
-    got = [r[0] for r in df.select(N.parse_filename("name", 2026).getField("year")).collect()]
-    assert got == [2026, 1927]
+@pytest.mark.parametrize("fault", FAULTS)
+def test_parse_faults(spark, fault):
+    df = spark.createDataFrame([(n,) for n in FAULTS[fault]], "name string")
+    for r in df.select("name", N.parse_filename("name", AS_OF_YEAR).alias("p")).collect():
+        assert r["p"]["error"] == fault, r["name"]
+        assert r["p"]["catalog"] is None
 
 
 @pytest.mark.parametrize("glob,pattern", [
