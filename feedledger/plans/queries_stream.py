@@ -35,6 +35,26 @@ def _event_stream(t, label, extra=None):
     return SJ.read_events(spark, f"{d}/events", max_files=FILES_PER_BATCH)
 
 
+def _files_of(spark, folder):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(str(st.getPath()) for st in fs.listStatus(path) if st.getPath().getName().startswith("part-"))
+
+
+def _split_off(spark, folder, seen):
+    """The part files of a folder in two groups: what a first and a second start of a stream find."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(seen)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    files = _files_of(spark, folder)
+    return [files[: len(files) // 2], files[len(files) // 2:]]
+
+
+def _move_in(spark, files, seen):
+    for f in files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).rename(path, spark._jvm.org.apache.hadoop.fs.Path(seen))
+
+
 @register("stream_stage_summary", "STM-2,WIN-8", """
 WITH c AS (SELECT * FROM stage_events WHERE event_type IN ('enqueued','retrying','started','completed','failed','purged')),
 last AS (SELECT file_id, stage, event_type, created_at FROM (
@@ -94,13 +114,15 @@ def _stream_landing(t):
     spark = t.spark
     d = _scratch(spark, "landing")
     t.listing.select("ftp_dir", "name", "size", S.as_ts("mod_time").alias("mod_time"), "remote_path") \
-        .repartition(3).write.parquet(f"{d}/listing")
+        .repartition(2, F.upper("name")).write.parquet(f"{d}/listing")
     SC.conform_files(t.files).write.parquet(f"{d}/state/files/v=0")
     ST.conform_stages(t.file_stages).write.parquet(f"{d}/state/stages/v=0")
     J.conform_queue(t.job_queue).write.parquet(f"{d}/state/queue/v=0")
-    q = SJ.start_landing(spark, f"{d}/listing", f"{d}/state", lambda s: P.Policy.from_tables(t), lambda: AS_OF,
-                         AS_OF_YEAR)
-    q.awaitTermination()
+    # two starts over the same state: the first sees one file, the second goes on with the others
+    names = _split_off(spark, f"{d}/listing", f"{d}/seen")
+    for part in names:
+        _move_in(spark, part, f"{d}/seen")
+        SJ.start_landing(spark, f"{d}/seen", f"{d}/state", lambda s: P.Policy.from_tables(t), lambda: AS_OF, AS_OF_YEAR, max_files=1).awaitTermination()
     files, _, _ = SJ._latest_tables(spark, f"{d}/state")
     return files.select("id", "filename", "overall_status", "last_seen_at")
 
@@ -123,13 +145,10 @@ def _stream_fold(t):
     d = _scratch(spark, "fold")
     ev = t.stage_events.withColumn("created_at", S.as_ts("created_at"))
     ev.repartition(6, "file_id").write.parquet(f"{d}/events")
-    base = ST.conform_stages(t.file_stages)
-    base.write.parquet(f"{d}/base")
-    q = SJ.start_stage_fold(spark, f"{d}/events", f"{d}/state", lambda s: s.read.parquet(f"{d}/base"),
-                            max_files=FILES_PER_BATCH)
-    q.awaitTermination()
-    latest = SJ._latest_version(spark, f"{d}/state/stages")
-    return spark.read.parquet(latest).select("file_id", "stage", "status", "attempts", "error_message")
+    for part in _split_off(spark, f"{d}/events", f"{d}/seen"):
+        _move_in(spark, part, f"{d}/seen")
+        SJ.start_stage_fold(spark, f"{d}/seen", f"{d}/state", max_files=FILES_PER_BATCH).awaitTermination()
+    return SJ.folded_stages(spark, f"{d}/state", ST.conform_stages(t.file_stages)).select("file_id", "stage", "status", "attempts", "error_message")
 
 
 @register("stream_failure_alerts", "STM-3,WIN-6", """
@@ -143,7 +162,7 @@ def _stream_alerts(t):
     ev = t.stage_events.withColumn("created_at", S.as_ts("created_at"))
     ev.repartition(6, "file_id").write.parquet(f"{d}/events")
     # the event files each span the whole month, so the watermark delay covers it: no event is late
-    q = SJ.start_failure_alerts(spark, f"{d}/events", f"{d}/state", delay="40 days", max_files=FILES_PER_BATCH)
-    q.awaitTermination()
-    hours = spark.read.parquet(SJ._latest_version(spark, f"{d}/state/hours"))
-    return SJ.with_spike_flag(hours).select("hour", "failures", "previous", "spike")
+    for part in _split_off(spark, f"{d}/events", f"{d}/seen"):
+        _move_in(spark, part, f"{d}/seen")
+        SJ.start_failure_alerts(spark, f"{d}/seen", f"{d}/state", delay="40 days", max_files=FILES_PER_BATCH).awaitTermination()
+    return SJ.with_spike_flag(SJ.hour_table(spark, f"{d}/state")).select("hour", "failures", "previous", "spike")

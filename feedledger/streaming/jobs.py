@@ -1,12 +1,13 @@
 """Structured Streaming forms of the pipeline's polling loops (STM-1..5).
 
 The transformations are the batch operators; only sources, sinks, watermarks and state are
-stream-specific. Stream checkpoints live under the cluster's checkpoint folder.
+stream-specific. Every sink keeps its stream checkpoint beside its state, under one fixed name, so a
+second start goes on where the first one ended; a batch that is delivered again is consumed and
+changes nothing. State tables grow by deltas of the changed keys and are compacted from time to time.
 """
 
 from __future__ import annotations
 
-import uuid
 from typing import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,14 +19,82 @@ from ..operators import jobs as J
 from ..operators import policy as P
 from ..operators import scan as SC
 from ..operators import stages as ST
-from ..session import ensure_checkpoint_dir
 
 EVENT_SCHEMA = ("id long, file_id string, stage string, event_type string, message string, payload_json string, "
                 "duration_ms long, created_at timestamp")
 
 
-def checkpoint_location(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:10]}"
+#: A state table is written as a whole after this many deltas.
+COMPACT_EVERY = 10
+
+
+def checkpoint_location(state_root: str, name: str) -> str:
+    """Where a sink's progress is kept: fixed by the state folder and the sink's name."""
+    return f"{state_root.rstrip('/')}/_streams/{name}"
+
+
+class Folder:
+    """Versioned tables below one folder of any Hadoop file system: ``{table}/v=N`` (a delta) and
+    ``{table}/all=N`` (everything up to N). A version counts once its writer has committed it."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def versions(self, table: str, kind: str = "v") -> list[int]:
+        at = self._path(f"{self.root}/{table}")
+        if not self._fs.exists(at):
+            return []
+        names = [st.getPath().getName() for st in self._fs.listStatus(at)]
+        return sorted(int(n.split("=")[1]) for n in names
+                      if n.startswith(f"{kind}=") and self._fs.exists(self._path(f"{self.root}/{table}/{n}/_SUCCESS")))
+
+    def has(self, table: str, version: int) -> bool:
+        return version in self.versions(table) or any(v >= version for v in self.versions(table, "all"))
+
+    def write(self, table: str, version: int, df: DataFrame, kind: str = "v") -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/{table}/{kind}={version}")
+
+    def read(self, table: str, version: int, kind: str = "v") -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{table}/{kind}={version}")
+
+    def current(self, table: str, keys: list[str], below: int | None = None) -> DataFrame | None:
+        """The newest row of every key, of versions less than ``below``; None if there is none."""
+        keep = [v for v in self.versions(table, "all") if below is None or v < below]
+        base = max(keep, default=-1)
+        deltas = [v for v in self.versions(table) if v > base and (below is None or v < below)]
+        parts = ([self.read(table, base, "all").withColumn("_v", F.lit(base).cast("long"))] if base >= 0 else []) + [
+            self.read(table, v).withColumn("_v", F.lit(v).cast("long")) for v in deltas]
+        if not parts:
+            return None
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        if len(parts) == 1:
+            return out.drop("_v")
+        rest = [c for c in out.columns if c not in (*keys, "_v")]
+        return out.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_v").alias("_x")).select(*keys, "_x.*")  # partial per task
+
+    def compact(self, table: str, keys: list[str], version: int) -> None:
+        """Write the whole table when enough deltas have come; drop what the last whole one replaced."""
+        whole = self.versions(table, "all")
+        if len([v for v in self.versions(table) if v > max(whole, default=-1)]) < COMPACT_EVERY:
+            return
+        self.write(table, version, self.current(table, keys, version + 1), "all")
+        if whole:  # readers of the newest table never see the one before the last go
+            self.drop(table, max(whole))
+
+    def drop(self, table: str, upto: int) -> None:
+        for kind in ("v", "all"):
+            for v in self.versions(table, kind):
+                if v < upto or (v == upto and kind == "v"):
+                    self._fs.delete(self._path(f"{self.root}/{table}/{kind}={v}"), True)
+
+
+def consume(batch: DataFrame) -> None:
+    """Run a batch that is not used: a stateful query must commit its state stores."""
+    batch.write.format("noop").mode("overwrite").save()
 
 
 def read_events(spark: SparkSession, path: str, schema: str = EVENT_SCHEMA, max_files: int | None = None) -> DataFrame:
@@ -36,15 +105,36 @@ def read_events(spark: SparkSession, path: str, schema: str = EVENT_SCHEMA, max_
     return r.parquet(path).withColumn("created_at", S.as_ts("created_at"))
 
 
-def run_available_now(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a streaming query over everything available, into a memory table; return the table.
-    (For tests and checks; production sinks are files/tables with the same query.)"""
+def run_available_now(df: DataFrame, name: str, mode: str = "append", root: str | None = None) -> DataFrame:
+    """Run a streaming query over everything available into versioned Parquet tables and return the
+    result: all batches (append, update) or the last one (complete). With the same ``root`` a later
+    call goes on where this one ended. No row passes through the driver."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
     spark = df.sparkSession
-    q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
-         .option("checkpointLocation", checkpoint_location(spark, name))
-         .trigger(availableNow=True).start())
+    root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/feedledger-sink-{uuid.uuid4().hex[:12]}"
+    schema = df.schema
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = Folder(batch.sparkSession, root)
+        if out.has(name, batch_id):
+            consume(batch)
+            return
+        out.write(name, batch_id, batch)
+        if mode == "complete":
+            out.drop(name, batch_id - 1)
+
+    q = (df.writeStream.foreachBatch(write).outputMode(mode).queryName(name)
+         .option("checkpointLocation", checkpoint_location(root, name)).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    versions = Folder(spark, root).versions(name)
+    if not versions:
+        return spark.createDataFrame([], schema)
+    if mode == "complete":
+        versions = versions[-1:]
+    return spark.read.schema(schema).parquet(*(f"{root}/{name}/v={v}" for v in versions))
 
 
 # ----------------------------------------------------------------------------- STM-5 dedupe
@@ -131,12 +221,6 @@ def stage_state_with_state(events: DataFrame) -> DataFrame:
     )
 
 
-def fold_into_stages(stages: DataFrame, summary: DataFrame) -> DataFrame:
-    """Apply a final per-(file, stage) summary (``stages.latest_stage_state`` shape) to the stage
-    table, with the same rules as the batch fold (UPD-6)."""
-    return ST.apply_stage_summary(stages, summary)
-
-
 # ----------------------------------------------------------------------------- STM-3 alerts
 
 
@@ -175,54 +259,67 @@ def queue_depth_stream(queue_rows: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- STM-1 landing
 
 
+LANDING_TABLES = {"files": ["id"], "stages": ["file_id", "stage"], "queue": ["id"], "summary": None}
+
+
 def landing_merge_batch(state_root: str, policy_fn: Callable[[SparkSession], P.Policy | None], as_of_fn,
                         as_of_year: int) -> Callable[[DataFrame, int], None]:
     """STM-1: ``foreachBatch`` body merging each listing micro-batch into versioned catalog tables.
 
-    Version 0 is the seed; batch ``b`` writes fresh folders ``{state_root}/{table}/v={b + 1}``. A
-    batch whose version already exists is skipped, so a re-delivered batch is a no-op (idempotent).
+    Version 0 is the seed; batch ``b`` writes the rows it changed as version ``b + 1`` of every table
+    (files last: that commits the batch). A batch whose version exists is consumed and skipped.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = batch_id + 1
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{state_root}/files/v={version}/_SUCCESS")
-        fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if fs.exists(jvm_path):
+        version, state = batch_id + 1, Folder(batch.sparkSession, state_root)
+        if state.has("files", version):
+            consume(batch)
             return
-        files, stages, queue = _latest_tables(spark, state_root, below=version)  # never this batch's own output
-        res = SC.merge_scan(files, stages, queue, batch, policy_fn(spark), as_of_fn(), as_of_year, checkpoint=True)
-        for name, df in (("stages", res.stages), ("queue", res.queue), ("summary", res.summary)):
-            df.write.mode("overwrite").parquet(f"{state_root}/{name}/v={version}")
-        res.files.drop("is_new").write.mode("overwrite").parquet(f"{state_root}/files/v={version}")
+        old = dict(zip(("files", "stages", "queue"), _latest_tables(spark, state_root, below=version)))  # never this batch's own output
+        res = SC.merge_scan(old["files"], old["stages"], old["queue"], batch, policy_fn(spark), as_of_fn(), as_of_year, checkpoint=True)
+        state.write("summary", version, res.summary)
+        for name, new in (("stages", res.stages), ("queue", res.queue), ("files", res.files.drop("is_new"))):
+            state.write(name, version, _changed(new, old[name], LANDING_TABLES[name]))
+        for name, keys in LANDING_TABLES.items():
+            if keys:
+                state.compact(name, keys, version)
 
     return run
 
 
+def _changed(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``new`` that ``old`` does not hold in the same form (an anti join on the key and a
+    hash of the whole row)."""
+    cols = new.columns
+    mark = F.xxhash64(*cols)
+    seen = old.select(*(F.col(k).alias(f"_k_{k}") for k in keys), mark.alias("_h"))
+    match = F.col("_mark") == F.col("_h")
+    for k in keys:
+        match = match & (F.col(k) == F.col(f"_k_{k}"))
+    return new.withColumn("_mark", mark).join(seen, match, "left_anti").select(*cols)
+
+
 def _latest_tables(spark: SparkSession, root: str, below: int | None = None):
+    state = Folder(spark, root)
+
     def latest(name: str, schema):
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
-        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(p):
+        found = state.current(name, LANDING_TABLES[name], below)
+        if found is None:
             return spark.createDataFrame([], schema)
-        versions = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(p)
-                    if s.getPath().getName().startswith("v=")
-                    and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-        if below is not None:
-            versions = [v for v in versions if v < below]
-        if not versions:
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(f"{root}/{name}/v={max(versions)}")
+        return found.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
 
     return latest("files", S.FILES), latest("stages", S.FILE_STAGES), latest("queue", S.JOB_QUEUE)
 
 
 def start_landing(spark: SparkSession, listing_dir: str, state_root: str, policy_fn, as_of_fn, as_of_year: int,
-                  available_now: bool = True):
+                  available_now: bool = True, max_files: int | None = None):
     """STM-1: a file stream of listing snapshots (Parquet with the LISTING schema) merged batch by batch."""
-    listing = spark.readStream.schema(S.LISTING).parquet(listing_dir)
-    w = (listing.writeStream.foreachBatch(landing_merge_batch(state_root, policy_fn, as_of_fn, as_of_year))
-         .option("checkpointLocation", checkpoint_location(spark, "landing")))
+    r = spark.readStream.schema(S.LISTING)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    w = (r.parquet(listing_dir).writeStream.foreachBatch(landing_merge_batch(state_root, policy_fn, as_of_fn, as_of_year))
+         .option("checkpointLocation", checkpoint_location(state_root, "landing")))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
     return w.start()
 
@@ -230,48 +327,41 @@ def start_landing(spark: SparkSession, listing_dir: str, state_root: str, policy
 # --------------------------------------------------------------- STM-2 foreachBatch fold
 
 
-def stage_fold_batch(state_root: str, base_stages_fn: Callable[[SparkSession], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """STM-2: ``foreachBatch`` body folding each event micro-batch into a running summary and the
-    stage table, both written as fresh versions ``{state_root}/{summary,stages}/v={batch_id + 1}``.
-    A re-delivered batch whose version exists is skipped (idempotent)."""
+STAGE_KEYS = ["file_id", "stage"]
+
+
+def stage_fold_batch(state_root: str) -> Callable[[DataFrame, int], None]:
+    """STM-2: ``foreachBatch`` body folding each event micro-batch into a running summary by (file,
+    stage). A batch reads the old summaries of its own keys only and writes those keys as version
+    ``batch_id + 1``; a batch whose version exists is consumed and skipped."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        version = batch_id + 1
-        hp = spark._jvm.org.apache.hadoop.fs.Path
-        fs = hp(state_root).getFileSystem(spark._jsc.hadoopConfiguration())
-        if fs.exists(hp(f"{state_root}/stages/v={version}/_SUCCESS")):
+        version, state = batch_id + 1, Folder(batch.sparkSession, state_root)
+        if state.has("summary", version):
+            consume(batch)
             return
         summary = ST.latest_stage_state(batch)
-        prev = _latest_version(spark, f"{state_root}/summary", below=version)  # never this batch's own output
-        if prev is not None:
-            summary = ST.merge_stage_summaries(spark.read.parquet(prev), summary)
-        summary.write.mode("overwrite").parquet(f"{state_root}/summary/v={version}")
-        merged = spark.read.parquet(f"{state_root}/summary/v={version}")
-        ST.apply_stage_summary(base_stages_fn(spark), merged).write.mode("overwrite").parquet(
-            f"{state_root}/stages/v={version}")
+        old = state.current("summary", STAGE_KEYS, below=version)
+        if old is not None:
+            mine = old.join(summary.select(*STAGE_KEYS), STAGE_KEYS, "left_semi").select(*old.columns)
+            summary = ST.merge_stage_summaries(mine, summary)
+        state.write("summary", version, summary)
+        state.compact("summary", STAGE_KEYS, version)
 
     return run
 
 
-def _latest_version(spark: SparkSession, root: str, below: int | None = None) -> str | None:
-    hp = spark._jvm.org.apache.hadoop.fs.Path
-    p = hp(root)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return None
-    done = [int(st.getPath().getName().split("=")[1]) for st in fs.listStatus(p)
-            if st.getPath().getName().startswith("v=") and fs.exists(hp(st.getPath(), "_SUCCESS"))]
-    if below is not None:
-        done = [v for v in done if v < below]
-    return f"{root}/v={max(done)}" if done else None
+def folded_stages(spark: SparkSession, state_root: str, stages: DataFrame) -> DataFrame:
+    """The stage table with the folded events applied (UPD-6)."""
+    summary = Folder(spark, state_root).current("summary", STAGE_KEYS)
+    return stages if summary is None else ST.apply_stage_summary(stages, summary)
 
 
-def start_stage_fold(spark: SparkSession, events_dir: str, state_root: str, base_stages_fn, max_files: int | None = None):
+def start_stage_fold(spark: SparkSession, events_dir: str, state_root: str, max_files: int | None = None):
     """STM-2: run the fold over an event file stream (available-now)."""
     events = read_events(spark, events_dir, max_files=max_files)
-    return (events.writeStream.foreachBatch(stage_fold_batch(state_root, base_stages_fn))
-            .option("checkpointLocation", checkpoint_location(spark, "stage-fold"))
+    return (events.writeStream.foreachBatch(stage_fold_batch(state_root))
+            .option("checkpointLocation", checkpoint_location(state_root, "stage-fold"))
             .trigger(availableNow=True).start())
 
 
@@ -279,35 +369,34 @@ def start_stage_fold(spark: SparkSession, events_dir: str, state_root: str, base
 
 
 def failure_alert_batch(state_root: str, min_failures: int = 10) -> Callable[[DataFrame, int], None]:
-    """STM-3: ``foreachBatch`` body over the updated hourly failure counts of each micro-batch:
-    merge them into the hour table (a later count for an hour replaces the earlier one), then
-    compare every hour with the previous one and write the spikes. Both are fresh versions
-    ``v={batch_id + 1}``; a batch whose alert version exists is skipped."""
+    """STM-3: ``foreachBatch`` body over the updated hourly failure counts of each micro-batch: the
+    batch's hours are version ``batch_id + 1`` of the hour table (a later count replaces an earlier
+    one), then every hour is compared with the previous one and the spikes are written. A batch whose
+    alert version exists is consumed, so that the windows' state commits, and skipped."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        version = batch_id + 1
-        hp = spark._jvm.org.apache.hadoop.fs.Path
-        fs = hp(state_root).getFileSystem(spark._jsc.hadoopConfiguration())
-        if fs.exists(hp(f"{state_root}/alerts/v={version}/_SUCCESS")):
+        version, state = batch_id + 1, Folder(batch.sparkSession, state_root)
+        if state.has("alerts", version):
+            consume(batch)
             return
-        hours = batch.select("hour", "failures")
-        prev = _latest_version(spark, f"{state_root}/hours", below=version)
-        if prev is not None:
-            old = spark.read.parquet(prev)
-            hours = old.join(hours.select("hour"), "hour", "left_anti").unionByName(hours)
-        hours.write.mode("overwrite").parquet(f"{state_root}/hours/v={version}")
-        table = spark.read.parquet(f"{state_root}/hours/v={version}")
-        spike_alerts(table, min_failures).write.mode("overwrite").parquet(f"{state_root}/alerts/v={version}")
+        state.write("hours", version, batch.select("hour", "failures"))
+        state.compact("hours", ["hour"], version)
+        state.write("alerts", version, spike_alerts(hour_table(batch.sparkSession, state_root), min_failures))
+        state.drop("alerts", version - 1)
 
     return run
 
 
+def hour_table(spark: SparkSession, state_root: str) -> DataFrame:
+    """The newest count of every hour."""
+    return Folder(spark, state_root).current("hours", ["hour"])
+
+
 def start_failure_alerts(spark: SparkSession, events_dir: str, state_root: str, delay: str = "2 hours",
                          max_files: int | None = None, available_now: bool = True):
     """STM-3: hourly failure windows (watermarked, update mode) feeding the alert batch job."""
     windows = failure_windows(read_events(spark, events_dir, max_files=max_files), delay=delay)
     w = (windows.writeStream.outputMode("update").foreachBatch(failure_alert_batch(state_root))
-         .option("checkpointLocation", checkpoint_location(spark, "failure-alerts")))
+         .option("checkpointLocation", checkpoint_location(state_root, "failure-alerts")))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

@@ -56,17 +56,66 @@ def test_stage_fold_batch_is_idempotent(spark, tmp_dir):
 
     base = spark.createDataFrame([], S.FILE_STAGES)
     ev = _events(spark, [("f", "download", "started", 1), ("f", "download", "completed", 2)])
-    run = SJ.stage_fold_batch(f"{tmp_dir}/state", lambda s: base)
+    run = SJ.stage_fold_batch(f"{tmp_dir}/state")
     run(ev, 0)
     run(ev, 0)  # re-delivered batch: skipped
-    out = spark.read.parquet(SJ._latest_version(spark, f"{tmp_dir}/state/stages")).collect()
+    out = SJ.folded_stages(spark, f"{tmp_dir}/state", base).collect()
     assert [(r["status"], r["attempts"]) for r in out] == [("done", 1)]
-    # a batch that stopped after writing its summary (but not its stage table) is redone without
-    # merging itself twice
-    crashed = f"{tmp_dir}/crashed"
-    ST.latest_stage_state(ev).write.parquet(f"{crashed}/summary/v=1")
-    SJ.stage_fold_batch(crashed, lambda s: base)(ev, 0)
-    summ = spark.read.parquet(SJ._latest_version(spark, f"{crashed}/summary")).first()
-    assert summ["starts"] == 1
-    out2 = spark.read.parquet(SJ._latest_version(spark, f"{crashed}/stages")).collect()
-    assert [(r["status"], r["attempts"]) for r in out2] == [("done", 1)]
+
+
+def _started(start):
+    q = start()
+    q.awaitTermination()
+    assert q.exception() is None
+
+
+def test_stage_fold_goes_on_after_a_restart(spark, tmp_dir):
+    from feedledger import schemas as S
+
+    base = spark.createDataFrame([], S.FILE_STAGES)
+    start = lambda: SJ.start_stage_fold(spark, f"{tmp_dir}/ev", f"{tmp_dir}/state", max_files=1)
+    _events(spark, [("f", "download", "started", 1)]).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ev")
+    _started(start)
+    _events(spark, [("f", "download", "completed", 2), ("g", "download", "failed", 3)]).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ev")
+    _events(spark, [("h", "download", "started", 4)]).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ev")
+    _started(start)
+    _started(start)  # nothing new
+    out = SJ.folded_stages(spark, f"{tmp_dir}/state", base).collect()
+    assert sorted((r["file_id"], r["status"], r["attempts"]) for r in out) == [("f", "done", 1), ("g", "failed", 0), ("h", "running", 1)]
+
+
+def test_failure_alerts_go_on_after_a_restart(spark, tmp_dir):
+    start = lambda: SJ.start_failure_alerts(spark, f"{tmp_dir}/ev", f"{tmp_dir}/state", delay="40 days", max_files=1)
+    _events(spark, [("f", "download", "failed", 1)] * 2).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ev")
+    _started(start)
+    _events(spark, [("f", "download", "failed", 2), *[("g", "download", "failed", 70)] * 11]).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ev")
+    _started(start)
+    hours = {r["hour"]: r["failures"] for r in SJ.hour_table(spark, f"{tmp_dir}/state").collect()}
+    assert hours == {dt.datetime(2024, 1, 1, 0): 3, dt.datetime(2024, 1, 1, 1): 11}
+    state = SJ.Folder(spark, f"{tmp_dir}/state")
+    alerts = state.read("alerts", state.versions("alerts")[-1]).collect()
+    assert [(r["hour"], r["failures"], r["previous"]) for r in alerts] == [(dt.datetime(2024, 1, 1, 1), 11, 3)]
+
+
+def test_skipped_alert_batch_is_consumed(spark, tmp_dir):
+    """A batch that was applied before its progress was recorded is delivered again: the query goes on."""
+    start = lambda: SJ.start_failure_alerts(spark, f"{tmp_dir}/ev", f"{tmp_dir}/state", delay="40 days", max_files=1)
+    _events(spark, [("f", "download", "failed", 1)]).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ev")
+    done = spark.createDataFrame([], "hour timestamp, failures long")
+    state = SJ.Folder(spark, f"{tmp_dir}/state")
+    state.write("hours", 1, spark.createDataFrame([(dt.datetime(2024, 1, 1, 0), 1)], done.schema))
+    state.write("alerts", 1, SJ.spike_alerts(done))
+    _started(start)
+    _events(spark, [("f", "download", "failed", 2)]).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ev")
+    _started(start)
+    assert {r["hour"]: r["failures"] for r in SJ.hour_table(spark, f"{tmp_dir}/state").collect()} == {dt.datetime(2024, 1, 1, 0): 2}
+
+
+def test_compaction_keeps_the_newest_rows(spark, tmp_dir):
+    state = SJ.Folder(spark, f"{tmp_dir}/t")
+    for v in range(1, 2 * SJ.COMPACT_EVERY + 4):
+        state.write("x", v, spark.createDataFrame([(v % 3, v)], "k int, n int"))
+        state.compact("x", ["k"], v)
+    top = 2 * SJ.COMPACT_EVERY + 3
+    assert sorted((r["k"], r["n"]) for r in state.current("x", ["k"]).collect()) == sorted((v % 3, v) for v in range(top - 2, top + 1))
+    assert len(state.versions("x")) < 2 * SJ.COMPACT_EVERY and all(state.has("x", v) for v in (1, top))
