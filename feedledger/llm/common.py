@@ -61,6 +61,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores in front as it takes to clash with no column."""
+    used, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in used:
+            name = f"_{name}"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it in ``body`` (a lambda variable is never inlined again)."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

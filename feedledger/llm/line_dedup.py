@@ -82,19 +82,22 @@ def _bit(i: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), i)
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` with the text rewritten, plus ``_n_lines`` and ``_n_dropped``."""
-    b = bitmaps.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("n_dropped").alias("_nd"), F.col("bits").alias("_bits"))
-    joined = docs.join(b, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(_text(text_col)) == F.col("_th")), "left")
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  names: tuple[str, str] | None = None) -> DataFrame:
+    """All columns of ``docs`` with the text rewritten where a line goes (a null text reads as empty),
+    plus the number of lines and of dropped lines, named ``names`` (they replace columns of that name)."""
+    n_lines, n_dropped = names or ("n_lines", "n_dropped")
+    docs = docs.drop(n_lines, n_dropped)
+    i, th, nd, bits = C.fresh(docs.columns, "b_id", "b_th", "b_dropped", "b_bits")
+    b = bitmaps.select(F.col("doc_id").alias(i), F.col("th").alias(th), F.col("n_dropped").alias(nd), F.col("bits").alias(bits))
+    joined = docs.join(b, F.col(id_col).eqNullSafe(F.col(i)) & (F.xxhash64(_text(text_col)) == F.col(th)), "left")
     kept = C.let(F.split(_text(text_col), "\n"), lambda lines: F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), positions(F.col("_bits"))), lambda i: F.get(lines, i)), "\n"))
-    names = [c for c in docs.columns]
-    return joined.withColumns({
-        "_n_lines": F.size(F.split(_text(text_col), "\n")).cast("long"),
-        "_n_dropped": F.coalesce(F.col("_nd"), F.lit(0)).cast("long"),
-        "_kept": F.when(F.col("_bits").isNull(), _text(text_col)).otherwise(kept),
-    }).select(*(F.col("_kept").alias(c) if c == text_col else F.col(c) for c in names), "_n_lines", "_n_dropped")
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), positions(F.col(bits))), lambda k: F.get(lines, k)), "\n"))
+    rewritten = F.when(F.col(bits).isNull(), _text(text_col)).otherwise(kept)
+    return joined.select(*(rewritten.alias(c) if c == text_col else F.col(c) for c in docs.columns),
+                         F.size(F.split(_text(text_col), "\n")).cast("long").alias(n_lines),
+                         F.coalesce(F.col(nd), F.lit(0)).cast("long").alias(n_dropped))
 
 
-def dedup_lines(docs: DataFrame, **how) -> DataFrame:
-    return apply_bitmaps(docs, drop_bitmaps(docs, **how))
+def dedup_lines(docs: DataFrame, names: tuple[str, str] | None = None, **how) -> DataFrame:
+    return apply_bitmaps(docs, drop_bitmaps(docs, **how), names=names)

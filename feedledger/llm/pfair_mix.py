@@ -100,23 +100,25 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, source_col: str = "so
     n = docs.count()
     weights = target_weights(docs, source_col) if weights is None else weights
     buckets = max(1, -(-n // BUCKET_DOCS))
-    keyed = docs.withColumns({"_key": _source_key(F.col(source_col)), "_o": F.xxhash64(F.col(id_col), *(F.col(c) for c in docs.columns if c == "text"))})
-    keyed = keyed.withColumn("_bucket", F.pmod("_o", F.lit(buckets)))
-    counts = keyed.groupBy("_key", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    sizes = counts.groupBy(F.col("_key").alias("key")).agg(F.sum("_n").alias("n"))
-    schedule = C.stored(plan(sizes, weights, block_docs, period), "plan").withColumnsRenamed({"key": "_key"})
-    placed = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy("_key", "_bucket").orderBy("_o", id_col)))
-    at = F.col("_before") + F.col("_rn") - 1
-    placed = placed.join(before.select("_key", "_bucket", "_before"), ["_key", "_bucket"]).withColumns({
-        "_block": F.floor(at / block_docs).cast("long"), "_place": (at % block_docs).cast("int")}).join(schedule, "_key")
-    # the period of a block, the regime of the period, and the block's number in the period
-    q = F.floor(F.col("_block") / F.col("w"))
-    regime = F.get(F.filter("regimes", lambda r: (r["start"] <= q) & (q < r["start"] + r["periods"])), F.lit(0))
-    k = (F.col("_block") - q * F.col("w")).cast("int")
-    placed = placed.withColumns({"_r": regime, "_q": q, "_k": k})
-    base = F.col("_r.first_slot") + (F.col("_q") - F.col("_r.start")) * F.col("_r.u")
-    return placed.select(*(F.col(c) for c in docs.columns), F.col("_block").alias(names[0]), F.col("_place").alias(names[1]),
-                         (base + F.get(F.col("_r.pos"), F.col("_k"))).alias(names[2]),
-                         (base + F.floor(F.col("_k") * F.col("_r.u") / F.col("_r.own"))).alias(names[3]),
-                         (base + F.ceil((F.col("_k") + 1) * F.col("_r.u") / F.col("_r.own"))).alias(names[4]))
+    key, o, bucket, rn, block, place, q, k, r = C.fresh(docs.columns, "m_key", "m_order", "m_bucket", "m_rn", "m_block", "m_place", "m_period", "m_k", "m_regime")
+    w, regimes, before, count = C.fresh([*docs.columns, key, o, bucket, rn, block, place, q, k, r], "m_w", "m_regimes", "m_before", "m_n")
+    c = F.col
+    keyed = docs.withColumns({key: _source_key(c(source_col)), o: F.xxhash64(c(id_col), *(c(x) for x in docs.columns if x == "text"))})
+    keyed = keyed.withColumn(bucket, F.pmod(c(o), F.lit(buckets)))
+    counts = keyed.groupBy(key, bucket).agg(F.count(F.lit(1)).alias(count))
+    offsets = counts.select(key, bucket, F.coalesce(F.sum(count).over(
+        Window.partitionBy(key).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(before))
+    sizes = counts.groupBy(c(key).alias("key")).agg(F.sum(count).alias("n"))
+    schedule = C.stored(plan(sizes, weights, block_docs, period), "plan").select(c("key").alias(key), c("w").alias(w), c("regimes").alias(regimes))
+    placed = keyed.withColumn(rn, F.row_number().over(Window.partitionBy(key, bucket).orderBy(o, id_col))).join(offsets, [key, bucket])
+    at = c(before) + c(rn) - 1
+    placed = placed.withColumns({block: F.floor(at / block_docs).cast("long"), place: (at % block_docs).cast("int")}).join(schedule, key)
+    # the period of a block, the block's number in the period, and the regime of the period
+    placed = placed.withColumn(q, F.floor(c(block) / c(w))).withColumn(k, (c(block) - c(q) * c(w)).cast("int"))
+    placed = placed.withColumn(r, F.get(F.filter(c(regimes), lambda x: (x["start"] <= c(q)) & (c(q) < x["start"] + x["periods"])), F.lit(0)))
+    of = lambda field: c(r)[field]
+    base = of("first_slot") + (c(q) - of("start")) * of("u")
+    return placed.select(*(c(x) for x in docs.columns), c(block).alias(names[0]), c(place).alias(names[1]),
+                         (base + F.get(of("pos"), c(k))).alias(names[2]),
+                         (base + F.floor(c(k) * of("u") / of("own"))).alias(names[3]),
+                         (base + F.ceil((c(k) + 1) * of("u") / of("own"))).alias(names[4]))

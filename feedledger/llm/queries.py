@@ -81,8 +81,7 @@ def op10_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.documents(spark, sf_dir).select("doc_id", "text")
     out = line_dedup.dedup_lines(docs)
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-                      F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
 OP3_SQL = r"""
