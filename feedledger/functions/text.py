@@ -84,6 +84,23 @@ def size_and_count_label(total: str | Column, count: str | Column, zero_unit: st
     return F.concat(size, F.lit(" ("), cnt, F.lit(f" {FILES_WORD})"))
 
 
+def size_rounded(x: str | Column) -> Column:
+    """STR-11: base-1024 size rounded to a whole number, halves up; <= 0, NULL or not finite -> '0 B'."""
+    v = col_of(x).cast("double")
+    idx = F.lit(0)
+    for i in range(1, len(SIZE_UNITS)):
+        idx = F.when(F.floor(v + 0.5) >= F.lit(float(1024 ** i)), F.lit(i)).otherwise(idx)
+    size = F.floor(F.when(idx == 0, v).otherwise(F.floor(v + 0.5) / F.pow(F.lit(1024.0), idx.cast("double"))) + 0.5)
+    text = F.concat_ws(" ", size.cast("long").cast("string"), F.element_at(F.array(*[F.lit(u) for u in SIZE_UNITS]), idx + 1))
+    return F.when(v.isNull() | F.isnan(v) | (v <= 0) | (v == float("inf")), F.lit("0 B")).otherwise(text)
+
+
+def size_range_label(low: str | Column, high: str | Column) -> Column:
+    """STR-11: '<size> a <size>', or one size when both ends are equal."""
+    a, b = col_of(low), col_of(high)
+    return F.when(a == b, size_rounded(a)).otherwise(F.concat(size_rounded(a), F.lit(" a "), size_rounded(b)))
+
+
 def date_br(ts: str | Column, kind: str = "date") -> Column:
     """DATE-3: dd/MM/yyyy, dd/MM/yyyy HH:mm, dd/MM/yyyy HH:mm:ss or HH:mm:ss; unreadable input
     gives 'Data desconhecida' ('' for the time-only form). Strings are parsed with try_to_timestamp."""

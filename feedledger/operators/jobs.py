@@ -117,14 +117,14 @@ def backoff_seconds(attempt: str | Column, key: str | Column = "id",
     return d * (F.lit(1.0 - jitter) + F.lit(2.0 * jitter) * retry_unit(S.col_of(key), a))
 
 
-def plan_retries(failures: DataFrame, as_of, max_attempts: int = S.MAX_STAGE_ATTEMPTS) -> DataFrame:
+def plan_retries(failures: DataFrame, as_of, max_attempts: int = S.MAX_STAGE_ATTEMPTS, jitter: float = S.RETRY_JITTER) -> DataFrame:
     """UPD-10 (re-aimed Nack): for failed job attempts decide final failure or the next retry time.
 
     ``failures`` has id, file_id, stage, attempts (already incremented at claim) and error.
     """
     ts = S.ts_lit(as_of)
     final = F.col("attempts") >= max_attempts
-    delay = backoff_seconds("attempts", "id")
+    delay = backoff_seconds("attempts", "id", jitter=jitter)
     return failures.select(
         "id", "file_id", "stage", "attempts", "error",
         final.alias("final"),

@@ -220,25 +220,27 @@ def convert(paths: DataFrame, tsv_root: str | None = None, parquet_root: str | N
         pq_names = normalize_columns(raw_names)
         tsv_names = raw_names if len(set(raw_names)) == len(raw_names) and all(raw_names) else pq_names
         parts = PART_COLS
+        # one writer and one output file for every source file
+        ordered = recs.repartition(*parts).sortWithinPartitions("file", "rec_index") if parquet_root or tsv_root else recs
         if parquet_root:
-            out = recs.select(*parts, "rec_index", *layout_columns(fields, encoding, pq_names))
-            (out.sortWithinPartitions("file", "rec_index").drop("rec_index").write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
+            staging = _staging(decoded.sparkSession)
+            (ordered.select(*parts, *layout_columns(fields, encoding, pq_names)).write
              .option("compression", "snappy")
              .option("parquet.block.size", 134217728)
              .option("parquet.page.size", 8192)
              .option("parquet.enable.dictionary", "true")
-             .partitionBy("catalog", "state", "year", "month", "file")
-             .parquet(parquet_root))
+             .partitionBy(*parts)
+             .parquet(staging))
+            publish(decoded.sparkSession, staging, parquet_root, ".parquet")
         if tsv_root:
-            out = recs.select(*parts, "rec_index", *layout_columns(fields, encoding, tsv_names))
-            (out.sortWithinPartitions("file", "rec_index").drop("rec_index").write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
+            staging = _staging(decoded.sparkSession)
+            (ordered.select(*parts, *layout_columns(fields, encoding, tsv_names)).write
              .option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"')
              .option("emptyValue", "").option("nullValue", "")
              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-             .partitionBy("catalog", "state", "year", "month", "file")
-             .csv(tsv_root))
+             .partitionBy(*parts)
+             .csv(staging))
+            publish(decoded.sparkSession, staging, tsv_root, ".csv")
         tables[sig] = recs.select(*parts, "rec_index", *layout_columns(fields, encoding, pq_names))
     outcomes = status.select(
         "path", F.upper(N.base_name(F.regexp_extract("path", r"([^/]*)$", 1))).alias("file"), "sig",
@@ -249,6 +251,56 @@ def convert(paths: DataFrame, tsv_root: str | None = None, parquet_root: str | N
     return ConversionResult(outcomes, layouts, tables)
 
 
+def _staging(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/feedledger-staging-{uuid.uuid4().hex[:12]}"
+
+
+def publish(spark: SparkSession, staging: str, root: str, ext: str) -> None:
+    """SNK-1..3: move the committed part file of every source file to its canonical path. The moves
+    run in tasks; a task that is repeated finds its source gone and leaves what it has published."""
+    parts = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(staging).select("path"))
+    at = {c: F.regexp_extract("path", f"/{c}=([^/]*)/", 1) for c in PART_COLS}
+    moves = parts.select("path", N.canonical_path(root, at["catalog"], at["state"], at["year"].cast("int"), at["month"].cast("int"),
+                                                  F.concat(at["file"], F.lit(ext)), ext).alias("to"))
+
+    def run(batches):
+        from ..sources import fsio
+
+        for pdf in batches:
+            for src, dst in zip(pdf["path"], pdf["to"]):
+                try:
+                    fsio.move(src, dst)
+                except FileNotFoundError:
+                    pass
+            yield pdf[["to"]]
+
+    moves.mapInPandas(run, "to string").write.format("noop").mode("overwrite").save()
+
+
+#: What a finished conversion leaves in the catalog: status, path column, extension.
+READY = {"csv_conversion": ("csv_ready", "csv_path", ".csv"), "parquet_conversion": ("parquet_ready", "parquet_path", ".parquet")}
+
+
+def record_conversion(files: DataFrame, stages: DataFrame, outcomes: DataFrame, stage: str, root: str | Column, as_of,
+                      blocked: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """JOB-1 / JOB-2 / JOB-4: the next files and stages after a conversion. A converted file gets its
+    canonical path, the ready status and a done stage; a failed one the failed status and its error;
+    a file that the policy blocked becomes ignored."""
+    from ..operators import actions as A
+    from ..operators import stages as ST
+
+    status, column, ext = READY[stage]
+    seen = outcomes.groupBy(F.col("path").alias("_path")).agg(F.bool_and("ok").alias("_ok"), F.max("error").alias("_error"))
+    keyed = files.join(seen, F.regexp_replace("dbc_path", "^file:/*", "/") == F.regexp_replace("_path", "^file:/*", "/"))
+    to = N.canonical_path(root, "catalog", "state", "year", "month", "filename", ext)
+    changes = keyed.select("id", F.when(F.col("_ok"), F.lit(status)).otherwise(F.lit("failed")).alias("overall_status"), F.when(F.col("_ok"), to).alias(column))
+    if blocked is not None:
+        changes = changes.unionByName(blocked.select("id", F.lit("ignored").alias("overall_status"), F.lit(None).cast("string").alias(column)))
+    events = keyed.select(F.col("id").alias("file_id"), F.lit(stage).alias("stage"), F.when(F.col("_ok"), F.lit("completed")).otherwise(F.lit("failed")).alias("event_type"),
+                          F.col("_error").alias("message"), S.ts_lit(as_of).alias("created_at"), F.lit(0).cast("long").alias("id"))
+    return A.apply_file_changes(files, changes, as_of), ST.apply_stage_events(stages, events)
+
+
 def convert_admitted(files: DataFrame, policy: P.Policy | None, **kwargs) -> tuple[ConversionResult, DataFrame]:
     """JOB-4 + JOB-1/2: only admitted files with a data path are converted; denied files are
     returned for the ignored status update."""

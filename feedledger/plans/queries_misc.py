@@ -128,8 +128,8 @@ def _compare(t):
     CV.convert(paths, tsv_root=f"{base}/tsv", parquet_root=f"{base}/pq")
     cols = ["O_ORDERKEY", "O_STATUS", "O_PRIORITY"]
     tsv = (t.spark.read.option("sep", "\t").option("header", True).option("escape", '"')
-           .schema(", ".join(f"{fn} string" for fn, *_ in ORDER_FIELDS)).csv(f"{base}/tsv").select(*cols))
-    pq = t.spark.read.parquet(f"{base}/pq").select(*cols)
+           .schema(", ".join(f"{fn} string" for fn, *_ in ORDER_FIELDS)).option("recursiveFileLookup", "true").csv(f"{base}/tsv").select(*cols))
+    pq = t.spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/pq").select(*cols)
     return AU.compare_datasets(tsv, pq)
 
 

@@ -231,15 +231,23 @@ def _stuck_count(t):
 
 @register("retry_plan", "UPD-10,MATH-1", """
 SELECT id, file_id, stage, attempts, attempts >= 5 AS final, CASE WHEN attempts >= 5 THEN 'failed' ELSE 'pending' END AS queue_status,
-       CASE WHEN attempts >= 5 THEN NULL ELSE least(30 * pow(2, attempts), 3600) END AS base_delay_seconds
+       CASE WHEN attempts >= 5 THEN NULL ELSE least(30 * pow(2, attempts), 3600) END AS delay_seconds,
+       CASE WHEN attempts >= 5 THEN NULL ELSE TIMESTAMP '1999-01-01 00:00:00' + to_seconds(CAST(least(30 * pow(2, attempts), 3600) AS BIGINT)) END AS retry_at
 FROM job_queue WHERE status = 'failed'""")
 def _retry_plan(t):
     fails = t.job_queue.where(F.col("status") == "failed").select(
         "id", "file_id", "stage", "attempts", F.lit("conversion failed").alias("error"))
-    plan = J.plan_retries(fails, AS_OF)
-    base = F.least(F.lit(30.0) * F.pow(F.lit(2.0), F.col("attempts").cast("double")), F.lit(3600.0))
-    return plan.select("id", "file_id", "stage", "attempts", "final", "queue_status",
-                       F.when(~F.col("final"), base).alias("base_delay_seconds"))
+    return J.plan_retries(fails, AS_OF, jitter=0.0).drop("error")
+
+
+@register("retry_jitter", "MATH-1", """
+SELECT id, attempts, true AS in_bounds FROM job_queue WHERE status = 'failed' AND attempts < 5""")
+def _retry_jitter(t):
+    """Each delay lies within a tenth of the delay without jitter."""
+    fails = t.job_queue.where(F.col("status") == "failed").select("id", "file_id", "stage", "attempts", F.lit("x").alias("error"))
+    with_jitter = J.plan_retries(fails, AS_OF).where(~F.col("final"))
+    plain = J.backoff_seconds("attempts", "id", jitter=0.0)
+    return with_jitter.select("id", "attempts", F.col("delay_seconds").between(plain * 0.9 - 0.001, plain * 1.1 + 0.001).alias("in_bounds"))
 
 
 @register("job_duration_histogram", "AGG-26", """

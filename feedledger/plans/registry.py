@@ -68,6 +68,6 @@ def used_views(sql: str) -> tuple[str, ...]:
 
 
 def load_all() -> dict[str, Query]:
-    from . import queries, queries_convert, queries_ops, queries_policy, queries_misc, queries_scan, queries_stream  # noqa: F401
+    from . import queries, queries_checked, queries_convert, queries_ops, queries_policy, queries_misc, queries_scan, queries_stream  # noqa: F401
 
     return REGISTRY

@@ -196,6 +196,8 @@ def explode_chunks(data: bytes, start: int = 0, chunk: int = 1 << 20):
             else:
                 # a run of uncoded literals: 9 bits each, consumed without re-checking the buffer
                 limit = pad + 9
+                if cnt < limit:
+                    raise ValueError("compressed body ends early")
                 while cnt >= limit and not buf & 1:
                     out.append((buf >> 1) & 0xFF)
                     buf >>= 9

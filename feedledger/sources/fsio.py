@@ -21,6 +21,14 @@ def read_bytes(path: str) -> bytes:
         return f.read()
 
 
+def move(src: str, dst: str) -> None:
+    """Move a file, making the folder it goes to and replacing what is there."""
+    filesystem, a = resolve(src)
+    _, b = resolve(dst)
+    filesystem.create_dir(b.rsplit("/", 1)[0], recursive=True)
+    filesystem.move(a, b)
+
+
 def write_bytes(path: str, data: bytes) -> None:
     filesystem, p = resolve(path)
     parent = p.rsplit("/", 1)[0]

@@ -40,16 +40,15 @@ def test_convert_two_fields(spark, tmp_dir):
     res = CV.convert(paths, tsv_root=f"{tmp_dir}/tsv", parquet_root=f"{tmp_dir}/pq", tasks=2)
     out = res.outcomes.first()
     assert out["ok"] and out["records"] == 2
-    pq = spark.read.parquet(f"{tmp_dir}/pq")
-    assert pq.columns[:2] == ["NAME", "AGE"]
+    assert "SPTO2602.parquet" in os.listdir(f"{tmp_dir}/pq/SP/TO/2026/02")
+    pq = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_dir}/pq")
+    assert pq.columns == ["NAME", "AGE"]
     assert sorted(tuple(r) for r in pq.select("NAME", "AGE").collect()) == [("ALICE", "31"), ("BOB", "42")]
-    part = pq.select("catalog", "state", "year", "month", "file").distinct().first()
-    assert tuple(part) == ("SP", "TO", 2026, 2, "SPTO2602")
     # TSV: header line, tab separated, same cells
     files = [os.path.join(dp, f) for dp, _, fs in os.walk(f"{tmp_dir}/tsv") for f in fs if f.endswith(".csv")]
     text = "".join(open(p).read() for p in files)
     assert "NAME\tAGE" in text and "ALICE\t31" in text
-    tsv = spark.read.option("sep", "\t").option("header", True).schema("NAME string, AGE string").csv(f"{tmp_dir}/tsv")
+    tsv = spark.read.option("sep", "\t").option("header", True).schema("NAME string, AGE string").option("recursiveFileLookup", "true").csv(f"{tmp_dir}/tsv")
     cmp = {r["column"]: r for r in AU.compare_datasets(tsv.select("NAME", "AGE"), pq.select("NAME", "AGE")).collect()}
     assert cmp["NAME"]["only_in_a"] == 0 and cmp["NAME"]["only_in_b"] == 0 and cmp["AGE"]["distinct_a"] == 2
 
@@ -122,6 +121,14 @@ def test_dcl_modes():
         dbc.explode(dbc.implode(data, 6)[:-20])
 
 
+@pytest.mark.parametrize("matches", [True, False])
+def test_every_cut_body_ends_in_an_error(matches):
+    whole = dbc.implode(bytes(range(200)) * 2, 4, matches=matches)
+    for n in range(2, len(whole)):
+        with pytest.raises(ValueError):
+            dbc.explode(whole[:n])
+
+
 def test_outcome_log_rows(spark, tmp_dir):
     import datetime as dt
 
