@@ -83,11 +83,9 @@ def kpis(files: DataFrame) -> DataFrame:
 
 def bucket_mismatch(files: DataFrame) -> DataFrame:
     """AGG-21: sum of bucket counts minus the status total, for catalog and state buckets."""
-    buckets = (C.status_counts(files).select(F.lit("t").alias("_k"), "count")
-               .unionByName(C.size_by_catalog(files).select(F.lit("c").alias("_k"), "count"))
-               .unionByName(C.size_by_state(files).select(F.lit("s").alias("_k"), "count")))
-    row = buckets.agg(*[F.sum(F.when(F.col("_k") == k, F.col("count"))).alias(n)
-                        for k, n in (("t", "total"), ("c", "cat"), ("s", "st"))])
+    buckets = dashboard_buckets(files)  # one scan
+    row = buckets.agg(*[F.coalesce(F.sum(F.when(F.col("dim") == d, F.col("count"))), F.lit(0)).alias(n)
+                        for d, n in (("status", "total"), ("catalog", "cat"), ("state", "st"))])
     return row.select(
         F.col("total").cast("long").alias("total_files"),
         (F.col("cat") - F.col("total")).cast("long").alias("by_catalog_total_mismatch"),
@@ -109,10 +107,10 @@ def alerts(stages: DataFrame, as_of, spike_min: int = 10, stall_seconds: int = 1
         F.min(F.when(F.col("status") == "pending", t)).alias("_oldest"),
     ).withColumn("oldest_pending_seconds", F.coalesce(ST.age_seconds(as_of, F.col("_oldest")), F.lit(0).cast("long")))
     spike = c.where((F.col("current") > 2 * F.col("previous")) & (F.col("current") > spike_min)).select(
-        F.lit("failure_spike").alias("type"), F.lit("Aumento de falhas na ultima hora").alias("message"),
+        F.lit("failure_spike").alias("type"), F.lit(S.ALERT_MESSAGES["failure_spike"]).alias("message"),
         "current", "previous", F.lit(None).cast("long").alias("oldest_pending_seconds"))
     stall = c.where(F.col("oldest_pending_seconds") > stall_seconds).select(
-        F.lit("queue_stalled").alias("type"), F.lit("Fila com item pendente antigo").alias("message"),
+        F.lit("queue_stalled").alias("type"), F.lit(S.ALERT_MESSAGES["queue_stalled"]).alias("message"),
         F.lit(None).cast("long").alias("current"), F.lit(None).cast("long").alias("previous"), "oldest_pending_seconds")
     return spike.unionByName(stall)
 

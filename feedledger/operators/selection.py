@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas as S
+
 # Catalogs a selection may name.
 SELECTION_CATALOGS = ["SIH", "SIA", "CNES", "SIM", "SINASC", "SINAN", "PNI", "ESUS_APS", "CIHA"]
 
@@ -68,15 +70,15 @@ def classify_keys(keys: DataFrame, as_of_year: int, level: str = "level", value:
     yr = F.when(~is_cat, _int(p1))
     mo = F.when(F.col("level") == "month", _int(p2))
     reason = (
-        F.when(is_cat & ~F.array_contains(known, F.col("value")), F.lit("unknown catalog"))
+        F.when(is_cat & ~F.array_contains(known, F.col("value")), F.lit(S.BAD_CATALOG))
         .when(is_cat, F.lit(None))
-        .when(is_year & (n != 2), F.lit("invalid key format"))
-        .when(~is_year & (n != 3), F.lit("invalid key format"))
-        .when(yr.isNull(), F.lit("invalid year"))
-        .when(~is_year & mo.isNull(), F.lit("invalid month"))
-        .when(~F.array_contains(known, cat), F.lit("unknown catalog"))
-        .when(~yr.between(0, as_of_year), F.lit("year out of range"))
-        .when(~is_year & ~mo.between(1, 12), F.lit("month out of range"))
+        .when(is_year & (n != 2), F.lit(S.BAD_KEY_FORMAT))
+        .when(~is_year & (n != 3), F.lit(S.BAD_KEY_FORMAT))
+        .when(yr.isNull(), F.lit(S.BAD_YEAR))
+        .when(~is_year & mo.isNull(), F.lit(S.BAD_MONTH))
+        .when(~F.array_contains(known, cat), F.lit(S.BAD_CATALOG))
+        .when(~yr.between(0, as_of_year), F.lit(S.YEAR_OUT_OF_RANGE))
+        .when(~is_year & ~mo.between(1, 12), F.lit(S.MONTH_OUT_OF_RANGE))
     )
     return k.select("level", "value", cat.alias("catalog"), yr.alias("year"), mo.alias("month"), reason.alias("reason"))
 

@@ -189,7 +189,6 @@ def from_filters_map(m: Mapping[str, Any] | None, require: tuple[bool, bool, boo
         policy_match=pm if pm in ("pending", "ignored") else "",
         pipeline_completed=truthy(m.get("pipeline_completed")),
         require=require,
-        limit=S.BULK_ACTION_CAP,
     )
 
 

@@ -110,13 +110,20 @@ RETRY_JITTER = 0.10
 STUCK_TIMEOUT_SECONDS = 30 * 60
 LIST_DEFAULT_LIMIT = 50
 LIST_MAX_LIMIT = 500
-BULK_ACTION_CAP = 5000
-FAILED_SINCE_CAP = 1000
 LOG_DEFAULT_LIMIT = 100
 AUDIT_DEFAULT_LIMIT = 50
 UNKNOWN_ERROR = "Unknown error"
 DEFAULT_ACTOR = "ui"
 
+# Texts that reports and alerts carry.
+ALERT_MESSAGES = {"failure_spike": "Aumento de falhas na ultima hora", "queue_stalled": "Fila com item pendente antigo"}
+BAD_CATALOG = "unknown catalog"
+BAD_KEY_FORMAT = "invalid key format"
+BAD_YEAR = "invalid year"
+BAD_MONTH = "invalid month"
+YEAR_OUT_OF_RANGE = "year out of range"
+MONTH_OUT_OF_RANGE = "month out of range"
+
 # Histogram bucket bounds, seconds.
 JOB_DURATION_BUCKETS = [1, 5, 15, 30, 60, 120, 300, 600]
 SCAN_DURATION_BUCKETS = [5, 15, 30, 60, 120, 300]
