@@ -442,12 +442,14 @@ def merge_scan(files: DataFrame, stages: DataFrame, queue: DataFrame, listing: D
 
 
 def local_sync(files: DataFrame, stages: DataFrame, local: DataFrame, as_of, as_of_year: int,
-               csv_root: str, parquet_root: str, download_root: str, artifacts: DataFrame | None = None):
+               csv_root: str, parquet_root: str, download_root: str, artifacts: DataFrame | None = None,
+               policy: P.Policy | None = None):
     """UPD-13 / AGG-31: register data files already on local storage.
 
     ``local`` is a listing (SRC-3) of the download root. Parsed names are upserted under
     ftp_dir 'local_policy'; canonical csv/parquet paths are checked against ``artifacts``;
     download is done, conversions done when their artifact exists; status is the best artifact.
+    ``enqueued`` counts the stage jobs that the policy's plan (UPD-8) then asks for.
     Returns (files, stages, counters).
     """
     l = local.withColumn("is_data", N.has_data_extension("name")).where("is_data")
@@ -503,10 +505,11 @@ def local_sync(files: DataFrame, stages: DataFrame, local: DataFrame, as_of, as_
     new_stages = ST.apply_stage_events(
         st, done.select("file_id", "stage", F.lit("completed").alias("event_type"), F.lit(None).cast("string").alias("message"),
                         ts.alias("created_at"), F.lit(0).cast("long").alias("id")))
-    counters = l.agg(
-        F.count(F.lit(1)).alias("found"),
-        F.count_if(F.col("p.error").isNull()).alias("mapped"),
-        F.count_if(F.col("p.error").isNotNull()).alias("ignored"),
-        F.count_if(F.col("p.error").isNull()).alias("completed"),
-    )
+    here = ok.select(F.col("remote_path").alias("path"))
+    plan = plan_stages(mapped, new_stages, policy, here if artifacts is None else here.unionByName(artifacts.select("path")))
+    good = F.col("p.error").isNull()
+    counters = l.select(F.lit(1).alias("f"), good.cast("int").alias("m"), F.lit(0).alias("e")).unionByName(
+        plan.select(F.lit(0).alias("f"), F.lit(0).alias("m"), F.lit(1).alias("e"))).agg(
+        *(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(n) for c, n in ((F.col("f"), "found"), (F.col("m"), "mapped"), (F.col("f") - F.col("m"), "ignored"),
+                                                                         (F.col("m"), "completed"), (F.col("e"), "enqueued"))))
     return new_files, new_stages, counters

@@ -94,15 +94,16 @@ def _convert_admitted(t):
 
 @register("local_sync_counters", "UPD-13,AGG-31,JOIN-14,SNK-3", f"""
 SELECT count(DISTINCT {LANDING_NAME_SQL}) AS found, count(DISTINCT {LANDING_NAME_SQL}) AS mapped, CAST(0 AS BIGINT) AS ignored,
-       count(DISTINCT {LANDING_NAME_SQL}) AS completed FROM orders""", ("orders",))
+       count(DISTINCT {LANDING_NAME_SQL}) AS completed, 2 * count(DISTINCT {LANDING_NAME_SQL}) AS enqueued FROM orders""", ("orders",))
 def _local_sync(t):
     base = _landing(t, "sync")
     local = SC.list_directories(t.spark, f"{base}/landing", recursive=True)
     empty_files = t.spark.createDataFrame([], S.FILES)
     empty_stages = t.spark.createDataFrame([], S.FILE_STAGES)
     _, _, counters = SC.local_sync(empty_files, empty_stages, local, AS_OF, AS_OF_YEAR,
-                                   f"{base}/csv", f"{base}/parquet", f"{base}/landing")
-    return counters.select(*[F.col(c).cast("long").alias(c) for c in ("found", "mapped", "ignored", "completed")])
+                                   f"{base}/csv", f"{base}/parquet", f"{base}/landing",
+                                   artifacts=t.spark.createDataFrame([], "path string"))
+    return counters.select(*[F.col(c).cast("long").alias(c) for c in ("found", "mapped", "ignored", "completed", "enqueued")])
 
 
 @register("local_sync_status", "UPD-13", f"""
