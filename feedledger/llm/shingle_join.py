@@ -42,8 +42,9 @@ PART, WHOLE = 90, 100
 #: Next band's smallest size is this many times as large.
 BAND = 1 / 0.7
 CACHE_WORDS = 1 << 18
-#: A candidate group is cut into blocks of a 32nd of it, at least and at most these many sets.
-BLOCKS, LEAST_BLOCK, LARGEST_BLOCK = 32, 64, 4096
+#: A larger candidate group is cut into blocks of at most this many sets, verified pair by pair: every
+#: set goes once to each of its group's blocks.
+LARGEST_BLOCK = 2048
 SALTS = 64
 SAMPLE_OF = 64
 HOT = 10_000
@@ -188,9 +189,7 @@ def _forest(left: list[np.ndarray], right: list[np.ndarray] | None, part: int, w
         m = np.zeros((len(sets), min(step, n_columns - at)), np.float32)
         m[owner[i:j], token[i:j] - at] = 1
         inter += m[:a] @ (m[a:] if right is not None else m).T
-    inter = inter.astype(np.int64)
-    union = sizes[:a, None] + (sizes[None, a:] if right is not None else sizes[None, :]) - inter
-    rows, cols = np.nonzero(whole * inter >= part * union)
+    others, first = (sizes[a:], a) if right is not None else (sizes, 0)
     parent = list(range(len(sets)))
 
     def find(x: int) -> int:
@@ -200,11 +199,13 @@ def _forest(left: list[np.ndarray], right: list[np.ndarray] | None, part: int, w
         return x
 
     out = []
-    for x, y in zip(rows.tolist(), (cols + (a if right is not None else 0)).tolist()):
-        p, q = find(x), find(y)
-        if p != q:
-            parent[max(p, q)] = min(p, q)
-            out.append((x, y))
+    for x in range(a):
+        both = inter[x].astype(np.int64)
+        for y in np.flatnonzero(whole * both >= part * (sizes[x] + others - both)).tolist():
+            p, q = find(x), find(y + first)
+            if p != q:
+                parent[max(p, q)] = min(p, q)
+                out.append((x, y + first))
     return out
 
 
@@ -251,8 +252,7 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, size: int,
     sizes = groups.groupBy("root").agg((F.count(F.lit(1)) + 1).alias("g"))
     one = classes.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("v").agg(F.min("doc_id").alias("_id"))
     need = one.join(member.join(sizes, "root").withColumnRenamed("node", "v"), "v")
-    edge = F.least(F.greatest(F.ceil(F.col("g") / BLOCKS), F.lit(LEAST_BLOCK)), F.lit(LARGEST_BLOCK))
-    need = need.withColumn("blocks", F.ceil(F.col("g") / edge).cast("int")).select("_id", "v", "root", "blocks")
+    need = need.withColumn("blocks", F.ceil(F.col("g") / LARGEST_BLOCK).cast("int")).select("_id", "v", "root", "blocks")
     slim = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
     texts = slim.join(need, "_id")
 
