@@ -42,7 +42,7 @@ def test_factored_probabilities_sum_to_one():
 
 def test_state_is_carried_and_texts_are_apart():
     net, rng = _softer(gru_lm.Network(gru_lm.initial(_vocab()))), np.random.default_rng(4)
-    docs = [np.append(rng.integers(0, 4000, n), 0) for n in (150, 3, 0, 77, 40)]
+    docs = [np.append(rng.integers(0, 1000, n), 0) for n in (150, 3, 0, 77, 40)]
     alone = [net.score(gru_lm.Lanes([d], 0, 1), 1)[0] for d in docs]
     assert np.allclose(net.score(gru_lm.Lanes(docs, 0, 2), len(docs)), alone, rtol=1e-4)
     assert np.allclose(net.score(gru_lm.Lanes(docs, 0, 64), len(docs)), alone, rtol=1e-4)
@@ -194,7 +194,7 @@ def _near_copies(seed=11):
 
 @pytest.mark.parametrize("size,part", [(3, 90), (5, 80), (2, 50)])
 def test_components(spark, monkeypatch, size, part):
-    monkeypatch.setattr(shingle_join, "LEAST_BLOCK", 4)  # candidate groups in many blocks
+    monkeypatch.setattr(shingle_join, "LARGEST_BLOCK", 4)  # candidate groups in many blocks
     rows = _near_copies() + [r[:2] for r in odd_rows() if r[0] is None or r[0] < 100]
     rows = [(r[0] if r[0] is None or len(r) < 3 else r[0], r[1]) for r in rows]
     rows = [(i if i is None else i + 1000 * (k >= 98), t) for k, (i, t) in enumerate(rows)]
