@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 CHUNK_BYTES = 200_000
 CHUNK_IDS = 1_000_000
-CACHE_PIECES = 200_000
+CACHE_PIECES = 500_000
 MEMORY = "160MB"
 
 ENCODE = """
@@ -39,13 +39,12 @@ WITH RECURSIVE t(piece, pos, tok) USING KEY (piece, pos) AS (
     UNION ALL
     SELECT piece, pos, CASE WHEN pos = spot THEN merged WHEN before = spot THEN -1 ELSE tok END
     FROM (
-        SELECT *, lag(pos) OVER (PARTITION BY piece ORDER BY pos) AS before
-        FROM (
-            SELECT p.piece, p.pos, p.tok, m.merged,
-                   min(m.merged::BIGINT * 4294967296 + p.pos) OVER (PARTITION BY p.piece) & 4294967295 AS spot
-            FROM (SELECT *, lead(tok) OVER (PARTITION BY piece ORDER BY pos) AS following FROM t WHERE tok >= 0) p
-            LEFT JOIN merges m ON p.tok = m.lhs AND p.following = m.rhs)
-        WHERE spot IS NOT NULL))
+        SELECT p.piece, p.pos, p.tok, p.before, m.merged,
+               min(m.merged::BIGINT * 4294967296 + p.pos) OVER (PARTITION BY p.piece) & 4294967295 AS spot
+        FROM (SELECT *, lead(tok) OVER w AS following, lag(pos) OVER w AS before
+              FROM t WHERE tok >= 0 WINDOW w AS (PARTITION BY piece ORDER BY pos)) p
+        LEFT JOIN merges m ON p.tok = m.lhs AND p.following = m.rhs)
+    WHERE spot IS NOT NULL)
 SELECT piece, list(tok ORDER BY pos) AS ids FROM t WHERE tok >= 0 GROUP BY piece
 """
 
