@@ -168,21 +168,30 @@ class Tokens:
 
     def encode(self, text: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        recent, out = self.recent, []
-        for word in text.split():  # bytes.split() parts at the six separators, all of them white space
-            ids = recent.get(word)
-            if ids is None:
-                ids = self.older.get(word)
-                if ids is None:
-                    ids = self._word(word)
-                if len(word) <= 64:
-                    if len(recent) >= CACHE_WORDS:
-                        self.older, recent = recent, {}
-                        self.recent = recent
-                    recent[word] = ids
-            out.append(ids)
+        # the tokenizer lower-cases: done first for A-Z, unless a special token's string or a mark
+        # that combines with a letter (U+0300 to U+036F, lead bytes CC and CD) may be in the text
+        if b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text:
+            text = text.lower()
+        words = text.split()  # bytes.split() parts at the six separators, all of them white space
+        out = list(map(self.recent.get, words))
+        at = -1
+        for _ in range(out.count(None)):
+            at = out.index(None, at + 1)
+            out[at] = self._learn(words[at])
         return b"".join(out)
 
+    def _learn(self, word: bytes) -> bytes:
+        ids = self.recent.get(word)  # it may be the text's own earlier word
+        if ids is None:
+            ids = self.older.get(word)
+            if ids is None:
+                ids = self._word(word)
+            if len(word) <= 64:
+                if len(self.recent) >= CACHE_WORDS:
+                    self.older, self.recent = self.recent, {}
+                self.recent[word] = ids
+        return ids
+
 
 _TOKENS: dict[str, Tokens] = {}
 
