@@ -53,7 +53,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Remove a table of ``stored`` that nothing reads any more."""
+    _remove(df.sparkSession, df._stored_at)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

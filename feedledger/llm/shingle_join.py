@@ -42,6 +42,9 @@ PART, WHOLE = 90, 100
 #: Next band's smallest size is this many times as large.
 BAND = 1 / 0.7
 CACHE_WORDS = 1 << 18
+#: What the allocation assumes: the share of the sets that hold a given shingle, and how many bands
+#: hold most of the sets.
+SHARED, BANDS = 1e-4, 10
 #: A larger candidate group is cut into blocks of at most this many sets, verified pair by pair: every
 #: set goes once to each of its group's blocks.
 LARGEST_BLOCK = 2048
@@ -104,23 +107,27 @@ def allocate(hi: int, n_sets: int, part: int = PART, whole: int = WHOLE) -> tupl
     """(exact segments, one-deletion segments, spare) for pairs whose larger set has up to ``hi``.
 
     H = (|r| + |s|) (1 - t) / (1 + t) bounds the difference of a linked pair; exact + 2 * deletion
-    = H + 1 + spare. A segment of z shingles meets about n_sets * exp(-2 z) sets by chance.
+    = H + 1 + spare. Costs are signatures a set, plus the sets it is expected to meet for nothing:
+    in emitted empty segments (more than ``spare`` of them, a Poisson tail for the band's smaller
+    sets; one-deletion segments of one shingle or none), and in segments of one shared shingle.
     """
     h = 2 * hi * (whole - part) // (whole + part)
     if h == 0:
         return 1, 0, 0
     best = None
-    for spare in (0, 1, 2):
+    for spare in (0, 1, 2, 4, 8, 16, 32, 64):
         for deletion in {0, 1, 2, (h + 1) // 4, (h + 2) // 2}:
             exact = h + 1 + spare - 2 * deletion
-            if exact < 0 or (spare and exact < spare) or exact + deletion < 1:
+            if exact < spare or exact + deletion < 1:
                 continue
-            z = 0.85 * hi / (exact + deletion)
-            rows = exact + deletion * (z + 1)
-            empty = exact * math.exp(-z)
-            missed = n_sets * (empty if spare == 0 else empty ** (spare + 1) / 2) * math.exp(-z)
-            chance = n_sets * (exact * math.exp(-2 * z) + deletion * z * math.exp(-2 * (z - 1)))
-            cost = rows + missed + chance
+            m = exact + deletion
+            z, least = 0.85 * hi / m, 0.7 * hi / m
+            rows = exact + deletion * (z + 2)
+            empty = exact * math.exp(-least)
+            tail = 1 - sum(math.exp(-empty + k * math.log(empty) - math.lgamma(k + 1)) for k in range(spare + 1)) if empty > 1e-12 else 0.0
+            blank = max(tail, 0.0) * empty * math.exp(-least) + deletion * (1 + least) * math.exp(-2 * least)
+            single = (z * math.exp(-z)) ** 2 * SHARED * exact
+            cost = rows + n_sets / BANDS * (blank + single)
             if best is None or cost < best[0]:
                 best = (cost, exact, deletion, spare)
     return best[1:]
@@ -306,8 +313,10 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, size: int,
 
 def join_components(docs: DataFrame, size: int = WORDS, part: int = PART, whole: int = WHOLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    classes = shingle_classes(docs, size, part, whole, id_col, text_col)
-    groups = components(candidate_edges(classes))
+    signed = shingle_classes(docs, size, part, whole, id_col, text_col)
+    groups = components(candidate_edges(signed))  # stored: the signatures are not needed any more
+    classes = C.stored(signed.select("doc_id", "n", "v"), "classes")
+    C.forget(signed)
     linked = components(_verified(docs, classes, groups, size, part, whole, id_col, text_col))
     rows = classes.select("doc_id", "n", "v")
     least = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("v").agg(F.min("doc_id").alias("d"))
