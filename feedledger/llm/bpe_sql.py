@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 CHUNK_BYTES = 200_000
 CHUNK_IDS = 1_000_000
-CACHE_PIECES = 500_000
+CACHE_PIECES = 900_000
 MEMORY = "160MB"
 
 ENCODE = """
