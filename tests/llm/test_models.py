@@ -48,6 +48,37 @@ def test_state_is_carried_and_texts_are_apart():
     assert np.allclose(net.score(gru_lm.Lanes(docs, 0, 64), len(docs)), alone, rtol=1e-4)
 
 
+def test_model_grows_with_the_corpus():
+    assert gru_lm.HIDDEN >= 24 and gru_lm.model_side(0) ** 2 >= 4096
+    sizes = [_vocab().size, *(gru_lm.Vocabulary([], [3.0] * gru_lm.RESTS, 0, 10**k).size for k in (7, 8, 9))]
+    assert sizes == sorted(set(sizes))
+    large = gru_lm.Vocabulary([(gru_lm.END, -1, 50)], [3.0] * gru_lm.RESTS, 50, 10**8)
+    net, hs = gru_lm.Network(gru_lm.initial(large)), np.zeros((1, gru_lm.HIDDEN), np.float32)
+    every = np.arange(large.size + gru_lm.RESTS)
+    assert abs(np.exp(net.log_probs(np.repeat(hs, len(every), 0), every)[0]).sum() - 1) < 1e-3
+
+
+def test_training_carries_the_state_through_long_texts():
+    net, rng = _softer(gru_lm.Network(gru_lm.initial(_vocab()))), np.random.default_rng(9)
+    docs, seen = [np.append(rng.integers(1, 200, n), 0) for n in (4000, 30, 2500, 7, 90)], []
+
+    def window(x, y, fresh, valid, h):  # the states without the learning
+        seen.append((y[valid].tolist(), int(fresh.sum())))
+        return net.states(x, fresh, h)[0][-1]
+
+    net.train_window = window
+    begun, held = net.train(gru_lm.Lanes(docs, 0, 4), 2)  # stops when only the longest is left
+    (ids, before, state), = begun
+    at = len(docs[0]) - len(ids)
+    assert not held and 2501 <= at < 4001 and ids.tolist() == docs[0][at:].tolist() and before == docs[0][at - 1]
+    alone = net.states(np.append(0, docs[0][: at - 1])[:, None], np.arange(at)[:, None] == 0, np.zeros((1, gru_lm.HIDDEN), np.float32))[0][-1, 0]
+    assert np.allclose(state, alone, atol=1e-4)
+    more = [np.append(rng.integers(1, 200, 40), 0)]
+    assert net.train(gru_lm.Lanes(more, 0, 1, begun)) == ([], [])
+    assert Counter(y for ys, _ in seen for y in ys) == Counter(np.concatenate(docs + more).tolist())
+    assert sum(n for _, n in seen) == len(docs) + 1  # the state is cleared once a text
+
+
 def test_gradients_match_differences():
     net = _softer(gru_lm.Network({k: v.astype(np.float64) for k, v in gru_lm.initial(_vocab()).items()}))
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
