@@ -3,8 +3,10 @@
 The vocabulary (word-initial pieces and continuation pieces) becomes two tries. Each node holds a
 failure link to the node of the longest text that can still match after popping complete pieces,
 and the number of pieces popped on the way, so a word is read once, left to right, without going
-back and without building its pieces. A word that greedy longest match cannot cover counts as one
-unknown piece.
+back and without building its pieces. An empty word-initial piece is the bare word start, which
+leads on to the continuation pieces. With byte pieces a character that no piece starts at counts as
+its UTF-8 bytes; without them a word that greedy longest match cannot cover counts as one unknown
+piece.
 
 Cases: null or empty text: 0 words, 0 tokens; very long words are read in linear time; repeated
 rows and extra columns need no care (``count_tokens`` returns its own columns only).
@@ -20,10 +22,17 @@ from pyspark.sql import functions as F
 
 #: Words remembered by a worker before it starts anew.
 CACHE_WORDS = 1 << 19
+#: The mark that stands for the start of a word.
+START = "▁"
+
+
+def _n_bytes(ch: str) -> int:
+    return len(ch.encode("utf-8", "replace"))
 
 
 class Automaton:
-    def __init__(self, initial: Iterable[str], continuation: Iterable[str]):
+    def __init__(self, initial: Iterable[str], continuation: Iterable[str], byte_pieces: bool = False):
+        initial, self.byte_pieces = list(initial), byte_pieces
         self.next: list[dict[str, int]] = [{}, {}]  # 0: start of a word, 1: after a piece
         final = [False, False]
         for root, pieces in ((0, initial), (1, continuation)):
@@ -39,6 +48,8 @@ class Automaton:
                 final[at] |= at > 1
         self.fail = [-1] * len(self.next)
         self.pops = [0] * len(self.next)
+        if "" in initial or byte_pieces:
+            self.fail[0], self.pops[0] = 1, 1 if "" in initial else len(START.encode())
         level = [0, 1]
         while level:  # by length: a failure link leads to a shorter text
             after = []
@@ -53,6 +64,8 @@ class Automaton:
                         n, z = n + self.pops[z], self.fail[z]
                     if z >= 0:
                         self.fail[v], self.pops[v] = self.next[z][ch], n
+                    elif byte_pieces:
+                        self.fail[v], self.pops[v] = 1, n + _n_bytes(ch)
             level = after
 
     def count(self, word: str) -> int:
@@ -62,6 +75,9 @@ class Automaton:
         for ch in word:
             to = step[at].get(ch)
             while to is None:
+                if at == 1 and self.byte_pieces:
+                    n, to = n + _n_bytes(ch), 1
+                    break
                 n += pops[at]
                 at = fail[at]
                 if at < 0:
@@ -77,20 +93,22 @@ class Automaton:
 
 
 def sentencepiece_vocabulary(path: str) -> tuple[list[str], list[str]]:
-    """Word-initial and continuation pieces of a sentencepiece file (control and byte pieces left out)."""
+    """Word-initial pieces (without the word-start mark; the bare mark is the empty piece) and the
+    pieces that can follow, which are all of a sentencepiece file but control and byte pieces."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())
+              if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
+    return [p[1:] for p in pieces if p.startswith(START)], pieces
+
+
+def has_byte_pieces(path: str) -> bool:
+    """Whether a sentencepiece file has a piece for each of the 256 bytes."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    initial, continuation = [], []
-    for i in range(model.get_piece_size()):
-        if model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i):
-            continue
-        piece = model.id_to_piece(i)
-        if piece.startswith("▁"):
-            initial.append(piece[1:])
-        else:
-            continuation.append(piece)
-    return [p for p in initial if p], continuation
+    return sum(model.is_byte(i) for i in range(model.get_piece_size())) == 256
 
 
 class _Counts(dict):
@@ -113,7 +131,7 @@ _CACHES: dict[str, _Counts] = {}
 
 def counts_of(path: str) -> _Counts:
     if path not in _CACHES:
-        _CACHES[path] = _Counts(Automaton(*sentencepiece_vocabulary(path)))
+        _CACHES[path] = _Counts(Automaton(*sentencepiece_vocabulary(path), has_byte_pieces(path)))
     return _CACHES[path]
 
 

@@ -51,6 +51,43 @@ def test_count_tokens(spark):
     assert piece_counts.count_tokens(make(spark, []), PIECES).count() == 0
 
 
+def whole_greedy(word, pieces):
+    """Greedy longest match of the marked word over a file's whole vocabulary, byte pieces included."""
+    marked, at, n, longest = "▁" + word, 0, 0, max(map(len, pieces))
+    while at < len(marked):
+        end = next((e for e in range(min(len(marked), at + longest), at, -1) if marked[at:e] in pieces), None)
+        n, at = (n + 1, end) if end else (n + len(marked[at].encode()), at + 1)
+    return n
+
+
+def _file_pieces():
+    import sentencepiece
+
+    m = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    return m, {m.id_to_piece(i) for i in range(m.get_piece_size()) if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i))}
+
+
+def test_count_tokens_over_the_whole_vocabulary(spark):
+    model, pieces = _file_pieces()
+    texts = ["1997 12 3.5% 2,000", "日本 日本語のテキスト 한국어 中文", "Ελλάδα Ñandú Ωmega Жук élan", "\U0001F600 x\U0001F9FFy \u0d05 ᚠᚢ", "a▁b ▁ ▁▁x", "日本語" * 3000]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, r[1]) for i, r in enumerate(odd_rows())]
+    got = {r["doc_id"]: r for r in piece_counts.count_tokens(make(spark, rows), PIECES).collect()}
+    for doc, text in rows:
+        ws = words(text)
+        assert (got[doc]["n_words"], got[doc]["n_tokens"], got[doc]["n_unknown"]) == (len(ws), sum(whole_greedy(w, pieces) for w in ws), 0), text
+    for word, n in (("1997", 5), ("日本", 3)):  # as the library
+        assert whole_greedy(word, pieces) == n == len(model.encode(word))
+    assert got[5]["n_tokens"] > 3000
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.text("ab▁", min_size=1, max_size=4), max_size=8), st.lists(st.text("ab▁é", min_size=1, max_size=12), max_size=12))
+def test_automaton_with_byte_pieces(pieces, ws):
+    pieces = pieces | {"▁"}
+    a = piece_counts.Automaton([p[1:] for p in pieces if p[0] == "▁"], pieces, True)
+    assert [a.count(w) for w in ws] == [whole_greedy(w, pieces) for w in ws]
+
+
 def test_bpe_encodes_as_tiktoken_and_decodes(spark, monkeypatch):
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe_sql.load_ranks(RANKS), special_tokens={})
     rng = random.Random(3)
