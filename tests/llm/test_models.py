@@ -295,6 +295,14 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert Counter((r["doc_id"], r["n_tokens"], tuple(r["ids"]), r["decoded_sha256"]) for r in out) == want
 
 
+def test_line_dedup_keeps_what_is_found_nowhere_else(spark):
+    licence = "one passage that every document carries " * 20
+    rows = [(i, f"{licence}\nown words {i}\n") for i in range(12)] + [(50, f"{licence}\n \t\n")]
+    out = {r["doc_id"]: r for r in corpus_pipeline.deduplicate_lines(spark, make(spark, rows), SF).collect()}
+    assert sorted(out) == list(range(12))  # 50 has nothing left
+    assert out[0]["text"] == rows[0][1] and all(out[i]["text"] == f"own words {i}\n" == out[i]["text"][: out[i]["n_chars"]] for i in range(1, 12))
+
+
 def test_stages_keep_columns_and_order(spark):
     docs = make(spark, odd_rows(), clashes=True)
     for name, stage in corpus_pipeline.STAGES[:-1]:
