@@ -22,6 +22,8 @@ from . import common as C
 
 MIN_DOCS = 10
 MIN_CHARS = 1
+#: A key of more words than this is a long one, which may have a threshold of its own.
+LONG_WORDS = 50
 #: A key's rows are dealt over this many groups.
 CHUNKS = 64
 
@@ -34,32 +36,42 @@ def _text(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 
 
-def line_rows(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(h, chunk, doc_id, th, pos): 128-bit key hash, chunk, id, hash of the text, line position."""
+def _is_long(key: Column) -> Column:
+    # so many words need twice as many characters at least; shorter keys are not split
+    return F.when(F.length(key) > 2 * LONG_WORDS, F.size(C.words(key)) > LONG_WORDS).otherwise(False)
+
+
+def line_rows(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", tell_long: bool = False) -> DataFrame:
+    """(h, chunk, doc_id, th, pos): 128-bit key hash, chunk, id, hash of the text, line position; with
+    ``tell_long`` also whether the key is a long one."""
     lines = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(_text(text_col)).alias("th"),
                         F.posexplode(F.transform(F.split(_text(text_col), "\n"), line_key)).alias("pos", "key"))
     return lines.filter(F.length("key") >= max(1, min_chars)).select(
         F.unhex(F.md5(F.col("key").cast("binary"))).alias("h"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(CHUNKS)).cast("int").alias("chunk"), "doc_id", "th", "pos")
+        F.pmod(F.xxhash64("doc_id"), F.lit(CHUNKS)).cast("int").alias("chunk"), "doc_id", "th", "pos",
+        *([_is_long(F.col("key")).alias("long")] if tell_long else []))
 
 
 def drop_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, keep_first: bool = False,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text", long_docs: int | None = None) -> DataFrame:
     """One row per document that loses a line: doc_id, th, n_dropped, bits = array of (word, bits),
     where bit b of word w stands for line 64 w + b. Every other line is kept.
 
     A key found in ``min_docs`` documents loses all its lines, or all but the first (by document,
-    then position) with ``keep_first``.
+    then position) with ``keep_first``. With ``long_docs`` a key of more than ``LONG_WORDS`` words
+    does so from that many documents on.
     """
-    rows = C.stored(line_rows(docs, min_chars, id_col, text_col), "lines")
+    extra = [] if long_docs is None else ["long"]
+    rows = C.stored(line_rows(docs, min_chars, id_col, text_col, bool(extra)), "lines")
+    least = F.lit(min_docs) if long_docs is None else F.when(F.col("long"), long_docs).otherwise(min_docs)
     ranged = rows.repartitionByRange("h", "chunk")
     by_doc = Window.partitionBy("h", "chunk").orderBy("doc_id", "th", "pos")
-    seen = ranged.select("h", "chunk", "doc_id", "th", "pos", F.row_number().over(by_doc).alias("rn"),
+    seen = ranged.select("h", "chunk", "doc_id", "th", "pos", *extra, F.row_number().over(by_doc).alias("rn"),
                          F.lag("doc_id").over(by_doc).alias("before"))
     groups = seen.groupBy("h", "chunk").agg(
         F.sum(F.when((F.col("rn") == 1) | ~F.col("before").eqNullSafe(F.col("doc_id")), 1).otherwise(0)).alias("n"),
-        F.min(F.struct("doc_id", "th", "pos")).alias("first"))
-    keys = groups.groupBy("h").agg(F.sum("n").alias("n_docs"), F.min("first").alias("first")).filter(F.col("n_docs") >= min_docs)
+        F.min(F.struct("doc_id", "th", "pos")).alias("first"), *(F.max(x).alias(x) for x in extra))
+    keys = groups.groupBy("h").agg(F.sum("n").alias("n_docs"), F.min("first").alias("first"), *(F.max(x).alias(x) for x in extra)).filter(F.col("n_docs") >= least)
     verdict = groups.select("h", "chunk").join(keys.select("h", "first"), "h")
     dropped = rows.join(verdict, ["h", "chunk"])
     if keep_first:

@@ -303,6 +303,15 @@ def test_line_dedup_keeps_what_is_found_nowhere_else(spark):
     assert out[0]["text"] == rows[0][1] and all(out[i]["text"] == f"own words {i}\n" == out[i]["text"][: out[i]["n_chars"]] for i in range(1, 12))
 
 
+def test_line_dedup_catches_passages(spark):
+    passage = lambda k, n: " ".join(f"p{k}x{j}" for j in range(n))
+    rows = [(i, f"own words {i}\n{passage(0, 51) if i % 2 else '  ' + passage(0, 51).upper()}\n{passage(1, 50)}\n{'s' * 120}") for i in range(2)]
+    rows += [(10 + i, f"{passage(2, 60)}\n{passage(2, 60)}\nalone {i}") for i in range(1)]
+    out = {r["doc_id"]: r["text"] for r in corpus_pipeline.deduplicate_lines(spark, make(spark, rows), SF).collect()}
+    assert out[0] == rows[0][1] and out[10] == rows[2][1]  # first occurrence; in one document only
+    assert out[1] == f"own words 1\n{passage(1, 50)}\n{'s' * 120}"
+
+
 def test_stages_keep_columns_and_order(spark):
     docs = make(spark, odd_rows(), clashes=True)
     for name, stage in corpus_pipeline.STAGES[:-1]:
