@@ -95,6 +95,31 @@ def test_mix_windows_and_order(spark):
         assert all(abs(had[k] - w[k] * (t + 1) / total) < 1 for k in w)
 
 
+@pytest.mark.parametrize("blocks,weights", [
+    ({f"s{i:02d}": 300 for i in range(19)} | {"third": 2850}, None),
+    ({f"s{i:04d}": 2 for i in range(300)} | {"half": 300}, {f"s{i:04d}": 1 / 600 for i in range(300)} | {"half": 0.5}),
+    ({"a": 1500, "b": 40, "c": 3}, {"a": 0.62, "b": 0.3791, "c": 0.0009})])
+def test_mix_keeps_to_the_unrounded_weights(spark, blocks, weights):
+    weights = weights or {k: n ** 0.5 for k, n in blocks.items()}
+    sizes = spark.createDataFrame([("s" + k, n) for k, n in blocks.items()], "key string, n long")
+    rows = pfair_mix.plan(sizes, spark.createDataFrame(list(weights.items()), "source string, weight double"), block_docs=1).collect()
+    assert sorted((r["key"][1:], r["block"]) for r in rows) == sorted((k, b) for k, n in blocks.items() for b in range(n))
+    assert sorted(r["slot"] for r in rows) == list(range(len(rows))) and all(r["release"] <= r["slot"] < r["deadline"] for r in rows)
+    had, share, left = Counter(), dict.fromkeys(blocks, 0.0), set(blocks)
+    for r in sorted(rows, key=lambda r: r["slot"]):
+        assert had[r["key"][1:]] == r["block"]  # in order
+        had[r["key"][1:]] += 1
+        slot = 1.0
+        while slot > 1e-12 and left:  # the fluid share of one slot; a source may run out in it
+            total = sum(weights[k] for k in left)
+            part = min(slot, min((blocks[k] - share[k]) * total / weights[k] for k in left))
+            for k in left:
+                share[k] += part * weights[k] / total
+            slot -= part
+            left -= {k for k in left if blocks[k] - share[k] < 1e-7}
+        assert all(abs(had[k] - share[k]) < 2 for k in blocks)
+
+
 def test_mix_default_weights_and_empty(spark):
     rows = odd_rows()
     out = pfair_mix.mix(make(spark, rows))
