@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from . import common as C
-from . import bpe_sql, gru_lm, host_rules, huffman, impact_index, lang_id, line_dedup, pfair_mix, piece_counts, shingle_join
+from . import (bpe_sql, gru_lm, host_rules, huffman, impact_index, lang_id, line_dedup, max_sketch, pfair_mix, piece_counts, shingle_join, suffix_decontam,
+               turn_dawg)
 
 
 def vocabulary(name: str) -> str:
@@ -144,6 +145,139 @@ SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 FROM j LEFT JOIN bad ON j.source = bad.source
 """
 
+
+def op11_suffix_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_decontam.contamination(C.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join(names, ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[i : i + n - 1], ' ') AS win
+  FROM (SELECT item_id, ws, least(10, len(ws)) AS n, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT r, n, i, array_to_string(ws[i : i + n - 1], ' ') AS win
+  FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, sizes WHERE len(ws) >= n)),
+m AS (SELECT DISTINCT dw.r, dw.i, bw.n, bw.item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.win = bw.win),
+h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM m) GROUP BY r),
+k AS (SELECT r, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS names
+      FROM (SELECT DISTINCT r, item_id FROM m WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h ON d.r = h.r LEFT JOIN k ON d.r = k.r
+"""
+
+
+def op12_max_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return max_sketch.top_documents(max_sketch.index(C.documents(spark, sf_dir)), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, r, lower_term AS term, count(*) AS tf FROM (
+    SELECT doc_id, r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS lower_term
+    FROM (SELECT doc_id, text, row_number() OVER () AS r FROM documents WHERE text IS NOT NULL)) GROUP BY ALL),
+n AS (SELECT doc_id, r, sum(tf)::BIGINT AS n FROM d GROUP BY ALL),
+g AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS total FROM n),
+q AS (
+  SELECT DISTINCT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+df AS (SELECT term, count(*)::BIGINT AS df FROM d GROUP BY term),
+w AS (SELECT df.term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, g),
+s AS (
+  SELECT q.item_id, q.text, d.doc_id, d.r,
+         sum(w.w * ((1000000000 * d.tf)::BIGINT // (1000 * d.tf + 20 * (100 - 50 + ((50 * n.n * g.n_docs) // g.total)))::BIGINT))::BIGINT AS score
+  FROM q JOIN w ON q.term = w.term JOIN d ON d.term = q.term JOIN n ON n.r = d.r, g
+  GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50
+"""
+
+
+def op13_turn_dawg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return turn_dawg.repair(turn_dawg.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE conv AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+source AS (
+  SELECT c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conversations.conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations JOIN conv ON conversations.conv_id IS NOT DISTINCT FROM conv.conv_id),
+kinds AS (
+  SELECT name, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(name, ''),
+           lambda x: list_prepend(ord(x)::BIGINT, [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+           lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::BIGINT) ELSE a // 2 END), 4294967295::BIGINT) % 20 AS kind
+  FROM (SELECT DISTINCT name FROM source)),
+damaged AS (
+  SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM source JOIN kinds USING (name)),
+keyed AS (
+  SELECT c, turn, role, text, substr(role, 1, 1) AS i, md5(length(role) || ':' || role || text) AS k,
+         regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body
+  FROM damaged),
+told AS (SELECT *, row_number() OVER (PARTITION BY c, k ORDER BY turn NULLS FIRST) > 1 AS again FROM keyed),
+faulty AS (
+  SELECT c, turn, role, text, i,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again THEN 'duplicate'
+              WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+         row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k, again) AS p,
+         lag(i) OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k, again) AS before
+  FROM told),
+counts AS (
+  SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE p > 1 AND before || i NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY c),
+walk AS (
+  SELECT c, n + 1 AS p, {'c': 0, 'a': ''} AS f0, {'c': 6, 'a': 'II'} AS f1, {'c': 3, 'a': 'I'} AS f2, {'c': 0, 'a': ''} AS f3 FROM counts
+  UNION ALL
+  SELECT c, p,
+         least(b0, {'c': 3 + x2.c, 'a': 'I' || x2.a}) AS f0, least(b1, {'c': 3 + x2.c, 'a': 'I' || x2.a}) AS f1, x2 AS f2,
+         least(b3, {'c': 3 + b2.c, 'a': 'I' || b2.a}) AS f3
+  FROM (
+    SELECT c, p, b0, b1, b2, b3, least(b2, {'c': 3 + b3.c, 'a': 'I' || b3.a}) AS x2
+    FROM (
+      SELECT w.c, r.p,
+        least({'c': 4 + f0.c, 'a': 'D' || f0.a},
+              CASE WHEN m >= 0 AND i = 's' THEN {'c': m + f1.c, 'a': 'K' || f1.a} WHEN m >= 0 AND i = 'u' THEN {'c': m + f2.c, 'a': 'K' || f2.a} END,
+              CASE WHEN m >= 0 THEN {'c': 3 + m + f2.c, 'a': 'R' || f2.a} END) AS b0,
+        least({'c': 4 + f1.c, 'a': 'D' || f1.a}, CASE WHEN m >= 0 AND i = 'u' THEN {'c': m + f2.c, 'a': 'K' || f2.a} END,
+              CASE WHEN m >= 0 THEN {'c': 3 + m + f2.c, 'a': 'R' || f2.a} END) AS b1,
+        least({'c': 4 + f2.c, 'a': 'D' || f2.a}, CASE WHEN m >= 0 AND i = 'a' THEN {'c': m + f3.c, 'a': 'K' || f3.a} END,
+              CASE WHEN m >= 0 THEN {'c': 3 + m + f3.c, 'a': 'R' || f3.a} END) AS b2,
+        least({'c': 4 + f3.c, 'a': 'D' || f3.a}, CASE WHEN m >= 0 AND i = 'u' THEN {'c': m + f2.c, 'a': 'K' || f2.a} END,
+              CASE WHEN m >= 0 THEN {'c': 3 + m + f2.c, 'a': 'R' || f2.a} END) AS b3
+      FROM walk w JOIN (SELECT c, p, i, CASE fault WHEN 'blank' THEN -1 WHEN 'duplicate' THEN -1 WHEN 'truncated' THEN 3 ELSE 0 END AS m FROM faulty) r
+        ON w.c = r.c AND r.p = w.p - 1))),
+found AS (SELECT c, f0.c AS cost, f0.a AS audit FROM walk WHERE p = 1),
+edits AS (SELECT c, e, substr(audit, e, 1) AS x FROM (SELECT c, audit, unnest(range(1, length(audit) + 1)) AS e FROM found)),
+placed AS (
+  SELECT c, e, x, count(*) FILTER (WHERE x <> 'I') OVER (PARTITION BY c ORDER BY e) AS p, count(*) FILTER (WHERE x <> 'D') OVER (PARTITION BY c ORDER BY e) AS o FROM edits),
+shaped AS (
+  SELECT placed.c, e, x, o, role, text, max(CASE WHEN x = 'K' AND o = 1 AND i = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY placed.c) AS lead_s
+  FROM placed LEFT JOIN faulty ON placed.c = faulty.c AND placed.p = faulty.p AND x <> 'I'),
+result AS (
+  SELECT c, string_agg(CASE WHEN x = 'K' THEN role WHEN (o - lead_s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY e) AS t
+  FROM shaped WHERE x <> 'D' GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM conv LEFT JOIN counts ON conv.c = counts.c LEFT JOIN found ON conv.c = found.c LEFT JOIN result ON conv.c = result.c
+"""
+
 #: name -> (query, DuckDB SQL or None)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_gru_lm": (op1_gru_lm, None),
@@ -156,4 +290,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op10_lang_id": (op10_lang_id, None),
     "op3_line_dedup": (op3_line_dedup, OP3_SQL),
     "op8_host_rules": (op8_host_rules, OP8_SQL),
+    "op11_suffix_decontam": (op11_suffix_decontam, OP11_SQL),
+    "op12_max_sketch": (op12_max_sketch, OP12_SQL),
+    "op13_turn_dawg": (op13_turn_dawg, OP13_SQL),
 }
