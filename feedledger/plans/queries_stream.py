@@ -14,6 +14,7 @@ from ..operators import scan as SC
 from ..operators import stages as ST
 from ..session import ensure_checkpoint_dir
 from ..streaming import jobs as SJ
+from ..streaming import keyed as K
 from .queries import AS_OF, AS_OF_YEAR
 from .queries_scan import MERGE_FILES_SQL, SCAN_VIEWS
 from .registry import register
@@ -77,12 +78,13 @@ n AS (SELECT file_id, stage, count(*) FILTER (WHERE event_type = 'started') AS s
 SELECT l.file_id, l.stage, l.event_type AS last_event, l.id AS last_event_id, n.starts
 FROM last l JOIN n USING (file_id, stage)""")
 def _stream_state(t):
-    ev = _event_stream(t, "state")
-    out = SJ.run_available_now(SJ.stage_state_with_state(ev), "stage_state_" + uuid.uuid4().hex[:8], "update")
-    final = out.groupBy("file_id", "stage").agg(
-        F.max_by(F.struct("last_event", "last_event_id", "starts"),
-                 F.struct("last_event_micros", "last_event_id", "starts")).alias("f"))
-    return final.select("file_id", "stage", "f.last_event", "f.last_event_id", "f.starts")
+    # the state starts from a batch summary of one part of the events; the stream brings the others
+    ev = t.stage_events.withColumn("created_at", S.as_ts("created_at"))
+    d = _scratch(t.spark, "state")
+    before = F.pmod("id", F.lit(3)) == 0
+    ev.where(~before).repartition(6, "file_id").write.parquet(f"{d}/events")
+    K.start_stage_fold(t.spark, f"{d}/events", f"{d}/checkpoint", FILES_PER_BATCH, ST.latest_stage_state(ev.where(before)), 400 * 86_400).awaitTermination()
+    return K.stage_summaries(t.spark, f"{d}/checkpoint").select("file_id", "stage", "last_event", "last_event_id", "starts")
 
 
 @register("stream_failure_windows", "STM-3", """
@@ -147,8 +149,8 @@ def _stream_fold(t):
     ev.repartition(6, "file_id").write.parquet(f"{d}/events")
     for part in _split_off(spark, f"{d}/events", f"{d}/seen"):
         _move_in(spark, part, f"{d}/seen")
-        SJ.start_stage_fold(spark, f"{d}/seen", f"{d}/state", max_files=FILES_PER_BATCH).awaitTermination()
-    return SJ.folded_stages(spark, f"{d}/state", ST.conform_stages(t.file_stages)).select("file_id", "stage", "status", "attempts", "error_message")
+        K.start_stage_fold(spark, f"{d}/seen", f"{d}/checkpoint", FILES_PER_BATCH).awaitTermination()
+    return K.folded_stages(spark, f"{d}/checkpoint", ST.conform_stages(t.file_stages)).select("file_id", "stage", "status", "attempts", "error_message")
 
 
 @register("stream_failure_alerts", "STM-3,WIN-6", """
@@ -161,8 +163,13 @@ def _stream_alerts(t):
     d = _scratch(spark, "alerts")
     ev = t.stage_events.withColumn("created_at", S.as_ts("created_at"))
     ev.repartition(6, "file_id").write.parquet(f"{d}/events")
+    parts = _split_off(spark, f"{d}/events", f"{d}/seen")
+    # a last event of another kind, far ahead, closes every hour
+    ev.orderBy(F.desc("created_at")).limit(1).select(*(
+        F.lit("progress").alias(c) if c == "event_type" else (F.col(c) + F.expr("INTERVAL 90 DAYS")).alias(c) if c == "created_at" else F.col(c) for c in ev.columns)
+    ).write.parquet(f"{d}/last")
     # the event files each span the whole month, so the watermark delay covers it: no event is late
-    for part in _split_off(spark, f"{d}/events", f"{d}/seen"):
+    for part in (*parts, _files_of(spark, f"{d}/last")):
         _move_in(spark, part, f"{d}/seen")
-        SJ.start_failure_alerts(spark, f"{d}/seen", f"{d}/state", delay="40 days", max_files=FILES_PER_BATCH).awaitTermination()
-    return SJ.with_spike_flag(SJ.hour_table(spark, f"{d}/state")).select("hour", "failures", "previous", "spike")
+        K.start_hour_alerts(spark, f"{d}/seen", f"{d}/hours", f"{d}/checkpoint", delay="40 days", max_files=FILES_PER_BATCH).awaitTermination()
+    return K.judged_hours(spark, f"{d}/hours").select("hour", "failures", "previous", "spike")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedledger.operators import stages as ST
 from feedledger.streaming import jobs as SJ
+from feedledger.streaming import keyed as K
 
 T0 = dt.datetime(2024, 1, 1, 0, 0, 0)
 
@@ -51,64 +52,80 @@ def test_dedupe(spark, tmp_dir):
     assert out.count() == 2
 
 
-def test_stage_fold_batch_is_idempotent(spark, tmp_dir):
-    from feedledger import schemas as S
-
-    base = spark.createDataFrame([], S.FILE_STAGES)
-    ev = _events(spark, [("f", "download", "started", 1), ("f", "download", "completed", 2)])
-    run = SJ.stage_fold_batch(f"{tmp_dir}/state")
-    run(ev, 0)
-    run(ev, 0)  # re-delivered batch: skipped
-    out = SJ.folded_stages(spark, f"{tmp_dir}/state", base).collect()
-    assert [(r["status"], r["attempts"]) for r in out] == [("done", 1)]
-
-
 def _started(start):
     q = start()
     q.awaitTermination()
     assert q.exception() is None
 
 
+def _add(spark, folder, rows, first=0):
+    _events(spark, rows).withColumn("id", F.col("id") + first).coalesce(1).write.mode("append").parquet(folder)
+
+
 def test_stage_fold_goes_on_after_a_restart(spark, tmp_dir):
     from feedledger import schemas as S
 
     base = spark.createDataFrame([], S.FILE_STAGES)
-    start = lambda: SJ.start_stage_fold(spark, f"{tmp_dir}/ev", f"{tmp_dir}/state", max_files=1)
-    _events(spark, [("f", "download", "started", 1)]).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ev")
+    start = lambda: K.start_stage_fold(spark, f"{tmp_dir}/ev", f"{tmp_dir}/state", max_files=1)
+    assert K.stage_summaries(spark, f"{tmp_dir}/state").count() == 0  # nothing has run yet
+    _add(spark, f"{tmp_dir}/ev", [("f", "download", "started", 1), ("f", "download", "progress", 9)])
     _started(start)
-    _events(spark, [("f", "download", "completed", 2), ("g", "download", "failed", 3)]).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ev")
-    _events(spark, [("h", "download", "started", 4)]).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ev")
+    _add(spark, f"{tmp_dir}/ev", [("f", "download", "completed", 2), ("g", "download", "failed", 3)], 10)
+    _add(spark, f"{tmp_dir}/ev", [("h", "download", "started", 4), ("f", "download", "started", 0)], 20)  # the last one comes late
     _started(start)
     _started(start)  # nothing new
-    out = SJ.folded_stages(spark, f"{tmp_dir}/state", base).collect()
-    assert sorted((r["file_id"], r["status"], r["attempts"]) for r in out) == [("f", "done", 1), ("g", "failed", 0), ("h", "running", 1)]
+    events = spark.read.schema(SJ.EVENT_SCHEMA).parquet(f"{tmp_dir}/ev")
+    got, want = K.stage_summaries(spark, f"{tmp_dir}/state"), ST.latest_stage_state(events)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+    out = K.folded_stages(spark, f"{tmp_dir}/state", base).collect()
+    assert sorted((r["file_id"], r["status"], r["attempts"]) for r in out) == [("f", "done", 2), ("g", "failed", 0), ("h", "running", 1)]
+
+
+def test_stage_fold_starts_from_a_batch_summary(spark, tmp_dir):
+    old = _events(spark, [("f", "download", "started", 5), ("z", "download", "failed", 6)])
+    _add(spark, f"{tmp_dir}/ev", [("f", "download", "completed", 4), ("f", "download", "started", 7)], 10)
+    _started(lambda: K.start_stage_fold(spark, f"{tmp_dir}/ev", f"{tmp_dir}/state", initial=ST.latest_stage_state(old)))
+    got = {r["file_id"]: (r["status"], r["starts"], r["last_event_id"]) for r in K.stage_summaries(spark, f"{tmp_dir}/state").collect()}
+    assert got == {"f": ("running", 2, 11), "z": ("failed", 0, 1)}
+
+
+def test_stage_fold_forgets_after_its_time_to_live(spark, tmp_dir):
+    import time
+
+    start = lambda ttl: K.start_stage_fold(spark, f"{tmp_dir}/ev{ttl}", f"{tmp_dir}/state{ttl}", ttl_seconds=ttl)
+    for ttl in (1, 3600):
+        _add(spark, f"{tmp_dir}/ev{ttl}", [("f", "download", "started", 1)])
+        _started(lambda ttl=ttl: start(ttl))
+    time.sleep(1.5)
+    assert K.stage_summaries(spark, f"{tmp_dir}/state1").count() == 0
+    assert K.stage_summaries(spark, f"{tmp_dir}/state3600").count() == 1
+
+
+def test_a_hot_key_leaves_one_row_a_batch(spark):
+    import pandas as pd
+
+    rows = [("f", "download", "started" if i % 2 else "failed", None, i, i) for i in range(1000)] + [("g", "download", "progress", None, 1, 1)]
+    out = list(K._reduced(iter([pd.DataFrame(rows, columns=["file_id", "stage", "event_type", "message", "t", "id"])])))
+    assert [len(x) for x in out] == [1]
+    assert out[0].iloc[0][["last_event", "id", "starts", "last_started"]].tolist() == ["started", 999, 500, 999]
 
 
-def test_failure_alerts_go_on_after_a_restart(spark, tmp_dir):
-    start = lambda: SJ.start_failure_alerts(spark, f"{tmp_dir}/ev", f"{tmp_dir}/state", delay="40 days", max_files=1)
-    _events(spark, [("f", "download", "failed", 1)] * 2).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ev")
+def test_alerts_judge_an_hour_once_over_restarts(spark, tmp_dir):
+    ev, out = f"{tmp_dir}/ev", f"{tmp_dir}/out"
+    start = lambda: K.start_hour_alerts(spark, ev, out, f"{tmp_dir}/state", delay="1 hour", max_files=1)
+    hours = lambda: sorted((r["hour"].hour, r["failures"], r["previous"], r["spike"]) for r in K.judged_hours(spark, out).collect())
+    _add(spark, ev, [("f", "download", "failed", 1)] * 2)
     _started(start)
-    _events(spark, [("f", "download", "failed", 2), *[("g", "download", "failed", 70)] * 11]).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ev")
+    assert hours() == []  # the hour is open
+    _add(spark, ev, [("f", "download", "failed", 2), *[("g", "download", "failed", 70)] * 11])
     _started(start)
-    hours = {r["hour"]: r["failures"] for r in SJ.hour_table(spark, f"{tmp_dir}/state").collect()}
-    assert hours == {dt.datetime(2024, 1, 1, 0): 3, dt.datetime(2024, 1, 1, 1): 11}
-    state = SJ.Folder(spark, f"{tmp_dir}/state")
-    alerts = state.read("alerts", state.versions("alerts")[-1]).collect()
-    assert [(r["hour"], r["failures"], r["previous"]) for r in alerts] == [(dt.datetime(2024, 1, 1, 1), 11, 3)]
-
-
-def test_skipped_alert_batch_is_consumed(spark, tmp_dir):
-    """A batch that was applied before its progress was recorded is delivered again: the query goes on."""
-    start = lambda: SJ.start_failure_alerts(spark, f"{tmp_dir}/ev", f"{tmp_dir}/state", delay="40 days", max_files=1)
-    _events(spark, [("f", "download", "failed", 1)]).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ev")
-    done = spark.createDataFrame([], "hour timestamp, failures long")
-    state = SJ.Folder(spark, f"{tmp_dir}/state")
-    state.write("hours", 1, spark.createDataFrame([(dt.datetime(2024, 1, 1, 0), 1)], done.schema))
-    state.write("alerts", 1, SJ.spike_alerts(done))
+    _add(spark, ev, [("g", "download", "started", 200)])  # 03:20: hours 0 and 1 are closed by an event of another kind
     _started(start)
-    _events(spark, [("f", "download", "failed", 2)]).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/ev")
+    assert hours() == [(0, 3, None, False), (1, 11, 3, True)]
+    _add(spark, ev, [("f", "download", "failed", 3), *[("f", "download", "failed", 250)] * 12])  # the first is too late
+    _add(spark, ev, [("g", "download", "started", 500)])
     _started(start)
-    assert {r["hour"]: r["failures"] for r in SJ.hour_table(spark, f"{tmp_dir}/state").collect()} == {dt.datetime(2024, 1, 1, 0): 2}
+    assert hours() == [(0, 3, None, False), (1, 11, 3, True), (4, 12, 11, False)]
 
 
 def test_compaction_keeps_the_newest_rows(spark, tmp_dir):
