@@ -1,9 +1,9 @@
 """Ranked lexical search with hashed max-sketches.
 
 1. ``index``: every document becomes its number of terms n, its different terms' 64-bit hashes with
-   their counts, and a sketch: the hashes fold into 2^k coordinates (at least ``FOLD`` for each term,
-   so the fill does not grow with the text), each the largest count of the terms that meet there.
-   An impact grows with the count, so a coordinate's impact bounds every one of its terms.
+   their counts, and a sketch: ``len(ROWS)`` rows of 2^k coordinates (at least ``FOLD`` a row for each
+   term, so the fill does not grow with the text), each the largest count of the terms that fold into
+   it. An impact grows with the count, so the least of a term's coordinates bounds its impact.
 2. ``Query`` blocks: the items' terms get their document frequencies from the index, and weights.
 3. A task looks the terms of all of a block's items up in the sketches of a batch at once; weight
    times impact adds up to an upper bound of every document for every item. An item's documents are
@@ -41,6 +41,8 @@ from .terms import word_lists, words
 
 K = 50
 FOLD = 4
+#: One odd multiplier for each row of a sketch; the product's high bits are the coordinate.
+ROWS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 #: Documents whose sketches are looked up at once hold at most this many coordinates.
 LOOKUP_CELLS = 4_000_000
 BLOCK_TERMS = 200_000
@@ -64,11 +66,18 @@ def impact(tf: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (1_000_000_000 * tf) // (1000 * tf + 20 * m)
 
 
+def coordinates(h: np.ndarray, row: int, size: int) -> np.ndarray:
+    return ((h * np.uint64(ROWS[row])) >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+
 def sketch(h: np.ndarray, tf: np.ndarray) -> np.ndarray:
-    """Coordinatewise largest counts (as uint8, ``MANY`` for more); 2^k coordinates."""
+    """Rows of coordinatewise largest counts (as uint8, ``MANY`` for more)."""
     size = 1 << max(4, (FOLD * len(h) - 1).bit_length())
-    out = np.zeros(size, np.uint8)
-    np.maximum.at(out, (h & np.uint64(size - 1)).astype(np.int64), np.minimum(tf, MANY).astype(np.uint8))
+    out = np.zeros((len(ROWS), size), np.uint8)
+    by_count = np.argsort(tf, kind="stable")  # of several counts for a coordinate the last, largest, stays
+    h, tf = h[by_count], np.minimum(tf[by_count], MANY).astype(np.uint8)
+    for row in range(len(ROWS)):
+        out[row, coordinates(h, row, size)] = tf
     return out
 
 
@@ -172,15 +181,17 @@ class Best:
             self.least = -self.rows[-1][0]
 
 
-def _bounds(cells: np.ndarray, size: int, m: np.ndarray, q: Query) -> np.ndarray:
+def _bounds(cells: np.ndarray, m: np.ndarray, q: Query) -> np.ndarray:
     """Upper bounds, one row a document and one column an item, from the looked-up coordinates."""
-    count = cells[:, (q.terms & np.uint64(size - 1)).astype(np.int64)].astype(np.int64)
-    table, level = np.unique(m, return_inverse=True)
-    every = np.arange(MANY + 1)[None, :]
-    by_count = impact(every, table[:, None])  # impacts of all counts, for each length that occurs
-    by_count[:, MANY] = LIMIT
-    worth = by_count[level.ravel()[:, None], count] * q.weight
-    return np.add.reduceat(worth[:, q.term], q.first[:-1], axis=1)
+    size = cells.shape[2]
+    count = cells[:, 0].take(coordinates(q.terms, 0, size), axis=1)
+    for row in range(1, len(ROWS)):
+        np.minimum(count, cells[:, row].take(coordinates(q.terms, row, size), axis=1), out=count)
+    doc, term = np.nonzero(count)
+    tf = count[doc, term].astype(np.int64)
+    worth = np.zeros(count.shape, np.int64)
+    worth[doc, term] = np.where(tf == MANY, LIMIT, impact(tf, m[doc])) * q.weight[term]
+    return np.add.reduceat(worth.take(q.term, axis=1), q.first[:-1], axis=1)
 
 
 def _search(b: pa.RecordBatch, q: Query, best: list[Best], n_docs: int, length: int) -> None:
@@ -198,8 +209,8 @@ def _search(b: pa.RecordBatch, q: Query, best: list[Best], n_docs: int, length:
         step = max(1, min(LOOKUP_CELLS // size, LOOKUP_CELLS // max(1, len(q.term))))
         for at in range(0, len(members), step):
             docs = members[at: at + step]
-            looked_up = np.stack([cells[cell_at[d]: cell_at[d] + size] for d in docs])
-            bounds = _bounds(looked_up, size, m[docs], q)
+            looked_up = np.stack([cells[cell_at[d]: cell_at[d] + size] for d in docs]).reshape(len(docs), len(ROWS), -1)
+            bounds = _bounds(looked_up, m[docs], q)
             for i, top in enumerate(best):
                 some = np.flatnonzero((bounds[:, i] >= top.least) & (bounds[:, i] > 0))
                 some = some[np.argsort(-bounds[some, i], kind="stable")]

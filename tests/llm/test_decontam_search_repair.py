@@ -206,7 +206,7 @@ def test_sketch_bounds_every_impact(counts, m):
     cells = max_sketch.sketch(h, tf)
     q = max_sketch.Query(np.sort(h), np.arange(len(h)), np.arange(len(h) + 1), list(range(len(h))))
     q.weight = np.ones(len(h), np.int64)
-    bounds = max_sketch._bounds(cells[None, :], len(cells), np.array([m]), q)[0]
+    bounds = max_sketch._bounds(cells[None], np.array([m]), q)[0]
     exact = max_sketch.impact(tf[np.argsort(h)].astype(np.int64), np.int64(m))
     assert (bounds >= exact).all()
 
