@@ -74,3 +74,54 @@ def test_cluster_conf_sizes_partitions():
     c = cluster_conf(100 * (1 << 40), executors=1000, cores_per_executor=8)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600  # 100 TB / 256 MB
     assert int(cluster_conf(1 << 30, 10, 4)["spark.sql.shuffle.partitions"]) == 120  # 3 tasks per core
+
+
+def test_ordered_previous_is_lag_with_null_keys_and_one_key_everywhere(spark):
+    rows = [(None if i % 3 else "k", float("nan") if i % 2 else None, i, None if i % 5 == 0 else i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, x double, t long, v long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")  # many batches a partition
+    try:
+        got = AU.ordered_previous(df, ["k", "x"], ["t"], ["v", "t"], partitions=9).select("t", "prev_v", "prev_t")
+        w = Window.partitionBy("k", "x").orderBy("t")
+        want = df.select("t", F.lag("v").over(w), F.lag("t").over(w))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.toDF("t", "prev_v", "prev_t").collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert AU.ordered_previous(df.limit(0), ["k"], ["t"], ["v"]).count() == 0
+
+
+def test_ordered_previous_joins_boundary_rows_only(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
+    plan = AU.ordered_previous(df, ["k"], ["id"], ["id"], partitions=4)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def _compared(a, b, **how):
+    return {r["column"]: tuple(r)[1:] for r in AU.compare_datasets(a, b, **how).collect()}
+
+
+def test_compare_finds_changed_added_and_repeated_rows(spark):
+    rows = [(i, None if i % 10 == 0 else f"v{i % 7}", None if i % 4 else i / 3) for i in range(500)] + [(1, "v1", None)] * 3
+    schema = "k int, v string, x double"
+    frame = lambda r: spark.createDataFrame(r, schema).repartition(5)
+    a = frame(rows)
+    distinct = lambda r: [len({x[c] for x in r if x[c] is not None}) for c in range(3)]
+    n = len(rows)
+    assert _compared(a, frame(rows[::-1])) == {c: (n, n, 0, 0, d, d) for c, d in zip("kvx", distinct(rows))}
+    changed = [(i, "other", x) if i == 77 else (i, v, x) for i, v, x in rows]
+    cases = [(changed, 1, 1), (rows + [(900, None, None)], 0, 1), (rows + rows[:1], 0, 1), (rows[:-1], 1, 0), (rows[:100], n - 100, 0), ([], n, 0),
+             ([(i, None, None) if i == 5 else (i, v, x) for i, v, x in rows], 1, 1)]
+    for other, only_a, only_b in cases:
+        for buckets in (4096, 1):
+            got = _compared(a, frame(other), buckets=buckets)
+            assert got == {c: (n, len(other), only_a, only_b, d, e) for c, d, e in zip("kvx", distinct(rows), distinct(other))}
+    swapped = frame([(1, None, 2.0)])
+    assert _compared(swapped, frame([(None, "1", 2.0)]))["k"][2:4] == (1, 1)  # a null is no value of the next column
+    empty = frame([])
+    assert _compared(empty, empty) == {c: (0, 0, 0, 0, 0, 0) for c in "kvx"}
+
+
+def test_equal_datasets_are_not_grouped_by_row(spark):
+    a = spark.range(1000).select("id", (F.col("id") % 3).cast("string").alias("v"))
+    plan = AU.compare_datasets(a, a.repartition(7))._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "_h" not in plan
