@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators import jobs as J
+from ..operators import maintained as M
 from ..operators import policy as P
 from ..operators import scan as SC
 from ..operators import stages as ST
 from ..session import ensure_checkpoint_dir
+from ..sources.bucketed import Catalog
 from ..streaming import jobs as SJ
 from ..streaming import keyed as K
+from ..streaming import landing as L
 from .queries import AS_OF, AS_OF_YEAR
-from .queries_scan import MERGE_FILES_SQL, SCAN_VIEWS
+from .queries_scan import CLASSIFY_SQL, MERGE_FILES_SQL, SCAN_VIEWS
 from .registry import register
 
 FILES_PER_BATCH = 2
@@ -113,20 +116,59 @@ def _stream_dedupe(t):
 
 @register("stream_landing_merge", "STM-1,UPD-14", MERGE_FILES_SQL, SCAN_VIEWS)
 def _stream_landing(t):
-    spark = t.spark
-    d = _scratch(spark, "landing")
-    t.listing.select("ftp_dir", "name", "size", S.as_ts("mod_time").alias("mod_time"), "remote_path") \
-        .repartition(2, F.upper("name")).write.parquet(f"{d}/listing")
-    SC.conform_files(t.files).write.parquet(f"{d}/state/files/v=0")
-    ST.conform_stages(t.file_stages).write.parquet(f"{d}/state/stages/v=0")
-    J.conform_queue(t.job_queue).write.parquet(f"{d}/state/queue/v=0")
+    spark, d = t.spark, _scratch(t.spark, "landing")
+    listing = t.listing.select("ftp_dir", "name", "size", S.as_ts("mod_time").alias("mod_time"), "remote_path")
+    listing.repartition(2, F.upper("name")).write.parquet(f"{d}/listing")
+    catalog = Catalog(spark, f"{d}/state", groups=16)
+    catalog.seed(SC.conform_files(t.files), ST.conform_stages(t.file_stages), J.conform_queue(t.job_queue))
     # two starts over the same state: the first sees one file, the second goes on with the others
     names = _split_off(spark, f"{d}/listing", f"{d}/seen")
     for part in names:
         _move_in(spark, part, f"{d}/seen")
-        SJ.start_landing(spark, f"{d}/seen", f"{d}/state", lambda s: P.Policy.from_tables(t), lambda: AS_OF, AS_OF_YEAR, max_files=1).awaitTermination()
-    files, _, _ = SJ._latest_tables(spark, f"{d}/state")
-    return files.select("id", "filename", "overall_status", "last_seen_at")
+        L.start_landing(spark, f"{d}/seen", f"{d}/state", lambda s: P.Policy.from_tables(t), lambda: AS_OF, AS_OF_YEAR, max_files=1, groups=16).awaitTermination()
+    return catalog.read("files").select("id", "filename", "overall_status", "last_seen_at")
+
+
+@register("maintained_reports", "AGG-1,AGG-2,AGG-3,AGG-4,AGG-6,AGG-17,UPD-14", CLASSIFY_SQL + """,
+src AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY filename ORDER BY remote_path DESC, size DESC) AS rn FROM k
+                       WHERE kind IN ('new','changed')) x WHERE rn = 1),
+deny AS (SELECT DISTINCT coalesce(existing_id, substr(sha256(filename), 1, 32)) AS id FROM k
+         WHERE kind IN ('new','changed','unchanged') AND NOT allowed
+           AND (CASE WHEN kind = 'new' THEN 'pending' ELSE s_status END) IN ('pending','downloaded','csv_ready')),
+m AS (SELECT coalesce(f.id, substr(sha256(src.filename), 1, 32)) AS id, coalesce(f.catalog, src.p_catalog) AS catalog, coalesce(f.state, src.p_state) AS state,
+             coalesce(f.year, src.p_year) AS year, coalesce(f.month, src.p_month) AS month, CASE WHEN src.filename IS NOT NULL THEN src.size ELSE f.size_bytes END AS size_bytes,
+             coalesce(f.overall_status, 'pending') AS st
+      FROM files f FULL OUTER JOIN src ON f.filename = src.filename),
+z AS (SELECT catalog, state, year, month, size_bytes,
+             CASE WHEN id IN (SELECT id FROM deny) AND st IN ('pending','downloaded','csv_ready') THEN 'ignored' ELSE st END AS st FROM m)
+SELECT 'status' AS report, st AS key, count(*) AS count, NULL::BIGINT AS total_size_bytes, NULL::BIGINT AS avg_size_bytes FROM z GROUP BY st
+UNION ALL SELECT 'state', upper(trim(state)), count(*), coalesce(sum(size_bytes), 0)::BIGINT, coalesce(round(avg(size_bytes)), 0)::BIGINT FROM z GROUP BY 2
+UNION ALL SELECT 'catalog', upper(trim(catalog)), count(*), coalesce(sum(size_bytes), 0)::BIGINT, coalesce(round(avg(size_bytes)), 0)::BIGINT FROM z GROUP BY 2
+UNION ALL SELECT 'pending', '', count(*) FILTER (WHERE st = 'pending'), NULL, NULL FROM z
+UNION ALL SELECT 'ignored', '', count(*) FILTER (WHERE st = 'ignored'), NULL, NULL FROM z
+UNION ALL SELECT DISTINCT 'facet state', upper(trim(state)), NULL::BIGINT, NULL::BIGINT, NULL::BIGINT FROM z
+UNION ALL SELECT DISTINCT 'facet catalog', upper(trim(catalog)), NULL::BIGINT, NULL::BIGINT, NULL::BIGINT FROM z
+UNION ALL SELECT DISTINCT 'facet status', lower(trim(st)), NULL::BIGINT, NULL::BIGINT, NULL::BIGINT FROM z
+UNION ALL SELECT DISTINCT 'facet period', printf('%04d-%02d', year, month), NULL::BIGINT, NULL::BIGINT, NULL::BIGINT FROM z WHERE month BETWEEN 1 AND 12
+""", SCAN_VIEWS)
+def _maintained(t):
+    """Three listings, each of some directories; the reports then come from the cells alone."""
+    spark, root = t.spark, f"{_scratch(t.spark, 'cells')}/state"
+    catalog = Catalog(spark, root, groups=16)
+    catalog.seed(SC.conform_files(t.files), ST.conform_stages(t.file_stages), J.conform_queue(t.job_queue))
+    listing = t.listing.select("ftp_dir", "name", "size", S.as_ts("mod_time").alias("mod_time"), "remote_path")
+    for batch in range(3):
+        L.merge_listing(catalog, listing.where(F.pmod(F.xxhash64("ftp_dir"), F.lit(3)) == batch), P.Policy.from_tables(t), AS_OF, AS_OF_YEAR, batch)
+    cells, none = catalog.read("cells"), F.lit(None).cast("long")
+    counts = M.pending_and_ignored_counts(cells)
+    parts = [M.status_counts(cells).select(F.lit("status").alias("report"), F.col("overall_status").alias("key"), "count", none.alias("total_size_bytes"), none.alias("avg_size_bytes"))]
+    parts += [M.size_by(cells, c).select(F.lit(c).alias("report"), "key", "count", "total_size_bytes", "avg_size_bytes") for c in ("state", "catalog")]
+    parts += [counts.select(F.lit(c), F.lit(""), c, none, none) for c in ("pending", "ignored")]
+    parts.append(M.facets(cells).select(F.concat(F.lit("facet "), "facet"), "value", none, none, none))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
 
 
 @register("stream_stage_fold", "STM-2,UPD-6", """

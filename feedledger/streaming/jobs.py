@@ -1,94 +1,53 @@
-"""Structured Streaming forms of the pipeline's polling loops (STM-1..5).
+"""Structured Streaming forms of the pipeline's polling loops (STM-1..5; the landing merge is in
+``landing``, keyed state in ``keyed``).
 
 The transformations are the batch operators; only sources, sinks, watermarks and state are
-stream-specific. Every sink keeps its stream checkpoint beside its state, under one fixed name, so a
+stream-specific. Every sink keeps its stream checkpoint beside its output, under one fixed name, so a
 second start goes on where the first one ended; a batch that is delivered again is consumed and
-changes nothing. State tables grow by deltas of the changed keys and are compacted from time to time.
+changes nothing.
 """
 
 from __future__ import annotations
 
-from typing import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators import jobs as J
-from ..operators import policy as P
-from ..operators import scan as SC
 from ..operators import stages as ST
 
 EVENT_SCHEMA = ("id long, file_id string, stage string, event_type string, message string, payload_json string, "
                 "duration_ms long, created_at timestamp")
 
 
-#: A state table is written as a whole after this many deltas.
-COMPACT_EVERY = 10
-
-
 def checkpoint_location(state_root: str, name: str) -> str:
     """Where a sink's progress is kept: fixed by the state folder and the sink's name."""
     return f"{state_root.rstrip('/')}/_streams/{name}"
 
 
 class Folder:
-    """Versioned tables below one folder of any Hadoop file system: ``{table}/v=N`` (a delta) and
-    ``{table}/all=N`` (everything up to N). A version counts once its writer has committed it."""
+    """A sink's batches below one folder of any Hadoop file system, as ``{table}/v=N``. A batch counts
+    once its writer has committed it."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def versions(self, table: str, kind: str = "v") -> list[int]:
+    def versions(self, table: str) -> list[int]:
         at = self._path(f"{self.root}/{table}")
         if not self._fs.exists(at):
             return []
         names = [st.getPath().getName() for st in self._fs.listStatus(at)]
-        return sorted(int(n.split("=")[1]) for n in names
-                      if n.startswith(f"{kind}=") and self._fs.exists(self._path(f"{self.root}/{table}/{n}/_SUCCESS")))
-
-    def has(self, table: str, version: int) -> bool:
-        return version in self.versions(table) or any(v >= version for v in self.versions(table, "all"))
-
-    def write(self, table: str, version: int, df: DataFrame, kind: str = "v") -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/{table}/{kind}={version}")
-
-    def read(self, table: str, version: int, kind: str = "v") -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{table}/{kind}={version}")
-
-    def current(self, table: str, keys: list[str], below: int | None = None) -> DataFrame | None:
-        """The newest row of every key, of versions less than ``below``; None if there is none."""
-        keep = [v for v in self.versions(table, "all") if below is None or v < below]
-        base = max(keep, default=-1)
-        deltas = [v for v in self.versions(table) if v > base and (below is None or v < below)]
-        parts = ([self.read(table, base, "all").withColumn("_v", F.lit(base).cast("long"))] if base >= 0 else []) + [
-            self.read(table, v).withColumn("_v", F.lit(v).cast("long")) for v in deltas]
-        if not parts:
-            return None
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        if len(parts) == 1:
-            return out.drop("_v")
-        rest = [c for c in out.columns if c not in (*keys, "_v")]
-        return out.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_v").alias("_x")).select(*keys, "_x.*")  # partial per task
-
-    def compact(self, table: str, keys: list[str], version: int) -> None:
-        """Write the whole table when enough deltas have come; drop what the last whole one replaced."""
-        whole = self.versions(table, "all")
-        if len([v for v in self.versions(table) if v > max(whole, default=-1)]) < COMPACT_EVERY:
-            return
-        self.write(table, version, self.current(table, keys, version + 1), "all")
-        if whole:  # readers of the newest table never see the one before the last go
-            self.drop(table, max(whole))
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith("v=") and self._fs.exists(self._path(f"{self.root}/{table}/{n}/_SUCCESS")))
+
+    def write(self, table: str, version: int, df: DataFrame) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/{table}/v={version}")
 
     def drop(self, table: str, upto: int) -> None:
-        for kind in ("v", "all"):
-            for v in self.versions(table, kind):
-                if v < upto or (v == upto and kind == "v"):
-                    self._fs.delete(self._path(f"{self.root}/{table}/{kind}={v}"), True)
+        for v in self.versions(table):
+            if v <= upto:
+                self._fs.delete(self._path(f"{self.root}/{table}/v={v}"), True)
 
 
 def consume(batch: DataFrame) -> None:
@@ -118,7 +77,7 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append", root: str
 
     def write(batch: DataFrame, batch_id: int) -> None:
         out = Folder(batch.sparkSession, root)
-        if out.has(name, batch_id):
+        if batch_id in out.versions(name):
             consume(batch)
             return
         out.write(name, batch_id, batch)
@@ -178,71 +137,3 @@ def failure_windows(events: DataFrame, delay: str = "2 hours", width: str = "1 h
 def queue_depth_stream(queue_rows: DataFrame) -> DataFrame:
     """STM-4: jobs per (stage, status) as a streaming aggregate (complete mode)."""
     return J.depth(queue_rows)
-
-
-# --------------------------------------------------------------------------- STM-1 landing
-
-
-LANDING_TABLES = {"files": ["id"], "stages": ["file_id", "stage"], "queue": ["id"], "summary": None}
-
-
-def landing_merge_batch(state_root: str, policy_fn: Callable[[SparkSession], P.Policy | None], as_of_fn,
-                        as_of_year: int) -> Callable[[DataFrame, int], None]:
-    """STM-1: ``foreachBatch`` body merging each listing micro-batch into versioned catalog tables.
-
-    Version 0 is the seed; batch ``b`` writes the rows it changed as version ``b + 1`` of every table
-    (files last: that commits the batch). A batch whose version exists is consumed and skipped.
-    """
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        version, state = batch_id + 1, Folder(batch.sparkSession, state_root)
-        if state.has("files", version):
-            consume(batch)
-            return
-        old = dict(zip(("files", "stages", "queue"), _latest_tables(spark, state_root, below=version)))  # never this batch's own output
-        res = SC.merge_scan(old["files"], old["stages"], old["queue"], batch, policy_fn(spark), as_of_fn(), as_of_year, checkpoint=True)
-        state.write("summary", version, res.summary)
-        for name, new in (("stages", res.stages), ("queue", res.queue), ("files", res.files.drop("is_new"))):
-            state.write(name, version, _changed(new, old[name], LANDING_TABLES[name]))
-        for name, keys in LANDING_TABLES.items():
-            if keys:
-                state.compact(name, keys, version)
-
-    return run
-
-
-def _changed(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``new`` that ``old`` does not hold in the same form (an anti join on the key and a
-    hash of the whole row)."""
-    cols = new.columns
-    mark = F.xxhash64(*cols)
-    seen = old.select(*(F.col(k).alias(f"_k_{k}") for k in keys), mark.alias("_h"))
-    match = F.col("_mark") == F.col("_h")
-    for k in keys:
-        match = match & (F.col(k) == F.col(f"_k_{k}"))
-    return new.withColumn("_mark", mark).join(seen, match, "left_anti").select(*cols)
-
-
-def _latest_tables(spark: SparkSession, root: str, below: int | None = None):
-    state = Folder(spark, root)
-
-    def latest(name: str, schema):
-        found = state.current(name, LANDING_TABLES[name], below)
-        if found is None:
-            return spark.createDataFrame([], schema)
-        return found.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
-
-    return latest("files", S.FILES), latest("stages", S.FILE_STAGES), latest("queue", S.JOB_QUEUE)
-
-
-def start_landing(spark: SparkSession, listing_dir: str, state_root: str, policy_fn, as_of_fn, as_of_year: int,
-                  available_now: bool = True, max_files: int | None = None):
-    """STM-1: a file stream of listing snapshots (Parquet with the LISTING schema) merged batch by batch."""
-    r = spark.readStream.schema(S.LISTING)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    w = (r.parquet(listing_dir).writeStream.foreachBatch(landing_merge_batch(state_root, policy_fn, as_of_fn, as_of_year))
-         .option("checkpointLocation", checkpoint_location(state_root, "landing")))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
-    return w.start()

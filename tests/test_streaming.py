@@ -126,13 +126,3 @@ def test_alerts_judge_an_hour_once_over_restarts(spark, tmp_dir):
     _add(spark, ev, [("g", "download", "started", 500)])
     _started(start)
     assert hours() == [(0, 3, None, False), (1, 11, 3, True), (4, 12, 11, False)]
-
-
-def test_compaction_keeps_the_newest_rows(spark, tmp_dir):
-    state = SJ.Folder(spark, f"{tmp_dir}/t")
-    for v in range(1, 2 * SJ.COMPACT_EVERY + 4):
-        state.write("x", v, spark.createDataFrame([(v % 3, v)], "k int, n int"))
-        state.compact("x", ["k"], v)
-    top = 2 * SJ.COMPACT_EVERY + 3
-    assert sorted((r["k"], r["n"]) for r in state.current("x", ["k"]).collect()) == sorted((v % 3, v) for v in range(top - 2, top + 1))
-    assert len(state.versions("x")) < 2 * SJ.COMPACT_EVERY and all(state.has("x", v) for v in (1, top))
