@@ -38,10 +38,15 @@ SECOND_LEVEL = 19
 #: A text whose best dictionary saves less than this share of bytes against the next is rejected.
 MIN_MARGIN = 0.005
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: Runs that hold every letter, and numeric signs that are none (as a half or a Roman numeral).
+_LETTERS = re.compile(r"[^\W\d_]+")
 _REST = re.compile(r"[\W\d_]+")
 
 
+def has_letter(text: str) -> bool:
+    return any(c.isalpha() for run in _LETTERS.finditer(text) for c in run.group())
+
+
 def letters(text: str) -> bytes:
     """What is compressed: lower-cased letters, other runs as one space."""
     return _REST.sub(" ", text.lower()).encode("utf-8", "surrogatepass")
@@ -98,7 +103,7 @@ class Model:
 
     def classify(self, text: str | None) -> tuple[str, float, float, bool]:
         """(language, score, margin, rejected)."""
-        if not self.langs or not text or not _LETTER.search(text):
+        if not self.langs or not text or not has_letter(text):
             return UNDETERMINED, 0.0, 0.0, True
         if len(self.langs) == 1:
             return self.langs[0], 1.0, 1.0, False

@@ -6,9 +6,11 @@
    compared up to one shingle (all one-deletion neighbours, worth two exact ones), and spare
    segments, by the rows they cost and the chance matches they let through. Empty exact segments,
    which would match anything, are left out as long as the spare segments make up for them.
-2. Sets that share a signature are starred to the least of them, and the stars' components are the
-   candidate groups: every linked pair lies inside one. A signature that is common in a sample of
-   the rows is starred in salted parts first (this only lays out work; no result depends on it).
+2. Sets that share a signature are starred to one of them, and the stars' components are the candidate
+   groups: every linked pair lies inside one. A task reduces equal sets to one, packs its signatures
+   as sorted differences with short class numbers, a range of signatures a row, and only those rows
+   are shuffled. A range is streamed: what is kept are its different signatures, which the number of
+   ranges bounds, so a signature that a third of all sets share costs time in proportion, not memory.
 3. Each group is verified exactly, all pairs inside, in pairs of blocks so that a large group is
    spread over many tasks; a block pair returns a spanning forest of its links, not the links.
 4. The forests' components, least doc_id each, are the answer. Equal sets are one class throughout.
@@ -45,12 +47,14 @@ CACHE_WORDS = 1 << 18
 #: What the allocation assumes: the share of the sets that hold a given shingle, and how many bands
 #: hold most of the sets.
 SHARED, BANDS = 1e-4, 10
-#: A larger candidate group is cut into blocks of at most this many sets, verified pair by pair: every
-#: set goes once to each of its group's blocks.
+#: A larger candidate group is cut into blocks of about this many sets, and of this many shingles,
+#: verified pair by pair: every set goes once to each of its group's blocks.
 LARGEST_BLOCK = 2048
-SALTS = 64
-SAMPLE_OF = 64
-HOT = 10_000
+BLOCK_SHINGLES = 4_000_000
+#: Signatures that a task packs at once, and that a range holds about at most.
+PACKED, RANGE = 1_000_000, 4_000_000
+#: A signature's bits that are compared inside a range.
+SIGNATURE_BITS = 40
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -216,50 +220,153 @@ def _forest(left: list[np.ndarray], right: list[np.ndarray] | None, part: int, w
     return out
 
 
-def shingle_classes(docs: DataFrame, size: int = WORDS, part: int = PART, whole: int = WHOLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Stored rows doc_id, n (set size), v (class), sigs of every row."""
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
-    n_sets = max(1, docs.count())
+@functools.cache
+def expected_signatures(n: int, n_sets: int, part: int = PART, whole: int = WHOLE) -> int:
+    """About as many signatures as a set of ``n`` shingles gets."""
+    if n == 0:
+        return 0
+    exact, deletion, _ = allocate(bands(2 * n + 2)[band_of(n)][1], n_sets, part, whole)
+    return 2 * (exact + 2 * deletion) + n
+
+
+def shingle_classes(docs: DataFrame, size: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Stored rows doc_id, th (hash of the text), n (set size), v (class) of every row."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("th"), text.cast("binary").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _WordHash()
         for b in batches:
-            n, v, sigs = [], [], []
-            for t in b.column(1):
+            n, v = [], []
+            for t in b.column(2):
                 s = shingles(t.as_py(), cache, size)
-                n.append(len(s)), v.append(class_of(s)), sigs.append(signatures(s, n_sets, part, whole).view(np.int64))
-            offsets = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
-            flat = np.concatenate(sigs) if sigs else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(v, pa.int64()), pa.ListArray.from_arrays(offsets, flat)],
-                                             ["doc_id", "n", "v", "sigs"])
-
-    return C.stored(slim.mapInArrow(run, slim.drop("t").schema.add("n", "long").add("v", "long").add("sigs", T.ArrayType(T.LongType()))), "classes")
-
-
-def candidate_edges(classes: DataFrame) -> DataFrame:
-    """(a, b): each class with the least class that shares one of its signatures."""
-    from pyspark.sql import Window
+                n.append(len(s)), v.append(class_of(s))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(v, pa.int64())], ["doc_id", "th", "n", "v"])
+
+    return C.stored(slim.mapInArrow(run, slim.drop("t").schema.add("n", "long").add("v", "long")), "classes")
+
+
+def pack(sigs: np.ndarray, owner: np.ndarray, classes: np.ndarray, ranges: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(range, signatures, classes) of signatures and the positions of their classes. A range's
+    signatures are sorted and kept as 32-bit differences (a larger one passes over several)."""
+    order = np.argsort(sigs)
+    sigs, owner = sigs[order], owner[order]
+    width = np.uint64((1 << 64) // ranges + 1 if ranges > 1 else (1 << 64) - 1)
+    own = np.minimum(sigs // width, np.uint64(ranges - 1)).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(own, prepend=-1, append=ranges))
+    shift = np.uint64(64 - SIGNATURE_BITS)
+    scaled = ((sigs - own.astype(np.uint64) * width) * np.uint64(min(max(1, ranges - 1), 1 << (64 - SIGNATURE_BITS)))) >> shift
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        steps = np.diff(scaled[i:j], prepend=np.uint64(0))
+        over = np.flatnonzero(steps >> np.uint64(32))
+        who = owner[i:j]
+        if len(over):  # steps of 2^32 - 1 that carry no signature: class 2^32 - 1
+            n = (steps[over] // np.uint64(0xFFFFFFFF)).astype(np.int64)
+            steps[over] -= n.astype(np.uint64) * np.uint64(0xFFFFFFFF)
+            steps, who = np.insert(steps, np.repeat(over, n), 0xFFFFFFFF), np.insert(who, np.repeat(over, n), 0xFFFFFFFF)
+        names, place = np.unique(who[who != 0xFFFFFFFF], return_inverse=True)
+        short = np.full(len(who), len(names), np.int64)
+        short[who != 0xFFFFFFFF] = place
+        kind = np.uint16 if len(names) < 1 << 16 else np.uint32
+        head = np.array([len(names), np.dtype(kind).itemsize], np.int64).tobytes()
+        yield int(own[i]), steps.astype(np.uint32).tobytes(), head + classes[names].astype(np.int64).tobytes() + short.astype(kind).tobytes()
+
+
+def unpack(steps: bytes, who: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures (in their range) and classes of one packed row."""
+    n, width = np.frombuffer(who, np.int64, 2).tolist()
+    names = np.append(np.frombuffer(who, np.int64, n, 16), 0)
+    short = np.frombuffer(who, np.uint16 if width == 2 else np.uint32, -1, 16 + 8 * n)
+    sig = np.cumsum(np.frombuffer(steps, np.uint32).astype(np.uint64))
+    real = short < n
+    return sig[real], names[short[real]]
+
+
+def star(kept: tuple[np.ndarray, np.ndarray], more: list[tuple[np.ndarray, np.ndarray]]) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """Signatures with one class each, after some more; and the (class, that class) pairs met."""
+    sig = np.concatenate([kept[0], *(s for s, _ in more)])
+    v = np.concatenate([kept[1], *(v for _, v in more)])
+    order = np.argsort(sig, kind="stable")
+    sig, v = sig[order], v[order]
+    first = np.diff(sig, prepend=~sig[:1] if len(sig) else 0) != 0
+    top = v[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))] if len(sig) else v
+    use = v != top
+    pairs = np.unique(np.stack((v[use], top[use]), axis=1), axis=0)
+    return (sig[first], v[first]), pairs
+
+
+def candidate_edges(docs: DataFrame, classes: DataFrame, size: int, part: int, whole: int, id_col: str, text_col: str) -> DataFrame:
+    """(a, b): pairs of classes that share a signature, a star for each signature."""
+    n_sets = max(1, classes.count())
+    by_size = classes.groupBy("n").agg(F.count(F.lit(1)).alias("sets"))
+    total = 0
+    for row in by_size.toLocalIterator():  # one row for each set size
+        total += row["sets"] * expected_signatures(row["n"], n_sets, part, whole)
+    ranges = max(1, -(-total // RANGE))
+    slim = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).cast("binary").alias("t"))
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, seen, names, sigs = _WordHash(), set(), [], []
+
+        def flush() -> pa.RecordBatch:
+            sizes = [len(s) for s in sigs]
+            rows = list(pack(np.concatenate(sigs), np.repeat(np.arange(len(names)), sizes), np.array(names, np.int64), ranges))
+            names.clear(), sigs.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["r", "steps", "who"])
+
+        held = 0
+        for b in batches:
+            for t in b.column(0):
+                s = shingles(t.as_py(), cache, size)
+                v = class_of(s)
+                if len(s) == 0 or v in seen:
+                    continue
+                if len(seen) >= CACHE_WORDS:  # a copy that comes later is packed again
+                    seen.clear()
+                seen.add(v)
+                names.append(v), sigs.append(signatures(s, n_sets, part, whole))
+                held += len(sigs[-1])
+                if held >= PACKED:
+                    yield flush()
+                    held = 0
+        if sigs:
+            yield flush()
+
+    def starred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing = (np.empty(0, np.uint64), np.empty(0, np.int64))
+        at, kept, more, held = None, nothing, [], 0
+
+        def reduced() -> pa.RecordBatch:
+            nonlocal kept, held
+            kept, pairs = star(kept, more)
+            more.clear()
+            held = 0
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
 
-    rows = classes.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).select(F.explode("sigs").alias("sig"), "v")
-    sampled = classes.filter((F.pmod("v", F.lit(SAMPLE_OF)) == 0) & (F.col("n") > 0)).select("v", F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
-    total = classes.agg(F.sum(F.size("sigs")).alias("n")).first()["n"] or 0
-    least = max(100, total // SAMPLE_OF // HOT)
-    hot = sampled.filter(F.col("n") >= least).select("sig", F.lit(True).alias("hot"))  # about HOT rows at most
-    dealt = rows.join(F.broadcast(hot), "sig", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("v"), F.lit(SALTS))).otherwise(F.lit(-1)))
-    star = dealt.select("sig", "v", "hot", "salt", F.min("v").over(Window.partitionBy("sig", "salt").orderBy("v")).alias("m"))
-    tops = star.filter(F.col("hot") & (F.col("v") == F.col("m"))).select("sig", "v").distinct()  # SALTS for each hot signature
-    second = tops.select("v", F.min("v").over(Window.partitionBy("sig").orderBy("v")).alias("m"))
-    pairs = star.select("v", "m").union(second)
-    return pairs.filter(F.col("v") != F.col("m")).select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        for b in batches:
+            for r, steps, who in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                if r != at:
+                    if more:
+                        yield reduced()
+                    at, kept = r, nothing
+                more.append(unpack(steps.as_py(), who.as_py()))
+                held += len(more[-1][0])
+                if held >= RANGE:
+                    yield reduced()
+        if more:
+            yield reduced()
+
+    rows = slim.mapInArrow(packed, "r long, steps binary, who binary")
+    return rows.repartition(min(ranges, 100_000), "r").sortWithinPartitions("r").mapInArrow(starred, "a long, b long").distinct()
 
 
 def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, size: int, part: int, whole: int, id_col: str, text_col: str) -> DataFrame:
     """(a, b): a spanning forest of the links inside the candidate groups (node, root)."""
     member = groups.union(groups.select(F.col("root").alias("node"), "root").distinct())
-    sizes = groups.groupBy("root").agg((F.count(F.lit(1)) + 1).alias("g"))
-    one = classes.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("v").agg(F.min("doc_id").alias("_id"))
-    need = one.join(member.join(sizes, "root").withColumnRenamed("node", "v"), "v")
-    need = need.withColumn("blocks", F.ceil(F.col("g") / LARGEST_BLOCK).cast("int")).select("_id", "v", "root", "blocks")
+    one = classes.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("v").agg(F.min("doc_id").alias("_id"), F.max("n").alias("n"))
+    known = C.stored(one.join(member.withColumnRenamed("node", "v"), "v"), "members")
+    sizes = known.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / LARGEST_BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    need = known.join(sizes, "root").select("_id", "v", "root", "blocks")
     slim = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
     texts = slim.join(need, "_id")
 
@@ -311,18 +418,18 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, size: int,
     return dealt.mapInArrow(verify, "a long, b long")
 
 
-def join_components(docs: DataFrame, size: int = WORDS, part: int = PART, whole: int = WHOLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
-    signed = shingle_classes(docs, size, part, whole, id_col, text_col)
-    groups = components(candidate_edges(signed))  # stored: the signatures are not needed any more
-    classes = C.stored(signed.select("doc_id", "n", "v"), "classes")
-    C.forget(signed)
+def join_components(docs: DataFrame, size: int = WORDS, part: int = PART, whole: int = WHOLE, id_col: str = "doc_id", text_col: str = "text",
+                    with_hash: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row; ``with_hash`` also text_hash (xxhash64 of the text)."""
+    classes = shingle_classes(docs, size, id_col, text_col)
+    groups = components(candidate_edges(docs, classes, size, part, whole, id_col, text_col))
     linked = components(_verified(docs, classes, groups, size, part, whole, id_col, text_col))
-    rows = classes.select("doc_id", "n", "v")
+    rows = classes.select("doc_id", "th", "n", "v")
     least = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("v").agg(F.min("doc_id").alias("d"))
     rooted = least.join(linked.withColumnRenamed("node", "v"), "v", "left").withColumn("root", F.coalesce("root", "v"))
     names = rooted.groupBy("root").agg(F.min("d").alias("component_id"))
     of_class = rooted.select("v", "root").join(names, "root").select("v", "component_id")
     return rows.join(of_class, "v", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        *([F.col("th").alias("text_hash")] if with_hash else []))

@@ -234,14 +234,54 @@ def test_components(spark, monkeypatch, size, part):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == Counter((d, len(shingles(t, size)), want.get(d)) for d, t in rows)
 
 
-def test_hot_signatures_are_salted(spark, monkeypatch):
-    monkeypatch.setattr(shingle_join, "SAMPLE_OF", 1)
-    monkeypatch.setattr(shingle_join, "HOT", 1)
-    monkeypatch.setattr(shingle_join, "SALTS", 3)
-    rows = _near_copies(12)
-    classes = shingle_join.shingle_classes(make(spark, rows))
-    plain = {(r["a"], r["b"]) for r in shingle_join.candidate_edges(classes).collect()}
-    assert plain and all(a > b for a, b in plain)
+@pytest.mark.parametrize("ranges", [1, 2, 3, 1000])
+def test_packed_signatures_come_back(ranges):
+    rng = np.random.default_rng(5)
+    sigs = np.concatenate([rng.integers(0, 2**64, 3000, np.uint64), np.array([0, 2**64 - 1, 2**63, 7, 7, 2**24], np.uint64)])
+    owner = rng.integers(0, 40, len(sigs))
+    classes = rng.integers(-2**63, 2**63, 40)
+    got = []
+    for r, steps, who in shingle_join.pack(sigs, owner, classes, ranges):
+        assert 0 <= r < ranges
+        got += [(r, int(s), int(v)) for s, v in zip(*shingle_join.unpack(steps, who))]
+    assert sorted(v for _, _, v in got) == sorted(classes[owner].tolist())
+    same = {}  # equal signatures get the same place, different ones (far apart) different places
+    for s, v in zip(sigs.tolist(), classes[owner].tolist()):
+        same.setdefault(s, set()).add(v)
+    places = {}
+    for r, s, v in got:
+        places.setdefault((r, s), set()).add(v)
+    near = lambda x: {s for s in same if abs(s - x) <= 2**25}
+    for s, vs in same.items():
+        if near(s) == {s}:
+            assert vs in places.values()
+
+
+def test_a_star_links_all_that_share_a_signature():
+    rng = random.Random(4)
+    kept, linked, want = (np.empty(0, np.uint64), np.empty(0, np.int64)), [], {}
+    for _ in range(5):
+        rows = [(rng.randrange(30), rng.randrange(-50, 50)) for _ in range(40)]
+        for s, v in rows:
+            want.setdefault(s, set()).add(v)
+        kept, pairs = shingle_join.star(kept, [(np.array([s for s, _ in rows], np.uint64), np.array([v for _, v in rows], np.int64))])
+        linked += pairs.tolist()
+    top = dict(zip(*map(list, kept)))
+    for s, vs in want.items():
+        assert all(v == top[s] or [v, top[s]] in linked for v in vs)
+    assert len(kept[0]) == len(want)
+
+
+def test_components_of_small_ranges_and_a_hot_copied_text(spark, monkeypatch):
+    for name, value in (("PACKED", 60), ("RANGE", 200), ("BLOCK_SHINGLES", 300), ("CACHE_WORDS", 5)):
+        monkeypatch.setattr(shingle_join, name, value)
+    near = _near_copies(14)
+    long = [f"t{i}" for i in range(400)]
+    rows = near + [(2000 + i, near[0][1]) for i in range(60)]  # a text that a third of all rows hold
+    rows += [(3000 + i, " ".join(long[:i] + [f"x{i}"] + long[i + 1:])) for i in range(8)]  # long near copies
+    got = {r["doc_id"]: r["component_id"] for r in shingle_join.join_components(make(spark, rows)).collect()}
+    assert got == link_components(rows, 3, 90)
+    assert len({got[3000 + i] for i in range(8)}) == 1
 
 
 def test_signatures_meet_for_every_linked_pair():
@@ -270,6 +310,28 @@ def test_components_of_paths_and_loops(spark):
 
 
 # -- pipeline --------------------------------------------------------------------------------------
+def first_of_each_group(rows, size, part):
+    """The rows whose own text is in no group with a smaller id; rows of one id are judged one by one."""
+    texts = {}
+    for doc, text in rows:
+        if doc is not None:
+            texts.setdefault(text, []).append(doc)
+    names = list(texts)
+    root = link_components(list(enumerate(names)), size, part)
+    least = {}
+    for k, t in enumerate(names):
+        least[root[k]] = min([least.get(root[k], min(texts[t])), *texts[t]])
+    of_text = {t: least[root[k]] if shingles(t, size) else None for k, t in enumerate(names)}
+    return [(d, t) for d, t in rows if d is None or of_text[t] is None or of_text[t] == d]
+
+
+def test_near_duplicates_go_by_id_and_text(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(1, a), (9, a), (9, b), (7, ""), (7, ""), (8, None), (None, a)]
+    out = corpus_pipeline.remove_near_duplicates(spark, make(spark, rows, clashes=True), SF).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in out) == Counter([(1, a), (9, b), (7, ""), (8, None), (None, a)])
+
+
 def test_pipeline_against_brute_force(spark, tmp_path):
     import hashlib
 
@@ -285,9 +347,8 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     model = lang_id.Model(lang_id.sample(docs.filter(~lang_id.held_out(F.col("doc_id")))))
     left = [r[:2] for r in rows if not model.classify(r[1])[3]]
     lines = dedup_lines(left, corpus_pipeline.LINE_DOCS, keep_first=True)
-    left = [(d, text if gone else t) for (d, t), (_, gone, text) in zip(left, lines) if not gone or 100 * len(text) >= corpus_pipeline.LEAST_LEFT * len(t)]
-    root = link_components(left, corpus_pipeline.NEAR_WORDS, corpus_pipeline.NEAR_PART)
-    left = [x for x in left if x[0] is None or root[x[0]] == x[0]]
+    left = [(d, text if gone else t) for (d, t), (_, gone, text) in zip(left, lines) if not gone or text.strip(" \t\n\x0b\x0c\r")]
+    left = first_of_each_group(left, corpus_pipeline.NEAR_WORDS, corpus_pipeline.NEAR_PART)
     left = sorted({x for x in left if x[0] is not None}) + [x for x in left if x[0] is None]
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe_sql.load_ranks(P.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
     want = Counter((d, len(i := enc.encode_ordinary(t)), tuple(i), hashlib.sha256(t.encode()).hexdigest()) for d, t in left)
@@ -319,3 +380,48 @@ def test_stages_keep_columns_and_order(spark):
         assert out.columns == docs.columns, name
         assert stage(spark, docs.filter("false"), SF).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+# -- language --------------------------------------------------------------------------------------
+def test_numeric_signs_are_no_letters():
+    model = lang_id.Model([("de", 2, b"der die das und ist nicht ein eine"), ("en", 3, b"the and of to in is that it was for")])
+    for text in ("½ ² Ⅷ ①", "12 ³ 4", "...", "\u0301", "_1_"):
+        assert model.classify(text) == ("und", 0.0, 0.0, True)
+    for text in ("½ a", "日", "the ①"):
+        assert model.classify(text)[0] in ("de", "en")
+
+
+def test_languages_against_the_library(spark):
+    """The smallest sum of compressed sizes, straight from zstandard."""
+    import re
+
+    import zstandard
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = lang_id.sample(docs.filter(~lang_id.held_out(F.col("doc_id"))))
+    order = sorted(model, key=lambda d: (-d[1], d[0]))
+    plain = lambda t: re.sub(r"[\W\d_]+", " ", t.lower()).encode()
+
+    def sizes(text, level):
+        raw, out = plain(text), []
+        for _, _, content in order:
+            n = 0
+            for i in range(0, len(raw), 4096):
+                own = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                n += len(zstandard.ZstdCompressor(level=level, dict_data=own, write_content_size=False, write_dict_id=False).compress(raw[i: i + 4096]))
+            out.append(n)
+        return out
+
+    def brute(text):
+        if not any(c.isalpha() for c in text or ""):
+            return "und"
+        for level in (3, 19):
+            found = sizes(text, level)
+            first, second = sorted(found)[:2]
+            if (second - first) / second >= 0.005 or level == 19:
+                return order[found.index(first)][0]
+
+    rows = docs.select("doc_id", "text").limit(80).collect()
+    got = {r["doc_id"]: r["lang_pred"] for r in lang_id.predict(docs.select("doc_id", "text"), model).collect()}
+    wrong = [r["doc_id"] for r in rows if got[r["doc_id"]] != brute(r["text"])]
+    assert not wrong

@@ -40,13 +40,10 @@ def test_automaton_is_greedy_longest_match(initial, continuation, ws):
 
 
 def test_count_tokens(spark):
-    initial, continuation = map(set, piece_counts.sentencepiece_vocabulary(PIECES))
+    _, pieces = _file_pieces()
     rows = odd_rows()
     got = sorted(map(tuple, piece_counts.count_tokens(make(spark, rows, clashes=True), PIECES).collect()), key=str)
-    want = []
-    for doc, text, *_ in rows:
-        n = [greedy(w, initial, continuation) for w in words(text)]
-        want.append((doc, len(n), sum(x if x >= 0 else 1 for x in n), n.count(-1)))
+    want = [(doc, len(words(text)), sum(whole_greedy(w, pieces) for w in words(text)), 0) for doc, text, *_ in rows]
     assert got == sorted(want, key=str)
     assert piece_counts.count_tokens(make(spark, []), PIECES).count() == 0
 
