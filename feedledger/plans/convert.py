@@ -32,7 +32,7 @@ from .. import schemas as S
 from ..functions import names as N
 from ..functions import text as TX
 from ..operators import policy as P
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, ship_package
 from ..sources import dbc
 from ..sources.fsio import read_bytes as _read_bytes
 
@@ -107,6 +107,7 @@ def decode_files(paths: DataFrame, encoding: str = "iso-8859-1", tasks: int | No
     """SRC-4 steps 2-4: decoded records + one status row per file, checkpointed."""
     spark = paths.sparkSession
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     p = paths.select(F.col(path_col).alias("path")).distinct()
     p = p.select("path", *file_parts("path", as_of_year))  # one row per file: name parsing runs once per file
     n = tasks or max(1, spark.sparkContext.defaultParallelism * 2)
@@ -216,10 +217,11 @@ def convert(paths: DataFrame, tsv_root: str | None = None, parquet_root: str | N
         recs = decoded.where((F.col("kind") == "record") & (F.col("sig") == sig)).join(ok_files, "path", "left_semi")
         if not keep_deleted:
             recs = recs.where(F.substring("rec", 1, 1) != F.unhex(F.lit("2A")))
-        raw_names = [f[0] for f in fields]
+        raw_names, parts = [f[0] for f in fields], PART_COLS
         pq_names = normalize_columns(raw_names)
         tsv_names = raw_names if len(set(raw_names)) == len(raw_names) and all(raw_names) else pq_names
-        parts = PART_COLS
+        # a file without a record to keep has no row below: its artifact is the header alone
+        bare = ok_files.join(recs.select("path").distinct(), "path", "left_anti").join(status.select("path", *parts), "path") if parquet_root or tsv_root else None
         # one writer and one output file for every source file
         ordered = recs.repartition(*parts).sortWithinPartitions("file", "rec_index") if parquet_root or tsv_root else recs
         if parquet_root:
@@ -232,6 +234,7 @@ def convert(paths: DataFrame, tsv_root: str | None = None, parquet_root: str | N
              .partitionBy(*parts)
              .parquet(staging))
             publish(decoded.sparkSession, staging, parquet_root, ".parquet")
+            write_headers(bare, pq_names, parquet_root, ".parquet")
         if tsv_root:
             staging = _staging(decoded.sparkSession)
             (ordered.select(*parts, *layout_columns(fields, encoding, tsv_names)).write
@@ -241,6 +244,7 @@ def convert(paths: DataFrame, tsv_root: str | None = None, parquet_root: str | N
              .partitionBy(*parts)
              .csv(staging))
             publish(decoded.sparkSession, staging, tsv_root, ".csv")
+            write_headers(bare, tsv_names, tsv_root, ".csv")
         tables[sig] = recs.select(*parts, "rec_index", *layout_columns(fields, encoding, pq_names))
     outcomes = status.select(
         "path", F.upper(N.base_name(F.regexp_extract("path", r"([^/]*)$", 1))).alias("file"), "sig",
@@ -277,6 +281,35 @@ def publish(spark: SparkSession, staging: str, root: str, ext: str) -> None:
     moves.mapInPandas(run, "to string").write.format("noop").mode("overwrite").save()
 
 
+def header_bytes(names: list[str], ext: str) -> bytes:
+    """A TSV or Parquet file with these text columns and no rows."""
+    if ext == ".csv":
+        quoted = ('"' + n.replace('"', '""') + '"' if any(c in n for c in '\t"\r\n') else n for n in names)
+        return ("\t".join(quoted) + "\n").encode()
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    out = pa.BufferOutputStream()
+    pq.write_table(pa.table({n: pa.array([], pa.string()) for n in names}), out, compression="snappy")
+    return out.getvalue().to_pybytes()
+
+
+def write_headers(files: DataFrame, names: list[str], root: str, ext: str) -> None:
+    """SNK-1 / SNK-2: the artifact of every file (PART_COLS) that has no record, in tasks."""
+    to = files.select(N.canonical_path(root, "catalog", "state", F.col("year").cast("int"), F.col("month").cast("int"), F.concat("file", F.lit(ext)), ext).alias("to"))
+    data = header_bytes(names, ext)
+
+    def run(batches):
+        from ..sources import fsio
+
+        for pdf in batches:
+            for path in pdf["to"]:
+                fsio.put(path, data)
+            yield pdf
+
+    to.mapInPandas(run, "to string").write.format("noop").mode("overwrite").save()
+
+
 #: What a finished conversion leaves in the catalog: status, path column, extension.
 READY = {"csv_conversion": ("csv_ready", "csv_path", ".csv"), "parquet_conversion": ("parquet_ready", "parquet_path", ".parquet")}
 

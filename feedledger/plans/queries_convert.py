@@ -84,7 +84,7 @@ names AS (SELECT 'OR' || chr(65 + CAST(floor(floor(o_orderkey / {KEYS_PER_FILE})
                  CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS records
           FROM orders GROUP BY 1, 2, 3),
 named AS (SELECT stem || lpad(CAST(year % 100 AS VARCHAR), 2, '0') || lpad(CAST(month AS VARCHAR), 2, '0') AS base, substr(stem, 3, 2) AS state, year, month, records FROM names)"""
-BROKEN_MONTH, BLOCKED_YEAR = 2, 1997
+BROKEN_MONTH, EMPTY_MONTH, DELETED_MONTH, BLOCKED_YEAR = 2, 5, 7, 1997
 
 
 @register("convert_outcomes", "JOB-1,JOB-2,MATH-3", f"""
@@ -99,10 +99,10 @@ def _outcomes(t):
 
 
 def _landed(t, base):
-    """Record files of the orders, those of one month of the year with the end of the body cut off,
-    and the catalog rows that name them."""
+    """Record files of the orders, and the catalog rows that name them. Of the files of some months of
+    the year the end is cut off, all records are flagged deleted, or no record is left."""
     from ..functions import names as N
-    from ..sources import fsio
+    from ..sources import dbc, fsio
 
     spark = t.spark
     paths = orders_as_record_files(t, f"{base}/landing").select("path").checkpoint(eager=True)
@@ -114,6 +114,16 @@ def _landed(t, base):
                 fsio.write_bytes(path, data[: len(data) - len(data) // 4])
             yield pdf
 
+    layout = [(name, kind, length) for name, _, kind, length, _ in ORDER_FIELDS]
+
+    def emptied(batches):
+        for pdf in batches:
+            for path in pdf["path"]:
+                gone = path[-6:-4] == f"{DELETED_MONTH:02d}"
+                fsio.write_bytes(path, dbc.build_dbc(layout, [["1"] * len(layout)] * 3, deleted={0, 1, 2}) if gone else dbc.build_dbc(layout, []))
+            yield pdf
+
+    paths.where(F.substring("path", -6, 2).isin(f"{EMPTY_MONTH:02d}", f"{DELETED_MONTH:02d}")).mapInPandas(emptied, "path string").write.format("noop").mode("overwrite").save()
     paths.where(F.substring("path", -6, 2) == f"{BROKEN_MONTH:02d}").mapInPandas(cut, "path string").write.format("noop").mode("overwrite").save()
     named = N.with_parsed_name(paths.withColumn("name", F.regexp_extract("path", r"([^/]*)$", 1)), "name", 2026, "p")
     given = {"id": F.upper("name"), "filename": F.upper("name"), "catalog": F.col("p.catalog"), "state": F.col("p.state"), "year": F.col("p.year"), "month": F.col("p.month"),

@@ -3,6 +3,7 @@ small scalar families (JSON filter maps, RFC 3339, list normalisation, LIKE esca
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -82,6 +83,64 @@ def _land_inventory(t):
     return ok.select("filename")
 
 
+# A catalog name for every document id (SQL twin of _document_name): two letters, state, year, month, letter.
+DOCUMENT_PARTS_SQL = """
+SELECT doc_id, text, chr(65 + CAST(doc_id // 21902400 AS INTEGER) % 26) || chr(65 + CAST(doc_id // 842400 AS INTEGER) % 26) AS catalog,
+       ([""" + ", ".join(f"'{x}'" for x in S.KNOWN_STATES) + """])[CAST(doc_id // 31200 AS INTEGER) % 27 + 1] AS state,
+       CAST(doc_id // 312 AS INTEGER) % 100 AS yy, CAST(doc_id // 26 AS INTEGER) % 12 + 1 AS month, chr(65 + CAST(doc_id AS INTEGER) % 26) AS segment FROM documents"""
+
+
+def _document_parts(docs):
+    i = F.col("doc_id")
+    digit = lambda size, radix: (F.floor(i / size) % radix).cast("int")
+    letter = lambda c: F.char(F.lit(65) + c)
+    return docs.select("doc_id", "text", F.concat(letter(digit(21902400, 26)), letter(digit(842400, 26))).alias("catalog"),
+                       F.element_at(F.array(*[F.lit(x) for x in S.KNOWN_STATES]), digit(31200, 27) + 1).alias("state"),
+                       (digit(312, 100) + 2000).alias("year"), (digit(26, 12) + 1).alias("month"), letter(digit(1, 26)).alias("segment"))
+
+
+@register("land_records_state", "JOB-3,SNK-3,SNK-4,SNK-6,HASH-1,UPD-5", f"""
+WITH p AS ({DOCUMENT_PARTS_SQL}),
+n AS (SELECT *, catalog || state || lpad(CAST(yy AS VARCHAR), 2, '0') || lpad(CAST(month AS VARCHAR), 2, '0') || segment AS base,
+             CASE WHEN doc_id % 10 = 3 THEN 'failed' WHEN coalesce(text, '') = '' THEN 'unlisted' ELSE 'landed' END AS how FROM p)
+SELECT base || '.DBC' AS filename, CASE how WHEN 'failed' THEN 'failed' WHEN 'unlisted' THEN 'downloading' ELSE 'downloaded' END AS overall_status,
+       CASE WHEN how = 'landed' THEN '/store/' || catalog || '/' || state || '/20' || lpad(CAST(yy AS VARCHAR), 2, '0') || '/' || lpad(CAST(month AS VARCHAR), 2, '0') || '/' || base || '.dbc' END AS dbc_path,
+       CASE WHEN how = 'landed' THEN sha256(text) END AS local_hash, CASE how WHEN 'failed' THEN 'failed' WHEN 'landed' THEN 'done' END AS stage_status,
+       how = 'failed' AS has_error, CASE how WHEN 'failed' THEN 'failed' WHEN 'landed' THEN 'completed' END AS logged, how = 'landed' AS there
+FROM n""", ("documents",))
+def _land_state(t):
+    """Documents as source files, some of them lost before they are copied; the store, the catalog,
+    the stages and the log afterwards."""
+    from ..sources import fsio
+    from . import landing as LD
+
+    spark, base = t.spark, re.sub("^file:/*", "/", f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/feedledger-land-{uuid.uuid4().hex[:12]}")
+    name = F.concat("catalog", "state", F.format_string("%02d", F.col("year") % 100), F.format_string("%02d", "month"), "segment")
+    parts = _document_parts(t.documents).withColumn("base", name).withColumn("lost", F.col("doc_id") % 10 == 3)
+
+    def write(batches):
+        for pdf in batches:
+            for stem, text in zip(pdf["base"], pdf["text"]):
+                fsio.write_bytes(f"{base}/source/{stem}.dbc", text.encode())
+            yield pdf[["base"]]
+
+    parts.where(~F.col("lost") & (F.coalesce("text", F.lit("")) != "")).select("base", "text").mapInPandas(write, "base string").write.format("noop").mode("overwrite").save()
+    given = {"id": F.col("base"), "filename": F.concat("base", F.lit(".DBC")), "ftp_dir": F.lit("/pub"), "ftp_path": F.col("base"), "root_path": F.lit("/data"),
+             "overall_status": F.lit("downloading")} | {c: F.col(c) for c in ("catalog", "state", "year", "month", "segment")}
+    files = parts.select(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in S.FILES.fields))
+    listing = SC.list_directories(spark, f"{base}/source")
+    lost = parts.where("lost").select(F.lit(f"{base}/source").alias("ftp_dir"), F.concat("base", F.lit(".dbc")).alias("name"), F.lit(0).cast("long").alias("size"),
+                                      F.lit(None).cast("timestamp").alias("mod_time"), F.concat(F.lit(f"{base}/source/"), "base", F.lit(".dbc")).alias("remote_path"))
+    outcomes = LD.land(files, listing.unionByName(lost), f"{base}/store")
+    new_files, stages, logs = LD.record_landing(files, spark.createDataFrame([], S.FILE_STAGES), outcomes, AS_OF)
+    there = SC.list_directories(spark, f"{base}/store", recursive=True).select(F.col("remote_path").alias("_there"))
+    st = stages.select(F.col("file_id").alias("id"), F.col("status").alias("stage_status"), F.col("error_message").isNotNull().alias("has_error"))
+    out = new_files.join(st, "id", "left").join(logs.select(F.col("file_id").alias("id"), F.col("event_type").alias("logged")), "id", "left").join(
+        there, F.col("dbc_path") == F.col("_there"), "left")
+    return out.select("filename", "overall_status", F.replace("dbc_path", F.lit(base), F.lit("")).alias("dbc_path"), "local_hash", "stage_status",
+                      F.coalesce("has_error", F.lit(False)).alias("has_error"), "logged", F.col("_there").isNotNull().alias("there"))
+
+
 @register("convert_admitted_outcomes", "JOB-4,JOB-2,JOIN-3", """
 SELECT count(*) AS records FROM orders WHERE year(o_orderdate) IN (1997, 2000)""", ("orders",))
 def _convert_admitted(t):

@@ -3,6 +3,9 @@ same code reads local paths, ``file:`` URIs and cluster URIs (hdfs://, s3://, ..
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 
 def resolve(path: str):
     from pyarrow import fs
@@ -29,6 +32,42 @@ def move(src: str, dst: str) -> None:
     filesystem.move(a, b)
 
 
+def _beside(path: str) -> str:
+    """A new name in the same folder, which listings of data files do not show."""
+    folder, name = path.rsplit("/", 1)
+    return f"{folder}/.{name}.{uuid.uuid4().hex[:12]}"
+
+
+def put(path: str, data: bytes) -> None:
+    """Write a whole file under another name, then move it to its own."""
+    beside = _beside(path)
+    write_bytes(beside, data)
+    move(beside, path)
+
+
+def copy_with_digest(src: str, dst: str, chunk: int = 4 << 20) -> tuple[str, int]:
+    """Copy a file in chunks, under another name and then to its own; (sha256 hex, bytes). What an
+    error leaves behind is removed."""
+    from_fs, a = resolve(src)
+    beside = _beside(dst)
+    to_fs, b = resolve(beside)
+    digest, size = hashlib.sha256(), 0
+    with from_fs.open_input_stream(a) as source:
+        to_fs.create_dir(b.rsplit("/", 1)[0], recursive=True)
+        try:
+            with to_fs.open_output_stream(b) as out:
+                while data := source.read(chunk):
+                    digest.update(data)
+                    out.write(data)
+                    size += len(data)
+            move(beside, dst)
+        except BaseException:
+            if to_fs.get_file_info(b).is_file:
+                to_fs.delete_file(b)
+            raise
+    return digest.hexdigest(), size
+
+
 def write_bytes(path: str, data: bytes) -> None:
     filesystem, p = resolve(path)
     parent = p.rsplit("/", 1)[0]

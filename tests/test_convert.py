@@ -142,3 +142,22 @@ def test_outcome_log_rows(spark, tmp_dir):
     logs = {r["file_id"]: r for r in CV.outcome_log_rows(res.outcomes, files, "parquet_conversion", dt.datetime(2026, 1, 1)).collect()}
     assert logs["f1"]["event_type"] == "completed" and '"records":2' in logs["f1"]["payload_json"]
     assert logs["f2"]["event_type"] == "failed" and logs["f2"]["message"]
+
+
+def test_files_without_records_get_their_header(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/in")
+    fields = [("NAME", "C", 8), ("AGE", "N", 3), ("AGE", "N", 3)]
+    data = {"SPAC2401": dbc.build_dbc(fields, []), "SPAC2402": dbc.build_dbc(fields, [["a", "1", "2"]] * 4, deleted={0, 1, 2, 3}),
+            "SPAC2403": dbc.build_dbc(fields, [["b", "3", "4"]])}
+    for name, raw in data.items():
+        _write(f"{tmp_dir}/in/{name}.dbc", raw)
+    paths = spark.createDataFrame([(f"{tmp_dir}/in/{name}.dbc",) for name in data], "path string")
+    CV.convert(paths, tsv_root=f"{tmp_dir}/tsv", parquet_root=f"{tmp_dir}/pq")
+    for name in data:
+        at = f"SP/AC/2024/{name[-2:]}/{name}"
+        with open(f"{tmp_dir}/tsv/{at}.csv") as f:
+            lines = f.read().splitlines()
+        assert lines == ["NAME\tAGE\tAGE_1"] + ["b\t3\t4"] * (name == "SPAC2403")
+        table = spark.read.parquet(f"{tmp_dir}/pq/{at}.parquet")
+        assert table.columns == ["NAME", "AGE", "AGE_1"] and table.count() == (name == "SPAC2403")
+    assert not [f for _, _, names in os.walk(f"{tmp_dir}/tsv") for f in names if f.startswith(".") and not f.endswith(".crc")]
