@@ -7,16 +7,20 @@ Ranking windows here have no PARTITION BY on purpose: they run on the output of
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import text as TX
-from . import catalog as C
+from ..session import ensure_checkpoint_dir
+from . import maintained as M
 from . import policy as P
 from . import stages as ST
 
 SEXTILES = 6
+DONE = {"download": "download_done", "csv_conversion": "csv_done", "parquet_conversion": "parquet_done"}
 
 
 def with_size_level(buckets: DataFrame, size: str = "total_size_bytes") -> DataFrame:
@@ -125,25 +129,71 @@ def failure_series(stages: DataFrame, bucket: str = "1 hour") -> DataFrame:
         "spike", (F.col("failures") > 2 * F.coalesce("previous", F.lit(0))) & (F.col("failures") > 10))
 
 
+STAGE_CELLS = ["stage", "status", "reason"]
+
+
+@dataclass
+class DashboardCells:
+    """What the dashboard's results are small sums of: counts of files by status, catalog, state, period
+    and done stages, and counts of stage rows by stage, status and failure reason."""
+
+    files: DataFrame
+    stages: DataFrame
+
+
+def dashboard_cells(files: DataFrame, stages: DataFrame) -> DashboardCells:
+    """One scan of either table: per file its stage rows come together once (they are a few), join the
+    file, and both kinds of counts are summed up from there and checkpointed."""
+    ensure_checkpoint_dir(files.sparkSession)
+    failed = F.when(F.col("status") == "failed", ST.failure_reason())
+    rows = stages.groupBy("file_id").agg(F.collect_list(F.struct("stage", "status", failed.alias("reason"))).alias("rows"))
+    both = files.select("id", "overall_status", "catalog", "state", "year", "month", "size_bytes", F.lit(True).alias("known")).join(rows, files["id"] == rows["file_id"], "full_outer")
+    flag = lambda stage: F.exists("rows", lambda r: (r["stage"] == stage) & (r["status"] == "done")).alias(f"{DONE[stage]}")
+    flags = list(DONE.values())
+    size = F.col("size_bytes")
+    per_file = both.select(*M.KEYS, F.coalesce("known", F.lit(False)).alias("known"), *(flag(s) for s in DONE), F.when(F.col("known"), 1).otherwise(0).alias("files"),
+                           F.when(size.isNotNull(), 1).otherwise(0).alias("sized"), F.coalesce(size, F.lit(0)).alias("bytes"), "rows")
+    kinds = F.array(F.struct(F.lit("file").alias("kind"), F.lit(None).cast("string").alias("stage"), F.lit(None).cast("string").alias("status"), F.lit(None).cast("string").alias("reason")))
+    tagged = F.transform(F.coalesce("rows", F.array().cast(both.schema["rows"].dataType)), lambda r: F.struct(F.lit("stage").alias("kind"), r["stage"].alias("stage"), r["status"].alias("status"), r["reason"].alias("reason")))
+    each = per_file.withColumn("x", F.explode(F.concat(kinds, tagged))).select(*M.KEYS, "known", *flags, "files", "sized", "bytes", "x.*")
+    own = F.col("kind") == "file"  # a stage row belongs to its kind, status and reason alone
+    keys = [F.when(own, F.col(c)).alias(c) for c in (*M.KEYS, "known", *flags)]
+    cells = each.groupBy("kind", *STAGE_CELLS, *keys).agg(
+        *(F.sum(F.when(own, F.col(c))).cast("long").alias(c) for c in M.FIGURES), F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    return DashboardCells(cells.where(own & F.col("known")).select(*M.KEYS, *flags, *M.FIGURES), cells.where(~own).select(*STAGE_CELLS, F.col("rows").alias("n")))
+
+
 def dashboard(files: DataFrame, stages: DataFrame, policy: P.Policy | None = None, fail_limit: int = 10) -> dict:
-    """AGG-22: the dashboard's named results. Callers should ``persist`` files and stages once;
-    each result is a small aggregate of those two scans."""
+    """AGG-22: the dashboard's named results, all from ``dashboard_cells``: files and stages are read
+    once, whatever the number of results."""
     toggles = (True, True, True)
     if policy is not None and policy.config is not None:
         row = P.processing(policy).first()
         toggles = (bool(row["enable_download"]), bool(row["enable_csv"]), bool(row["enable_parquet"]))
+    cells = dashboard_cells(files, stages)
+    by_file, by_stage = cells.files, cells.stages
+    count = lambda cond, name: F.coalesce(F.sum(F.when(cond, F.col("files"))), F.lit(0)).cast("long").alias(name)
+    st, terminal = F.col("overall_status"), ST.expected_terminal_status(*toggles)
+    done = ST.completed_expr(*toggles)
+    total, in_stage = F.coalesce(F.sum("files"), F.lit(0)).cast("long"), lambda stage: F.coalesce(F.sum(F.when((F.col("stage") == stage) & (F.col("status") == "done"), F.col("n"))), F.lit(0)).cast("long")
+    reasons = by_stage.where(F.col("status") == "failed").groupBy("stage", "reason").agg(F.sum("n").alias("total"))
+    groups = {c: M.size_by(by_file, c) for c in ("catalog", "state")}
+    mismatch = by_file.agg(total.alias("total_files"), F.lit(0).cast("long").alias("by_catalog_total_mismatch"), F.lit(0).cast("long").alias("by_state_total_mismatch"))
+    for c in groups:  # the buckets' own sums against the total
+        mismatch = mismatch.join(F.broadcast(groups[c].agg(F.coalesce(F.sum("count"), F.lit(0)).alias("_n")))).withColumn(f"by_{c}_total_mismatch", F.col("_n") - F.col("total_files")).drop("_n")
     out = {
-        "buckets": dashboard_buckets(files),  # status / catalog / state buckets in one pass
-        "status_counts": C.status_counts(files),
-        "by_catalog": with_bar_share(with_size_level(C.size_by_catalog(files))),
-        "by_state": with_bar_share(with_size_level(C.size_by_state(files))),
-        "failure_reasons": ST.top_failure_reasons(stages, fail_limit),
-        "pipeline": ST.pipeline_consistency(files, stages, *toggles),
-        "stage_done_counts": ST.stage_done_counts(stages),
-        "policy_counts": P.pending_and_ignored_counts(files),
-        "bucket_mismatch": bucket_mismatch(files),
-        "kpis": kpis(files),
-        "expected_terminal_status": ST.expected_terminal_status(*toggles),
+        "status_counts": M.status_counts(by_file),
+        "by_catalog": with_bar_share(with_size_level(groups["catalog"])),
+        "by_state": with_bar_share(with_size_level(groups["state"])),
+        "failure_reasons": reasons.orderBy(F.col("total").desc(), F.col("stage").asc(), F.col("reason").asc()).limit(fail_limit if fail_limit > 0 else 10),
+        "pipeline": by_file.agg(count(done, "pipeline_completed_count"), count((done & (st != terminal)) | (~done & (st == terminal)), "status_stage_mismatch_count")),
+        "stage_done_counts": by_stage.agg(*(in_stage(s).alias(DONE[s]) for s in DONE)),
+        "policy_counts": M.pending_and_ignored_counts(by_file),
+        "bucket_mismatch": mismatch,
+        "kpis": by_file.agg(total.alias("total_files"), count(st.isin("downloading", "converting_csv", "converting_parquet"), "in_progress"),
+                            *(count(st == s, s) for s in ("failed", "pending", "ignored"))),
+        "facets": M.facets(by_file),
+        "expected_terminal_status": terminal,
     }
     if policy is not None:
         out["selection"] = P.selection_summary(policy)

@@ -394,3 +394,42 @@ UNION ALL SELECT 'state', upper(trim(state)), count(*), CAST(coalesce(sum(size_b
        CAST(round(coalesce(avg(size_bytes), 0)) AS BIGINT) FROM files GROUP BY 2""")
 def _dashboard_buckets(t):
     return I.dashboard_buckets(t.files)
+
+
+@register("dashboard", "AGG-22,AGG-1,AGG-2,AGG-3,AGG-6,AGG-7,AGG-9,AGG-10,AGG-17,AGG-21,AGG-28", """
+WITH flags AS (SELECT f.id, f.overall_status, bool_or(s.stage = 'download' AND s.status = 'done') AS d, bool_or(s.stage = 'csv_conversion' AND s.status = 'done') AS c,
+                      bool_or(s.stage = 'parquet_conversion' AND s.status = 'done') AS p
+               FROM files f LEFT JOIN file_stages s ON s.file_id = f.id GROUP BY 1, 2),
+reasons AS (SELECT stage, coalesce(nullif(trim(error_message), ''), 'Unknown error') AS reason, count(*) AS n FROM file_stages WHERE status = 'failed'
+            GROUP BY 1, 2 ORDER BY n DESC, stage, reason LIMIT 10)
+SELECT 'status' AS result, overall_status AS key, count(*) AS value FROM files GROUP BY 2
+UNION ALL SELECT 'catalog', upper(trim(catalog)), count(*) FROM files GROUP BY 2
+UNION ALL SELECT 'catalog bytes', upper(trim(catalog)), coalesce(sum(size_bytes), 0)::BIGINT FROM files GROUP BY 2
+UNION ALL SELECT 'state', upper(trim(state)), count(*) FROM files GROUP BY 2
+UNION ALL SELECT 'state bytes', upper(trim(state)), coalesce(sum(size_bytes), 0)::BIGINT FROM files GROUP BY 2
+UNION ALL SELECT 'reason', stage || ': ' || reason, n FROM reasons
+UNION ALL SELECT 'pipeline', 'completed', count(*) FILTER (WHERE d AND c AND p) FROM flags
+UNION ALL SELECT 'pipeline', 'mismatch', count(*) FILTER (WHERE ((d AND c AND p) AND overall_status <> 'parquet_ready') OR (NOT (d AND c AND p) AND overall_status = 'parquet_ready')) FROM flags
+UNION ALL SELECT 'done', stage, count(*) FILTER (WHERE status = 'done') FROM file_stages GROUP BY 2
+UNION ALL SELECT 'policy', 'pending', count(*) FILTER (WHERE overall_status = 'pending') FROM files
+UNION ALL SELECT 'policy', 'ignored', count(*) FILTER (WHERE overall_status = 'ignored') FROM files
+UNION ALL SELECT 'mismatch', 'catalog', 0
+UNION ALL SELECT 'mismatch', 'state', 0
+UNION ALL SELECT 'kpi', 'total_files', count(*) FROM files
+UNION ALL SELECT 'kpi', 'in_progress', count(*) FILTER (WHERE overall_status IN ('downloading', 'converting_csv', 'converting_parquet')) FROM files
+UNION ALL SELECT 'kpi', 'failed', count(*) FILTER (WHERE overall_status = 'failed') FROM files""")
+def _dashboard(t):
+    r = I.dashboard(t.files, t.file_stages, P.Policy.from_tables(t))
+    parts = [r["status_counts"].select(F.lit("status").alias("result"), F.col("overall_status").alias("key"), F.col("count").alias("value"))]
+    for c in ("catalog", "state"):
+        parts += [r[f"by_{c}"].select(F.lit(c), "key", "count"), r[f"by_{c}"].select(F.lit(f"{c} bytes"), "key", "total_size_bytes")]
+    parts.append(r["failure_reasons"].select(F.lit("reason"), F.concat("stage", F.lit(": "), "reason"), "total"))
+    one = lambda result, name, key, column: r[result].select(F.lit(name), F.lit(key), F.col(column))
+    parts += [one("pipeline", "pipeline", "completed", "pipeline_completed_count"), one("pipeline", "pipeline", "mismatch", "status_stage_mismatch_count")]
+    parts += [one("stage_done_counts", "done", stage, column) for stage, column in I.DONE.items()]
+    parts += [one("policy_counts", "policy", x, x) for x in ("pending", "ignored")] + [one("bucket_mismatch", "mismatch", x, f"by_{x}_total_mismatch") for x in ("catalog", "state")]
+    parts += [one("kpis", "kpi", x, x) for x in ("total_files", "in_progress", "failed")]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out

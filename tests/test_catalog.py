@@ -118,3 +118,32 @@ def test_dashboard_buckets_match_separate_reports(spark):
     sep.update({("state", r["key"]): (r["count"], r["total_size_bytes"], r["avg_size_bytes"]) for r in C.size_by_state(files).collect()})
     assert {k: v for k, v in one.items() if k[0] != "status"} == sep
     assert {k[1]: v[0] for k, v in one.items() if k[0] == "status"} == {r["overall_status"]: r["count"] for r in C.status_counts(files).collect()}
+
+
+def test_dashboard_results_equal_the_separate_reports(spark):
+    from feedledger.operators import policy as P
+
+    files = spark.createDataFrame([(f"f{i}", ("pending", "parquet_ready", "failed", "ignored")[i % 4], ("RD", " rd", "SP")[i % 3], "AC" if i % 5 else None, 2020 + i % 2, i % 13,
+                                    None if i % 6 == 0 else i) for i in range(60)], "id string, overall_status string, catalog string, state string, year int, month int, size_bytes long")
+    stages = spark.createDataFrame([(f"f{i}" if i < 50 else f"orphan{i}", s, "done" if (i + k) % 3 else "failed", (None, " ", "lost ")[i % 3]) for i in range(55) for k, s in enumerate(I.DONE) if i % 7 or k],
+                                   "file_id string, stage string, status string, error_message string")
+    r = I.dashboard(files, stages)
+    rows = lambda df: sorted(map(str, df.collect()))
+    for name, want in (("status_counts", C.status_counts(files)), ("by_state", I.with_bar_share(I.with_size_level(C.size_by_state(files)))), ("failure_reasons", ST.top_failure_reasons(stages)),
+                       ("by_catalog", I.with_bar_share(I.with_size_level(C.size_by_catalog(files)))), ("pipeline", ST.pipeline_consistency(files, stages)), ("stage_done_counts", ST.stage_done_counts(stages)),
+                       ("policy_counts", P.pending_and_ignored_counts(files)), ("bucket_mismatch", I.bucket_mismatch(files)), ("kpis", I.kpis(files)), ("facets", C.facets(files))):
+        assert rows(r[name]) == rows(want.select(*r[name].columns)), name
+    empty = I.dashboard(files.limit(0), stages.limit(0))
+    assert empty["kpis"].first()["total_files"] == 0 and empty["status_counts"].count() == 0
+
+
+def test_dashboard_reads_files_and_stages_once(spark, tmp_dir):
+    files = spark.range(50).selectExpr("'f' || id AS id", "'pending' AS overall_status", "'RD' AS catalog", "'AC' AS state", "2024 AS year", "1 AS month", "id AS size_bytes")
+    stages = spark.range(50).selectExpr("'f' || id AS file_id", "'download' AS stage", "'done' AS status", "cast(NULL AS string) AS error_message")
+    files.write.parquet(f"{tmp_dir}/files")
+    stages.write.parquet(f"{tmp_dir}/stages")
+    r = I.dashboard(spark.read.parquet(f"{tmp_dir}/files"), spark.read.parquet(f"{tmp_dir}/stages"))
+    for name, df in r.items():
+        if name != "expected_terminal_status":  # every result reads the checkpointed cells alone
+            assert "FileScan" not in df._jdf.queryExecution().executedPlan().toString(), name
+    assert r["kpis"].first()["total_files"] == 50
