@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.glob import matches_glob
 from ..plans.listspec import SORTABLE, ListSpec
 from . import stages as ST
+from .name_index import glob_condition
 
 FILE_COLUMNS = [f.name for f in S.FILES.fields]
 
@@ -53,7 +53,7 @@ def spec_predicates(spec: ListSpec) -> list[Column]:
     if spec.ftp_dir:
         p.append(F.col("ftp_dir") == spec.ftp_dir)  # FLT-6
     if spec.filename:
-        p.append(matches_glob("filename", spec.filename))  # FLT-7
+        p.append(glob_condition("filename", spec.filename))  # FLT-7
     if spec.segment is not None and spec.segment.strip():
         seg = spec.segment.strip().upper()
         if len(seg) == 1:
@@ -140,7 +140,7 @@ def find_by_ids(files: DataFrame, ids: DataFrame | list[str], id_col: str = "id"
 
 def find_by_pattern(files: DataFrame, glob: str) -> DataFrame:
     """FLT-15: glob lookup, ordered by filename."""
-    return files.where(matches_glob("filename", glob)).orderBy("filename")
+    return files.where(glob_condition("filename", glob)).orderBy("filename")
 
 
 def find_by_filters(files: DataFrame, spec: ListSpec, stages: DataFrame | None = None,

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions import filters as FM
 from ..functions import names as N
 from ..functions import text as TX
+from ..functions.glob import glob_to_ilike
 from ..operators import actions as A
 from ..operators import audit as AU
 from ..operators import jobs as J
+from ..operators import name_index as NI
 from ..operators import policy as P
 from ..operators import scan as SC
 from ..operators import stages as ST
+from ..session import ensure_checkpoint_dir
 from .queries import AS_OF
 from .registry import register
 
@@ -140,3 +144,19 @@ def _previous_null(t):
 SELECT file_id, stage FROM file_stages WHERE status = 'purged'""")
 def _purged(t):
     return t.file_stages.where(ST.run_block_reason() == "stage purged").select("file_id", "stage")
+
+
+GLOBS = ("SP*01.DBC", "*AC9*", "rd", "*6*.dbc", "AQ_", "*")
+
+
+@register("find_files_by_index", "FLT-7,FLT-15,STR-5", " UNION ALL ".join(
+    f"SELECT '{g}' AS glob, id, filename FROM files WHERE filename ILIKE '{glob_to_ilike(g)}' ESCAPE '#'" for g in GLOBS))
+def _by_index(t):
+    """Each glob through the name range and the posting table."""
+    path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/feedledger-names-{uuid.uuid4().hex[:12]}"
+    NI.write_postings(t.files, path)
+    out = None
+    for g in GLOBS:
+        found = NI.find_by_glob(t.files, g, path).select(F.lit(g).alias("glob"), "id", "filename")
+        out = found if out is None else out.union(found)
+    return out

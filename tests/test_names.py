@@ -1,5 +1,7 @@
 """Golden vectors: file names, globs, paths (FIXTURES Part B)."""
 
+import itertools
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,18 +51,24 @@ def test_parse_faults(spark, fault):
         assert r["p"]["catalog"] is None
 
 
-@pytest.mark.parametrize("glob,pattern", [
-    ("", "%"), ("FOO.DBC", "%FOO.DBC%"), ("FOO*DBC", "FOO%DBC"), ("%_%", "%#%#_#%%"), ("*A*", "%A%"), ("SPT#01", "%SPT##01%"),
-])
-def test_glob_golden(glob, pattern):
-    assert G.glob_to_ilike(glob) == pattern
+#: A literal, the wildcard, and every sign that a pattern escapes, as (glob, pattern).
+PARTS = [("ab", "ab"), ("*", "%"), ("#", "##"), ("%", "#%"), ("_", "#_")]
+GLOBS = [tuple(map("".join, zip(*some))) for n in (1, 2, 3) for some in itertools.product(PARTS, repeat=n)]
+
+
+def expected_pattern(glob, pattern):
+    return pattern if "*" in glob else f"%{pattern}%"
+
+
+def test_globs_of_all_parts():
+    assert G.glob_to_ilike("") == "%"
+    for glob, pattern in GLOBS:
+        assert G.glob_to_ilike(glob) == expected_pattern(glob, pattern)
 
 
 def test_glob_column_form_matches_literal(spark):
-    globs = ["", "FOO.DBC", "FOO*DBC", "%_%", "*A*", "SPT#01"]
-    df = spark.createDataFrame([(g,) for g in globs], "g string")
-    got = [r[0] for r in df.select(G.glob_to_ilike_col("g")).collect()]
-    assert got == [G.glob_to_ilike(g) for g in globs]
+    df = spark.createDataFrame([(g, expected_pattern(g, p)) for g, p in GLOBS] + [("", "%")], "g string, p string")
+    assert df.where(G.glob_to_ilike_col("g") != F.col("p")).count() == 0
 
 
 def test_glob_matching_is_case_insensitive_and_literal(spark):
@@ -71,12 +79,12 @@ def test_glob_matching_is_case_insensitive_and_literal(spark):
 
 
 def test_canonical_paths(spark):
-    df = spark.createDataFrame([("SP", "TO", 2026, 2, "SPTO2602.dbc", ".dbc"), ("RJ", "RJ", 2024, 1, "RJRJ2401.dbc", ".csv"),
-                                ("MG", "MG", 1999, 12, "MGMG9912.dbc", ".parquet")], "c string, s string, y int, m int, f string, e string")
-    got = [r[0] for r in df.select(N.canonical_path("/data/", "c", "s", "y", "m", "f", ".x")).collect()]
-    assert got == ["/data/SP/TO/2026/02/SPTO2602.x", "/data/RJ/RJ/2024/01/RJRJ2401.x", "/data/MG/MG/1999/12/MGMG9912.x"]
-    p = df.select(N.canonical_path("/data", "c", "s", "y", "m", "f", ".csv")).first()[0]
-    assert p == "/data/SP/TO/2026/02/SPTO2602.csv"
+    cases = [(c, st, y, m, f"{c}{st}{y % 100:02d}{m:02d}{seg}", ext) for c, st, seg in (("AQ", "AC", ""), ("ER", "DF", "K")) for y, m in ((7, 3), (2011, 10)) for ext in (".a", ".long")]
+    df = spark.createDataFrame([(c, st, y, m, base + old, ext) for c, st, y, m, base, ext in cases for old in (".dbc", ".DBC")], "c string, s string, y int, m int, f string, e string")
+    for root in ("/r", "/r/", "/r//"):
+        for ext in (".a", ".long"):
+            got = [r[0] for r in df.where(F.col("e") == ext).select(N.canonical_path(root, "c", "s", "y", "m", "f", ext)).collect()]
+            assert got == [f"/r/{c}/{st}/{y:04d}/{m:02d}/{base}{ext}" for c, st, y, m, base, e in cases for _ in range(2) if e == ext]
 
 
 def test_segment_backfill(spark):
