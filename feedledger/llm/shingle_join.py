@@ -4,8 +4,10 @@
    universe is hashed into segments; two sets that differ in at most H shingles agree on a segment
    (pigeonhole). ``allocate`` weighs, per band, exact segments (one signature) against segments
    compared up to one shingle (all one-deletion neighbours, worth two exact ones), and spare
-   segments, by the rows they cost and the chance matches they let through. Empty exact segments,
-   which would match anything, are left out as long as the spare segments make up for them.
+   segments, by the rows they cost and the chance matches they let through. A set leaves out as many
+   exact segments as there are spare ones: those with the fewest shingles that are rare in a sample
+   of the sets (empty ones, and such as a passage of many documents fills). As all sets leave out by
+   the same order of contents, two sets lose no more common segments than one of them leaves out.
 2. Sets that share a signature are starred to one of them, and the stars' components are the candidate
    groups: every linked pair lies inside one. A task reduces equal sets to one, packs its signatures
    as sorted differences with short class numbers, a range of signatures a row, and only those rows
@@ -44,9 +46,12 @@ PART, WHOLE = 90, 100
 #: Next band's smallest size is this many times as large.
 BAND = 1 / 0.7
 CACHE_WORDS = 1 << 18
-#: What the allocation assumes: the share of the sets that hold a given shingle, and how many bands
-#: hold most of the sets.
-SHARED, BANDS = 1e-4, 10
+#: What the allocation assumes: the part of a set's shingles that are frequent, the part of the sets that
+#: a segment of frequent shingles meets, and how many bands hold most of the sets.
+FREQUENT, MEETS, BANDS = 0.2, 0.02, 10
+#: Shingles that this many of about so many sampled sets hold are frequent; so many at most are told
+#: apart. No result depends on it, only the number of chance matches.
+SEEN_IN, SAMPLED_SETS, FREQUENT_MOST = 3, 20_000, 1_000_000
 #: A larger candidate group is cut into blocks of about this many sets, and of this many shingles,
 #: verified pair by pair: every set goes once to each of its group's blocks.
 LARGEST_BLOCK = 2048
@@ -111,34 +116,33 @@ def allocate(hi: int, n_sets: int, part: int = PART, whole: int = WHOLE) -> tupl
     """(exact segments, one-deletion segments, spare) for pairs whose larger set has up to ``hi``.
 
     H = (|r| + |s|) (1 - t) / (1 + t) bounds the difference of a linked pair; exact + 2 * deletion
-    = H + 1 + spare. Costs are signatures a set, plus the sets it is expected to meet for nothing:
-    in emitted empty segments (more than ``spare`` of them, a Poisson tail for the band's smaller
-    sets; one-deletion segments of one shingle or none), and in segments of one shared shingle.
+    = H + 1 + spare. Costs are signatures a set, plus the sets it is expected to meet for nothing: in
+    exact segments without a rare shingle beyond the spare ones (a Poisson tail for the band's smaller
+    sets), and in one-deletion segments of one rare shingle or none.
     """
     h = 2 * hi * (whole - part) // (whole + part)
     if h == 0:
         return 1, 0, 0
     best = None
-    for spare in (0, 1, 2, 4, 8, 16, 32, 64):
+    for spare in (0, 1, 2, 4, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256):
         for deletion in {0, 1, 2, (h + 1) // 4, (h + 2) // 2}:
             exact = h + 1 + spare - 2 * deletion
             if exact < spare or exact + deletion < 1:
                 continue
             m = exact + deletion
-            z, least = 0.85 * hi / m, 0.7 * hi / m
-            rows = exact + deletion * (z + 2)
-            empty = exact * math.exp(-least)
-            tail = 1 - sum(math.exp(-empty + k * math.log(empty) - math.lgamma(k + 1)) for k in range(spare + 1)) if empty > 1e-12 else 0.0
-            blank = max(tail, 0.0) * empty * math.exp(-least) + deletion * (1 + least) * math.exp(-2 * least)
-            single = (z * math.exp(-z)) ** 2 * SHARED * exact
-            cost = rows + n_sets / BANDS * (blank + single)
+            z, rare = 0.85 * hi / m, 0.7 * (1 - FREQUENT) * hi / m
+            weak = exact * math.exp(-rare)
+            tail = 1 - sum(math.exp(-weak + k * math.log(weak) - math.lgamma(k + 1)) for k in range(spare + 1)) if weak > 1e-12 else 0.0
+            chance = max(tail, 0.0) * max(1.0, math.sqrt(weak)) + deletion * (1 + rare) * math.exp(-rare)
+            cost = exact + deletion * (z + 2) + n_sets * MEETS / BANDS * chance
             if best is None or cost < best[0]:
                 best = (cost, exact, deletion, spare)
     return best[1:]
 
 
-def signatures(s: np.ndarray, n_sets: int, part: int = PART, whole: int = WHOLE) -> np.ndarray:
-    """Signatures of a set: in its own band, and in the next one if a partner there is possible."""
+def signatures(s: np.ndarray, n_sets: int, part: int = PART, whole: int = WHOLE, frequent: np.ndarray | None = None) -> np.ndarray:
+    """Signatures of a set: in its own band, and in the next one if a partner there is possible.
+    ``frequent`` (ascending) are the shingles that do not make a segment strong."""
     n = len(s)
     if n == 0:
         return np.empty(0, np.uint64)
@@ -146,6 +150,9 @@ def signatures(s: np.ndarray, n_sets: int, part: int = PART, whole: int = WHOLE)
     lows = bands(2 * n + 2)
     out = []
     token, place = _mix(s + _M1), _mix(s ^ _M3) >> np.uint64(32)
+    rare = np.ones(n, bool)
+    if frequent is not None and len(frequent):
+        rare = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] != s
     for b in (own, own + 1):
         lo, hi = lows[b]
         if b > own and n * whole < part * lo:
@@ -158,14 +165,14 @@ def signatures(s: np.ndarray, n_sets: int, part: int = PART, whole: int = WHOLE)
         starts = np.flatnonzero(np.diff(seg, prepend=np.uint64(m)))
         sums, ids = np.add.reduceat(tok, starts), seg[starts]
         salt = _mix((np.arange(m, dtype=np.uint64) + np.uint64(1)) * _M1 + np.uint64((b + 1) * int(_M2) % 2**64))
-        out.append(_mix(sums ^ salt[ids]))
-        missing = np.ones(m, bool)
-        missing[ids] = False
-        # the first ``deletion`` segments are compared up to one shingle
-        if missing[deletion:].sum() > spare:
-            out.append(_mix(salt[np.flatnonzero(missing)]))
-        elif missing[:deletion].any():
-            out.append(_mix(salt[np.flatnonzero(missing[:deletion])]))
+        content = salt.copy()  # an empty segment's content is its number
+        content[ids] ^= sums
+        content = _mix(content)
+        if spare:  # exact segments from the weakest on: few rare shingles, few shingles, then by content
+            strong = np.bincount(seg[rare[order]].astype(np.int64), minlength=m)[deletion:]
+            filled = np.bincount(seg.astype(np.int64), minlength=m)[deletion:]
+            content[deletion:][np.lexsort((content[deletion:], filled, strong))[:spare]] = 0
+        out.append(content[content != 0])
         if deletion:
             count = np.diff(np.append(starts, n))
             inside = seg < deletion
@@ -230,20 +237,30 @@ def expected_signatures(n: int, n_sets: int, part: int = PART, whole: int = WHOL
 
 
 def shingle_classes(docs: DataFrame, size: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Stored rows doc_id, th (hash of the text), n (set size), v (class) of every row."""
+    """Stored rows doc_id, th (hash of the text), n (set size), v (class) and, of the sampled classes,
+    some (their shingles) of every row."""
+    every = max(1, docs.count() // SAMPLED_SETS)
     text = F.coalesce(F.col(text_col), F.lit(""))
     slim = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("th"), text.cast("binary").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _WordHash()
         for b in batches:
-            n, v = [], []
+            n, v, some = [], [], []
             for t in b.column(2):
                 s = shingles(t.as_py(), cache, size)
                 n.append(len(s)), v.append(class_of(s))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(v, pa.int64())], ["doc_id", "th", "n", "v"])
+                some.append(s.view(np.int64) if v[-1] % every == 0 else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(v, pa.int64()), pa.array(some, pa.list_(pa.int64()))], ["doc_id", "th", "n", "v", "some"])
 
-    return C.stored(slim.mapInArrow(run, slim.drop("t").schema.add("n", "long").add("v", "long")), "classes")
+    return C.stored(slim.mapInArrow(run, slim.drop("t").schema.add("n", "long").add("v", "long").add("some", T.ArrayType(T.LongType()))), "classes")
+
+
+def frequent_shingles(classes: DataFrame) -> np.ndarray:
+    """Ascending shingles of several sampled classes, the most frequent if they are many."""
+    held = classes.filter(F.col("some").isNotNull()).groupBy("v").agg(F.first("some").alias("some")).select(F.explode("some").alias("s"))
+    found = held.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= SEEN_IN).orderBy(F.desc("n"), "s").limit(FREQUENT_MOST).select("s")
+    return np.sort(found.toPandas()["s"].to_numpy(np.int64).view(np.uint64))
 
 
 def pack(sigs: np.ndarray, owner: np.ndarray, classes: np.ndarray, ranges: int) -> Iterator[tuple[int, bytes, bytes]]:
@@ -303,6 +320,7 @@ def candidate_edges(docs: DataFrame, classes: DataFrame, size: int, part: int, w
     for row in by_size.toLocalIterator():  # one row for each set size
         total += row["sets"] * expected_signatures(row["n"], n_sets, part, whole)
     ranges = max(1, -(-total // RANGE))
+    frequent = classes.sparkSession.sparkContext.broadcast(frequent_shingles(classes))  # FREQUENT_MOST numbers at most
     slim = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).cast("binary").alias("t"))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,7 +342,7 @@ def candidate_edges(docs: DataFrame, classes: DataFrame, size: int, part: int, w
                 if len(seen) >= CACHE_WORDS:  # a copy that comes later is packed again
                     seen.clear()
                 seen.add(v)
-                names.append(v), sigs.append(signatures(s, n_sets, part, whole))
+                names.append(v), sigs.append(signatures(s, n_sets, part, whole, frequent.value))
                 held += len(sigs[-1])
                 if held >= PACKED:
                     yield flush()
