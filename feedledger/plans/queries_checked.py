@@ -106,12 +106,9 @@ def _filter_maps(t):
 
 
 @register("ack_jobs", "UPD-9", """
-SELECT q.id, CASE WHEN q.status = 'running' THEN 'done' ELSE q.status END AS status, s.status AS stage_status, s.finished_at, s.error_message
-FROM job_queue q JOIN (
-  SELECT fs.file_id, fs.stage, CASE WHEN j.id IS NOT NULL THEN 'done' ELSE fs.status END AS status,
-         CASE WHEN j.id IS NOT NULL THEN TIMESTAMP '1999-01-01 00:00:00' END AS finished_at, CASE WHEN j.id IS NULL THEN fs.error_message END AS error_message
-  FROM file_stages fs LEFT JOIN (SELECT * FROM job_queue WHERE status = 'running') j ON j.file_id = fs.file_id AND j.stage = fs.stage) s
-  ON s.file_id = q.file_id AND s.stage = q.stage""")
+SELECT q.id, CASE WHEN q.status = 'running' THEN 'done' ELSE q.status END AS status, CASE WHEN q.status = 'running' THEN 'done' ELSE fs.status END AS stage_status,
+       CASE WHEN q.status = 'running' THEN TIMESTAMP '1999-01-01 00:00:00' END AS finished_at, CASE WHEN q.status <> 'running' THEN fs.error_message END AS error_message
+FROM job_queue q JOIN file_stages fs ON q.id = fs.file_id || ':' || fs.stage""")
 def _ack(t):
     q, s = J.ack(t.job_queue, t.file_stages, t.job_queue.where(F.col("status") == "running"), AS_OF)
     s = s.select("file_id", "stage", F.col("status").alias("stage_status"), "finished_at", "error_message")
@@ -119,13 +116,13 @@ def _ack(t):
 
 
 @register("apply_retry_plan", "UPD-10", """
-WITH f AS (SELECT *, attempts >= 5 AS final FROM job_queue WHERE status = 'failed')
-SELECT q.id, CASE WHEN f.id IS NULL THEN q.status WHEN final THEN 'failed' ELSE 'pending' END AS status,
-       CASE WHEN f.id IS NOT NULL AND NOT final THEN TIMESTAMP '1999-01-01 00:00:00' + to_seconds(CAST(least(30 * pow(2, q.attempts), 3600) AS BIGINT)) ELSE q.available_at END AS available_at,
-       CASE WHEN f.id IS NOT NULL THEN 'failed' ELSE s.status END AS stage_status,
-       CASE WHEN f.id IS NOT NULL THEN 'no luck' ELSE s.error_message END AS error_message,
-       CASE WHEN final THEN TIMESTAMP '1999-01-01 00:00:00' END AS finished_at
-FROM job_queue q LEFT JOIN f ON f.id = q.id JOIN file_stages s ON s.file_id = q.file_id AND s.stage = q.stage""")
+SELECT q.id, CASE WHEN q.status <> 'failed' THEN q.status WHEN q.attempts >= 5 THEN 'failed' ELSE 'pending' END AS status,
+       CASE WHEN q.status = 'failed' AND q.attempts < 5
+            THEN TIMESTAMP '1999-01-01 00:00:00' + to_seconds(CAST(least(30 * pow(2, q.attempts), 3600) AS BIGINT)) ELSE q.available_at END AS available_at,
+       CASE WHEN q.status = 'failed' THEN 'failed' ELSE s.status END AS stage_status,
+       CASE WHEN q.status = 'failed' THEN 'no luck' ELSE s.error_message END AS error_message,
+       CASE WHEN q.status = 'failed' AND q.attempts >= 5 THEN TIMESTAMP '1999-01-01 00:00:00' END AS finished_at
+FROM job_queue q JOIN file_stages s ON q.id = s.file_id || ':' || s.stage""")
 def _apply_retries(t):
     fails = t.job_queue.where(F.col("status") == "failed").select("id", "file_id", "stage", "attempts", F.lit("no luck").alias("error"))
     q, s = J.apply_retries(t.job_queue, t.file_stages, J.plan_retries(fails, AS_OF, jitter=0.0), AS_OF)
