@@ -46,6 +46,8 @@ ROWS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB866
 #: Documents whose sketches are looked up at once hold at most this many coordinates.
 LOOKUP_CELLS = 4_000_000
 BLOCK_TERMS = 200_000
+#: Documents that are made into index rows at once.
+AT_ONCE = 1000
 #: The first ranked window's groups an item.
 PARTS = 32
 #: Counts from here on are one value in a sketch; its impact is the limit.
@@ -57,7 +59,7 @@ class Hashes(dict):
         import xxhash
 
         h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64 and len(self) < 1_000_000:
+        if len(word) <= 64 and len(self) < 500_000:
             self[word] = h
         return h
 
@@ -89,7 +91,7 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Hashes()
-        for b in batches:
+        for b in (b.slice(at, AT_ONCE) for b in batches for at in range(0, b.num_rows, AT_ONCE)):
             kept, ns, cells, hashes, counts = [], [], [], [], []
             for k, x in enumerate(b.column(1)):
                 found: Counter[bytes] = Counter()
@@ -140,8 +142,8 @@ def query_blocks(items: DataFrame, item_col: str, text_col: str) -> Iterator[Que
 
 def _rows_of(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
     """All values of a binary column, and where each row begins."""
-    column = column.cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + len(column) + 1]
+    wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], wide)[column.offset: column.offset + len(column) + 1].astype(np.int64)
     width = np.dtype(kind).itemsize
     data = column.buffers()[2]
     flat = np.frombuffer(data, kind, (offsets[-1] - offsets[0]) // width, offsets[0]) if data and len(column) else np.empty(0, kind)
