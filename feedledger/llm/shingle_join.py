@@ -56,6 +56,8 @@ SEEN_IN, SAMPLED_SETS, FREQUENT_MOST = 3, 20_000, 1_000_000
 #: verified pair by pair: every set goes once to each of its group's blocks.
 LARGEST_BLOCK = 2048
 BLOCK_SHINGLES = 4_000_000
+#: Bits of the broadcast bitmap that tells which documents may be in a candidate group (2 MB).
+MARKS = 1 << 24
 #: Signatures that a task packs at once, and that a range holds about at most.
 PACKED, RANGE = 1_000_000, 4_000_000
 #: A signature's bits that are compared inside a range.
@@ -378,27 +380,39 @@ def candidate_edges(docs: DataFrame, classes: DataFrame, size: int, part: int, w
     return rows.repartition(min(ranges, 100_000), "r").sortWithinPartitions("r").mapInArrow(starred, "a long, b long").distinct()
 
 
+def _slot(doc_id: F.Column) -> F.Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(MARKS)).cast("int")
+
+
+def _marks(ids: DataFrame) -> np.ndarray:
+    """Bitmap (``MARKS`` bits) of the slots that the ids (_id) fall into."""
+    slot = _slot(F.col("_id"))
+    found = ids.select(F.floor(slot / 64).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), slot % 64).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(MARKS // 64, np.uint64)
+    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    return out.view(np.uint8)
+
+
 def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, size: int, part: int, whole: int, id_col: str, text_col: str) -> DataFrame:
     """(a, b): a spanning forest of the links inside the candidate groups (node, root)."""
     member = groups.union(groups.select(F.col("root").alias("node"), "root").distinct())
     one = classes.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("v").agg(F.min("doc_id").alias("_id"), F.max("n").alias("n"))
     known = C.stored(one.join(member.withColumnRenamed("node", "v"), "v"), "members")
     sizes = known.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / LARGEST_BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    need = known.join(sizes, "root").select("_id", "v", "root", "blocks")
-    slim = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
-    texts = slim.join(need, "_id")
+    need = C.stored(known.join(sizes, "root").select("_id", "v", "root", "blocks"), "need")
+    wanted = docs.sparkSession.sparkContext.broadcast(_marks(need.select("_id")))
+    slim = docs.select(F.col(id_col).alias("_id"), _slot(F.col(id_col)).alias("slot"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _WordHash()
+        cache, marks = _WordHash(), np.unpackbits(wanted.value, bitorder="little")
         for b in batches:
-            t, v = b.column(0), b.column(1).to_numpy()
-            own = [shingles(x.as_py(), cache, size) for x in t]
-            keep = np.array([class_of(s) == c for s, c in zip(own, v)], bool)  # else another text of the same id
-            idx = pa.array(np.flatnonzero(keep))
-            yield pa.RecordBatch.from_arrays([*(b.column(k).take(idx) for k in (1, 2, 3)), pa.array([s.tobytes() for s, k in zip(own, keep) if k], pa.binary())],
-                                             ["v", "root", "blocks", "s"])
-
-    made = texts.select("t", "v", "root", "blocks").mapInArrow(sets, "v long, root long, blocks int, s binary")
+            b = b.filter(pa.array(marks[b.column(1).to_numpy()] == 1)) if b.num_rows else b
+            own = [shingles(x.as_py(), cache, size) for x in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([class_of(s) for s in own], pa.int64()), pa.array([s.tobytes() for s in own], pa.binary())], ["_id", "v", "s"])
+
+    # most documents are in no candidate group: their sets are not made, and no text is shuffled
+    made = slim.filter(F.col("_id").isNotNull()).mapInArrow(sets, T.StructType([slim.schema["_id"]]).add("v", "long").add("s", "binary"))
+    made = made.join(need, ["_id", "v"]).select("v", "root", "blocks", "s")  # v: not another text of the same id
     block = F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (made.withColumn("own", block).withColumn("other", other)
