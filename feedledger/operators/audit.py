@@ -191,8 +191,7 @@ def compare_datasets(a: DataFrame, b: DataFrame, buckets: int = COMPARE_BUCKETS)
         united = ha.where(some).select("_h", "_g", F.lit(1).cast("long").alias("d")).unionByName(hb.where(some).select("_h", "_g", F.lit(-1).cast("long").alias("d")))
         both = united.groupBy("_h", "_g").agg(F.sum("d").alias("d")).agg(
             F.coalesce(F.sum(F.greatest("d", zero)), zero).alias("only_in_a"), F.coalesce(F.sum(F.greatest(-F.col("d"), zero)), zero).alias("only_in_b"))
-        columns = columns.join(F.broadcast(both))  # one row
-        only_a, only_b = F.col("only_in_a"), F.col("only_in_b")
+        only_a, only_b = (F.lit(n).cast("long") for n in both.first())  # one row
     found = columns.join(counts, "i", "left")
     distinct = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
     return found.select("column", F.lit(rows_a).cast("long").alias("rows_a"), F.lit(rows_b).cast("long").alias("rows_b"), only_a.alias("only_in_a"), only_b.alias("only_in_b"),

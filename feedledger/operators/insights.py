@@ -178,9 +178,11 @@ def dashboard(files: DataFrame, stages: DataFrame, policy: P.Policy | None = Non
     total, in_stage = F.coalesce(F.sum("files"), F.lit(0)).cast("long"), lambda stage: F.coalesce(F.sum(F.when((F.col("stage") == stage) & (F.col("status") == "done"), F.col("n"))), F.lit(0)).cast("long")
     reasons = by_stage.where(F.col("status") == "failed").groupBy("stage", "reason").agg(F.sum("n").alias("total"))
     groups = {c: M.size_by(by_file, c) for c in ("catalog", "state")}
-    mismatch = by_file.agg(total.alias("total_files"), F.lit(0).cast("long").alias("by_catalog_total_mismatch"), F.lit(0).cast("long").alias("by_state_total_mismatch"))
-    for c in groups:  # the buckets' own sums against the total
-        mismatch = mismatch.join(F.broadcast(groups[c].agg(F.coalesce(F.sum("count"), F.lit(0)).alias("_n")))).withColumn(f"by_{c}_total_mismatch", F.col("_n") - F.col("total_files")).drop("_n")
+    sums = by_file.select(F.lit("total").alias("of"), F.col("files").alias("n"))  # the buckets' own sums against the total
+    for c, buckets in groups.items():
+        sums = sums.unionByName(buckets.select(F.lit(c).alias("of"), F.col("count").alias("n")))
+    summed = lambda of: F.coalesce(F.sum(F.when(F.col("of") == of, F.col("n"))), F.lit(0)).cast("long")
+    mismatch = sums.agg(summed("total").alias("total_files"), *((summed(c) - summed("total")).alias(f"by_{c}_total_mismatch") for c in groups))
     out = {
         "status_counts": M.status_counts(by_file),
         "by_catalog": with_bar_share(with_size_level(groups["catalog"])),
