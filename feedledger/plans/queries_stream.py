@@ -118,14 +118,15 @@ def _stream_dedupe(t):
 def _stream_landing(t):
     spark, d = t.spark, _scratch(t.spark, "landing")
     listing = t.listing.select("ftp_dir", "name", "size", S.as_ts("mod_time").alias("mod_time"), "remote_path")
-    listing.repartition(2, F.upper("name")).write.parquet(f"{d}/listing")
+    each = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)  # files of a start: written and read by as many tasks
+    listing.repartition(2 * each, F.upper("name")).write.parquet(f"{d}/listing")
     catalog = Catalog(spark, f"{d}/state", groups=16)
     catalog.seed(SC.conform_files(t.files), ST.conform_stages(t.file_stages), J.conform_queue(t.job_queue))
-    # two starts over the same state: the first sees one file, the second goes on with the others
+    # two starts over the same state, a batch each: the first sees half the files, the second goes on with the others
     names = _split_off(spark, f"{d}/listing", f"{d}/seen")
     for part in names:
         _move_in(spark, part, f"{d}/seen")
-        L.start_landing(spark, f"{d}/seen", f"{d}/state", lambda s: P.Policy.from_tables(t), lambda: AS_OF, AS_OF_YEAR, max_files=1, groups=16).awaitTermination()
+        L.start_landing(spark, f"{d}/seen", f"{d}/state", lambda s: P.Policy.from_tables(t), lambda: AS_OF, AS_OF_YEAR, max_files=max(1, len(part)), groups=16).awaitTermination()
     return catalog.read("files").select("id", "filename", "overall_status", "last_seen_at")
 
 

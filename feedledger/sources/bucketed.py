@@ -76,7 +76,8 @@ class Catalog:
         """Put in the partitions of the groups that ``rows`` (with g) hold, for what was there."""
         schema, key = self.TABLES[name]
         laid = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields), "g")
-        laid = laid.repartition(self.buckets, key) if key else laid.repartition(self.buckets, "g")  # one file a group and bucket
+        # one file a group and bucket, and as many tasks as there are pairs of them
+        laid = laid.repartition("g", F.pmod(F.hash(key), F.lit(self.buckets))) if key else laid.repartition(self.buckets, "g")
         with set_conf(rows.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):  # a table insert reads the session's setting only
             laid.write.mode("overwrite").insertInto(self.table(name))
 

@@ -142,3 +142,26 @@ def test_group_depends_on_the_leading_characters(spark):
     df = spark.createDataFrame([("RDAC2401.dbc",), ("rdac2312A.DBC",), ("X",), ("",)], "n string").select(name_group("n", 1 << 20).alias("g"))
     g = [r["g"] for r in df.collect()]
     assert g[0] == g[1] != g[2] and all(0 <= x < 1 << 20 for x in g)
+
+
+def test_a_listing_is_written_and_read_in_many_tasks(spark, tables, monkeypatch):
+    from feedledger.plans import queries_stream as Q
+
+    seen, start = [], L.start_landing
+    files = lambda d: len(Q._files_of(spark, d))
+
+    def started(spark, folder, *args, **kwargs):
+        seen.append((files(folder), kwargs["max_files"]))
+        return start(spark, folder, *args, **kwargs)
+
+    monkeypatch.setattr(Q.L, "start_landing", started)
+    Q._stream_landing(tables).count()
+    (first, one), (both, two) = seen
+    assert first > 1 and one == first and two == both - first  # each start takes its half as one batch
+
+
+def test_touched_groups_are_those_of_parsed_names(spark, tmp_dir):
+    names = ["RDAC2401.dbc", "rdac2402.DBC", "SPRJ2413.dbc", "XYZ.dbc", "RDAC2401.txt", None, "AMSP2401A.dbc"]
+    given = spark.createDataFrame([("/pub", n, 1, AS_OF, "/pub/x") for n in names], S.LISTING)
+    want = {spark.range(1).select(name_group(F.lit(n), GROUPS)).first()[0] for n in ("RDAC2401.DBC", "AMSP2401A.DBC")}
+    assert L.touched_groups(Catalog(spark, f"{tmp_dir}/state", groups=GROUPS), given, YEAR) == sorted(want)
