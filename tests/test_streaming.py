@@ -126,3 +126,15 @@ def test_alerts_judge_an_hour_once_over_restarts(spark, tmp_dir):
     _add(spark, ev, [("g", "download", "started", 500)])
     _started(start)
     assert hours() == [(0, 3, None, False), (1, 11, 3, True), (4, 12, 11, False)]
+
+
+def test_stage_fold_calls_take_buckets_of_pairs(spark, tmp_dir):
+    pairs = [(f"f{i}", s, e, i % 50) for i in range(1500) for s, e in (("download", "started"), ("csv_conversion", "failed"))]
+    _add(spark, f"{tmp_dir}/ev", pairs)
+    _add(spark, f"{tmp_dir}/ev", [(f, s, "completed", 60) for f, s, _, _ in pairs if s == "download"], 10_000)
+    _started(lambda: K.start_stage_fold(spark, f"{tmp_dir}/ev", f"{tmp_dir}/state", max_files=1))
+    groups = spark.read.format("statestore").option("path", f"{tmp_dir}/state").option("stateVarName", "summary").load().select("key").distinct().count()
+    assert groups <= K.SUMMARY_BUCKETS
+    got = K.stage_summaries(spark, f"{tmp_dir}/state")
+    want = ST.latest_stage_state(spark.read.schema(SJ.EVENT_SCHEMA).parquet(f"{tmp_dir}/ev"))
+    assert got.count() == 3000 and got.exceptAll(want.select(*got.columns)).isEmpty()
