@@ -108,8 +108,7 @@ def decode_files(paths: DataFrame, encoding: str = "iso-8859-1", tasks: int | No
     spark = paths.sparkSession
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    p = paths.select(F.col(path_col).alias("path")).distinct()
-    p = p.select("path", *file_parts("path", as_of_year))  # one row per file: name parsing runs once per file
+    p = with_file_parts(paths.select(F.col(path_col).alias("path")).distinct(), as_of_year)  # one row per file: name parsing runs once per file
     n = tasks or max(1, spark.sparkContext.defaultParallelism * 2)
     spread = p.repartition(n)
     decoded = spread.mapInPandas(lambda it: _decode_iter(it, encoding, record_batch, chunk), DECODED_SCHEMA)
@@ -178,14 +177,12 @@ def layout_columns(fields: list, encoding: str, names: list[str]) -> list[Column
     return cols
 
 
-def file_parts(path_col: str = "path", as_of_year: int = 2026) -> list[Column]:
-    """Partition columns from the file name (SNK-3 layout)."""
-    name = F.regexp_extract(F.col(path_col), r"([^/]*)$", 1)
-    p = N.parse_filename(name, as_of_year)
-    return [p.getField("catalog").alias("catalog"), p.getField("state").alias("state"),
-            F.format_string("%04d", p.getField("year")).alias("year"),
-            F.format_string("%02d", p.getField("month")).alias("month"),
-            F.upper(N.base_name(name)).alias("file")]
+def with_file_parts(paths: DataFrame, as_of_year: int = 2026) -> DataFrame:
+    """path and the partition columns from its file name (SNK-3 layout). The name is parsed in stages:
+    in one expression every part would repeat every check."""
+    named = N.with_parsed_name(paths.select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("_name")), "_name", as_of_year, "_p")
+    return named.select("path", F.col("_p.catalog").alias("catalog"), F.col("_p.state").alias("state"), F.format_string("%04d", F.col("_p.year")).alias("year"),
+                        F.format_string("%02d", F.col("_p.month")).alias("month"), F.upper(N.base_name("_name")).alias("file"))
 
 
 # ------------------------------------------------------------------------------------ the job

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from feedledger.functions import names as N
 from feedledger.operators import audit as AU
 from feedledger.plans import convert as CV
 from feedledger.sources import dbc
@@ -161,3 +162,33 @@ def test_files_without_records_get_their_header(spark, tmp_dir):
         table = spark.read.parquet(f"{tmp_dir}/pq/{at}.parquet")
         assert table.columns == ["NAME", "AGE", "AGE_1"] and table.count() == (name == "SPAC2403")
     assert not [f for _, _, names in os.walk(f"{tmp_dir}/tsv") for f in names if f.startswith(".") and not f.endswith(".crc")]
+
+
+def test_parts_of_a_name_come_from_one_parse(spark):
+    paths = spark.createDataFrame([("/x/ORAB2401.dbc",), ("/x/orab9913p.DBC",), ("/x/odd",), (None,)], "path string")
+    parts = CV.with_file_parts(paths)
+    assert sorted(map(str, parts.collect())) == sorted(map(str, paths.select("path", *_old_parts()).collect()))
+    assert parts._jdf.queryExecution().optimizedPlan().toString().lower().count("rlike") < 30  # one set of checks, not one a part
+
+
+def _old_parts():
+    name = F.regexp_extract("path", r"([^/]*)$", 1)
+    p = N.parse_filename(name, 2026)
+    return [p["catalog"].alias("catalog"), p["state"].alias("state"), F.format_string("%04d", p["year"]).alias("year"),
+            F.format_string("%02d", p["month"]).alias("month"), F.upper(N.base_name(name)).alias("file")]
+
+
+def test_long_runs_of_literals_are_cut_out_in_blocks(monkeypatch):
+    import random
+
+    r, blocks, cut = random.Random(5), [], dbc._literal_block
+    monkeypatch.setattr(dbc, "_literal_block", lambda *a: blocks.append(cut(*a)) or blocks[-1])
+    for n in (0, 1, 31, 32, 33, 64, 1000, 100_000):
+        data = r.randbytes(n)
+        for packed in (dbc.implode(data, matches=False), dbc.implode(data[:3000] + b"ab" * 20 + data[:3000])):
+            want = data if packed == dbc.implode(data, matches=False) else data[:3000] + b"ab" * 20 + data[:3000]
+            assert b"".join(dbc.explode_chunks(b"head" + packed, 4, 1000)) == want
+            for end in (len(packed) - 1, len(packed) // 2):
+                with pytest.raises(ValueError):
+                    dbc.explode(packed[:end])
+    assert sum(map(len, blocks)) > 200_000  # most of the bytes
