@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import common as C
+
 CHUNK_BYTES = 200_000
 CHUNK_IDS = 1_000_000
 CACHE_PIECES = 900_000
@@ -162,14 +164,9 @@ class Codec:
             yield i, found.get(k, "").encode("latin-1")
 
 
-_CODECS: dict[tuple[str, str], Codec] = {}
-
-
 def codec(path: str, pattern: str) -> Codec:
-    """One codec per worker process and vocabulary."""
-    if (path, pattern) not in _CODECS:
-        _CODECS[path, pattern] = Codec(load_ranks(path), pattern)
-    return _CODECS[path, pattern]
+    """One codec per worker process and vocabulary, until another operator's task runs there."""
+    return C.kept(("bpe", path, pattern), lambda: Codec(load_ranks(path), pattern))
 
 
 def _slim(docs: DataFrame, id_col: str, col: str) -> DataFrame:

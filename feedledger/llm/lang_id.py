@@ -123,6 +123,7 @@ def predict(docs: DataFrame, dictionaries: list[tuple[str, int, bytes]], text_co
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.release()
         model = Model(shared.value)
         for b in batches:
             found = [model.classify(t) for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]

@@ -60,6 +60,8 @@ BLOCK_SHINGLES = 4_000_000
 MARKS = 1 << 24
 #: Signatures that a task packs at once, and that a range holds about at most.
 PACKED, RANGE = 1_000_000, 4_000_000
+#: Signatures of a range that are sorted at once, to be merged with the different ones kept so far.
+STARRED = 500_000
 #: A signature's bits that are compared inside a range.
 SIGNATURE_BITS = 40
 
@@ -246,6 +248,7 @@ def shingle_classes(docs: DataFrame, size: int = WORDS, id_col: str = "doc_id",
     slim = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("th"), text.cast("binary").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.release()
         cache = _WordHash()
         for b in batches:
             n, v, some = [], [], []
@@ -303,15 +306,23 @@ def unpack(steps: bytes, who: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def star(kept: tuple[np.ndarray, np.ndarray], more: list[tuple[np.ndarray, np.ndarray]]) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
     """Signatures with one class each, after some more; and the (class, that class) pairs met."""
-    sig = np.concatenate([kept[0], *(s for s, _ in more)])
-    v = np.concatenate([kept[1], *(v for _, v in more)])
+    if not more:
+        return kept, np.empty((0, 2), np.int64)
+    sig = np.concatenate([s for s, _ in more])
+    v = np.concatenate([v for _, v in more])
     order = np.argsort(sig, kind="stable")
     sig, v = sig[order], v[order]
     first = np.diff(sig, prepend=~sig[:1] if len(sig) else 0) != 0
     top = v[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))] if len(sig) else v
+    at = np.searchsorted(kept[0], sig)
+    if len(kept[0]):  # a signature kept before has its class already
+        near = np.minimum(at, len(kept[0]) - 1)
+        known = kept[0][near] == sig
+        top[known] = kept[1][near[known]]
+        first &= ~known
     use = v != top
     pairs = np.unique(np.stack((v[use], top[use]), axis=1), axis=0)
-    return (sig[first], v[first]), pairs
+    return (np.insert(kept[0], at[first], sig[first]), np.insert(kept[1], at[first], v[first])), pairs
 
 
 def candidate_edges(docs: DataFrame, classes: DataFrame, size: int, part: int, whole: int, id_col: str, text_col: str) -> DataFrame:
@@ -326,6 +337,7 @@ def candidate_edges(docs: DataFrame, classes: DataFrame, size: int, part: int, w
     slim = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).cast("binary").alias("t"))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.release()
         cache, seen, names, sigs = _WordHash(), set(), [], []
 
         def flush() -> pa.RecordBatch:
@@ -353,6 +365,7 @@ def candidate_edges(docs: DataFrame, classes: DataFrame, size: int, part: int, w
             yield flush()
 
     def starred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.release()
         nothing = (np.empty(0, np.uint64), np.empty(0, np.int64))
         at, kept, more, held = None, nothing, [], 0
 
@@ -371,7 +384,7 @@ def candidate_edges(docs: DataFrame, classes: DataFrame, size: int, part: int, w
                     at, kept = r, nothing
                 more.append(unpack(steps.as_py(), who.as_py()))
                 held += len(more[-1][0])
-                if held >= RANGE:
+                if held >= STARRED:
                     yield reduced()
         if more:
             yield reduced()
@@ -404,6 +417,7 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, size: int,
     slim = docs.select(F.col(id_col).alias("_id"), _slot(F.col(id_col)).alias("slot"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.release()
         cache, marks = _WordHash(), np.unpackbits(wanted.value, bitorder="little")
         for b in batches:
             b = b.filter(pa.array(marks[b.column(1).to_numpy()] == 1)) if b.num_rows else b
@@ -432,6 +446,7 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, size: int,
             found = _forest([s for _, s in left], None if right is None else [s for _, s in right], part, whole)
             return [(names[x], names[y]) for x, y in found]
 
+        C.release()
         key, rows, out = None, [], []
         for b in batches:
             root, i, j, own, v, s = (b.column(k) for k in range(6))
