@@ -425,3 +425,59 @@ def test_languages_against_the_library(spark):
     got = {r["doc_id"]: r["lang_pred"] for r in lang_id.predict(docs.select("doc_id", "text"), model).collect()}
     wrong = [r["doc_id"] for r in rows if got[r["doc_id"]] != brute(r["text"])]
     assert not wrong
+
+
+def test_few_lanes_are_scored_in_long_windows():
+    doc = np.append(np.arange(1, 3000) % 50 + 1, 0)
+    lanes = gru_lm.Lanes([doc], 0, 1)
+    assert len(list(lanes.windows(32, 4096))) == 1 and len(list(lanes.windows(32))) == 94
+    net, met = _softer(gru_lm.Network(gru_lm.initial(_vocab()))), []
+    own = net.log_probs
+    net.log_probs = lambda hs, target, grads=None: met.append(len(target)) or own(hs, target, grads)
+    net.score(lanes, 1)
+    assert met == [3000]
+
+
+def test_classes_of_any_size_get_the_plain_gradients():
+    """Classes of one to many targets, padded together or alone, against a loop over the targets."""
+    net, rng = _softer(gru_lm.Network(gru_lm.initial(_vocab()))), np.random.default_rng(8)
+    side = len(net.p["w"])
+    target = np.concatenate([np.repeat(np.arange(12) * side, [1, 2, 7, 8, 9, 16, 17, 64, 65, 200, 300, 1]), [side * side + 2]])
+    hs = rng.normal(size=(len(target), gru_lm.HIDDEN)).astype(np.float32)
+    grads = {k: np.zeros_like(v) for k, v in net.p.items()}
+    dh = net.log_probs(hs, target, grads)[1]
+    out = net.log_probs(hs, target)[0]
+    w, wb = np.zeros_like(net.p["w"]), np.zeros_like(net.p["wb"])
+    for i, y in enumerate(target.tolist()):
+        top = hs[i] @ net.p["c"] + net.p["cb"]
+        c = y - side * side + side if y >= side * side else y // side
+        p = np.exp(top - top.max())
+        p /= p.sum()
+        want, back = np.log(p[c]), net.p["c"] @ (p - np.eye(len(p))[c])
+        if y < side * side:
+            own = hs[i] @ net.p["w"][c] + net.p["wb"][c]
+            q = np.exp(own - own.max())
+            q /= q.sum()
+            want += np.log(q[y % side])
+            q[y % side] -= 1
+            w[c] += np.outer(hs[i], q)
+            wb[c] += q
+            back = back + net.p["w"][c] @ q
+        assert np.isclose(out[i], want, rtol=1e-4, atol=1e-4) and np.allclose(dh[i], back, rtol=1e-3, atol=1e-4)
+    assert np.allclose(grads["w"], w, rtol=1e-3, atol=1e-3) and np.allclose(grads["wb"], wb, rtol=1e-3, atol=1e-3)
+
+
+def test_a_star_sorts_only_what_is_new(monkeypatch):
+    """Signatures kept before are merged, not sorted again, and give the stars of one sort of all."""
+    rng = np.random.default_rng(6)
+    parts = [(rng.integers(0, 3000, 1000).astype(np.uint64), rng.integers(0, 500, 1000)) for _ in range(8)]
+    kept, pairs = shingle_join.star((np.empty(0, np.uint64), np.empty(0, np.int64)), parts)
+    sorted_, plain = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, **k: sorted_.append(len(a)) or plain(a, **k))
+    now, found = (np.empty(0, np.uint64), np.empty(0, np.int64)), []
+    for part in parts:
+        now, some = shingle_join.star(now, [part])
+        found += map(tuple, some.tolist())
+    assert max(sorted_) == 1000
+    assert now[0].tolist() == kept[0].tolist() and now[1].tolist() == kept[1].tolist()
+    assert set(found) == set(map(tuple, pairs.tolist()))
