@@ -19,7 +19,9 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -37,6 +39,8 @@ STEP = 256
 #: A block is closed when it holds this many ids.
 BLOCK = 1 << 18
 CACHE_WORDS = 250_000
+#: Few ids as little-endian unsigned 32-bit integers.
+_U32 = [struct.Struct(f"<{n}I").pack for n in range(9)]
 
 
 # -- code ------------------------------------------------------------------------------------------
@@ -142,6 +146,7 @@ class Tokens:
             lead, tail = (0xC2 if b < 0xC0 else 0xC3), (b if b < 0xC0 else b - 0x40)
             s = shown.pre_tokenize_str(bytes([lead, tail]).decode())[0][0]
             self.shown[tail], self.shown[lead] = s[1], s[0]
+        self.same = all(self.shown[b] == chr(b) for b in b"abcdefghijklmnopqrstuvwxyz.,!?;:")
         self.plain_ok = all(self._model_ids(w) == self.whole.encode(w, add_special_tokens=False).ids
                             for w in ("the", "a", "größe", "émenté", "ciónñ", ".", ",,", "!?", "über", "ÿß"))
         self.recent: dict[bytes, bytes] = {}
@@ -149,17 +154,25 @@ class Tokens:
         self.pieces: dict[str, bytes] = {}
 
     def _model_ids(self, piece: str) -> list[int]:
-        return [t.id for t in self.model.tokenize("".join([self.shown[b] for b in piece.encode()]))]
+        if not (self.same and piece.isascii()):  # ASCII letters and marks are shown as themselves
+            piece = "".join([self.shown[b] for b in piece.encode()])
+        return [t.id for t in self.model.tokenize(piece)]
 
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
             if len(self.pieces) >= CACHE_WORDS:
                 self.pieces.clear()
-            ids = self.pieces[piece] = np.array(self._model_ids(piece), "<u4").tobytes()
+            found = self._model_ids(piece)
+            ids = self.pieces[piece] = _U32[len(found)](*found) if len(found) < len(_U32) else np.array(found, "<u4").tobytes()
         return ids
 
     def _word(self, word: bytes) -> bytes:
+        if self.plain_ok and len(word) <= 64:  # most words: ASCII letters, then marks or none
+            letters = word.rstrip(b".,!?;:")
+            if letters.isalpha():
+                ids = self._piece(letters.lower().decode())
+                return ids + self._piece(word[len(letters):].decode()) if len(letters) < len(word) else ids
         text = word.decode()
         plain = self.plain_ok and len(word) <= 64 and self.PLAIN(text.lower())
         if plain:
@@ -180,6 +193,16 @@ class Tokens:
             out[at] = self._learn(words[at])
         return b"".join(out)
 
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """``encode`` of each; new words make many small objects but no cycles, so none are looked for."""
+        was = gc.isenabled()
+        gc.disable()
+        try:
+            return [self.encode(t) for t in texts]
+        finally:
+            if was:
+                gc.enable()
+
     def _learn(self, word: bytes) -> bytes:
         ids = self.recent.get(word)  # it may be the text's own earlier word
         if ids is None:
@@ -193,13 +216,8 @@ class Tokens:
         return ids
 
 
-_TOKENS: dict[str, Tokens] = {}
-
-
 def tokens(path: str) -> Tokens:
-    if path not in _TOKENS:
-        _TOKENS[path] = Tokens(path)
-    return _TOKENS[path]
+    return C.kept(("words", path), lambda: Tokens(path))
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -215,7 +233,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", te
         for b in batches:
             kind = b.schema.field(0).type
             for at in range(0, b.num_rows, 512):
-                ids = [own.encode(t.as_py()) + end for t in b.column(1).slice(at, 512)]
+                ids = [x + end for x in own.encode_all([t.as_py() for t in b.column(1).slice(at, 512)])]
                 counts = np.bincount(np.frombuffer(b"".join(ids), "<u4"))
                 total = np.pad(total, (0, max(0, len(counts) - len(total))))
                 total[: len(counts)] += counts

@@ -167,3 +167,27 @@ def test_huffman_empty(spark):
 def test_words_encode_as_the_whole_text(text):
     t = huffman.tokens(WORDS)
     assert np.frombuffer(t.encode(text.encode()), "<u4").tolist() == t.whole.encode(text, add_special_tokens=False).ids
+
+
+def test_plain_words_go_straight_to_the_merge_model(monkeypatch):
+    """Letters of ASCII with marks or none take neither a pattern nor a table of shown bytes."""
+    words_ = [w + m for w in ("the", "Straw", "q", "abcdefghij" * 6) for m in ("", ".", ",;", "!?:")]
+    want = [huffman.Tokens(WORDS).whole.encode(w, add_special_tokens=False).ids for w in words_]
+    t = huffman.Tokens(WORDS)
+
+    def fails(*_):
+        raise AssertionError
+
+    monkeypatch.setattr(huffman.Tokens, "PLAIN", fails)
+    t.shown = {}
+    assert [np.frombuffer(x, "<u4").tolist() for x in t.encode_all([w.encode() for w in words_])] == want
+
+
+def test_a_worker_keeps_the_latest_operators_state_only():
+    first = C.kept(("a", 1), lambda: [1])
+    assert C.kept(("a", 1), lambda: [2]) is first
+    assert C.kept(("b", 1), lambda: [3]) == [3] and list(C._KEPT) == [("b", 1)]
+    huffman.tokens(WORDS)
+    assert list(C._KEPT) == [("words", WORDS)]
+    C.release()
+    assert not C._KEPT
