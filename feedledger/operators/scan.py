@@ -10,6 +10,7 @@ equi-join on (ftp_dir, filename); the policy test is four bounded broadcast join
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import names as N
+from ..session import ensure_checkpoint_dir, ship_package
 from . import jobs as J
 from . import policy as P
 from . import stages as ST
@@ -31,19 +33,40 @@ KINDS = ["new", "changed", "unchanged", "unparsed", "other"]
 def list_directories(spark: SparkSession, paths: list[str] | str, recursive: bool = False) -> DataFrame:
     """SRC-1/2/3: regular files of one or more directories as (ftp_dir, name, size, mod_time, remote_path).
 
-    Uses the ``binaryFile`` source selecting only path/length/modificationTime, so ``content`` is
-    pruned from the read schema and file bodies are never read.
+    Tasks list the directories, a level of the tree in each round, and their entries are
+    checkpointed: no list of files or directories passes through the driver, file bodies are never
+    read, and the listing is that of the call. Hidden entries (Spark's rule) and empty files are left
+    out, a missing directory is an error, a path that is a file is listed itself.
     """
-    reader = spark.read.format("binaryFile")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    df = reader.load(paths if isinstance(paths, list) else [paths]).select("path", "length", "modificationTime")
-    path = F.regexp_replace("path", "^file:", "")
-    return df.select(
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    many = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def entries(batches):
+        import pandas as pd
+
+        from ..sources import fsio
+
+        for pdf in batches:
+            for d in pdf["path"]:
+                yield pd.DataFrame(fsio.entries(d), columns=["path", "is_dir", "size", "ms"]).astype({"size": "int64", "ms": "int64", "is_dir": "bool"})
+
+    given = [re.sub("^file:/*", "/", p).rstrip("/") or "/" for p in ([paths] if isinstance(paths, str) else paths)]
+    level = spark.createDataFrame([(p,) for p in given], "path string")
+    found = None
+    while True:
+        # by number: adaptive execution would put all of these few bytes into one task
+        own = level.repartition(many, "path").mapInPandas(entries, "path string, is_dir boolean, size long, ms long").checkpoint(eager=True)
+        found = own if found is None else found.unionByName(own)
+        level = own.where("is_dir").select("path")
+        if not recursive or level.isEmpty():
+            break
+    path = F.col("path")
+    return found.where(~F.col("is_dir")).select(
         F.regexp_extract(path, r"^(.*)/[^/]*$", 1).alias("ftp_dir"),
         F.regexp_extract(path, r"([^/]*)$", 1).alias("name"),
-        F.col("length").cast("long").alias("size"),
-        F.col("modificationTime").alias("mod_time"),
+        F.col("size"),
+        F.timestamp_millis("ms").alias("mod_time"),
         path.alias("remote_path"),
     )
 

@@ -117,20 +117,22 @@ def _land_state(t):
     spark, base = t.spark, re.sub("^file:/*", "/", f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/feedledger-land-{uuid.uuid4().hex[:12]}")
     name = F.concat("catalog", "state", F.format_string("%02d", F.col("year") % 100), F.format_string("%02d", "month"), "segment")
     parts = _document_parts(t.documents).withColumn("base", name).withColumn("lost", F.col("doc_id") % 10 == 3)
+    # a folder for each catalog, state and year: a task that lists one has a bounded number of files
+    parts = parts.withColumn("folder", F.concat(F.lit(f"{base}/source/"), "catalog", F.lit("/"), "state", F.col("year").cast("string")))
 
     def write(batches):
         for pdf in batches:
-            for stem, text in zip(pdf["base"], pdf["text"]):
-                fsio.write_bytes(f"{base}/source/{stem}.dbc", text.encode())
+            for folder, stem, text in zip(pdf["folder"], pdf["base"], pdf["text"]):
+                fsio.write_bytes(f"{folder}/{stem}.dbc", text.encode())
             yield pdf[["base"]]
 
-    parts.where(~F.col("lost") & (F.coalesce("text", F.lit("")) != "")).select("base", "text").mapInPandas(write, "base string").write.format("noop").mode("overwrite").save()
+    parts.where(~F.col("lost") & (F.coalesce("text", F.lit("")) != "")).select("folder", "base", "text").mapInPandas(write, "base string").write.format("noop").mode("overwrite").save()
     given = {"id": F.col("base"), "filename": F.concat("base", F.lit(".DBC")), "ftp_dir": F.lit("/pub"), "ftp_path": F.col("base"), "root_path": F.lit("/data"),
              "overall_status": F.lit("downloading")} | {c: F.col(c) for c in ("catalog", "state", "year", "month", "segment")}
     files = parts.select(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in S.FILES.fields))
-    listing = SC.list_directories(spark, f"{base}/source")
-    lost = parts.where("lost").select(F.lit(f"{base}/source").alias("ftp_dir"), F.concat("base", F.lit(".dbc")).alias("name"), F.lit(0).cast("long").alias("size"),
-                                      F.lit(None).cast("timestamp").alias("mod_time"), F.concat(F.lit(f"{base}/source/"), "base", F.lit(".dbc")).alias("remote_path"))
+    listing = SC.list_directories(spark, f"{base}/source", recursive=True)
+    lost = parts.where("lost").select(F.col("folder").alias("ftp_dir"), F.concat("base", F.lit(".dbc")).alias("name"), F.lit(0).cast("long").alias("size"),
+                                      F.lit(None).cast("timestamp").alias("mod_time"), F.concat("folder", F.lit("/"), "base", F.lit(".dbc")).alias("remote_path"))
     outcomes = LD.land(files, listing.unionByName(lost), f"{base}/store")
     new_files, stages, logs = LD.record_landing(files, spark.createDataFrame([], S.FILE_STAGES), outcomes, AS_OF)
     there = SC.list_directories(spark, f"{base}/store", recursive=True).select(F.col("remote_path").alias("_there"))

@@ -70,3 +70,22 @@ def test_a_failed_copy_leaves_nothing(tmp_dir, monkeypatch):
     with pytest.raises(OSError):
         fsio.copy_with_digest(f"{tmp_dir}/a", f"{tmp_dir}/out/b", 2)
     assert os.listdir(f"{tmp_dir}/out") == []
+
+
+def test_listing_is_made_in_tasks_level_by_level(spark, tmp_dir, monkeypatch):
+    shown = ["a/b/c.dbc", "a/_x=1", "a/sp ace%20.dbc", "z.dbc"]
+    for name in [*shown, "a/.h", "a/_x", "a/e._COPYING_", "a/empty", "_deep/q", ".deep/q"]:
+        os.makedirs(os.path.dirname(f"{tmp_dir}/{name}"), exist_ok=True)
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write("" if name.endswith("empty") else "xx")
+    os.utime(f"{tmp_dir}/z.dbc", (1_700_000_000, 1_700_000_000))
+    ls = SC.list_directories(spark, f"file:{tmp_dir}", recursive=True)
+    os.remove(f"{tmp_dir}/a/b/c.dbc")  # the listing is that of the call
+    assert not ls.inputFiles()  # no file index on the driver
+    rows = ls.collect()
+    assert sorted(r["remote_path"] for r in rows) == sorted(f"{tmp_dir}/{n}" for n in shown)
+    assert all(r["remote_path"] == f"{r['ftp_dir']}/{r['name']}" and r["size"] == 2 for r in rows)
+    assert ls.where("name = 'z.dbc'").selectExpr("unix_millis(mod_time)").first()[0] == 1_700_000_000_000
+    assert [r["name"] for r in SC.list_directories(spark, [tmp_dir]).collect()] == ["z.dbc"]
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        SC.list_directories(spark, f"{tmp_dir}/nowhere")
