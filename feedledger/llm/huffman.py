@@ -38,7 +38,7 @@ SEGMENT = 1 << 18
 STEP = 256
 #: A block is closed when it holds this many ids.
 BLOCK = 1 << 18
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
 #: Few ids as little-endian unsigned 32-bit integers.
 _U32 = [struct.Struct(f"<{n}I").pack for n in range(9)]
 
@@ -130,10 +130,12 @@ class Tokens:
     The tokenizer drops white space and works on each stretch between it alone, so a text's ids are
     those of its words in turn. Words are remembered in two bounded generations. A plain word (Latin
     letters, then closing marks) is one piece of letters and one of marks: each goes straight to the
-    library's merge model; every other word takes the whole tokenizer.
+    library's merge model; every other word takes the whole tokenizer, many in one call. The words of
+    several texts are looked up together, and each new one is encoded once.
     """
 
-    PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([.,!?;:]*)").fullmatch
+    MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    PLAIN = re.compile(r"([a-zß-öø-ÿ]+)([%s]*)" % re.escape(MARKS.decode())).fullmatch
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -146,75 +148,110 @@ class Tokens:
             lead, tail = (0xC2 if b < 0xC0 else 0xC3), (b if b < 0xC0 else b - 0x40)
             s = shown.pre_tokenize_str(bytes([lead, tail]).decode())[0][0]
             self.shown[tail], self.shown[lead] = s[1], s[0]
-        self.same = all(self.shown[b] == chr(b) for b in b"abcdefghijklmnopqrstuvwxyz.,!?;:")
+        self.same = all(self.shown[b] == chr(b) for b in b"abcdefghijklmnopqrstuvwxyz" + self.MARKS)
         self.plain_ok = all(self._model_ids(w) == self.whole.encode(w, add_special_tokens=False).ids
-                            for w in ("the", "a", "größe", "émenté", "ciónñ", ".", ",,", "!?", "über", "ÿß"))
+                            for w in ("the", "a", "größe", "émenté", "ciónñ", ".", ",,", "!?", "über", "ÿß", self.MARKS.decode(), *map(chr, self.MARKS)))
         self.recent: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
+        self.older_pieces: dict[bytes, bytes] = {}
 
     def _model_ids(self, piece: str) -> list[int]:
         if not (self.same and piece.isascii()):  # ASCII letters and marks are shown as themselves
             piece = "".join([self.shown[b] for b in piece.encode()])
         return [t.id for t in self.model.tokenize(piece)]
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: bytes) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
             if len(self.pieces) >= CACHE_WORDS:
-                self.pieces.clear()
-            found = self._model_ids(piece)
-            ids = self.pieces[piece] = _U32[len(found)](*found) if len(found) < len(_U32) else np.array(found, "<u4").tobytes()
+                self.older_pieces, self.pieces = self.pieces, {}
+            ids = self.older_pieces.get(piece)
+            if ids is None:
+                found = self._model_ids(piece.decode())
+                ids = _U32[len(found)](*found) if len(found) < len(_U32) else np.array(found, "<u4").tobytes()
+            self.pieces[piece] = ids
         return ids
 
-    def _word(self, word: bytes) -> bytes:
-        if self.plain_ok and len(word) <= 64:  # most words: ASCII letters, then marks or none
-            letters = word.rstrip(b".,!?;:")
-            if letters.isalpha():
-                ids = self._piece(letters.lower().decode())
-                return ids + self._piece(word[len(letters):].decode()) if len(letters) < len(word) else ids
-        text = word.decode()
-        plain = self.plain_ok and len(word) <= 64 and self.PLAIN(text.lower())
-        if plain:
-            return self._piece(plain[1]) + (self._piece(plain[2]) if plain[2] else b"")
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, text: bytes) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
+    def _whole(self, words: list[bytes]) -> Iterator[bytes]:
+        """Ids of words, each by itself, through the whole tokenizer."""
+        found = self.whole.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
+        ids, cuts = np.array(found.ids, "<u4"), np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words) + 1)).tolist()
+        for i, j in zip(cuts, cuts[1:]):
+            yield ids[i:j].tobytes()
+
+    def _learn(self, new: set[bytes]) -> None:
+        """Put words into the recent generation."""
+        recent, older, piece, others = self.recent, self.older.get, self._piece, []
+        marks = self.MARKS
+        for word in new:
+            ids = older(word)
+            if ids is None:
+                if not self.plain_ok or len(word) > 64:
+                    others.append(word)
+                    continue
+                letters = word.rstrip(marks)
+                if letters.isalpha():  # most words: ASCII letters, then marks or none
+                    ids = piece(letters.lower())
+                    if len(letters) < len(word):
+                        ids += piece(word[len(letters):])
+                elif plain := self.PLAIN(word.decode().lower()):
+                    ids = piece(plain[1].encode())
+                    if plain[2]:
+                        ids += piece(plain[2].encode())
+                else:
+                    others.append(word)
+                    continue
+            recent[word] = ids
+        if others:
+            recent.update(zip(others, self._whole(others)))
+
+    def _split(self, text: bytes) -> list[bytes]:
         # the tokenizer lower-cases: done first for A-Z, unless a special token's string or a mark
         # that combines with a letter (U+0300 to U+036F, lead bytes CC and CD) may be in the text
         if b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text:
             text = text.lower()
-        words = text.split()  # bytes.split() parts at the six separators, all of them white space
-        out = list(map(self.recent.get, words))
-        at = -1
-        for _ in range(out.count(None)):
-            at = out.index(None, at + 1)
-            out[at] = self._learn(words[at])
-        return b"".join(out)
+        return text.split()  # bytes.split() parts at the six separators, all of them white space
+
+    def _together(self, lists: list[list[bytes]]) -> list[bytes]:
+        if len(self.recent) >= CACHE_WORDS:
+            self.older, self.recent = self.recent, {}
+        recent = self.recent
+        new = set().union(*lists).difference(recent)
+        self._learn(new)
+        out = [b"".join(map(recent.__getitem__, ws)) for ws in lists]
+        for word in new:  # very long words are not remembered
+            if len(word) > 64:
+                del recent[word]
+        return out
+
+    def encode(self, text: bytes) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """``encode`` of each; new words make many small objects but no cycles, so none are looked for."""
         was = gc.isenabled()
         gc.disable()
         try:
-            return [self.encode(t) for t in texts]
+            out, held, size = [], [], 0
+            for text in texts:
+                ws = self._split(text)
+                if len(ws) > CACHE_WORDS:  # a very long text by itself, in parts
+                    out += self._together(held)
+                    out.append(b"".join(self._together([ws[k: k + CACHE_WORDS]])[0] for k in range(0, len(ws), CACHE_WORDS)))
+                    held, size = [], 0
+                    continue
+                held.append(ws)
+                size += len(ws)
+                if size >= CACHE_WORDS:
+                    out += self._together(held)
+                    held, size = [], 0
+            return out + self._together(held)
         finally:
             if was:
                 gc.enable()
 
-    def _learn(self, word: bytes) -> bytes:
-        ids = self.recent.get(word)  # it may be the text's own earlier word
-        if ids is None:
-            ids = self.older.get(word)
-            if ids is None:
-                ids = self._word(word)
-            if len(word) <= 64:
-                if len(self.recent) >= CACHE_WORDS:
-                    self.older, self.recent = self.recent, {}
-                self.recent[word] = ids
-        return ids
-
 
 def tokens(path: str) -> Tokens:
     return C.kept(("words", path), lambda: Tokens(path))

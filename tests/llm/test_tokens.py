@@ -191,3 +191,28 @@ def test_a_worker_keeps_the_latest_operators_state_only():
     assert list(C._KEPT) == [("words", WORDS)]
     C.release()
     assert not C._KEPT
+
+
+def test_words_of_several_texts_are_encoded_together(monkeypatch):
+    """The same ids as the library's, with one call of the whole tokenizer for all words that need it."""
+    path = P.path("word_bpe_49k.json")
+    own, lib = huffman.Tokens(path), Tokenizer.from_file(path)
+    rng = random.Random(3)
+    signs = "aAzZ'.,!?*$#<|>éÉß 07\u0661\u0301\t_-(stre\u3000漢"
+    texts = ["", " \n", "end*** (x) don't 's 're' <|endoftext|> A<|endoftext|>b", "a" * 100 + "!!!", *("".join(rng.choices(signs, k=40)) for _ in range(400))]
+    want = [np.array(e.ids, "<u4").tobytes() for e in lib.encode_batch(texts, add_special_tokens=False)]
+    calls = []
+
+    class Counted:
+        def encode(self, *a, **b):
+            calls.append(a)
+            return lib.encode(*a, **b)
+
+    own.whole = Counted()
+    assert own.encode_all([t.encode() for t in texts]) == want
+    assert len(calls) == 1
+    monkeypatch.setattr(huffman, "CACHE_WORDS", 3)  # generations change, and long texts go in parts
+    own = huffman.Tokens(path)
+    for _ in range(2):
+        assert own.encode_all([t.encode() for t in texts]) == want
+    assert not [w for w in (*own.recent, *own.older) if len(w) > 64]
