@@ -9,7 +9,8 @@ the merge table and contracts the leftmost pair of least rank in every piece (th
 Decoding joins the ids with the vocabulary and concatenates in position order.
 
 Memory is bounded: pieces go in chunks of ``CHUNK_BYTES``, decoding in chunks of ``CHUNK_IDS`` ids,
-remembered pieces in two generations of ``CACHE_PIECES``, and the database may not spill.
+remembered pieces in two generations (``CACHE_PIECES``, or fewer where
+the memory is shared; about 230 bytes a piece), and the database may not spill.
 
 Cases: null or empty text gives no ids and decodes to no bytes; texts longer than a chunk are
 decoded in parts; special tokens do not exist (their strings are ordinary text); repeated rows and
@@ -34,6 +35,8 @@ CHUNK_BYTES = 200_000
 CHUNK_IDS = 1_000_000
 CACHE_PIECES = 900_000
 MEMORY = "160MB"
+#: Freed memory beyond this goes back to the system at once: beside the database stand the executor's heap and other workers.
+FREED = "1MB"
 
 ENCODE = """
 WITH RECURSIVE t(piece, pos, tok) USING KEY (piece, pos) AS (
@@ -59,16 +62,18 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Codec:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = CACHE_PIECES):
         import duckdb
         import regex
 
-        self.ranks = ranks
+        self.ranks, self.remembered = ranks, remembered
         self.split = regex.compile(pattern).findall
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": "", "preserve_insertion_order": False})
+        for part in ("allocator_flush_threshold", "allocator_bulk_deallocation_flush_threshold"):
+            self.con.execute(f"SET {part} = '{FREED}'")
         lhs, rhs, merged = [], [], []
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -98,7 +103,7 @@ class Codec:
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Encode pieces that are not remembered."""
-        if len(self.recent) >= CACHE_PIECES:
+        if len(self.recent) >= self.remembered:
             self.older, self.recent = self.recent, {}
         names, todo, held = [], [], 0
 
@@ -164,9 +169,9 @@ class Codec:
             yield i, found.get(k, "").encode("latin-1")
 
 
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, remembered: int = CACHE_PIECES) -> Codec:
     """One codec per worker process and vocabulary, until another operator's task runs there."""
-    return C.kept(("bpe", path, pattern), lambda: Codec(load_ranks(path), pattern))
+    return C.kept(("bpe", path, pattern, remembered), lambda: Codec(load_ranks(path), pattern, remembered))
 
 
 def _slim(docs: DataFrame, id_col: str, col: str) -> DataFrame:
@@ -201,7 +206,8 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     return slim.mapInArrow(run, slim.drop("x").schema.add("raw", "binary"))
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), with_ids: bool = False) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), with_ids: bool = False,
+               remembered: int = CACHE_PIECES) -> DataFrame:
     """Encode every text, decode the ids, and digest both: doc_id, the columns ``carry``, n_tokens,
     ids (array<int>, ``with_ids`` only), ids_sha256, decoded_sha256. One pass in one worker, so the
     decoder's ids and bytes do not travel."""
@@ -213,7 +219,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
+        own = codec(path, pattern, remembered)
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)

@@ -56,10 +56,12 @@ SEEN_IN, SAMPLED_SETS, FREQUENT_MOST = 3, 20_000, 1_000_000
 #: verified pair by pair: every set goes once to each of its group's blocks.
 LARGEST_BLOCK = 2048
 BLOCK_SHINGLES = 4_000_000
+#: Of a block pair, about as many shingles as are compared at once.
+COMPARED = 500_000
 #: Bits of the broadcast bitmap that tells which documents may be in a candidate group (2 MB).
 MARKS = 1 << 24
 #: Signatures that a task packs at once, and that a range holds about at most.
-PACKED, RANGE = 1_000_000, 4_000_000
+PACKED, RANGE = 500_000, 2_000_000
 #: Signatures of a range that are sorted at once, to be merged with the different ones kept so far.
 STARRED = 500_000
 #: A signature's bits that are compared inside a range.
@@ -194,23 +196,28 @@ def _forest(left: list[np.ndarray], right: list[np.ndarray] | None, part: int, w
     """A spanning forest of the links (positions in left + right); right None: inside left."""
     sets = left + (right or [])
     sizes = np.array([len(s) for s in sets], np.int64)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = count > 1
-    column = np.cumsum(shared) - 1
-    use = shared[token]
-    owner, token = owner[use], column[token[use]]
     a = len(left)
     inter = np.zeros((a, len(sets) - a if right is not None else a), np.float32)
-    n_columns = int(shared.sum())
-    step = max(64, (1 << 23) // len(sets))
-    order = np.argsort(token, kind="stable")
-    owner, token = owner[order], token[order]
-    for at in range(0, n_columns, step):
-        i, j = np.searchsorted(token, (at, at + step))
-        m = np.zeros((len(sets), min(step, n_columns - at)), np.float32)
-        m[owner[i:j], token[i:j] - at] = 1
-        inter += m[:a] @ (m[a:] if right is not None else m).T
+    parts = max(1, -(-int(sizes.sum()) // COMPARED))  # the sets ascend: ranges of hashes, one at a time
+    limits = np.arange(1, parts, dtype=np.uint64) * np.uint64(((1 << 64) - 1) // parts)
+    cuts = np.array([[0, *np.searchsorted(s, limits).tolist(), len(s)] for s in sets])
+    step = max(64, (1 << 22) // len(sets))
+    for k in range(parts):
+        low, high = cuts[:, k].tolist(), cuts[:, k + 1].tolist()
+        _, token, count = np.unique(np.concatenate([s[i:j] for s, i, j in zip(sets, low, high)]), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(sets)), cuts[:, k + 1] - cuts[:, k])
+        shared = count > 1
+        column = np.cumsum(shared) - 1
+        use = shared[token]
+        owner, token = owner[use], column[token[use]]
+        n_columns = int(shared.sum())
+        order = np.argsort(token, kind="stable")
+        owner, token = owner[order], token[order]
+        for at in range(0, n_columns, step):
+            i, j = np.searchsorted(token, (at, at + step))
+            m = np.zeros((len(sets), min(step, n_columns - at)), np.float32)
+            m[owner[i:j], token[i:j] - at] = 1
+            inter += m[:a] @ (m[a:] if right is not None else m).T
     others, first = (sizes[a:], a) if right is not None else (sizes, 0)
     parent = list(range(len(sets)))
 
@@ -468,9 +475,10 @@ def _verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, size: int,
 def join_components(docs: DataFrame, size: int = WORDS, part: int = PART, whole: int = WHOLE, id_col: str = "doc_id", text_col: str = "text",
                     with_hash: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; ``with_hash`` also text_hash (xxhash64 of the text)."""
-    classes = shingle_classes(docs, size, id_col, text_col)
-    groups = components(candidate_edges(docs, classes, size, part, whole, id_col, text_col))
-    linked = components(_verified(docs, classes, groups, size, part, whole, id_col, text_col))
+    with C.small_batches(docs.sparkSession):  # all of these are stored
+        classes = shingle_classes(docs, size, id_col, text_col)
+        groups = components(candidate_edges(docs, classes, size, part, whole, id_col, text_col))
+        linked = components(_verified(docs, classes, groups, size, part, whole, id_col, text_col))
     rows = classes.select("doc_id", "th", "n", "v")
     least = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("v").agg(F.min("doc_id").alias("d"))
     rooted = least.join(linked.withColumnRenamed("node", "v"), "v", "left").withColumn("root", F.coalesce("root", "v"))

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -481,3 +482,38 @@ def test_a_star_sorts_only_what_is_new(monkeypatch):
     assert max(sorted_) == 1000
     assert now[0].tolist() == kept[0].tolist() and now[1].tolist() == kept[1].tolist()
     assert set(found) == set(map(tuple, pairs.tolist()))
+
+
+def test_block_pair_is_compared_in_parts(monkeypatch):
+    """The links of a block pair do not depend on the parts, whose number bounds the memory."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 64, (20, 2000), dtype=np.uint64)
+    sets = []
+    for k in range(600):
+        s = base[k % 20].copy()
+        s[rng.integers(0, 2000, k % 200)] = rng.integers(0, 1 << 64, k % 200, dtype=np.uint64)
+        sets.append(np.unique(s))
+    want = [(x, y) for x in range(40) for y in range(40, 60)
+            if 100 * (both := len(np.intersect1d(sets[x], sets[y]))) >= 90 * (len(sets[x]) + len(sets[y]) - both)]
+    whole = shingle_join._forest(sets[:40], sets[40:60], 90, 100)
+    assert whole and set(whole) <= set(want)
+    for compared in (1 << 40, 5000, 700):
+        monkeypatch.setattr(shingle_join, "COMPARED", compared)
+        assert shingle_join._forest(sets[:40], sets[40:60], 90, 100) == whole
+    monkeypatch.undo()
+    tracemalloc.start()
+    shingle_join._forest(sets, None, 90, 100)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+
+
+def test_small_batches_reach_python_and_the_setting_comes_back(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    seen = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"]) for b in batches)
+    with C.small_batches(spark):
+        most = spark.range(5000, numPartitions=1).mapInArrow(seen, "n long").agg(F.max("n")).first()[0]
+    assert most <= 1000 and spark.conf.get(name) == before

@@ -216,3 +216,12 @@ def test_words_of_several_texts_are_encoded_together(monkeypatch):
     for _ in range(2):
         assert own.encode_all([t.encode() for t in texts]) == want
     assert not [w for w in (*own.recent, *own.older) if len(w) > 64]
+
+
+def test_codec_remembers_as_many_pieces_as_it_may():
+    ranks = bpe_sql.load_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    own, enc = bpe_sql.Codec(ranks, P.PATTERN, remembered=20), tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = [" ".join(f"w{i % 7}x{k}y" for i in range(10)) for k in range(30)]
+    for t in texts * 2:
+        assert np.frombuffer(next(own.encode([t])), "<u4").tolist() == enc.encode_ordinary(t)
+        assert len(own.recent) <= 60 and len(own.older) <= 60
