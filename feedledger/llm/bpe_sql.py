@@ -3,9 +3,11 @@
 Spark deals the documents out; each task opens one in-memory DuckDB with the vocabulary and the
 merge table (every split of a vocabulary entry into two entries, ranked by the entry's id). A text
 is cut by the split pattern; the distinct pieces a task has not met yet are encoded together by one
-recursive query over token-position rows keyed by (piece, position): each round joins neighbouring tokens with
-the merge table and contracts the leftmost pair of least rank in every piece (the right row becomes
--1); a piece without a pair is at its fixpoint and leaves the recursion.
+recursive query over a row a piece, its tokens and the ranks of its neighbouring pairs: each round contracts the
+leftmost pair of least rank in every piece and joins the two new pairs with the merge table; a piece without
+a pair is at its fixpoint and leaves the recursion. Pieces of more than ``LONG_BYTES`` bytes, whose every round
+would be kept, go through the same recursion over token-position rows keyed by (piece, position), which are changed
+in place (the right row of a contracted pair becomes -1).
 Decoding joins the ids with the vocabulary and concatenates in position order.
 
 Memory is bounded: pieces go in chunks of ``CHUNK_BYTES``, decoding in chunks of ``CHUNK_IDS`` ids,
@@ -32,6 +34,8 @@ from pyspark.sql import types as T
 from . import common as C
 
 CHUNK_BYTES = 200_000
+#: Longest piece whose rounds are kept until the query ends.
+LONG_BYTES = 64
 CHUNK_IDS = 1_000_000
 CACHE_PIECES = 900_000
 MEMORY = "160MB"
@@ -39,6 +43,19 @@ MEMORY = "160MB"
 FREED = "1MB"
 
 ENCODE = """
+WITH RECURSIVE t(piece, toks, ranks, best) AS (
+    SELECT piece, toks, ranks, list_min(ranks) FROM start
+    UNION ALL
+    SELECT piece, toks, ranks, list_min(ranks) FROM (
+        SELECT s.piece, s.toks[:s.spot - 1] || [s.best] || s.toks[s.spot + 2:] AS toks,
+               s.ranks[:s.spot - 2] || [l.merged, r.merged] || s.ranks[s.spot + 2:] AS ranks
+        FROM (SELECT *, list_position(ranks, best) AS spot FROM t WHERE best IS NOT NULL) s
+        LEFT JOIN merges l ON l.lhs = s.toks[s.spot - 1] AND l.rhs = s.best
+        LEFT JOIN merges r ON r.lhs = s.best AND r.rhs = s.toks[s.spot + 2]))
+SELECT piece, toks[2:-2] AS ids FROM t WHERE best IS NULL
+"""
+
+ENCODE_LONG = """
 WITH RECURSIVE t(piece, pos, tok) USING KEY (piece, pos) AS (
     SELECT piece, pos, tok FROM start
     UNION ALL
@@ -71,6 +88,7 @@ class Codec:
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.double = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], np.int32)  # -1: no pair
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": "", "preserve_insertion_order": False})
         for part in ("allocator_flush_threshold", "allocator_bulk_deallocation_flush_threshold"):
             self.con.execute(f"SET {part} = '{FREED}'")
@@ -91,15 +109,36 @@ class Codec:
 
     def _contract(self, pieces: list[bytes]) -> Iterator[tuple[int, bytes]]:
         sizes = np.array([len(p) for p in pieces])
-        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        for chosen, start, query in ((sizes <= LONG_BYTES, self._lists, ENCODE), (sizes > LONG_BYTES, self._positions, ENCODE_LONG)):
+            if chosen.any():
+                own = np.flatnonzero(chosen)
+                self._table("start", start(own, sizes[own], np.frombuffer(b"".join([pieces[i] for i in own.tolist()]), np.uint8)))
+                found = self.con.sql(query).to_arrow_table()
+                ids = found["ids"].combine_chunks()
+                flat, at = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
+                for k, piece in enumerate(found["piece"].to_pylist()):
+                    yield piece, flat[at[k]: at[k + 1]].tobytes()
+
+    def _lists(self, own: np.ndarray, sizes: np.ndarray, raw: np.ndarray) -> pa.Table:
+        """A row a piece: its tokens between two of -1, and the rank of each pair (null: none)."""
+
+        def around(values: np.ndarray, lengths: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+            ends = np.append(0, np.cumsum(lengths + 2))
+            out, inner = np.full(ends[-1], -1, np.int32), np.ones(ends[-1], bool)
+            inner[ends[:-1]] = inner[ends[1:] - 1] = False
+            out[inner] = values
+            return pa.array(ends, pa.int32()), out
+
+        pairs, within = self.double[raw[:-1].astype(np.int32) * 256 + raw[1:]], np.ones(len(raw) - 1, bool)
+        within[np.cumsum(sizes)[:-1] - 1] = False  # not from one piece to the next
+        at, toks = around(self.single[raw], sizes)
+        bounds, ranks = around(pairs[within], sizes - 1)
+        return pa.table({"piece": own.astype(np.int32), "toks": pa.ListArray.from_arrays(at, pa.array(toks)),
+                         "ranks": pa.ListArray.from_arrays(bounds, pa.array(ranks, mask=ranks < 0))})
+
+    def _positions(self, own: np.ndarray, sizes: np.ndarray, raw: np.ndarray) -> pa.Table:
         first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self._table("start", pa.table({"piece": np.repeat(np.arange(len(pieces), dtype=np.int32), sizes),
-                                       "pos": np.arange(len(raw), dtype=np.int64) - first, "tok": self.single[raw]}))
-        found = self.con.sql(ENCODE).to_arrow_table()
-        ids = found["ids"].combine_chunks()
-        flat, at = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
-        for k, piece in enumerate(found["piece"].to_pylist()):
-            yield piece, flat[at[k]: at[k + 1]].tobytes()
+        return pa.table({"piece": np.repeat(own.astype(np.int32), sizes), "pos": np.arange(len(raw), dtype=np.int64) - first, "tok": self.single[raw]})
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Encode pieces that are not remembered."""

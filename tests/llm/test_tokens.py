@@ -225,3 +225,17 @@ def test_codec_remembers_as_many_pieces_as_it_may():
     for t in texts * 2:
         assert np.frombuffer(next(own.encode([t])), "<u4").tolist() == enc.encode_ordinary(t)
         assert len(own.recent) <= 60 and len(own.older) <= 60
+
+
+def test_short_pieces_take_one_row_each_and_long_ones_a_row_a_token(monkeypatch):
+    ranks = bpe_sql.load_ranks(RANKS)
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    n = bpe_sql.LONG_BYTES
+    short = ["zqxv", "aaaaaaaaaaaaaaa", "ßöß", "q", "퟿\U0001f600x", "Abcdefghijklmnop" * (n // 16)]
+    long = ["Abcdefghijklmnop" * (n // 16) + "q", "a" * 3 * n, "ö" * n]
+    codec = bpe_sql.Codec(ranks, P.PATTERN)
+    texts = [*short, *long, " ".join(short + long)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(texts)] == [enc.encode_ordinary(t) for t in texts]
+    monkeypatch.setattr(bpe_sql, "ENCODE_LONG", "no query")
+    codec = bpe_sql.Codec(ranks, P.PATTERN)
+    assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(short)] == [enc.encode_ordinary(t) for t in short]
