@@ -517,3 +517,34 @@ def test_small_batches_reach_python_and_the_setting_comes_back(spark):
     with C.small_batches(spark):
         most = spark.range(5000, numPartitions=1).mapInArrow(seen, "n long").agg(F.max("n")).first()[0]
     assert most <= 1000 and spark.conf.get(name) == before
+
+
+def test_words_of_several_texts_are_told_apart_together(monkeypatch):
+    """The words of bytes.split(), each different one looked up once for many texts."""
+    texts = [b"", b" \n", b"a b A", b"\x0b\x0cb,  a\r\n", b"\x1c \x1f\x85 \xff\xfe a", "Éa b ça".encode(), b"z" * 100 + b" z"]
+    for lower in (True, False):
+        column = pa.concat_arrays([pa.array([b"skipped"]), pa.array(texts)])[1:]
+        bounds, which, names = C.distinct_words(column, lower)
+        names = names.view(pa.binary()).to_pylist()
+        assert [[names[k] for k in which[i:j]] for i, j in zip(bounds, bounds[1:])] == [(t.lower() if lower else t).split() for t in texts]
+        assert len(set(names)) == len(names)
+    assert [sum((list(range(i, j)) for i, j in C.slices(pa.array(texts), n)), []) for n in (1, 9, 1000)] == [list(range(7))] * 3
+    assert list(C.slices(pa.array(texts), 1000)) == [(0, 7)] and len(list(C.slices(pa.array(texts), 9))) > 2
+    vocab, seen, find = _vocab(), [], gru_lm.Vocabulary.ids
+    monkeypatch.setattr(gru_lm.Vocabulary, "ids", lambda self, ws: seen.append(list(ws)) or find(self, ws))
+    found = list(gru_lm.word_ids(pa.array([b"w1 w2 w1 q.", b"w2 q. " * 50]), vocab))
+    assert seen == [[b"w1", b"w2", b"q."]]
+    assert found[0][2].tolist() == find(vocab, [b"w1", b"w2", b"w1", b"q.", *[b"w2", b"q."] * 50]).tolist()
+
+
+def test_large_logits_do_not_overflow():
+    """Weights too large for a plain exponential give the same probabilities as shifted logits."""
+    net = gru_lm.Network(gru_lm.initial(_vocab()))
+    hs = np.random.default_rng(3).uniform(-1, 1, size=(200, gru_lm.HIDDEN)).astype(np.float32)
+    target = np.random.default_rng(4).integers(0, gru_lm.MODEL_WORDS + gru_lm.RESTS, 200)
+    before = net.log_probs(hs, target)[0]
+    for k in ("cb", "wb"):  # the same distribution
+        net.p[k] += np.float32(500)
+    after, grads = net.log_probs(hs, target)[0], {k: np.zeros_like(v) for k, v in net.p.items()}
+    assert np.allclose(before, after, atol=1e-3)
+    assert np.isfinite(net.log_probs(hs, target, grads)[1]).all() and all(np.isfinite(g).all() for g in grads.values())
