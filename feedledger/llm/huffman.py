@@ -21,12 +21,14 @@ from __future__ import annotations
 
 import gc
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,8 @@ STEP = 256
 #: A block is closed when it holds this many ids.
 BLOCK = 1 << 18
 CACHE_WORDS = 400_000
+#: Bytes of a text that is taken by itself.
+LONG_TEXT = 4 << 20
 #: Few ids as little-endian unsigned 32-bit integers.
 _U32 = [struct.Struct(f"<{n}I").pack for n in range(9)]
 
@@ -131,7 +135,8 @@ class Tokens:
     those of its words in turn. Words are remembered in two bounded generations. A plain word (Latin
     letters, then closing marks) is one piece of letters and one of marks: each goes straight to the
     library's merge model; every other word takes the whole tokenizer, many in one call. The words of
-    several texts are looked up together, and each new one is encoded once.
+    several texts are told apart together, and each different one is looked up once: those of ASCII letters
+    and closing marks by their pieces alone, the others as words.
     """
 
     MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -180,7 +185,7 @@ class Tokens:
         for i, j in zip(cuts, cuts[1:]):
             yield ids[i:j].tobytes()
 
-    def _learn(self, new: set[bytes]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         """Put words into the recent generation."""
         recent, older, piece, others = self.recent, self.older.get, self._piece, []
         marks = self.MARKS
@@ -206,24 +211,57 @@ class Tokens:
         if others:
             recent.update(zip(others, self._whole(others)))
 
-    def _split(self, text: bytes) -> list[bytes]:
+    def _lowered(self, text: bytes) -> bytes:
         # the tokenizer lower-cases: done first for A-Z, unless a special token's string or a mark
         # that combines with a letter (U+0300 to U+036F, lead bytes CC and CD) may be in the text
         if b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text:
-            text = text.lower()
-        return text.split()  # bytes.split() parts at the six separators, all of them white space
+            return text.lower()
+        return text
 
-    def _together(self, lists: list[list[bytes]]) -> list[bytes]:
+    def _known(self, words: list[bytes]) -> list[bytes]:
+        """The ids of different words."""
         if len(self.recent) >= CACHE_WORDS:
             self.older, self.recent = self.recent, {}
         recent = self.recent
-        new = set().union(*lists).difference(recent)
-        self._learn(new)
-        out = [b"".join(map(recent.__getitem__, ws)) for ws in lists]
-        for word in new:  # very long words are not remembered
-            if len(word) > 64:
-                del recent[word]
-        return out
+        ids = list(map(recent.get, words))
+        new = [i for i, x in enumerate(ids) if x is None]
+        if new:
+            self._learn([words[i] for i in new])
+            for i in new:
+                word = words[i]
+                ids[i] = recent[word] if len(word) <= 64 else recent.pop(word)  # very long words are not remembered
+        return ids
+
+    def _pieces(self, column: pa.Array) -> pa.Array:
+        """The ids of each piece of a column, every different one looked up once."""
+        coded = column.dictionary_encode()
+        names = coded.dictionary.view(pa.binary()).to_pylist()
+        found = list(map(self.pieces.get, names))
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            found[i] = self._piece(names[i])
+        return pa.array(found, pa.large_binary()).take(coded.indices)
+
+    def _together(self, texts: list[bytes]) -> Iterator[bytes]:
+        bounds, which, names = C.distinct_words(pa.array(texts, pa.binary()), lower=False)
+        if not len(names):
+            yield from [b""] * len(texts)
+            return
+        letters = pc.ascii_rtrim(names, characters=self.MARKS.decode())
+        simple = pc.and_(pc.ascii_is_alpha(letters), pc.less_equal(pc.binary_length(names), 64)).to_numpy(zero_copy_only=False)
+        if not self.plain_ok:
+            simple[:] = False
+        # ASCII letters, then marks or none: most words
+        kept = pa.array(simple)
+        head, tail = self._pieces(pc.ascii_lower(letters.filter(kept))), self._pieces(pc.ascii_ltrim(names.filter(kept), characters=string.ascii_letters))
+        others = self._known(names.filter(pa.array(~simple)).view(pa.binary()).to_pylist())
+        every = pa.concat_arrays([pc.binary_join_element_wise(head, tail, pa.scalar(b"", pa.large_binary())), pa.array(others, pa.large_binary())])
+        place = np.empty(len(names), np.int64)
+        place[simple], place[~simple] = np.arange(len(head)), np.arange(len(head), len(names))
+        ids = every.take(pa.array(place[which]))
+        at = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:][bounds].tolist()
+        flat = memoryview(ids.buffers()[2] or b"")
+        for i, j in zip(at, at[1:]):
+            yield bytes(flat[i:j])
 
     def encode(self, text: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -235,19 +273,20 @@ class Tokens:
         gc.disable()
         try:
             out, held, size = [], [], 0
-            for text in texts:
-                ws = self._split(text)
-                if len(ws) > CACHE_WORDS:  # a very long text by itself, in parts
+            for text in map(self._lowered, texts):
+                if len(text) > LONG_TEXT:  # by itself, in parts that end between words
                     out += self._together(held)
-                    out.append(b"".join(self._together([ws[k: k + CACHE_WORDS]])[0] for k in range(0, len(ws), CACHE_WORDS)))
+                    words = text.split()
+                    out.append(b"".join([ids for k in range(0, len(words), CACHE_WORDS) for ids in self._together([b" ".join(words[k: k + CACHE_WORDS])])]))
                     held, size = [], 0
                     continue
-                held.append(ws)
-                size += len(ws)
-                if size >= CACHE_WORDS:
+                held.append(text)
+                size += len(text)
+                if size >= C.SLICE_BYTES:
                     out += self._together(held)
                     held, size = [], 0
-            return out + self._together(held)
+            out += self._together(held)
+            return out
         finally:
             if was:
                 gc.enable()
@@ -269,12 +308,12 @@ def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", te
         total, kind = np.zeros(1, np.int64), None
         for b in batches:
             kind = b.schema.field(0).type
-            for at in range(0, b.num_rows, 512):
-                ids = [x + end for x in own.encode_all([t.as_py() for t in b.column(1).slice(at, 512)])]
+            for at in range(0, b.num_rows, 2048):
+                ids = [x + end for x in own.encode_all([t.as_py() for t in b.column(1).slice(at, 2048)])]
                 counts = np.bincount(np.frombuffer(b"".join(ids), "<u4"))
                 total = np.pad(total, (0, max(0, len(counts) - len(total))))
                 total[: len(counts)] += counts
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, 512), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, 2048), pa.array([len(x) // 4 for x in ids], pa.int64()),
                                                   pa.array([squeeze(x) for x in ids], pa.binary())], ["doc_id", "n", "ids"])
         if kind is not None:
             seen = np.flatnonzero(total)

@@ -239,3 +239,14 @@ def test_short_pieces_take_one_row_each_and_long_ones_a_row_a_token(monkeypatch)
     monkeypatch.setattr(bpe_sql, "ENCODE_LONG", "no query")
     codec = bpe_sql.Codec(ranks, P.PATTERN)
     assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(short)] == [enc.encode_ordinary(t) for t in short]
+
+
+def test_repeated_words_of_plain_texts_are_looked_up_by_piece_once(monkeypatch):
+    own = huffman.Tokens(WORDS)
+    asked, find = [], huffman.Tokens._piece
+    monkeypatch.setattr(huffman.Tokens, "_piece", lambda self, piece: asked.append(piece) or find(self, piece))
+    texts = ["The end, the END. ", "the end! (the end)", " end.\n" * 300]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_all([t.encode() for t in texts])] == \
+        [own.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(asked) == sorted({b"the", b"end", b",", b".", b"!", b")", b""})
+    assert not {b"the", b"end", b"end."} & own.recent.keys()
