@@ -40,7 +40,7 @@ SEGMENT = 1 << 18
 STEP = 256
 #: A block is closed when it holds this many ids.
 BLOCK = 1 << 18
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 #: Bytes of a text that is taken by itself.
 LONG_TEXT = 4 << 20
 #: Few ids as little-endian unsigned 32-bit integers.
@@ -308,12 +308,12 @@ def tokenize(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", te
         total, kind = np.zeros(1, np.int64), None
         for b in batches:
             kind = b.schema.field(0).type
-            for at in range(0, b.num_rows, 2048):
-                ids = [x + end for x in own.encode_all([t.as_py() for t in b.column(1).slice(at, 2048)])]
+            for at in range(0, b.num_rows, 1024):
+                ids = [x + end for x in own.encode_all([t.as_py() for t in b.column(1).slice(at, 1024)])]
                 counts = np.bincount(np.frombuffer(b"".join(ids), "<u4"))
                 total = np.pad(total, (0, max(0, len(counts) - len(total))))
                 total[: len(counts)] += counts
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, 2048), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, 1024), pa.array([len(x) // 4 for x in ids], pa.int64()),
                                                   pa.array([squeeze(x) for x in ids], pa.binary())], ["doc_id", "n", "ids"])
         if kind is not None:
             seen = np.flatnonzero(total)
