@@ -49,9 +49,10 @@ CACHE_WORDS = 1 << 18
 #: What the allocation assumes: the part of a set's shingles that are frequent, the part of the sets that
 #: a segment of frequent shingles meets, and how many bands hold most of the sets.
 FREQUENT, MEETS, BANDS = 0.2, 0.02, 10
-#: Shingles that this many of about so many sampled sets hold are frequent; so many at most are told
-#: apart. No result depends on it, only the number of chance matches.
-SEEN_IN, SAMPLED_SETS, FREQUENT_MOST = 3, 20_000, 1_000_000
+#: Shingles that this many of the sampled sets hold are frequent; so many at most are told apart. About
+#: so many sets are sampled, and of a larger corpus one in so many, or what one sampled set holds would
+#: be held by ever more others. No result depends on it, only the number of chance matches.
+SEEN_IN, SAMPLED_SETS, SAMPLED_ONE_IN, FREQUENT_MOST = 3, 20_000, 24, 1_000_000
 #: A larger candidate group is cut into blocks of about this many sets, and of this many shingles,
 #: verified pair by pair: every set goes once to each of its group's blocks.
 LARGEST_BLOCK = 2048
@@ -117,6 +118,22 @@ def band_of(n: int) -> int:
     return next(k for k, (lo, hi) in enumerate(bands(2 * n + 2)) if lo <= n <= hi)
 
 
+def _spares(h: int) -> list[int]:
+    """Numbers of spare segments that are weighed for sets that differ in up to ``h`` shingles."""
+    out = [0, 1, 2, 4, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256]
+    while out[-1] < h:  # the weak segments of a long set are a part of all its segments
+        out.append(2 * out[-2])
+    return out
+
+
+def _more_than(n: int, mean: float) -> float:
+    """Probability that a Poisson variable exceeds ``n``; of long sums only the terms that count."""
+    if mean <= 1e-12:
+        return 0.0
+    reach = 12 * math.sqrt(mean) + 30
+    return max(0.0, 1 - sum(math.exp(-mean + k * math.log(mean) - math.lgamma(k + 1)) for k in range(max(0, int(mean - reach)), min(n, int(mean + reach)) + 1)))
+
+
 @functools.cache
 def allocate(hi: int, n_sets: int, part: int = PART, whole: int = WHOLE) -> tuple[int, int, int]:
     """(exact segments, one-deletion segments, spare) for pairs whose larger set has up to ``hi``.
@@ -130,7 +147,7 @@ def allocate(hi: int, n_sets: int, part: int = PART, whole: int = WHOLE) -> tupl
     if h == 0:
         return 1, 0, 0
     best = None
-    for spare in (0, 1, 2, 4, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256):
+    for spare in _spares(h):
         for deletion in {0, 1, 2, (h + 1) // 4, (h + 2) // 2}:
             exact = h + 1 + spare - 2 * deletion
             if exact < spare or exact + deletion < 1:
@@ -138,8 +155,7 @@ def allocate(hi: int, n_sets: int, part: int = PART, whole: int = WHOLE) -> tupl
             m = exact + deletion
             z, rare = 0.85 * hi / m, 0.7 * (1 - FREQUENT) * hi / m
             weak = exact * math.exp(-rare)
-            tail = 1 - sum(math.exp(-weak + k * math.log(weak) - math.lgamma(k + 1)) for k in range(spare + 1)) if weak > 1e-12 else 0.0
-            chance = max(tail, 0.0) * max(1.0, math.sqrt(weak)) + deletion * (1 + rare) * math.exp(-rare)
+            chance = _more_than(spare, weak) * max(1.0, math.sqrt(weak)) + deletion * (1 + rare) * math.exp(-rare)
             cost = exact + deletion * (z + 2) + n_sets * MEETS / BANDS * chance
             if best is None or cost < best[0]:
                 best = (cost, exact, deletion, spare)
@@ -250,7 +266,7 @@ def expected_signatures(n: int, n_sets: int, part: int = PART, whole: int = WHOL
 def shingle_classes(docs: DataFrame, size: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Stored rows doc_id, th (hash of the text), n (set size), v (class) and, of the sampled classes,
     some (their shingles) of every row."""
-    every = max(1, docs.count() // SAMPLED_SETS)
+    every = max(1, min(docs.count() // SAMPLED_SETS, SAMPLED_ONE_IN))
     text = F.coalesce(F.col(text_col), F.lit(""))
     slim = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("th"), text.cast("binary").alias("t"))
 
@@ -272,7 +288,7 @@ def frequent_shingles(classes: DataFrame) -> np.ndarray:
     """Ascending shingles of several sampled classes, the most frequent if they are many."""
     held = classes.filter(F.col("some").isNotNull()).groupBy("v").agg(F.first("some").alias("some")).select(F.explode("some").alias("s"))
     found = held.groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= SEEN_IN).orderBy(F.desc("n"), "s").limit(FREQUENT_MOST).select("s")
-    return np.sort(found.toPandas()["s"].to_numpy(np.int64).view(np.uint64))
+    return np.sort(C.stored(found, "frequent").toPandas()["s"].to_numpy(np.int64).view(np.uint64))
 
 
 def pack(sigs: np.ndarray, owner: np.ndarray, classes: np.ndarray, ranges: int) -> Iterator[tuple[int, bytes, bytes]]:
@@ -404,10 +420,29 @@ def _slot(doc_id: F.Column) -> F.Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(MARKS)).cast("int")
 
 
+def _word_and_bit(doc_id: F.Column) -> tuple[F.Column, F.Column]:
+    slot = _slot(doc_id)
+    return F.floor(slot / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), slot % 64)
+
+
+def _words(ids: DataFrame) -> DataFrame:
+    """(word, bits): the words with a bit of the bitmap (``MARKS`` bits) of the slots that the ids (_id) fall into."""
+    word, bit = _word_and_bit(F.col("_id"))
+    return ids.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+
+
+def with_mark(docs: DataFrame, ids: DataFrame, name: str, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` with a column that is false where the row's id is null or none of the ids (_id), and true
+    where it is one of them (and by chance elsewhere). What is sent out is the bitmap, not the ids."""
+    word, bit = _word_and_bit(F.col(id_col))
+    w, b = C.fresh([*docs.columns, name], "word", "bits")
+    found = docs.join(F.broadcast(_words(ids).select(F.col("word").alias(w), F.col("bits").alias(b))), word == F.col(w), "left")
+    return found.withColumn(name, F.col(id_col).isNotNull() & (F.coalesce(F.col(b), F.lit(0)).bitwiseAND(bit) != 0)).drop(w, b)
+
+
 def _marks(ids: DataFrame) -> np.ndarray:
-    """Bitmap (``MARKS`` bits) of the slots that the ids (_id) fall into."""
-    slot = _slot(F.col("_id"))
-    found = ids.select(F.floor(slot / 64).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), slot % 64).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    """That bitmap."""
+    found = _words(ids).toPandas()
     out = np.zeros(MARKS // 64, np.uint64)
     out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
     return out.view(np.uint8)
